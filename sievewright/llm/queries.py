@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sievewright.llm import jump_shards, packing, token_counts, token_files
+from sievewright.llm import decontamination, jump_shards, packing, token_counts, token_files
 
 QUERIES = {
     "op2_best_fit_packing": packing.query,
     "op3_jump_shards": jump_shards.query,
+    "op4_positional_index": decontamination.query,
     "op6_token_files": token_files.query,
     "op10_token_counts": token_counts.query,
 }
