@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sievewright.llm import decontamination, jump_shards, packing, token_counts, token_files
+from sievewright.llm import decontamination, jump_shards, packing, pii, token_counts, token_files
 
 QUERIES = {
+    "op1_feistel_pseudonyms": pii.query,
     "op2_best_fit_packing": packing.query,
     "op3_jump_shards": jump_shards.query,
     "op4_positional_index": decontamination.query,
