@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,14 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
             yield batch.slice(start)
 
 
-def texts_of(column: pa.Array) -> list[str]:
-    """Texts, null as empty."""
-    return [x or "" for x in column.to_pylist()]
+def ranks(keys: np.ndarray) -> np.ndarray:
+    """For each element, how many equal ones come before it."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    starts = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - 1))
+    out = np.empty(len(keys), dtype=np.int64)
+    out[order] = np.arange(len(keys)) - np.repeat(starts, np.diff(starts, append=len(keys)))
+    return out
 
 
 def bytes_of(column: pa.Array) -> list[bytes]:

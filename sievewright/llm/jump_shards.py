@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import table, write_once
+from sievewright.llm.common import ranks, table, write_once
 
 #: Stands for a null key.
 NULL_KEY = -(2**63)
@@ -43,12 +43,8 @@ def _place(shards: int):
         for batch in batches:
             keys = mixed(batch.column("doc_id").fill_null(NULL_KEY).to_numpy(zero_copy_only=False))
             shard = jump(keys, shards)
-            order = np.argsort(shard, kind="stable")
-            counts = np.bincount(shard, minlength=shards)
-            rank = np.empty(len(shard), dtype=np.int64)
-            rank[order] = np.arange(len(shard)) - np.repeat(np.cumsum(counts) - counts, counts)
-            rank += held[shard]
-            held += counts
+            rank = held[shard] + ranks(shard)
+            held += np.bincount(shard, minlength=shards)
             columns = [*batch.columns, pa.array(shard), pa.array(jump(keys, shards + 1)), pa.array(np.full(len(shard), part, dtype=np.int32)), pa.array(rank)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "shard", "grown_shard", "part", "rank"])
 

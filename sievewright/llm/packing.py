@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import by_bytes, table, texts_of, write_once
+from sievewright.llm.common import by_bytes, ranks, table, write_once
 from sievewright.llm.tokens import WIDTH, encoder, vocabulary
 
 END_OF_DOCUMENT = 2
@@ -123,26 +123,24 @@ def places(runs: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarra
     return {size: np.array(x, dtype=np.int64) for size, x in rows.items()}
 
 
-def _pieces(path: str, capacity: int, end_id: int, batch_bytes: int, key: str):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
+def _pieces(path: str, capacity: int, end_id: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
-        ids_of = encoder(path)
+        part, held = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", batch_bytes):
-            rows, out = batch.column(key).to_pylist(), []
-            for doc, raw in zip(rows, ids_of.encode(texts_of(batch.column("text")))):
-                raw += end
-                n = len(raw) // WIDTH
-                start, stop, piece = 0, n % capacity or capacity, 0
-                while start < n:
-                    size = stop - start
-                    out.append((doc, piece, start, size, zlib.crc32(raw[start * WIDTH : stop * WIDTH]), part, int(ranks[size])))
-                    ranks[size] += 1
-                    start, stop, piece = stop, stop + capacity, piece + 1
-            if out:
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
+            ids, edges = encoder(path, end_id).encode(batch.column("text"))
+            tokens = np.diff(edges)
+            many = -(-tokens // capacity)
+            row = np.repeat(np.arange(len(tokens)), many)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            first = (tokens - 1) % capacity + 1  # what full pieces leave
+            start = np.where(piece > 0, first[row] + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first[row])
+            raw, at = memoryview(ids).cast("B"), edges[row] + start
+            sums = [zlib.crc32(raw[a * WIDTH : b * WIDTH]) for a, b in zip(at.tolist(), (at + length).tolist())]
+            rank = held[length] + ranks(length)
+            held += np.bincount(length, minlength=capacity + 1)
+            columns = [batch.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(sums, pa.int64()), pa.array(np.full(len(row), part, dtype=np.int32)), pa.array(rank)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
     return run
 
@@ -178,7 +176,7 @@ def pack(docs: DataFrame, vocabulary_path: str, capacity: int = 1024, end_id: in
     and length give each task its start, so no length's pieces ever meet in one task.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = rows.mapInArrow(_pieces(vocabulary_path, capacity, end_id, batch_bytes, "doc_id"), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
+    cut = rows.mapInArrow(_pieces(vocabulary_path, capacity, end_id, batch_bytes), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
     pieces = write_once(cut, "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("held"))
     # At most ``capacity`` rows reach the driver.
@@ -194,10 +192,9 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary_path: str, end_id:
     """The packed training rows: sequence_id and its ids in order. ``doc_id`` must be unique in ``docs``."""
 
     def ids(batches):
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in by_bytes(batches, "text", 4 << 20):
-            raw = [x + end for x in encoder(vocabulary_path).encode(texts_of(batch.column("text")))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.frombuffer(x, dtype="<i4") for x in raw], pa.list_(pa.int32()))], ["doc_id", "ids"])
+            values, edges = encoder(vocabulary_path, end_id).encode(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values.view(np.int32)))], ["doc_id", "ids"])
 
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(ids, "doc_id long, ids array<int>")
     parts = packed.join(encoded, "doc_id").select("sequence_id", F.struct("offset", F.expr("slice(ids, cast(start + 1 as int), cast(length as int))").alias("ids")).alias("part"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import by_bytes, fresh_path, table, texts_of
+from sievewright.llm.common import by_bytes, fresh_path, table
 from sievewright.llm.tokens import WIDTH, encoder, vocabulary
 
 END_OF_DOCUMENT = 2
@@ -24,19 +24,13 @@ FILE_SCHEMA = "doc_id long, file int, place long, n_tokens long, ids array<int>"
 
 
 def _encode(path: str, end_id: int, batch_bytes: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, place, ids_of = TaskContext.get().partitionId(), 0, encoder(path)
+        file, place = TaskContext.get().partitionId(), 0
         for batch in by_bytes(batches, "text", batch_bytes):
-            ids = [x + end for x in ids_of.encode(texts_of(batch.column("text")))]
-            sizes = np.array([len(x) // WIDTH for x in ids], dtype=np.int64)
-            edges = np.concatenate(([0], np.cumsum(sizes)))
-            values = pa.Array.from_buffers(pa.int32(), int(edges[-1]), [None, pa.py_buffer(b"".join(ids))])
+            ids, edges = encoder(path, end_id).encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()), pa.array(np.full(len(ids), file, dtype=np.int32)),
-                pa.array(place + edges[:-1]), pa.array(sizes), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values),
-            ], ["doc_id", "file", "place", "n_tokens", "ids"])
+                batch.column("doc_id"), pa.array(np.full(len(batch), file, dtype=np.int32)), pa.array(place + edges[:-1]), pa.array(np.diff(edges)),
+                pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids.view(np.int32)))], ["doc_id", "file", "place", "n_tokens", "ids"])
             place += int(edges[-1])
 
     return run

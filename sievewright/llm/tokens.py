@@ -3,25 +3,34 @@
 A text is cut where white space follows something else. White space never joins the
 characters before it in one pre-token, and no added token of the vocabulary holds white
 space or strips it, so each piece gives the ids that it has within the whole text.
-Pieces recur, so a worker keeps the ids of those it has seen; the rest of a batch
-goes to the library in one call, separated by the end-of-text token.
+Pieces recur, so a worker keeps the ids of those it has seen; the new ones of a batch go to
+the library together.
 """
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The characters of Unicode's White_Space property.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Texts in which a space or line feed follows white space, or with the mark: cut by PIECES, not by Arrow.
+UNEVEN = f"[{WHITE}][ \n]|\x00"
+#: A piece with the mark stands for what follows the mark; another for itself behind a space, unless it begins with a line feed.
+MARK = "\x00"
 END, END_ID = "<|endoftext|>", 50256
 #: Bytes of ids per token, and the pieces that a worker keeps at most before it starts afresh.
-WIDTH, KEPT = 4, 1_000_000
+WIDTH, KEPT = 4, 500_000
+#: Pieces that go to the library as one text.
+GROUP = 512
+WHITES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -38,38 +47,93 @@ def library(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def widths(path: str) -> np.ndarray:
+    """Bytes that each id stands for."""
+    found = library(path).get_vocab(with_added_tokens=True)
+    out = np.zeros(max(found.values()) + 1, dtype=np.int64)
+    for entry, i in found.items():
+        out[i] = len(entry)
+    return out
+
+
+def _meant(piece: str) -> str:
+    return piece[1:] if piece[:1] == MARK else piece if piece[:1] == "\n" else " " + piece
+
+
 class Encoder:
-    """Ids of texts, each as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of texts, each text followed by ``end_id``."""
 
-    def __init__(self, path: str, kept: int = KEPT):
-        self.path, self.kept, self.seen = path, kept, {}
+    def __init__(self, path: str, end_id: int, kept: int = KEPT):
+        self.path, self.end_id, self.kept = path, end_id, kept
+        self._forget()
 
-    def _alone(self, piece: str) -> bytes:
-        return np.array(library(self.path).encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.ids = np.array([self.end_id], dtype="<u4")
+        self.starts, self.sizes = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)  # slot 0: the end
 
     def _learn(self, pieces: list[str]) -> None:
-        odd = [p for p in pieces if "<" in p and END in p]
-        if odd:
-            pieces = [p for p in pieces if END not in p]
-            self.seen.update((p, self._alone(p)) for p in odd)
-        if not pieces:
-            return
-        ids = np.array(library(self.path).encode_batch_fast([END.join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(ids == END_ID) * WIDTH
-        raw = ids.tobytes()
-        starts = [0, *(ends + WIDTH).tolist()]
-        self.seen.update(zip(pieces, (raw[a:b] for a, b in zip(starts, [*ends.tolist(), len(raw)]))))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [PIECES.findall(t) for t in texts]
-        if len(self.seen) > self.kept:
-            self.seen.clear()
-        self._learn(list(set(itertools.chain.from_iterable(cut)).difference(self.seen)))
-        get = self.seen.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        """Give ``pieces`` the next slots, in order."""
+        meant = [*map(_meant, pieces)]
+        # Behind another piece, one that begins with a space or line feed is cut off by the pre-tokens themselves.
+        plain = np.array([p[0] in " \n" and END not in p and p[-1] not in WHITES if p else False for p in meant])
+        joined = [p for p, c in zip(meant, plain.tolist()) if c]
+        groups = ["".join(joined[i : i + GROUP]) for i in range(0, len(joined), GROUP)]
+        ids = np.array([i for e in library(self.path).encode_batch_fast(groups, add_special_tokens=False) for i in e.ids], dtype="<u4")
+        # A token stands for as many bytes as its entry has characters, which tells where pieces end.
+        ends = np.searchsorted(np.cumsum(widths(self.path)[ids]), np.cumsum([len(p.encode()) for p in joined]), side="left") + 1
+        sizes, starts = np.empty(len(pieces), dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+        sizes[plain], starts[plain] = np.diff(ends, prepend=0), np.concatenate(([0], ends))[:-1]
+        tail, held = [ids], len(ids)
+        for i in np.flatnonzero(~plain).tolist():
+            own = np.array(library(self.path).encode(meant[i], add_special_tokens=False).ids, dtype="<u4")
+            sizes[i], starts[i] = len(own), held
+            tail.append(own)
+            held += len(own)
+        self.slot.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(pieces))))
+        self.starts, self.sizes = np.concatenate([self.starts, starts + len(self.ids)]), np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, *tail])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and where each text's begin (one more than texts). A null text is as an empty one."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        uneven = pc.match_substring_regex(texts, UNEVEN)
+        odd = np.flatnonzero(uneven.to_numpy(zero_copy_only=False))
+        marked = pc.binary_join_element_wise(MARK, pc.replace_substring(pc.if_else(uneven, "", texts), "\n", " \n"), "")
+        lists = pc.split_pattern(marked, " ")
+        counts = np.diff(lists.offsets.to_numpy())
+        first = lists.offsets.to_numpy()[:-1].astype(np.int64)
+        values = lists.values
+        if len(odd):
+            own = [[MARK + p for p in PIECES.findall(texts[int(i)].as_py())] for i in odd]
+            sizes = np.array([len(x) for x in own])
+            first[odd], counts[odd] = len(values) + np.cumsum(sizes) - sizes, sizes
+            values = pa.concat_arrays([values, pa.array([p for x in own for p in x], pa.string())])
+        coded = values.dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.slot) > self.kept:
+            self._forget()
+        own_slots = np.array([*map(self.slot.get, pieces, repeat(-1))], dtype=np.int64)
+        new = np.flatnonzero(own_slots < 0)
+        if len(new):
+            own_slots[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self._learn([pieces[i] for i in new.tolist()])
+        slots = own_slots[coded.indices.to_numpy()]
+        # Each text's pieces in order, then the end.
+        total = counts + 1
+        edge = np.cumsum(total)
+        at = np.arange(edge[-1] if len(edge) else 0) + np.repeat(first - (edge - total), total)
+        at[edge - 1] = 0
+        chosen = slots[at] if len(slots) else np.zeros(len(at), dtype=np.int64)
+        chosen[edge - 1] = 0
+        n = self.sizes[chosen]
+        stop = np.cumsum(n)
+        out = self.ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.starts[chosen] - (stop - n), n)]
+        return out, np.concatenate(([0], stop[edge - 1])).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, end_id: int) -> Encoder:
     """One for each Python worker."""
-    return Encoder(path)
+    return Encoder(path, end_id)
