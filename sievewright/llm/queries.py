@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievewright.llm import decontamination, jump_shards, near_dedup, packing, pii, token_counts, token_files
+from sievewright.llm import decontamination, jump_shards, near_dedup, packing, pii, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pii.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_jump_shards": jump_shards.query,
     "op4_positional_index": decontamination.query,
     "op6_token_files": token_files.query,
+    "op7_nearest_examples": toxicity.query,
     "op9_probminhash": near_dedup.query,
     "op10_token_counts": token_counts.query,
 }
