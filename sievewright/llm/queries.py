@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievewright.llm import decontamination, jump_shards, near_dedup, packing, pii, token_counts, token_files, toxicity
+from sievewright.llm import decontamination, hash_forest, jump_shards, near_dedup, packing, pii, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pii.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_positional_index": decontamination.query,
     "op6_token_files": token_files.query,
     "op7_nearest_examples": toxicity.query,
+    "op8_hash_forest": hash_forest.query,
     "op9_probminhash": near_dedup.query,
     "op10_token_counts": token_counts.query,
 }
