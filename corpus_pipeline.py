@@ -1,11 +1,30 @@
 """A training corpus from ``documents``: toxicity, near-dedup, decontamination, PII, packing."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sievewright.llm import decontamination, near_dedup, packing, pii, toxicity
+from sievewright.llm.common import fresh_path, table
+
+#: Each takes (spark, docs, sf_dir). All but the last return the columns of ``documents``.
+STAGES = [
+    ("toxicity", toxicity.stage),
+    ("near_dedup", near_dedup.stage),
+    ("decontamination", decontamination.stage),
+    ("pii", pii.stage),
+    ("packing", packing.stage),
+]
+
+#: Trained scores and signatures have no SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = fresh_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

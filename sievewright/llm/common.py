@@ -34,6 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
@@ -44,6 +45,7 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     see the same rows, and a lost executor costs tasks of one stage only.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    ship(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import by_bytes, ranks, table, write_once
@@ -201,5 +201,9 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary_path: str, end_id:
     return parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["ids"])).alias("ids"))
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, vocabulary())
+
+
 def query(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), vocabulary())

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sievewright.llm import decontamination, hash_forest, jump_shards, near_dedup, packing, pii, token_counts, token_files, toxicity
+from sievewright.llm import decontamination, hash_forest, jump_shards, near_dedup, ngram_trie, packing, pii, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pii.query,
     "op2_best_fit_packing": packing.query,
     "op3_jump_shards": jump_shards.query,
     "op4_positional_index": decontamination.query,
+    "op5_elias_fano_trie": ngram_trie.query,
     "op6_token_files": token_files.query,
     "op7_nearest_examples": toxicity.query,
     "op8_hash_forest": hash_forest.query,
