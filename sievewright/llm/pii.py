@@ -217,7 +217,9 @@ SECRET = "sievewright"
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonymise(docs, SECRET).select(docs.columns)
+    """``docs`` with pseudonyms; n_chars follows where an address changes its length."""
+    out = pseudonymise(docs, SECRET)
+    return out.withColumn("n_chars", F.when(F.col("n_private") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def query(spark, sf_dir):
