@@ -40,12 +40,14 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
     """Write the ids of ``docs`` (doc_id, text) under ``path``, ascending by doc_id over files and rows.
 
     Null and empty texts hold ``end_id`` alone. A null doc_id comes first. Rows with equal
-    doc_id are all kept, ordered by text. ``files``: ranges, by default as many as shuffle
+    doc_id are all kept, ordered by a hash of the text. ``files``: ranges, by default as many as shuffle
     partitions. Other columns of ``docs`` are left out.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranged = rows.repartitionByRange(files, "doc_id", "text") if files else rows.repartitionByRange("doc_id", "text")
-    encoded = ranged.sortWithinPartitions("doc_id", "text").mapInArrow(_encode(vocabulary_path, end_id, batch_bytes), FILE_SCHEMA)
+    # Only the keys of the ranges are sampled to the driver, never texts.
+    keys = (F.col("doc_id"), F.xxhash64("text"))
+    ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+    encoded = ranged.sortWithinPartitions(*keys).mapInArrow(_encode(vocabulary_path, end_id, batch_bytes), FILE_SCHEMA)
     encoded.write.options(**{"compression": "zstd", "orc.stripe.size": stripe_bytes, "orc.row.index.stride": index_rows, "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}).orc(path)
 
 
