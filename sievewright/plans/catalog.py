@@ -1,6 +1,389 @@
-"""Registered queries by name, with their SQL."""
+"""Registered queries by name, with their SQL.
+
+Each applies the operators to whole tables. Names of rooms, frames and pictures in the
+operators stand for the columns given here.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sievewright.functions import scalars
+from sievewright.operators import matching, quota, ranking, sequences, similarity
+from sievewright.sources import lines
+from sievewright.streaming import ledger
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+#: SQL of quota.allocate over a table ``rooms`` (room, priority, angles).
+ALLOCATED = """
+sized AS (SELECT room, priority, angles, least({base}, angles) AS base FROM rooms),
+more AS (SELECT room, row_number() OVER (ORDER BY turn, priority, room) AS unit FROM (SELECT room, priority, unnest(range(1, angles - base + 1)) AS turn FROM sized)),
+grown AS (SELECT s.room, priority, angles, base + coalesce(n, 0) AS slots FROM sized s LEFT JOIN
+  (SELECT room, count(*) AS n FROM more WHERE unit <= (SELECT greatest(0, {lo} - sum(base)) FROM sized) GROUP BY room) m ON s.room = m.room),
+less AS (SELECT room, row_number() OVER (ORDER BY priority DESC, turn, room) AS unit FROM (SELECT room, priority, unnest(range(1, slots)) AS turn FROM grown)),
+allocated AS (SELECT g.room, priority, angles, slots - coalesce(n, 0) AS slots FROM grown g LEFT JOIN
+  (SELECT room, count(*) AS n FROM less WHERE unit <= (SELECT greatest(0, sum(slots) - {hi}) FROM grown) GROUP BY room) l ON g.room = l.room)
+"""
+
+
+@query("""
+WITH flagged AS (SELECT d.doc_id, source AS room, md5(text) AS digest, d.n_chars,
+  (n_chars < 200)::INT + coalesce((quality = 0)::INT, 0) + coalesce((toxic = 1)::INT, 0) AS flags
+  FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id),
+leaders AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY room, digest ORDER BY flags, n_chars DESC, doc_id) AS place FROM flagged) WHERE place = 1),
+rooms AS (SELECT room, substr(room, 4)::INT % 4 AS priority, count(*) AS angles FROM leaders GROUP BY room), """ + ALLOCATED.format(base=3, lo=160, hi=200) + """
+SELECT l.room, l.doc_id, a.slots, l.pick_rank FROM (SELECT *, row_number() OVER (PARTITION BY room ORDER BY n_chars DESC, doc_id) AS pick_rank FROM leaders WHERE flags = 0) l
+JOIN allocated a ON a.room = l.room WHERE pick_rank <= slots""")
+def gallery_selection(spark, d):
+    labels = _t(spark, d, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    flag = lambda c: F.coalesce(c.cast("int"), F.lit(0))
+    docs = _t(spark, d, "documents").join(labels, "doc_id", "left").select("doc_id", F.col("source").alias("room"), F.md5("text").alias("digest"), "n_chars", (
+        flag(F.col("n_chars") < 200) + flag(F.col("quality") == 0) + flag(F.col("toxic") == 1)).alias("flags"))
+    leaders = ranking.ranked(docs, ["room", "digest"], ["flags", F.desc("n_chars"), "doc_id"]).where("place = 1")
+    rooms = leaders.groupBy("room").agg((F.substring(F.first("room"), 4, 9).cast("int") % 4).alias("priority"), F.count("*").alias("angles"))
+    slots = quota.allocate(rooms, base=3, lo=160, hi=200)
+    return quota.fill(leaders, slots, [F.desc("n_chars"), "doc_id"]).select("room", "doc_id", "slots", "pick_rank")
+
+
+NATION_ROOMS = "rooms AS (SELECT n_nationkey AS room, n_regionkey AS priority, count(*) AS angles FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL)"
+
+
+def _nation_slots(spark, d, **bounds):
+    nations = _t(spark, d, "nation").join(_t(spark, d, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rooms = nations.groupBy(F.col("n_nationkey").alias("room"), F.col("n_regionkey").alias("priority")).agg(F.count("*").alias("angles"))
+    return quota.allocate(rooms, **bounds)
+
+
+@query("WITH " + NATION_ROOMS + ", " + ALLOCATED.format(base=3, lo=80, hi=90) + " SELECT room, priority, angles, slots FROM allocated")
+def quota_allocate(spark, d):
+    return _nation_slots(spark, d, base=3, lo=80, hi=90)
+
+
+@query("WITH " + NATION_ROOMS + ", " + ALLOCATED.format(base=4, lo=20, hi=40) + " SELECT room, priority, angles, slots FROM allocated")
+def quota_trim(spark, d):
+    return _nation_slots(spark, d, base=4, lo=20, hi=40)
+
+
+@query("WITH " + NATION_ROOMS + ", " + ALLOCATED.format(base=2, lo=40, hi=60) + """
+SELECT s.room, s.s_suppkey, pick_rank FROM (SELECT s_nationkey AS room, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS pick_rank FROM supplier WHERE s_acctbal >= 0) s
+JOIN allocated a ON a.room = s.room WHERE pick_rank <= slots""")
+def quota_fill(spark, d):
+    leaders = _t(spark, d, "supplier").select(F.col("s_nationkey").alias("room"), "s_suppkey", "s_acctbal", (F.col("s_acctbal") < 0).cast("int").alias("flags"))
+    return quota.fill(leaders, _nation_slots(spark, d, base=2, lo=40, hi=60), [F.desc("s_acctbal"), "s_suppkey"]).select("room", "s_suppkey", "pick_rank")
+
+
+@query("WITH " + NATION_ROOMS + ", " + ALLOCATED.format(base=2, lo=40, hi=60) + """
+SELECT a.room, slots, coalesce(n, 0) AS picked, greatest(coalesce(n, 0) - slots, 0) AS over FROM allocated a
+LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_acctbal > 3000 GROUP BY s_nationkey) s ON s_nationkey = a.room""")
+def quota_over(spark, d):
+    picked = _t(spark, d, "supplier").where("s_acctbal > 3000").groupBy(F.col("s_nationkey").alias("room")).agg(F.count("*").alias("picked"))
+    out = _nation_slots(spark, d, base=2, lo=40, hi=60).join(picked, "room", "left").withColumn("picked", F.coalesce("picked", F.lit(0)))
+    return out.select("room", "slots", "picked", F.greatest(F.col("picked") - F.col("slots"), F.lit(0)).alias("over"))
+
+
+@query("""SELECT doc_id, first_value(doc_id) OVER (PARTITION BY n_chars, sha256(text) ORDER BY source, n_chars, doc_id) AS kept_as FROM documents""")
+def dedupe_exact(spark, d):
+    docs = _t(spark, d, "documents")
+    return similarity.dedupe(docs, "n_chars", F.sha2("text", 256), ["source", "n_chars", "doc_id"], "doc_id").select("doc_id", "kept_as")
+
+
+HALF = "list_sum(list_transform(range(1, 33), lambda i: CASE WHEN embedding[i + {at}] > 0 THEN (1::BIGINT << (32 - i)::INT) ELSE 0 END))::BIGINT"
+SIGNS = f"signs AS (SELECT vec_id, label, {HALF.format(at=0)} AS high, {HALF.format(at=32)} AS low FROM embeddings)"
+LINKS = SIGNS + ", links AS (SELECT x.vec_id AS a, y.vec_id AS b, (bit_count(xor(x.high, y.high)) + bit_count(xor(x.low, y.low)))::INT AS distance FROM signs x JOIN signs y ON x.label = y.label AND x.vec_id < y.vec_id WHERE bit_count(xor(x.high, y.high)) + bit_count(xor(x.low, y.low)) <= 20)"
+
+
+def _signs(spark, d):
+    own = _t(spark, d, "embeddings")
+    return own.select("vec_id", "label", scalars.sign_bits(F.col("embedding"), 0, 32).alias("high"), scalars.sign_bits(F.col("embedding"), 32, 32).alias("low"))
+
+
+@query("WITH " + LINKS + " SELECT a, b, distance FROM links")
+def hamming_pairs(spark, d):
+    return similarity.hamming_links(_signs(spark, d), "label", "vec_id", "high", "low", 20)
+
+
+@query("WITH RECURSIVE " + LINKS + """, both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+walk AS (SELECT vec_id, vec_id AS seen FROM embeddings UNION SELECT w.vec_id, b FROM walk w JOIN both_ways ON a = w.seen)
+SELECT vec_id, min(seen) AS class FROM walk GROUP BY vec_id""")
+def near_dup_clusters(spark, d):
+    signs = _signs(spark, d)
+    return similarity.classes(signs, "vec_id", similarity.hamming_links(signs, "label", "vec_id", "high", "low", 20))
+
+
+#: Keywords of part types, in the order that decides ties.
+KEYWORDS = [("STANDARD", "PLAIN"), ("SMALL", "LITTLE"), ("MEDIUM", "MIDDLE"), ("LARGE", "BIG"), ("ECONOMY", "CHEAP"), ("PROMO", "OFFER"), ("STEEL", "METAL"), ("TIN", "METAL"), ("BRASS", "METAL")]
+PRIORITY = [("PLAIN", 1), ("BIG", 2), ("MIDDLE", 2), ("LITTLE", 3), ("METAL", 4)]
+MATCHED = "WITH k(kw, slug, ord) AS (VALUES " + ", ".join(f"('{k}', '{s}', {i})" for i, (k, s) in enumerate(KEYWORDS)) + """),
+matched AS (SELECT p_partkey, arg_min(slug, (instr(p_type, kw), -length(kw), ord)) AS slug FROM part JOIN k ON instr(p_type, kw) > 0 GROUP BY p_partkey)"""
+
+
+@query(MATCHED + " SELECT p.p_partkey, slug FROM part p LEFT JOIN matched m ON p.p_partkey = m.p_partkey")
+def keyword_classify(spark, d):
+    return matching.keyword_of(_t(spark, d, "part"), "p_partkey", F.col("p_type"), KEYWORDS).select("p_partkey", "slug")
+
+
+@query(MATCHED + ", r(slug, priority) AS (VALUES " + ", ".join(f"('{s}', {p})" for s, p in PRIORITY) + """)
+SELECT p.p_partkey, coalesce(r.slug, 'default') AS category, coalesce(priority, 99) AS priority FROM part p LEFT JOIN matched m ON p.p_partkey = m.p_partkey LEFT JOIN r ON r.slug = m.slug""")
+def category_priority(spark, d):
+    ranks = spark.createDataFrame(PRIORITY, "slug string, priority int").withColumn("category", F.col("slug"))
+    out = matching.keyword_of(_t(spark, d, "part"), "p_partkey", F.col("p_type"), KEYWORDS).join(F.broadcast(ranks), "slug", "left")
+    return out.select("p_partkey", F.coalesce("category", F.lit("default")).alias("category"), F.coalesce("priority", F.lit(99)).alias("priority"))
+
+
+@query(r"""SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS area, nullif(regexp_extract(url, '([0-9]+)[^0-9/]*$', 1), '') AS number,
+CASE WHEN regexp_matches(url, '/[^/?]+\.[a-z]+$') THEN 'file' WHEN contains(url, '?') THEN 'query' ELSE 'folder' END AS shape FROM pages""")
+def label_parse(spark, d):
+    url = F.col("url")
+    shape = scalars.first_of((url.rlike(r"/[^/?]+\.[a-z]+$"), "file"), (url.contains("?"), "query"), default="folder")
+    return _t(spark, d, "pages").select("page_id", F.regexp_extract(url, "^[a-z]+://([^/]+)", 1).alias("area"), F.nullif(F.regexp_extract(url, "([0-9]+)[^0-9/]*$", 1), F.lit("")).alias("number"), shape.alias("shape"))
+
+
+STATS = """stats AS (SELECT source, count(*) AS files, avg((n_chars >= 2000)::INT) AS long_share, avg((lang = 'en')::INT) AS english, count(DISTINCT lang) AS langs, median(n_chars) AS mid FROM documents GROUP BY source)"""
+
+
+def _stats(spark, d):
+    share = lambda c: F.avg(c.cast("int"))
+    return _t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), share(F.col("n_chars") >= 2000).alias("long_share"), share(F.col("lang") == "en").alias("english"), F.count_distinct("lang").alias("langs"), F.median("n_chars").alias("mid"))
+
+
+@query("WITH " + STATS + " SELECT source, files, round(long_share, 6) AS long_share, round(english, 6) AS english, langs, mid FROM stats")
+def profile_stats(spark, d):
+    return _stats(spark, d).select("source", "files", F.round("long_share", 6).alias("long_share"), F.round("english", 6).alias("english"), "langs", "mid")
+
+
+@query("WITH " + STATS + """ SELECT source, CASE WHEN long_share >= 0.5 THEN CASE WHEN english >= 0.2 THEN 'D' ELSE 'E' END WHEN files <= 60 AND langs > 0 AND mid <= 1000 THEN 'A'
+WHEN english >= 0.6 AND langs = 1 THEN 'C' WHEN english >= 0.6 THEN 'B' ELSE 'C' END AS kind FROM stats""")
+def profile_kind(spark, d):
+    long, english = F.col("long_share") >= 0.5, F.col("english")
+    kind = scalars.first_of((long & (english >= 0.2), "D"), (long, "E"), ((F.col("files") <= 60) & (F.col("langs") > 0) & (F.col("mid") <= 1000), "A"), ((english >= 0.6) & (F.col("langs") == 1), "C"), (english >= 0.6, "B"), default="C")
+    return _stats(spark, d).select("source", kind.alias("kind"))
+
+
+@query("SELECT o_custkey, count(DISTINCT (o_orderstatus, o_orderpriority)) AS labels FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_custkey HAVING count(DISTINCT (o_orderstatus, o_orderpriority)) > 1")
+def having_distinguish(spark, d):
+    own = _t(spark, d, "orders").where("o_orderpriority is not null").groupBy("o_custkey").agg(F.count_distinct(F.struct("o_orderstatus", "o_orderpriority")).alias("labels"))
+    return own.where("labels > 1")
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, epoch(ts) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+runs AS (SELECT user_id, i, event_id, tm, [event_type] AS seen, 1 AS run FROM e WHERE i = 1 UNION ALL
+SELECT e.user_id, e.i, e.event_id, e.tm, CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.event_type) AND len(r.seen) < 9 THEN list_append(r.seen, e.event_type) ELSE [e.event_type] END,
+r.run + CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.event_type) AND len(r.seen) < 9 THEN 0 ELSE 1 END
+FROM runs r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, event_id, run FROM runs""")
+def bracket_runs(spark, d):
+    at = scalars.micros(F.col("ts")) / 1e6
+    return sequences.bracket_runs(_t(spark, d, "events").withColumn("at", at), "user_id", "at", "event_type", "event_id", 43200.0)
+
+
+GAPS = """WITH once AS (SELECT DISTINCT {g} AS grp, {n} AS num FROM {t} WHERE {n} IS NOT NULL), hole AS (SELECT grp, num, coalesce(lead(num) OVER (PARTITION BY grp ORDER BY num) - num - 1, 0) AS hole FROM once)
+SELECT grp AS {g}, min(num) AS first, max(num) AS last, count(*) AS present, sum(hole)::BIGINT AS missing, max(hole) AS longest, count(*) FILTER (hole > 0) AS holes, max(hole) >= 12 AS alarm FROM hole GROUP BY grp HAVING count(*) >= 5"""
+
+
+@query(GAPS.format(g="o_orderstatus", n="o_orderkey", t="orders"))
+def sequence_gaps(spark, d):
+    return sequences.sequence_gaps(_t(spark, d, "orders"), "o_orderstatus", "o_orderkey")
+
+
+@query(GAPS.format(g="event_type", n="event_id", t="events"))
+def sequence_gaps_events(spark, d):
+    return sequences.sequence_gaps(_t(spark, d, "events"), "event_type", "event_id")
+
+
+@query("""WITH m AS (SELECT l_orderkey, l_linenumber, l_quantity, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last FROM lineitem)
+SELECT l_orderkey, last, last - min(l_linenumber) + 1 - count(DISTINCT l_linenumber) AS missing, coalesce(max(CASE WHEN l_linenumber = last THEN l_quantity END) >= 0.95 * avg(CASE WHEN l_linenumber < last THEN l_quantity END), false) AS may_go_on FROM m GROUP BY l_orderkey, last""")
+def part_holes(spark, d):
+    return sequences.part_holes(_t(spark, d, "lineitem"), "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("""SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'extra' WHEN b.id IS NULL THEN 'missing' ELSE 'arrived' END AS status
+FROM (SELECT DISTINCT doc_id AS id FROM documents) a FULL JOIN (SELECT DISTINCT doc_id * 2 AS id FROM labels) b ON a.id = b.id""")
+def inventory_recon(spark, d):
+    return matching.inventory(_t(spark, d, "documents").select(F.col("doc_id").alias("id")), _t(spark, d, "labels").select((F.col("doc_id") * 2).alias("id")), "id")
+
+
+@query("""WITH tries AS (SELECT o_orderkey, unnest([0, 1, 2]) AS rank, unnest([o_custkey * 7, o_custkey * 3, o_custkey]) AS key FROM orders),
+found AS (SELECT o_orderkey, arg_min(c_name, rank) AS c_name, min(rank) AS rank FROM tries JOIN (SELECT c_custkey, min(c_name) AS c_name FROM customer GROUP BY c_custkey) ON key = c_custkey GROUP BY o_orderkey)
+SELECT o.o_orderkey, c_name, rank FROM (SELECT DISTINCT o_orderkey FROM orders) o LEFT JOIN found f ON o.o_orderkey = f.o_orderkey""")
+def resolve_multikey(spark, d):
+    keys = [F.col("o_custkey") * 7, F.col("o_custkey") * 3, F.col("o_custkey")]
+    return matching.resolved(_t(spark, d, "orders"), "o_orderkey", keys, _t(spark, d, "customer"), "c_custkey", "c_name")
+
+
+@query("SELECT d.doc_id, n_chars >= 1000 AS scored, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1) AS chosen FROM documents d")
+def semi_override(spark, d):
+    picks = _t(spark, d, "labels").where("quality = 1").select("doc_id").distinct().withColumn("picked", F.lit(True))
+    out = _t(spark, d, "documents").join(picks, "doc_id", "left")
+    return out.select("doc_id", (F.col("n_chars") >= 1000).alias("scored"), F.coalesce("picked", F.lit(False)).alias("chosen"))
+
+
+@query("""SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL AND (l.quality = 1) <> (n_chars >= 1000) THEN CASE l.quality WHEN 1 THEN 'good' ELSE 'poor' END
+WHEN n_chars >= 1000 THEN 'good' WHEN n_chars >= 100 THEN 'fair' ELSE 'poor' END AS answer, coalesce((l.quality = 1) <> (n_chars >= 1000), false) AS edited
+FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id""")
+def precedence_merge(spark, d):
+    labels = _t(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    out = _t(spark, d, "documents").join(labels, "doc_id", "left").withColumn("edited", F.coalesce((F.col("quality") == 1) != (F.col("n_chars") >= 1000), F.lit(False)))
+    answer = ranking.precedence((F.col("edited"), F.when(F.col("quality") == 1, "good").otherwise("poor")), (F.col("n_chars") >= 1000, F.lit("good")), (F.col("n_chars") >= 100, F.lit("fair")), (F.lit(True), F.lit("poor")))
+    return out.select("doc_id", answer.alias("answer"), "edited")
+
+
+VOTES = """c AS (SELECT user_id, event_type, count(*) AS n, min(event_id) AS seen FROM events GROUP BY ALL),
+votes AS (SELECT user_id, arg_max(event_type, (n, -seen)) AS majority, arg_max(event_type, (n, event_type)) AS mode, max(n) AS votes, sum(n)::BIGINT AS asked FROM c GROUP BY user_id)"""
+
+
+@query("WITH " + VOTES + " SELECT user_id, majority, votes, asked FROM votes")
+def majority_vote(spark, d):
+    return ranking.votes(_t(spark, d, "events"), "user_id", "event_type", "event_id").select("user_id", "majority", "votes", "asked")
+
+
+@query("WITH " + VOTES + " SELECT user_id, mode FROM votes")
+def mode_tiebreak(spark, d):
+    return ranking.votes(_t(spark, d, "events"), "user_id", "event_type", "event_id").select("user_id", "mode")
+
+
+@query("WITH " + VOTES + """ SELECT e.user_id, count(*) FILTER (event_type <> majority) AS strays, count(*) AS asked, count(*) FILTER (event_type <> majority) * 2 <= count(*) AS believed
+FROM events e JOIN votes v ON v.user_id = e.user_id GROUP BY e.user_id""")
+def stray_share(spark, d):
+    events = _t(spark, d, "events")
+    return ranking.strays(events, "user_id", "event_type", ranking.votes(events, "user_id", "event_type", "event_id"))
+
+
+@query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY (p_size < 10)::INT, p_retailprice DESC, p_partkey) AS place, min(p_name) OVER (PARTITION BY p_brand, p_type) AS first_name FROM part")
+def rank_in_cluster(spark, d):
+    own = ranking.ranked(_t(spark, d, "part"), ["p_brand", "p_type"], [(F.col("p_size") < 10).cast("int"), F.desc("p_retailprice"), "p_partkey"])
+    return own.select("p_partkey", "place", F.min("p_name").over(Window.partitionBy("p_brand", "p_type")).alias("first_name"))
+
+
+@query("""WITH s AS (SELECT n_nationkey, n_regionkey, row_number() OVER (ORDER BY n_name, n_nationkey) AS step FROM nation), f AS (SELECT *, min(step) OVER (PARTITION BY n_regionkey) AS f FROM s)
+SELECT n_nationkey, step, row_number() OVER (PARTITION BY n_regionkey ORDER BY step) AS room_no, dense_rank() OVER (ORDER BY f) AS kind_no FROM f""")
+def room_numbering(spark, d):
+    return ranking.numbered(_t(spark, d, "nation"), "n_regionkey", ["n_name", "n_nationkey"]).select("n_nationkey", "step", "room_no", "kind_no")
+
+
+@query("""SELECT c_custkey, CASE WHEN n < 10000 THEN printf('%s_%02d_%04d', c_mktsegment, c_nationkey, n) END AS name FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY c_custkey) AS n FROM customer)""")
+def assign_names(spark, d):
+    own = ranking.ranked(_t(spark, d, "customer"), ["c_mktsegment", "c_nationkey"], ["c_custkey"], "n")
+    return own.select("c_custkey", ranking.composed_name(F.col("c_mktsegment"), F.col("c_nationkey"), F.col("n")).alias("name"))
+
+
+@query("SELECT c.c_custkey, n AS orders, CASE WHEN n IS NULL THEN 'not chosen' ELSE 'chosen' END AS fate FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) o ON o_custkey = c_custkey")
+def lineage(spark, d):
+    used = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"))
+    return _t(spark, d, "customer").select("c_custkey").join(used, "c_custkey", "left").withColumn("fate", F.when(F.col("orders").isNull(), "not chosen").otherwise("chosen"))
+
+
+@query("""SELECT flags, count(*) AS n FROM (SELECT concat_ws(',', CASE WHEN l_quantity >= 45 THEN 'large' END, CASE WHEN l_discount > 0.08 THEN 'cut' END, CASE WHEN l_tax < 0.01 THEN 'untaxed' END) AS flags FROM lineitem) GROUP BY flags""")
+def threshold_flags(spark, d):
+    flags = scalars.flagged((F.col("l_quantity") >= 45, "large"), (F.col("l_discount") > 0.08, "cut"), (F.col("l_tax") < 0.01, "untaxed"))
+    return _t(spark, d, "lineitem").select(F.array_join(flags, ",").alias("flags")).groupBy("flags").agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT user_id, epoch(ts) / 3600 AS x, value AS y, row_number() OVER (PARTITION BY user_id ORDER BY epoch(ts) / 3600, value) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events WHERE value IS NOT NULL),
+s AS (SELECT * FROM p WHERE n <= 40 OR i IN (SELECT unnest(list_transform(range(0, 40), lambda k: (k * (n - 1)) // 39)))),
+l AS (SELECT a.user_id, median((b.y - a.y) / (b.x - a.x)) AS slope, count(*) AS pairs FROM s a JOIN s b ON a.user_id = b.user_id AND a.i < b.i WHERE abs(b.x - a.x) > 1 GROUP BY a.user_id HAVING count(*) >= 3)
+SELECT s.user_id, round(slope, 4) AS slope, pairs, round(median(y - slope * x), 1) AS intercept FROM s JOIN l ON s.user_id = l.user_id GROUP BY s.user_id, slope, pairs""")
+def theil_sen(spark, d):
+    points = _t(spark, d, "events").where("value is not null").select("user_id", (scalars.micros(F.col("ts")) / 1e6 / 3600).alias("x"), F.col("value").alias("y"))
+    return matching.theil_sen(points, "user_id", "x", "y", least_dx=1.0).select("user_id", F.round("slope", 4).alias("slope"), "pairs", F.round("intercept", 1).alias("intercept"))
+
+
+@query("""SELECT l_returnflag, round(m, 6) AS mean, round(sqrt(greatest(0, v - m * m)), 6) AS std FROM (SELECT l_returnflag, sum(l_quantity * l_discount) / sum(l_quantity) AS m, sum(l_quantity * l_discount * l_discount) / sum(l_quantity) AS v FROM lineitem GROUP BY l_returnflag)""")
+def weighted_stats(spark, d):
+    return matching.weighted(_t(spark, d, "lineitem"), "l_returnflag", "l_discount", "l_quantity").select("l_returnflag", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+CHANNEL = "CASE WHEN ({c}) / 255.0 <= 0.04045 THEN ({c}) / 255.0 / 12.92 ELSE pow((({c}) / 255.0 + 0.055) / 1.055, 2.4) END"
+
+
+@query("WITH y AS (SELECT p_partkey, 0.2126 * " + CHANNEL.format(c="p_size * 5") + " + 0.7152 * " + CHANNEL.format(c="p_partkey % 256") + " + 0.0722 * " + CHANNEL.format(c="(p_partkey * 7) % 256") + """ AS y FROM part),
+c AS (SELECT p_partkey, y, (y + 0.05) / 0.05 AS dark, 1.05 / (y + 0.05) AS light FROM y)
+SELECT p_partkey, round(y, 5) AS luminance, round(greatest(dark, light), 4) AS contrast, CASE WHEN dark >= light THEN 'dark' ELSE 'light' END AS ink, greatest(dark, light) < 4.6 AS glow FROM c""")
+def luminance_contrast(spark, d):
+    y = scalars.luminance(F.col("p_size") * 5, F.col("p_partkey") % 256, F.col("p_partkey") * 7 % 256)
+    own = _t(spark, d, "part").select("p_partkey", y.alias("y")).select("p_partkey", "y", scalars.contrast(F.col("y"), F.lit(0.0)).alias("dark"), scalars.contrast(F.col("y"), F.lit(1.0)).alias("light"))
+    best = F.greatest("dark", "light")
+    return own.select("p_partkey", F.round("y", 5).alias("luminance"), F.round(best, 4).alias("contrast"), F.when(F.col("dark") >= F.col("light"), "dark").otherwise("light").alias("ink"), (best < 4.6).alias("glow"))
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75, round(quantile_cont(value, 0.9), 4) AS p90, round(quantile_cont(value, 0.95), 4) AS p95 FROM events GROUP BY event_type")
+def percentiles(spark, d):
+    return _t(spark, d, "events").groupBy("event_type").agg(*(F.round(F.percentile("value", q / 100), 4).alias(f"p{q}") for q in (50, 75, 90, 95)))
+
+
+@query("SELECT s_suppkey, ((row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) - 1) % (SELECT ceil(count(*) / 12)::BIGINT FROM supplier))::INT AS batch FROM supplier")
+def seed_batches(spark, d):
+    return quota.batches(_t(spark, d, "supplier"), [F.desc("s_acctbal"), "s_suppkey"], 12).select("s_suppkey", "batch")
+
+
+@query("SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS rank FROM supplier QUALIFY row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) <= 4")
+def tournament(spark, d):
+    return quota.tournament(_t(spark, d, "supplier").select("s_suppkey", "s_acctbal"), 4, 12, "s_acctbal", "s_suppkey")
+
+
+@query("""WITH l AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN '+' ELSE '' END || 'P_' || conv_id || ' # glow=yes ' || role || ' variant=' || role AS value FROM conversations)
+SELECT conv_id, turn, 'P_' || conv_id AS key, NOT starts_with(value, '+') AS back, trim(regexp_extract(value, 'glow=yes ([a-z]+)', 1)) AS note, regexp_extract(value, 'variant=([a-z]+)', 1) AS variant, 'yes' AS glow FROM l""")
+def gate_parse(spark, d):
+    line = F.concat(F.when(F.col("role") == "user", "+").otherwise(""), F.lit("P_"), F.col("conv_id").cast("string"), F.lit(" # glow=yes "), "role", F.lit(" variant="), "role")
+    return _t(spark, d, "conversations").select("conv_id", "turn", *(c.alias(n) for n, c in lines.decisions(line).items()))
+
+
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS state, count(*) AS n FROM events GROUP BY user_id")
+def ledger_state(spark, d):
+    return ledger.latest_state(_t(spark, d, "events"), "user_id", "ts", "event_type", "event_id")
+
+
+@query("SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, event_type, count(*) AS n FROM events GROUP BY ALL")
+def ledger_windows(spark, d):
+    return ledger.event_counts(_t(spark, d, "events"), "ts", "event_type").select(scalars.micros(F.col("start")).alias("start_us"), "event_type", "n")
+
+
+@query("""SELECT event_id FROM (SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, event_type FROM events) WHERE before = event_type""")
+def repeats(spark, d):
+    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return _t(spark, d, "events").withColumn("before", before).where("before = event_type").select("event_id")
+
+
+@query("""WITH u AS (SELECT DISTINCT conv_id, text, 0 AS rank FROM conversations WHERE role = 'user'), a AS (SELECT DISTINCT conv_id, text, 1 AS rank FROM conversations WHERE role <> 'user')
+SELECT conv_id, md5(text) AS digest, rank FROM u UNION ALL SELECT conv_id, md5(text), rank FROM a WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.conv_id = a.conv_id AND u.text = a.text)""")
+def merge_asks(spark, d):
+    own = _t(spark, d, "conversations")
+    first, rest = own.where("role = 'user'").select("conv_id", "text").distinct(), own.where("role <> 'user'").select("conv_id", "text").distinct()
+    both = first.withColumn("rank", F.lit(0)).unionByName(rest.join(first, ["conv_id", "text"], "left_anti").withColumn("rank", F.lit(1)))
+    return both.select("conv_id", F.md5("text").alias("digest"), "rank")
+
+
+@query(r"""WITH w AS (SELECT conv_id, role, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS noun FROM conversations), k AS (SELECT conv_id, noun, bool_or(role = 'user') AS asked, bool_or(role = 'assistant') AS kept FROM w WHERE length(noun) > 3 GROUP BY ALL)
+SELECT conv_id, count(*) AS nouns, min(noun) AS first FROM k WHERE asked AND kept GROUP BY conv_id""")
+def noun_conflict(spark, d):
+    words = _t(spark, d, "conversations").select("conv_id", "role", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("noun")).where(F.length("noun") > 3)
+    sides = words.groupBy("conv_id", "noun").agg(F.bool_or(F.col("role") == "user").alias("asked"), F.bool_or(F.col("role") == "assistant").alias("kept"))
+    return sides.where("asked and kept").groupBy("conv_id").agg(F.count("*").alias("nouns"), F.min("noun").alias("first"))
+
+
+@query("""SELECT o_orderkey, count(*) FILTER (l_shipdate > o_orderdate) AS later, coalesce(max(l_shipdate) > max(o_orderdate), false) AS stale FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def staleness(spark, d):
+    ships = _t(spark, d, "lineitem").join(_t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "right")
+    return ships.groupBy("o_orderkey").agg(F.count_if(F.col("l_shipdate") > F.col("o_orderdate")).alias("later"), F.coalesce(F.max("l_shipdate") > F.max("o_orderdate"), F.lit(False)).alias("stale"))
+
+
+@query("""SELECT user_id, count(*) AS n, count(DISTINCT event_type) = 1 AND count(*) >= 2 AS one_cause FROM events WHERE event_type IN ('error', 'view') GROUP BY user_id""")
+def retry_summary(spark, d):
+    own = _t(spark, d, "events").where(F.col("event_type").isin("error", "view")).groupBy("user_id")
+    return own.agg(F.count("*").alias("n"), ((F.count_distinct("event_type") == 1) & (F.count("*") >= 2)).alias("one_cause"))
