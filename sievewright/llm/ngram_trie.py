@@ -15,6 +15,8 @@ words and one unknown. a and g are stored as steps of -log10.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,49 +26,63 @@ from pyspark.sql import functions as F
 
 from sievewright.llm import elias_fano, shared_files
 from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table
-from sievewright.llm.near_dedup import _Hashes, _mixed
+from sievewright.llm.near_dedup import _mixed
 
 DISCOUNT, STEPS, LEAST = 0.6, 4096.0, 2
-#: Words in a file of the first level, training tokens for each file of the others.
-WORDS_A_FILE, TOKENS_A_FILE = 1_000_000, 4_000_000
+#: Training tokens for each file of the higher levels.
+TOKENS_A_FILE = 4_000_000
 END_WORD = b"\n"  # no word holds white space
-_hashes = _Hashes()
 
 
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 7 == 2
 
 
-def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, an end behind each text's, and where texts begin (one more than texts)."""
-    if len(_hashes) > 1_000_000:
-        _hashes.clear()
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words' hashes, each word's place among them with an end behind each text's, and where texts begin (one more than texts)."""
+    from xxhash import xxh64_intdigest
+
     each = [t.split() for t in texts]  # white space of bytes is that of ASCII
     sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) + 1
     edges = np.concatenate(([0], np.cumsum(sizes)))
-    get = _hashes.__getitem__
-    own = np.fromiter((h for w in each for h in map(get, w)), dtype=np.uint64, count=int(edges[-1]) - len(each))
-    out = np.insert(own, edges[1:] - np.arange(1, len(each) + 1), np.uint64(get(END_WORD))) if len(each) else own
-    return out, edges
+    place = defaultdict(itertools.count().__next__)
+    place[END_WORD]  # 0
+    own = np.fromiter(map(place.__getitem__, itertools.chain.from_iterable(each)), dtype=np.int32, count=int(edges[-1]) - len(each))
+    codes = np.insert(own, edges[1:] - np.arange(1, len(each) + 1), 0)
+    return np.fromiter(map(xxh64_intdigest, place), dtype=np.uint64, count=len(place)), codes, edges
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def counted(parts):
-        word, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
-        return word, np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(word)).astype(np.int64)
+def _merged(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(word)
+    word, n = word[order], n[order]
+    new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))[: len(word)])
+    return word[new], np.add.reduceat(n, new) if len(new) else n
 
-    held, size = [], 0
-    for batch in by_bytes(batches, "text", 8 << 20):
-        held.append(np.unique(_words(bytes_of(batch.column("text")))[0], return_counts=True))
-        size += len(held[-1][0])
-        if size > 4_000_000:
-            held = [counted(held)]
-            if (size := len(held[0][0])) > 2_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["word", "n"])
-                held, size = [], 0
-    if held:
-        word, n = counted(held)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+def _count_words(bits: int):
+    """Each task's words and counts, as one blob for each file of the first level."""
+
+    def dealt(parts) -> pa.RecordBatch:
+        word, n = _merged(*(np.concatenate(x) for x in zip(*parts)))
+        cuts = np.searchsorted(word, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
+        rows = [(k, len(w).to_bytes(8, "little") + pa.compress(w.tobytes() + c.astype(np.int64).tobytes(), codec="zstd", asbytes=True)) for k, (w, c) in enumerate(zip(np.split(word, cuts), np.split(n, cuts))) if len(w)]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], ["file", "words"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in by_bytes(batches, "text", 4 << 20):
+            word, codes, _ = _words(bytes_of(batch.column("text")))
+            held.append((word, np.bincount(codes, minlength=len(word))))
+            size += len(word)
+            if size > 2_000_000:
+                held = [_merged(*(np.concatenate(x) for x in zip(*held)))]
+                if (size := len(held[0][0])) > 1_000_000:
+                    yield dealt(held)
+                    held, size = [], 0
+        if held:
+            yield dealt(held)
+
+    return run
 
 
 class Words:
@@ -101,13 +117,19 @@ class Words:
 
 def _write_words(path: str, bits: int):
     def run(part):
-        words = part.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(words)
-        k = int(part.column("file")[0].as_py())
-        arrays = elias_fano.encode(words[order] & np.uint64((1 << (64 - bits)) - 1), 1 << (64 - bits))
-        counts = part.column("n").to_numpy()[order]
-        shared_files.write(f"{path}/words-{k}", arrays | {"counts": counts.astype(np.uint32) if counts.max() < 1 << 32 else counts})
-        return pa.table({"file": pa.array([k], pa.int64()), "n": pa.array([len(words)], pa.int64())})
+        k, words, counts = int(part.column("file")[0].as_py()), [], []
+        for blob in part.column("words").to_pylist():
+            n = int.from_bytes(blob[:8], "little")
+            raw = pa.decompress(blob[8:], decompressed_size=16 * n, codec="zstd", asbytes=True)
+            words.append(np.frombuffer(raw, dtype=np.uint64, count=n))
+            counts.append(np.frombuffer(raw, dtype=np.int64, count=n, offset=8 * n))
+        word, n = _merged(np.concatenate(words), np.concatenate(counts))
+        arrays = elias_fano.encode(word & np.uint64((1 << (64 - bits)) - 1), 1 << (64 - bits))
+        shared_files.write(f"{path}/words-{k}", arrays | {"counts": n.astype(np.uint32) if n.max() < 1 << 32 else n})
+        from xxhash import xxh64_intdigest
+
+        ends = n[word == np.uint64(xxh64_intdigest(END_WORD))]
+        return pa.table({name: pa.array([int(value)], pa.int64()) for name, value in (("file", k), ("n", len(word)), ("tokens", n.sum()), ("once", (n == 1).sum()), ("texts", ends.sum()))})
 
     return run
 
@@ -120,6 +142,10 @@ def _share(steps: np.ndarray) -> np.ndarray:
     return 10.0 ** (steps / -STEPS)
 
 
+def _by_file(file: np.ndarray) -> np.ndarray:
+    return np.argsort(file.astype(np.uint16) if len(file) and file.max() < 1 << 16 else file, kind="stable")
+
+
 class Level:
     """One of the higher levels: files by context, bases of entry numbers, the weights of split contexts."""
 
@@ -134,11 +160,11 @@ class Level:
         return (_mixed(_mixed(context.astype(np.uint64)) + _mixed(word.astype(np.uint64) + np.uint64(1)) % pieces) % np.uint64(self.files)).astype(np.int64)
 
     def find(self, context: np.ndarray, word: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Entry number (or -1), a and g of each pair (ascending); contexts and words of -1 have none."""
+        """Entry number (or -1), a and g of each pair; contexts and words of -1 have none."""
         entry, a, g = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context)), np.ones(len(context))
         known = np.flatnonzero(context >= 0)
         file = self.file_of(context[known], word[known], often[known])
-        order = np.argsort(file, kind="stable")
+        order = _by_file(file)
         for own in np.split(known[order], np.flatnonzero(np.diff(file[order])) + 1):
             if not len(own):
                 continue
@@ -163,7 +189,7 @@ class Level:
         return entry, a, g
 
     def counts(self, entries: np.ndarray) -> np.ndarray:
-        """Occurrences of ascending entries; 0 for -1."""
+        """Occurrences of entries; 0 for -1."""
         out = np.zeros(len(entries), dtype=np.int64)
         file = np.searchsorted(self.first, entries, side="right") - 1
         for k in np.unique(file[entries >= 0]).tolist():
@@ -253,10 +279,6 @@ class _Model:
         return some, often, word, begin, at, context, some[w], np.append(often, self.texts)[l]
 
 
-def _ordered(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return np.lexsort((word, context))
-
-
 def _batch_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     lists = batch.column("ids")
     edges = lists.offsets.to_numpy().astype(np.int64)
@@ -264,10 +286,9 @@ def _batch_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
-    order = _ordered(context, word)
-    context, word, n, often = context[order], word[order], n[order], often[order]
+    """Ascending n-grams, as one blob for each file."""
     file = level.file_of(context, word, often)
-    by = np.argsort(file, kind="stable")
+    by = _by_file(file)
     cuts = np.flatnonzero(np.diff(file[by])) + 1
     parts = [p for p in np.split(by, cuts) if len(p)]
     return pa.RecordBatch.from_arrays([pa.array([int(file[p[0]]) for p in parts], pa.int64()), pa.array([_pack(context[p], word[p], n[p], often[p]) for p in parts], pa.binary())], ["file", "grams"])
@@ -290,9 +311,7 @@ def _pairs(shared, level: Level):
 def _found(model: _Model, ids: np.ndarray, starts: np.ndarray):
     """For each token: its word's count, pair's entry, a and g; and whether it begins a text."""
     some, often, word, begin, at, context, w, c = model.positions(ids, starts)
-    order = _ordered(context, w)
-    entry, a, g = np.empty(len(context), dtype=np.int64), np.empty(len(context)), np.empty(len(context))
-    entry[order], a[order], g[order] = model.two.find(context[order], w[order], c[order])
+    entry, a, g = model.two.find(context, w, c)
     return often[word], entry[at], a[at], g[at], begin
 
 
@@ -305,7 +324,7 @@ def _triples(shared, level: Level):
             context = np.concatenate(([-1], entry[:-1]))
             good = ~begin & (context >= 0) & (entry >= 0)
             own, word = context[good], ids[good]
-            order = _ordered(own, word)
+            order = np.lexsort((word, own))
             own, word = own[order], word[order]
             new = np.flatnonzero(np.diff(own, prepend=-1).astype(bool) | np.diff(word, prepend=-1).astype(bool))
             if len(new):
@@ -338,10 +357,8 @@ def _score(shared):
             p = a + g * np.where(c > 0, (1 - model.unknown) * c / max(1, model.n), model.unknown)
             context = np.where(begin, -1, np.concatenate(([-1], entry[:-1])))
             longer = np.flatnonzero(context >= 0)
-            order = longer[_ordered(context[longer], ids[longer])]
-            if len(order):
-                _, a3, g3 = model.three.find(context[order], ids[order], model.two.counts(context[order]))
-                p[order] = a3 + g3 * p[order]
+            _, a3, g3 = model.three.find(context[longer], ids[longer], model.two.counts(context[longer]))
+            p[longer] = a3 + g3 * p[longer]
             base = np.log10((c + 1) / (model.n + model.v + 1))
             at = edges[:-1]
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(edges)), pa.array(np.add.reduceat((c > 0).astype(np.int64), at)), pa.array(np.full(len(at), model.n)), pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), at))]
@@ -353,10 +370,12 @@ def _score(shared):
 def _number(shared, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        for batch in by_bytes(batches, "text", 8 << 20):
-            hashes, edges = _words(bytes_of(batch.column("text")))
-            some, at = np.unique(hashes, return_inverse=True)
-            ids = words.numbers(some)[at].astype(np.int32 if kind == "int" else np.int64)
+        for batch in by_bytes(batches, "text", 4 << 20):
+            hashes, codes, edges = _words(bytes_of(batch.column("text")))
+            order = np.argsort(hashes)
+            found = np.empty(len(hashes), dtype=np.int32 if kind == "int" else np.int64)
+            found[order] = words.numbers(hashes[order])
+            ids = found[codes]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))], ["doc_id", "held_out", "ids"])
 
     return run
@@ -373,18 +392,14 @@ def language_scores(docs: DataFrame, held: Column) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
     path = fresh_path(spark, "trie")
-    counted = source.where(~F.col("held_out")).select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts_path = fresh_path(spark, "words")
-    counted.write.parquet(counts_path)
-    counts = spark.read.parquet(counts_path)
-    v, n, once = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1)).first()
-    end = np.array([_hashes[END_WORD]], dtype=np.uint64).view(np.int64)
-    texts = (counts.where(F.col("word") == int(end[0])).select("n").first() or [0])[0]
-    bits = max(0, (max(1, v) // WORDS_A_FILE).bit_length())
-    file = F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
-    sizes = np.zeros(1 << bits, dtype=np.int64)
-    for k, size in counts.withColumn("file", file).groupBy("file").applyInArrow(_write_words(path, bits), "file long, n long").collect():
+    # About four input partitions' words go to a file.
+    bits = max(0, (docs.rdd.getNumPartitions() // 4).bit_length())
+    counted = source.where(~F.col("held_out")).select("text").mapInArrow(_count_words(bits), "file long, words binary")
+    sizes, sums = np.zeros(1 << bits, dtype=np.int64), np.zeros(3, dtype=np.int64)
+    for k, size, *rest in counted.groupBy("file").applyInArrow(_write_words(path, bits), "file long, n long, tokens long, once long, texts long").collect():
         sizes[k] = size
+        sums += rest
+    v, (n, once, texts) = int(sizes.sum()), sums.tolist()
     words = Words(path, bits, np.concatenate(([0], np.cumsum(sizes))))
     model = _Model(words, v, n, texts, once)
     kind = "int" if v < 2**31 - 1 else "long"
