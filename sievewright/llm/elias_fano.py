@@ -46,6 +46,17 @@ class Sequence:
             left = np.where(up, left >> size, left)
         return (word << 6) + at
 
+    def _next_zero(self, at: np.ndarray) -> np.ndarray:
+        """Places of the first zeros behind ``at``."""
+        at = at + 1
+        word, bit = at >> 6, (at & 63).astype(np.uint64)
+        left = ~self.high[word] >> bit
+        out = at + np.bitwise_count((left & (~left + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        far = np.flatnonzero(left == 0)  # the zero lies in a later word
+        if len(far):
+            out[far] = self._zero(self.zeros[word[far] + 1])
+        return out
+
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
             return np.zeros(len(i), dtype=np.uint64)
@@ -75,8 +86,8 @@ class Sequence:
         if not self.n or not len(x):
             return out
         h, want = (x >> np.uint64(self.width)).astype(np.int64), x & np.uint64((1 << self.width) - 1)
-        lo = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - h + 1, 0)
-        hi = self._zero(h) - h
+        before = np.where(h > 0, self._zero(np.maximum(h - 1, 0)), -1)
+        lo, hi = before - h + 1, self._next_zero(before) - h
         lo, hi = np.maximum(lo, first), hi if stop is None else np.minimum(hi, stop)
         live = np.flatnonzero(lo < hi)
         lo, hi, want = lo[live], hi[live], want[live]

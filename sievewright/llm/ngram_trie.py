@@ -31,6 +31,9 @@ from sievewright.llm.near_dedup import _mixed
 DISCOUNT, STEPS, LEAST = 0.6, 4096.0, 2
 #: Training tokens for each file of the higher levels.
 TOKENS_A_FILE = 4_000_000
+#: Text of a segment.
+SEGMENT_BYTES = 6 << 20
+SEGMENT_SCHEMA = "doc_id array<long>, held_out array<boolean>, sizes array<int>, words array<long>, counts array<int>, codes binary"
 END_WORD = b"\n"  # no word holds white space
 
 
@@ -59,6 +62,18 @@ def _merged(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word[new], np.add.reduceat(n, new) if len(new) else n
 
 
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as places in a segment's own list of words, with the words' counts in training texts."""
+    for batch in by_bytes(batches, "text", SEGMENT_BYTES):
+        word, codes, edges = _words(bytes_of(batch.column("text")))
+        sizes, held = np.diff(edges), batch.column("held_out").to_numpy(zero_copy_only=False)
+        counts = np.bincount(codes[np.repeat(~held.astype(bool), sizes)], minlength=len(word))
+        whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        yield pa.RecordBatch.from_arrays([
+            whole(batch.column("doc_id")), whole(batch.column("held_out")), whole(pa.array(sizes.astype(np.int32))), whole(pa.array(word.view(np.int64))), whole(pa.array(counts.astype(np.int32))),
+            pa.array([codes.astype("<i4").tobytes()], pa.binary())], ["doc_id", "held_out", "sizes", "words", "counts", "codes"])
+
+
 def _count_words(bits: int):
     """Each task's words and counts, as one blob for each file of the first level."""
 
@@ -70,15 +85,16 @@ def _count_words(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in by_bytes(batches, "text", 4 << 20):
-            word, codes, _ = _words(bytes_of(batch.column("text")))
-            held.append((word, np.bincount(codes, minlength=len(word))))
-            size += len(word)
-            if size > 2_000_000:
-                held = [_merged(*(np.concatenate(x) for x in zip(*held)))]
-                if (size := len(held[0][0])) > 1_000_000:
-                    yield dealt(held)
-                    held, size = [], 0
+        for batch in batches:
+            for word, n in zip(batch.column("words"), batch.column("counts")):
+                word, n = word.values.to_numpy().view(np.uint64), n.values.to_numpy()
+                held.append((word[n > 0], n[n > 0].astype(np.int64)))
+                size += len(held[-1][0])
+                if size > 2_000_000:
+                    held = [_merged(*(np.concatenate(x) for x in zip(*held)))]
+                    if (size := len(held[0][0])) > 1_000_000:
+                        yield dealt(held)
+                        held, size = [], 0
         if held:
             yield dealt(held)
 
@@ -160,7 +176,7 @@ class Level:
         return (_mixed(_mixed(context.astype(np.uint64)) + _mixed(word.astype(np.uint64) + np.uint64(1)) % pieces) % np.uint64(self.files)).astype(np.int64)
 
     def find(self, context: np.ndarray, word: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Entry number (or -1), a and g of each pair; contexts and words of -1 have none."""
+        """Entry number (or -1), a and g of each pair, equal contexts together; contexts and words of -1 have none."""
         entry, a, g = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context)), np.ones(len(context))
         known = np.flatnonzero(context >= 0)
         file = self.file_of(context[known], word[known], often[known])
@@ -173,7 +189,8 @@ class Level:
                 continue
             f = shared_files.read(f"{self.path}-{k}")
             part = lambda name: elias_fano.Sequence({x.partition(".")[2]: y for x, y in f.items() if x.startswith(name)})
-            some, back = np.unique(context[own], return_inverse=True)
+            new = np.diff(context[own], prepend=-1) != 0  # equal contexts come together
+            some, back = context[own][new], np.cumsum(new) - 1
             row = part("context.").find(some.astype(np.uint64))
             g[own] = np.where(row >= 0, _share(f["rest"][np.maximum(row, 0)]), 1.0)[back]
             pointer = part("pointer.")
@@ -264,25 +281,41 @@ class _Model:
         self.two: Level | None = None
         self.three: Level | None = None
 
-    def positions(self, ids: np.ndarray, starts: np.ndarray):
-        """Distinct words and pairs: for each token its word's and pair's place, and the distinct (context, word, context's count)."""
-        some, word = np.unique(ids, return_inverse=True)
-        often = self.words.counts(some)
-        before = np.concatenate(([-1], ids[:-1]))
-        place = np.concatenate(([0], word[:-1]))
-        begin = np.zeros(len(ids), dtype=bool)
-        begin[starts] = True
-        left = np.where(begin, len(some), place)
-        pair, at = np.unique(left * np.int64(len(some) + 1) + word, return_inverse=True)
-        l, w = pair // (len(some) + 1), pair % (len(some) + 1)
-        context = np.append(some, self.v)[l]
-        return some, often, word, begin, at, context, some[w], np.append(often, self.texts)[l]
-
-
-def _batch_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    lists = batch.column("ids")
-    edges = lists.offsets.to_numpy().astype(np.int64)
-    return lists.values.to_numpy()[edges[0] : edges[-1]].astype(np.int64), edges - edges[0]
+    def positions(self, segment: "Segment"):
+        """For each token its word's and pair's place and whether it begins a text; the distinct words and pairs (context, word, context's count)."""
+        order = np.argsort(segment.words)
+        number = self.words.numbers(segment.words[order])
+        known = number >= 0
+        some = np.concatenate(([-1], number[known]))  # -1: all unknown words
+        place = np.zeros(len(order), dtype=np.int64)
+        place[order[known]] = np.arange(1, len(some))
+        often, word = self.words.counts(some), place[segment.codes]
+        begin = np.zeros(len(word), dtype=bool)
+        begin[segment.starts] = True
+        left = np.where(begin, len(some), np.concatenate(([0], word[:-1])))
+        pair, at = np.unique(left * (len(some) + 1) + word, return_inverse=True)
+        left, right = np.divmod(pair, len(some) + 1)
+        return word, at, begin, some, often, np.append(some, self.v)[left], some[right], np.append(often, self.texts)[left], often[right]
+
+
+class Segment:
+    def __init__(self, row: dict, training: bool):
+        sizes, codes = np.array(row["sizes"], dtype=np.int64), np.frombuffer(row["codes"], dtype="<i4")
+        self.words = np.array(row["words"], dtype=np.int64).view(np.uint64)
+        if training:
+            own = ~np.array(row["held_out"], dtype=bool)
+            codes, sizes = codes[np.repeat(own, sizes)], sizes[own]
+        self.codes, self.sizes, self.starts = codes, sizes, np.cumsum(sizes) - sizes
+
+
+def _each(batches: Iterator[pa.RecordBatch], training: bool) -> Iterator[tuple[dict, Segment]]:
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            flat = {n: row[n].values.to_numpy(zero_copy_only=False) for n in ("held_out", "sizes", "words")}
+            segment = Segment(flat | {"codes": row["codes"].as_buffer()}, training)
+            if len(segment.sizes):
+                yield row, segment
 
 
 def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
@@ -297,30 +330,28 @@ def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, o
 def _pairs(shared, level: Level):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in _gathered(batches):
-            ids, edges = _batch_ids(batch)
-            some, often, _, _, at, context, word, c = model.positions(ids, edges[:-1])
+        for _, segment in _each(batches, True):
+            _, at, _, _, _, context, word, c, often = model.positions(segment)
             n = np.bincount(at, minlength=len(context))
             # What occurs twice has a context and a word that do.
-            good = (c >= LEAST) & (often[np.searchsorted(some, word)] >= LEAST)
+            good = (c >= LEAST) & (often >= LEAST)
             yield _dealt(level, context[good], word[good], n[good], c[good])
 
     return run
 
 
-def _found(model: _Model, ids: np.ndarray, starts: np.ndarray):
-    """For each token: its word's count, pair's entry, a and g; and whether it begins a text."""
-    some, often, word, begin, at, context, w, c = model.positions(ids, starts)
-    entry, a, g = model.two.find(context, w, c)
-    return often[word], entry[at], a[at], g[at], begin
+def _found(model: _Model, segment: Segment):
+    """For each token: its word's number and count, pair's entry, a and g; and whether it begins a text."""
+    word, at, begin, some, often, context, right, c, _ = model.positions(segment)
+    entry, a, g = model.two.find(context, right, c)
+    return some[word], often[word], entry[at], a[at], g[at], begin
 
 
 def _triples(shared, level: Level):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in _gathered(batches):
-            ids, edges = _batch_ids(batch)
-            _, entry, _, _, begin = _found(model, ids, edges[:-1])
+        for _, segment in _each(batches, True):
+            ids, _, entry, _, _, begin = _found(model, segment)
             context = np.concatenate(([-1], entry[:-1]))
             good = ~begin & (context >= 0) & (entry >= 0)
             own, word = context[good], ids[good]
@@ -333,54 +364,24 @@ def _triples(shared, level: Level):
     return run
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], tokens: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Batches of about as many tokens, a document at least: counts are added up before they are dealt out."""
-    held, size = [], 0
-    for batch in batches:
-        for start in range(0, len(batch), 1000):
-            part = batch.slice(start, 1000)
-            held.append(part)
-            size += len(part.column("ids").flatten())
-            if size >= tokens:
-                yield pa.concat_batches(held)
-                held, size = [], 0
-    if held:
-        yield pa.concat_batches(held)
-
-
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in _gathered(batches):
-            ids, edges = _batch_ids(batch)
-            c, entry, a, g, begin = _found(model, ids, edges[:-1])
+        for row, segment in _each(batches, False):
+            ids, c, entry, a, g, begin = _found(model, segment)
             p = a + g * np.where(c > 0, (1 - model.unknown) * c / max(1, model.n), model.unknown)
             context = np.where(begin, -1, np.concatenate(([-1], entry[:-1])))
             longer = np.flatnonzero(context >= 0)
+            longer = longer[np.argsort(context[longer], kind="stable")]
             _, a3, g3 = model.three.find(context[longer], ids[longer], model.two.counts(context[longer]))
             p[longer] = a3 + g3 * p[longer]
-            base = np.log10((c + 1) / (model.n + model.v + 1))
-            at = edges[:-1]
-            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(edges)), pa.array(np.add.reduceat((c > 0).astype(np.int64), at)), pa.array(np.full(len(at), model.n)), pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), at))]
+            base, at = np.log10((c + 1) / (model.n + model.v + 1)), segment.starts
+            columns = [row["doc_id"].values, row["held_out"].values, pa.array(segment.sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), at)), pa.array(np.full(len(at), model.n)), pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), at))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
 
-def _number(shared, kind: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        for batch in by_bytes(batches, "text", 4 << 20):
-            hashes, codes, edges = _words(bytes_of(batch.column("text")))
-            order = np.argsort(hashes)
-            found = np.empty(len(hashes), dtype=np.int32 if kind == "int" else np.int64)
-            found[order] = words.numbers(hashes[order])
-            ids = found[codes]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))], ["doc_id", "held_out", "ids"])
-
-    return run
-
-
 def language_scores(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of ``docs`` (doc_id, text).
 
@@ -394,7 +395,10 @@ def language_scores(docs: DataFrame, held: Column) -> DataFrame:
     path = fresh_path(spark, "trie")
     # About four input partitions' words go to a file.
     bits = max(0, (docs.rdd.getNumPartitions() // 4).bit_length())
-    counted = source.where(~F.col("held_out")).select("text").mapInArrow(_count_words(bits), "file long, words binary")
+    segments_path = fresh_path(spark, "segments")
+    source.mapInArrow(_segments, SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(segments_path)
+    segments = spark.read.schema(SEGMENT_SCHEMA).parquet(segments_path)
+    counted = segments.select("words", "counts").mapInArrow(_count_words(bits), "file long, words binary")
     sizes, sums = np.zeros(1 << bits, dtype=np.int64), np.zeros(3, dtype=np.int64)
     for k, size, *rest in counted.groupBy("file").applyInArrow(_write_words(path, bits), "file long, n long, tokens long, once long, texts long").collect():
         sizes[k] = size
@@ -402,18 +406,13 @@ def language_scores(docs: DataFrame, held: Column) -> DataFrame:
     v, (n, once, texts) = int(sizes.sum()), sums.tolist()
     words = Words(path, bits, np.concatenate(([0], np.cumsum(sizes))))
     model = _Model(words, v, n, texts, once)
-    kind = "int" if v < 2**31 - 1 else "long"
-    ids_path = fresh_path(spark, "word-ids")
-    schema = f"doc_id long, held_out boolean, ids array<{kind}>"
-    source.mapInArrow(_number(spark.sparkContext.broadcast(words), kind), schema).write.option("compression", "zstd").parquet(ids_path)
-    ids = spark.read.schema(schema).parquet(ids_path)
-    training = ids.where(~F.col("held_out"))
+    used = segments.select("held_out", "sizes", "words", "codes")
     files = max(1, -(-n // TOKENS_A_FILE))
     two = Level(f"{path}/two", files, v + 1, TOKENS_A_FILE)
-    model.two = _build(training.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two), "file long, grams binary"), two)
+    model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two), "file long, grams binary"), two)
     three = Level(f"{path}/three", files, v + 1, TOKENS_A_FILE)
-    model.three = _build(training.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three)
-    return ids.mapInArrow(_score(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three)
+    return segments.drop("counts").mapInArrow(_score(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def query(spark, sf_dir):
