@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import WORD, by_bytes, bytes_of, table, write_once
+from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash), and terms.
 POSITIVE, NEGATIVE, TERMS = 4096, 8192, 500
 #: Least error-scaled difference of rates and least labelled documents of a term; neighbours; examples in a block; blocks scored first.
 LEAST_Z, LEAST_DOCS, NEIGHBOURS, BLOCK, FIRST = 3.0, 4, 15, 64, 4
+#: A term is at least so many times as frequent in one class; texts that share so many of the registers of a signature are one example.
+LEAST_RATIO, REGISTERS, ALIKE = 3.0, 16, 4
 COMMON_WEIGHT, EVIDENCE, REMEMBERED = 3.0, 5, 50_000
 
 
@@ -147,16 +150,33 @@ def _document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[int, dict[byt
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each word of a text, and one with its signature."""
     for batch in by_bytes(batches, "text", 8 << 20):
-        rows = [(d, y, w, n) for d, y, t in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), bytes_of(batch.column("text"))) for w, n in Counter([b"", *WORD.findall(t)]).items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int64()))], ["doc_id", "toxic", "word", "n"])
+        texts = [WORD.findall(t) for t in bytes_of(batch.column("text"))]
+        marks = signatures(shingles(texts), REGISTERS).view(np.int64).tolist()
+        rows = [(d, y, w, n, m if not w else None) for d, y, t, m in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), texts, marks) for w, n in Counter([b"", *t]).items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64())))], ["doc_id", "toxic", "word", "n", "marks"])
+
+
+def _apart(rows: list[tuple[int, int, list[int]]]) -> list[int]:
+    """Ids of (id, label, signature) that aren't near copies of an earlier one with their label: a much copied text would otherwise choose the terms."""
+    seen: dict[tuple, list[int]] = {}
+    kept = []
+    for doc, label, marks in sorted(rows):
+        keys = [(label, i, m) for i, m in enumerate(marks)]
+        alike = Counter(d for k in keys if k[2] for d in seen.get(k, ()))
+        if not alike or alike.most_common(1)[0][1] < ALIKE:
+            kept.append(doc)
+            for k in keys:
+                seen.setdefault(k, []).append(doc)
+    return kept
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     """The index of the labelled examples, or None without any.
 
     Learns from labelled rows that aren't held out: of each class those of least hash, up to
-    POSITIVE and NEGATIVE; what they leave out of a class weighs the votes of the rest. A
+    POSITIVE and NEGATIVE, near copies but once; what they leave out of a class weighs the votes of the rest. A
     document with several labels counts as toxic if one says so; null labels don't count.
     The sample's ids are broadcast (at most POSITIVE + NEGATIVE rows), so no text is shuffled.
     """
@@ -165,16 +185,20 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     parts = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, POSITIVE), (0, NEGATIVE))]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    words = texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, word binary, n long")
+    words = texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, word binary, n long, marks array<long>")
     words = write_once(words, "examples")
+    # At most a signature for each of the sample.
+    apart = _apart([(r[0], r[1], r[2]) for r in words.where("marks is not null").select("doc_id", "toxic", "marks").collect()])
+    words = words.drop("marks").join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in apart], "doc_id long")), "doc_id")
     by_class = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     whole = by_class.where(F.length("word") == 0).select("a", "b").first()
     if not whole or not (whole[0] and whole[1]):
         return None
     p, q = float(whole[0]), float(whole[1])
     rate = (F.col("a") + F.col("b")) / (p + q)
+    uneven = (F.col("a") / p >= LEAST_RATIO * F.col("b") / q) | (F.col("b") / q >= LEAST_RATIO * F.col("a") / p)
     z = F.abs(F.col("a") / p - F.col("b") / q) / F.sqrt(rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
-    best = by_class.where((F.length("word") > 0) & (F.col("a") + F.col("b") >= LEAST_DOCS)).withColumn("z", z).where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "word").limit(TERMS)
+    best = by_class.where((F.length("word") > 0) & (F.col("a") + F.col("b") >= LEAST_DOCS) & uneven).withColumn("z", z).where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "word").limit(TERMS)
     terms = [bytes(r[0]) for r in best.select("word").collect()]
     n, df = _document_counts(docs, terms)
     idf = np.array([np.log((n + 1) / (df.get(t, 0) + 1)) + 1e-6 for t in terms])
