@@ -1,0 +1,318 @@
+"""Each operator against brute force on small fixtures, with the edge cases of its docstring."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from sievewright.llm import decontamination, hash_forest, jump_shards, near_dedup, ngram_trie, packing, pii, token_counts, token_files, toxicity
+from sievewright.llm.tokens import library, vocabulary
+
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+SCHEMA = "doc_id long, text string, part int, rank long, key string"
+LONG = " ".join(f"w{i % 97} the,  fox{i}" for i in range(3000))
+TEXTS = ["one two three four five six seven eight nine ten eleven", "One two three FOUR five six seven eight nine ten eleven", None, "", "   \n ", LONG, LONG + " tail", "don't <|endoftext|> a\x1c b  c\n\n d", "x", "日本 語 é ñ", "x"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, 1, 2, "k") for i, t in enumerate(TEXTS)] + [(None, "no id at all", 1, 2, "k"), (5, LONG, 1, 2, "k")]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def ids(text):
+    return library(vocabulary()).encode(text or "", add_special_tokens=False).ids
+
+
+def crc(values):
+    return zlib.crc32(np.array(values, dtype="<u4").tobytes())
+
+
+def words(text):
+    return WORD.findall((text or "").encode().lower())
+
+
+def test_token_counts(docs, nothing):
+    got = token_counts.token_counts(docs, vocabulary(), limit=512, batch_bytes=1000, part_chars=500).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((r["text"] or "").encode()), len(ids(r["text"])), len(ids(r["text"])) > 512)
+    assert token_counts.token_counts(nothing, vocabulary()).count() == 0
+
+
+def test_token_files_round_trip(spark, docs, nothing, tmp_path):
+    token_files.write_token_files(docs, str(tmp_path / "t"), vocabulary(), batch_bytes=2000, files=3)
+    got = sorted(token_files.read_token_files(spark, str(tmp_path / "t")).collect(), key=lambda r: r["start"])
+    want = {i: ids(t) + [2] for i, t in enumerate(TEXTS)} | {None: ids("no id at all") + [2]}
+    at = 0
+    for r in got:
+        assert (r["start"], r["n_tokens"], list(r["ids"])) == (at, len(want[r["doc_id"]]), want[r["doc_id"]])
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in got] == [None, *sorted([*range(len(TEXTS)), 5])]
+    assert token_files.read_token_files(spark, str(tmp_path / "t")).where("doc_id = 8").count() == 1
+    token_files.write_token_files(nothing, str(tmp_path / "e"), vocabulary())
+    assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_packing(docs, nothing):
+    got = packing.pack(docs, vocabulary(), capacity=64, batch_bytes=2000).collect()
+    want = {i: ids(t) + [2] for i, t in enumerate(TEXTS)} | {None: ids("no id at all") + [2]}
+    for r in got:
+        own = want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(own) == r["length"] and crc(own) == r["ids_crc32"]
+        assert r["length"] == 64 or r["piece"] == 0
+    assert sum(r["length"] for r in got) == sum(map(len, want.values())) + len(want[5])
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in bins.values():
+        at = 0
+        for offset, n in sorted(b):
+            assert offset == at
+            at += n
+        assert at <= 64
+    assert packing.pack(nothing, vocabulary()).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_holds_all_and_pairs_large_items(seed):
+    rng = np.random.default_rng(seed)
+    counts = Counter(rng.choice([rng.integers(1, 1025), rng.integers(1, 1025), *rng.integers(1, 1025, 60)], 4000).tolist())
+    runs = packing.plan(counts, 1024)
+    held = Counter()
+    for bins, contents in runs:
+        assert sum(s * n for s, n in contents) <= 1024 and sum(n for s, n in contents if 3 * s > 1024) <= 2
+        for s, n in contents:
+            held[s] += bins * n
+    assert held == counts and len(runs) <= 3 * 1024
+    least = max(-(-sum(s * n for s, n in counts.items()) // 1024), sum(n for s, n in counts.items() if s > 512))
+    assert sum(b for b, _ in runs) <= 1.25 * least + 1
+
+
+def test_jump_shards(spark, docs, nothing):
+    many = spark.range(3000).selectExpr("id as doc_id", "cast(id as string) as text", "0 as shard")
+    got = jump_shards.jump_shards(many, 40).collect()
+    moved = [r for r in got if r["shard"] != r["grown_shard"]]
+    assert {r["grown_shard"] for r in moved} == {40} and len(moved) < 3000 / 41 * 2
+    slots = {}
+    for r in got:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+    def one(key, n):  # the published loop, one key at a time
+        b, j = -1, 0
+        while j < n:
+            b = j
+            key = (key * 2862933555777941757 + 1) % 2**64
+            j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+        return b
+
+    keys = jump_shards.mixed(np.arange(200))
+    assert jump_shards.jump(keys, 40).tolist() == [one(int(k), 40) for k in keys]
+    edge = {(r["doc_id"], r["size"], r["text_crc32"]) for r in jump_shards.jump_shards(docs, 3).collect()}
+    assert edge >= {(2, 16, 0), (3, 16, 0), (None, 28, zlib.crc32(b"no id at all"))}
+    assert jump_shards.jump_shards(nothing).count() == 0
+
+
+def test_decontamination(spark, docs, nothing):
+    items = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven twelve"), (2, "x"), (10, "absent words"), (None, "x"), (3, None), (4, ""), (2, "x"), (5, "fox7 w8 the")], "item_id long, text string")
+    listed = [(str(r[0]), words(r[1])) for r in items.collect() if r[0] is not None]
+    for blocks in (16 << 20, 20):
+        index = decontamination.build_index(docs, decontamination.fresh_path(spark, "test"), segment_bytes=5000)
+        got = decontamination.phrase_matches(index, items, block_bytes=blocks).collect()
+        assert len(got) == len(TEXTS) + 2
+        for r in got:
+            own = words("no id at all" if r["doc_id"] is None else TEXTS[r["doc_id"]])
+            hits, found = set(), set()
+            for name, w in listed:
+                n = min(10, len(w))
+                for s in range(len(w) - n + 1 if n else 0):
+                    for d in range(len(own) - n + 1):
+                        if own[d : d + n] == w[s : s + n]:
+                            hits.update(range(d, d + n))
+                            found.add(name)
+            assert (r["n_words"], list(r["hits"]), list(r["items"])) == (len(own), sorted(hits), sorted(found))
+    out = {r["doc_id"]: r for r in decontamination.decontaminate(docs, items).collect()}
+    assert out[8]["items_sha256"] == hashlib.sha256(b"2").hexdigest() and out[0]["n_hit"] == 10 and not out[3]["contaminated"]
+    assert decontamination.decontaminate(nothing, items).count() == 0
+    near = {(r["doc_id"], r["first_word"], r["last_word"]) for r in decontamination.near(index, [b"three", b"one"], 3).collect()}
+    assert near == {(0, 0, 2), (1, 0, 2)}
+
+
+def near_classes(texts):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := words(t)) else {("raw", t)} for i, t in texts.items() if t is not None}
+    root = {i: i for i in texts}
+    for a, b in combinations(sorted(sets), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            ra, rb = sorted((root[a], root[b]))
+            root = {k: ra if v == rb else v for k, v in root.items()}
+    return root
+
+
+def test_near_duplicates(spark, docs, nothing):
+    rng = np.random.default_rng(5)
+    base = [f"u{i}" for i in rng.integers(0, 10**6, 200)]
+    texts = {}
+    for i in range(60):
+        own = list(base)
+        for at in rng.integers(0, 200, rng.integers(0, 12)):
+            own[at] = f"v{rng.integers(0, 10**6)}"
+        texts[i] = " ".join(own)
+    for i in range(60, 120):
+        texts[i] = " ".join(f"z{x}" for x in rng.integers(0, 10**6, 40))
+    texts |= {200: "a b", 201: "A, b!", 202: None, 203: None, 204: "", 205: "", 206: "!!", 207: texts[70]}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for block in (512, 8):
+        got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dedup.near_duplicates(df, block=block).collect()}
+        want = near_classes(texts)
+        assert {i: c for i, (c, _) in got.items()} == want
+        assert {i for i, (_, k) in got.items() if k} == set(want.values())
+    rows = near_dedup.near_duplicates(docs).collect()
+    assert len(rows) == len(TEXTS) + 2 and next(r for r in rows if r["doc_id"] == 10)["class_id"] == 8
+    assert near_dedup.near_duplicates(nothing).count() == 0
+    kept = near_dedup.stage(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 2, 3, 4, 5, 7, 8, 9]
+
+
+def test_weighted_similarity():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        a, b = ({int(k): float(w) for k, w in zip(rng.choice(30, 15, replace=False), rng.integers(1, 4, 15))} for _ in range(2))
+        want = sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in set(a) | set(b)) for i in set(a) & set(b))
+        pair = [(np.array(sorted(s), dtype=np.uint64), np.array([s[k] for k in sorted(s)])) for s in (a, b)]
+        assert near_dedup.similarity(*pair) == pytest.approx(want)
+    kept = near_dedup.signatures([(near_dedup._mixed(p[0]), p[1]) for p in pair], 4096)
+    assert (kept[0] == kept[1]).mean() == pytest.approx(want, abs=0.04)
+
+
+def test_pseudonyms(spark, docs, nothing):
+    def luhn(s):
+        d = [int(c) for c in s][::-1]
+        return sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])
+
+    texts = ["a 4785380592391139$$$ b 4785380592391139", "4785380592391139", "4111 1111 1111 1112 is not one", "10.20.30.40 and 999.1.1.1", "2021-02-28, 2/28/2021, 28.02.2021; 2021-02-30", "123-45-6789 000-12-3456", "DE89 3704 0044 0532 0130 00", "write to some.one9@mail5.example.com.", "+1 (663) 555-6869", "nothing 12.5 here"]
+    df = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, n_private string")
+    got = [r["text"] for r in pii.pseudonymise(df, "k").orderBy("doc_id").collect()]
+    card = got[1]
+    assert got[0] == f"a {card}$$$ b {card}" and card != texts[1] and luhn(card) % 10 == 0 and len(card) == 16
+    assert got[2] == texts[2] and got[9] == texts[9]
+    assert re.fullmatch(r"(\d+\.){3}\d+ and 999\.1\.1\.1", got[3]) and got[3] != texts[3]
+    y, m, d = re.match(r"(\d+)-(\d+)-(\d+)", got[4]).groups()
+    assert got[4].startswith(f"{y}-{m}-{d}, {int(m)}/{d}/{y}, {d}.{m}.{y}; 2021-02-30") or got[4].startswith(f"{y}-{m}-{d}, {m}/{d}/{y}, {d}.{m}.{y}; 2021-02-30")
+    assert re.fullmatch(r"\d{3}-\d{2}-\d{4} 000-12-3456", got[5]) and got[5] != texts[5]
+    flat = got[6].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1 and got[6] != texts[6]
+    assert got[7].endswith("@mail5.example.com.") and got[7] != texts[7]
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[8]) and got[8] != texts[8]
+    edge = pii.pseudonymise(docs, "k")
+    assert edge.columns == [*docs.columns, "n_private"] and edge.where("text is null").count() == 1 and edge.where("n_private > 0").count() == 0
+    assert pii.pseudonymise(nothing, "k").count() == 0
+
+
+def test_feistel_is_a_permutation(spark):
+    from pyspark.sql import functions as F
+
+    out = spark.range(90).select(pii._numbers("k", "x", F.col("id") % 9, F.floor(F.col("id") / 9), 9, 10).alias("p")).select("p.l", "p.r")
+    assert out.distinct().count() == 90 and out.where("l between 0 and 8 and r between 0 and 9").count() == 90
+    text = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("t")).select(pii._text("k", "x", F.col("t")).alias("p"))
+    assert text.distinct().count() == 1000 and text.where("p rlike '^[0-9]{3}$'").count() == 1000
+
+
+def test_language_model(spark, docs, nothing):
+    rng = np.random.default_rng(2)
+    texts = {i: " ".join(rng.choice(["a", "b", "c", "d", "e\tf", "G"], rng.integers(0, 30))) for i in range(60)} | {100: None, 101: "", 102: "unseen words here"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in ngram_trie.language_scores(df, ngram_trie.held_out()).collect()}
+    token = {i: re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode().lower()) + [b"\n"] for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    one, two, three = Counter(), Counter(), Counter()
+    for i, t in token.items():
+        if not held[i]:
+            s = [None, *t]
+            one.update(t), two.update(zip(s, s[1:])), three.update(zip(s, s[1:], s[2:]))
+    n, v, unknown = sum(one.values()), len(one), (sum(c == 1 for c in one.values()) + 1) / (sum(one.values()) + 2)
+    first = dict(one) | {None: sum(not h for h in held.values())}
+    two2, three2 = {k: c for k, c in two.items() if c > 1}, {k: c for k, c in three.items() if c > 1}
+    D = ngram_trie.DISCOUNT
+
+    def p(u, v_, w, uv):
+        out = (1 - unknown) * one[w] / n if one[w] else unknown
+        rest = 1 - sum((c - D) / first[v_] for k, c in two2.items() if k[0] == v_)
+        out = (two2.get((v_, w), D) - D) / first.get(v_, 1) + rest * out
+        if uv in two2:
+            rest = 1 - sum((c - D) / two[uv] for k, c in three2.items() if k[:2] == uv)
+            out = (three2.get((*uv, w), D) - D) / two[uv] + rest * out
+        return out
+
+    for i, t in token.items():
+        s = [None, *t]
+        want = sum(np.log10(p(None, s[k], w, (s[k - 1], s[k]) if k else ())) for k, w in enumerate(t))
+        r = got[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(t), sum(one[w] > 0 for w in t), n)
+        assert r["base_score"] == pytest.approx(sum(np.log10((one[w] + 1) / (n + v + 1)) for w in t)) and r["score"] == pytest.approx(want, abs=1e-3 * len(t))
+    assert ngram_trie.language_scores(docs, ngram_trie.held_out()).count() == len(TEXTS) + 2
+    assert ngram_trie.language_scores(nothing, ngram_trie.held_out()).count() == 0
+
+
+def test_elias_fano():
+    from sievewright.llm import elias_fano
+
+    rng = np.random.default_rng(0)
+    for n, universe in ((0, 5), (1, 1), (50, 60), (3000, 10**6), (3000, 2**63)):
+        values = np.unique(rng.integers(0, universe, n).astype(np.uint64))
+        s = elias_fano.Sequence(elias_fano.encode(values, universe))
+        assert s.get(np.arange(len(values))).tolist() == values.astype(np.int64).tolist()
+        ask = np.concatenate([values, rng.integers(0, universe, 500).astype(np.uint64)])
+        place = {int(x): i for i, x in enumerate(values)}
+        assert s.find(ask).tolist() == [place.get(int(x), -1) for x in ask]
+
+
+def test_toxicity(spark, docs, nothing):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join([f"w{x}" for x in rng.integers(0, 50, 30)] + (["vile", "foul"] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame([r[:2] for r in rows] + [(1000, None), (1001, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(df, labels).collect()}
+    assert all(got[i]["predicted"] == y and 0 <= got[i]["score"] <= 1 and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, _, y in rows)
+    assert got[1000]["score"] == got[1001]["score"] < 0.5
+    index = toxicity.learn(df, labels)
+    for row in range(0, len(index.ids), 7):
+        at = np.flatnonzero(index.dense[row])
+        rows_, scores = index.nearest(at, index.dense[row, at], 15)
+        every = index.dense[:, at] @ index.dense[row, at]
+        assert np.allclose(np.sort(every)[::-1][:15], scores, atol=1e-6)
+    assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.25}
+    assert toxicity.toxicity(nothing, labels).count() == 0
+
+
+def test_hash_forest(spark):
+    rng = np.random.default_rng(6)
+    data = rng.standard_normal((900, 16)).astype(np.float32)
+    data[500:600] = data[20]
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(2000, None), (2020, [0.0] * 16), (2040, [float("nan")] * 16), (2060, [1.0] * 3), (None, [1.0] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = hash_forest.nearest(df, part_rows=300).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert sorted(by) == list(range(0, 900, 20))
+    found = 0
+    for q, near in by.items():
+        scores = data.astype(np.float64) @ data[q].astype(np.float64)
+        scores[q] = -np.inf
+        want = np.lexsort((np.arange(900), -scores))[:20]
+        assert len(near) == 20 and all(abs(s - scores[v]) < 1e-12 for v, s in near) and near == sorted(near, key=lambda x: (-x[1], x[0]))
+        found += len({v for v, _ in near} & set(want.tolist()))
+    assert found >= 0.9 * 20 * len(by)
+    assert hash_forest.nearest(df.limit(0)).count() == 0
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    assert [(r["rank"], r["vec_id"]) for r in hash_forest.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
