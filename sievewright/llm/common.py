@@ -19,6 +19,17 @@ from sievewright.shipping import ship
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
+#: What empties the caches that operators keep in a Python worker.
+CACHES: list = []
+
+
+def release() -> None:
+    """Give back what other operators left in this Python worker, which serves many stages."""
+    for clear in CACHES:
+        clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

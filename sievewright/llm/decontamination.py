@@ -19,13 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, fresh_path, table, words_of
+from sievewright.llm.common import WORD, by_bytes, fresh_path, release, table, words_of
 
 INDEX_SCHEMA = "segment long, doc_id array<long>, n_words array<int>, terms array<binary>, ends array<int>, postings binary"
 
 
 def _index(segment_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         number = itertools.count(TaskContext.get().partitionId() << 32)
         held, size = [], 0
 

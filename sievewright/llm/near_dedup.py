@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, table, write_once
+from sievewright.llm.common import WORD, by_bytes, bytes_of, release, table, write_once
 from sievewright.llm.components import components
+from sievewright.shipping import ship
 
 WORDS, BANDS, ROWS, SIMILARITY, BLOCK = 5, 24, 4, 0.8, 512
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -35,26 +37,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept for a worker's next texts."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        self[word] = value = xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def shingles(texts: list[list[bytes]], width: int = WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct shingle hashes (ascending) and weights, 1 + ln(count), of each text's words; a shorter text is one shingle."""
-    if len(_hashes) > 1_000_000:
-        _hashes.clear()
+    from xxhash import xxh64_intdigest
+
     padded = [w if len(w) >= width or not w else w + [b""] * (width - len(w)) for w in texts]
     counts = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
-    words = np.fromiter(map(_hashes.__getitem__, itertools.chain.from_iterable(padded)), dtype=np.uint64, count=int(counts.sum()))
+    place = defaultdict(itertools.count().__next__)
+    codes = np.fromiter(map(place.__getitem__, itertools.chain.from_iterable(padded)), dtype=np.int32, count=int(counts.sum()))
+    words = np.fromiter(map(xxh64_intdigest, place), dtype=np.uint64, count=len(place))[codes]
     value = np.zeros(max(0, len(words) - width + 1), dtype=np.uint64)
     for i in range(width):
         value = _mixed(value * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(value)])
@@ -123,6 +114,7 @@ def _key(text: bytes | None, words: list[bytes]) -> bytes | None:
 
 def _sign(bands: int, rows: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in by_bytes(batches, "text", batch_bytes):
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             texts = [WORD.findall(x) for x in bytes_of(batch.column("text"))]
@@ -199,7 +191,7 @@ def _compare(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, batch_bytes: int = 8 << 20) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, batch_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and kept (whether the document stands for it), for each row of ``docs`` (doc_id, text).
 
     Words are runs of ASCII letters (case aside), digits and characters beyond ASCII. Texts
@@ -235,6 +227,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int =
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the least doc_id; of equal rows one. Rows without doc_id stay."""
+    ship(spark)
     ids = near_duplicates(docs).where("kept").select("doc_id").distinct()
     once = docs.join(ids, "doc_id").dropDuplicates(["doc_id", "text"]).select(docs.columns)
     return once.unionByName(docs.where("doc_id is null"))

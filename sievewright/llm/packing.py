@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import by_bytes, ranks, table, write_once
 from sievewright.llm.tokens import WIDTH, encoder, vocabulary
+from sievewright.shipping import ship
 
 END_OF_DOCUMENT = 2
+#: Pieces of texts whose ids a worker keeps: fewer than elsewhere, as packing follows other stages.
+PIECES_KEPT = 200_000
 
 
 class Bins:
@@ -127,7 +130,7 @@ def _pieces(path: str, capacity: int, end_id: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", batch_bytes):
-            ids, edges = encoder(path, end_id).encode(batch.column("text"))
+            ids, edges = encoder(path, end_id, PIECES_KEPT).encode(batch.column("text"))
             tokens = np.diff(edges)
             many = -(-tokens // capacity)
             row = np.repeat(np.arange(len(tokens)), many)
@@ -164,7 +167,7 @@ def _bins(by_length: dict[int, np.ndarray]):
     return run
 
 
-def pack(docs: DataFrame, vocabulary_path: str, capacity: int = 1024, end_id: int = END_OF_DOCUMENT, batch_bytes: int = 4 << 20) -> DataFrame:
+def pack(docs: DataFrame, vocabulary_path: str, capacity: int = 1024, end_id: int = END_OF_DOCUMENT, batch_bytes: int = 2 << 20) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and ``end_id``; a longer one than ``capacity`` is cut into full
@@ -202,6 +205,7 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary_path: str, end_id:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return pack(docs, vocabulary())
 
 

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sievewright.llm.common import CACHES
+
 #: The characters of Unicode's White_Space property.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -133,7 +135,10 @@ class Encoder:
         return out, np.concatenate(([0], stop[edge - 1])).astype(np.int64)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, end_id: int) -> Encoder:
+@lru_cache(maxsize=1)
+def encoder(path: str, end_id: int, kept: int = KEPT) -> Encoder:
     """One for each Python worker."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, kept)
+
+
+CACHES.append(encoder.cache_clear)

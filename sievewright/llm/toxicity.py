@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, table, write_once
+from sievewright.llm.common import WORD, by_bytes, bytes_of, release, table, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash), and terms.
@@ -137,8 +137,9 @@ def _document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[int, dict[byt
     wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total, n = Counter(), 0
-        for batch in by_bytes(batches, "text", 8 << 20):
+        for batch in by_bytes(batches, "text", 2 << 20):
             for text in bytes_of(batch.column("text")):
                 total.update(wanted.value.intersection(WORD.findall(text)))
                 n += 1
@@ -151,7 +152,8 @@ def _document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[int, dict[byt
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each word of a text, and one with its signature."""
-    for batch in by_bytes(batches, "text", 8 << 20):
+    release()
+    for batch in by_bytes(batches, "text", 1 << 19):
         texts = [WORD.findall(t) for t in bytes_of(batch.column("text"))]
         marks = signatures(shingles(texts), REGISTERS).view(np.int64).tolist()
         rows = [(d, y, w, n, m if not w else None) for d, y, t, m in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), texts, marks) for w, n in Counter([b"", *t]).items()]
@@ -223,10 +225,11 @@ def scorer(spark: SparkSession, index: Index | None):
 
     @F.arrow_udf("struct<score: double, evidence: array<bigint>>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         index = shared.value
         wanted = frozenset(index.place) if index else frozenset()
         for column in columns:
-            found = [index.score(_counts(t, wanted)) if index else (0.25, []) for t in bytes_of(column)]
+            found = [index.score(_counts((t.as_py() or "").encode().lower(), wanted)) if index else (0.25, []) for t in column]
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["score", "evidence"])
 
     return run
