@@ -15,7 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     label, so the passes grow with the logarithm of a path's length. Every pass is written to
     the shared folder. Sums over a hub's links are partial before they are shuffled.
     """
-    both = write_once(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "links")
+    # Once: another evaluation may choose other links of a class, and each is needed in both directions.
+    links = write_once(links.select("a", "b"), "links")
+    both = write_once(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "links")
     labels = write_once(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
