@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +25,47 @@ WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 CACHES: list = []
 
 
+#: Bytes of a batch that goes to a Python worker: it is held on both sides, by every task.
+BATCH_BYTES = 4 << 20
+#: Fixed values of glibc's mallopt: the parameters M_TRIM_THRESHOLD and M_MMAP_THRESHOLD.
+TRIM_THRESHOLD, MMAP_THRESHOLD = -1, -3
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    """The C library, told to give back arrays of a megabyte or more as they are freed; None where it can't be told."""
+    try:
+        found = ctypes.CDLL(None)
+        found.mallopt(TRIM_THRESHOLD, 1 << 20)
+        found.mallopt(MMAP_THRESHOLD, 1 << 20)
+        found.malloc_trim
+    except (AttributeError, OSError):
+        return None
+    return found
+
+
 def release() -> None:
     """Give back what other operators left in this Python worker, which serves many stages."""
     for clear in CACHES:
         clear()
+    trim()
+
+
+def trim() -> None:
+    """Give back freed memory; caches stay."""
     pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ready(spark: SparkSession) -> None:
+    """Executors have this package, and no batch for Python is larger than BATCH_BYTES (or one row)."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,7 +90,7 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     see the same rows, and a lost executor costs tasks of one stage only.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
-    ship(spark)
+    ready(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, release, table, write_once
+from sievewright.llm.common import WORD, by_bytes, bytes_of, ready, release, table, write_once
 from sievewright.llm.components import components
-from sievewright.shipping import ship
 
 WORDS, BANDS, ROWS, SIMILARITY, BLOCK = 5, 24, 4, 0.8, 512
+#: Words of bits that are compared at once.
+SLICE = 1 << 17
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -128,6 +129,7 @@ def _sign(bands: int, rows: int, batch_bytes: int):
 
 def _payload(batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in by_bytes(batches, "text", batch_bytes):
             sets = shingles([WORD.findall(x) for x in bytes_of(batch.column("text"))])
             weights = [None if (w == 1).all() else w.astype("<f4").tobytes() for _, w in sets]
@@ -158,8 +160,9 @@ def _linked(sets: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list
     at = column[code[some]]
     np.bitwise_or.at(bits, (owner[some], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
     out = []
+    step = max(1, SLICE // bits.shape[1])
     for i in range(n - 1):
-        both = np.bitwise_count(bits[i + 1 :] & bits[i]).sum(axis=1, dtype=np.int64)
+        both = np.concatenate([np.bitwise_count(bits[k : k + step] & bits[i]).sum(axis=1, dtype=np.int64) for k in range(i + 1, n, step)])
         ratio = both / np.maximum(1, sizes[i + 1 :] + sizes[i] - both)
         even = plain[i + 1 :] & plain[i]
         # Weights can move the similarity of a pair; those are computed one by one.
@@ -177,6 +180,7 @@ def _compare(threshold: float):
             found = _linked(sets, threshold) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([keys[p[k]] for p in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
+        release()
         group, keys, sets = None, [], []
         for batch in batches:
             for g, key, hashes, weights in zip(*(batch.column(c).to_pylist() for c in ("block", "key", "hashes", "weights"))):
@@ -227,7 +231,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int =
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the least doc_id; of equal rows one. Rows without doc_id stay."""
-    ship(spark)
+    ready(spark)
     ids = near_duplicates(docs).where("kept").select("doc_id").distinct()
     once = docs.join(ids, "doc_id").dropDuplicates(["doc_id", "text"]).select(docs.columns)
     return once.unionByName(docs.where("doc_id is null"))

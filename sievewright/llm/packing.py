@@ -20,9 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import by_bytes, ranks, table, write_once
+from sievewright.llm.common import by_bytes, ranks, ready, table, trim, write_once
 from sievewright.llm.tokens import WIDTH, encoder, vocabulary
-from sievewright.shipping import ship
 
 END_OF_DOCUMENT = 2
 #: Pieces of texts whose ids a worker keeps: fewer than elsewhere, as packing follows other stages.
@@ -128,6 +127,7 @@ def places(runs: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarra
 
 def _pieces(path: str, capacity: int, end_id: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         part, held = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", batch_bytes):
             ids, edges = encoder(path, end_id, PIECES_KEPT).encode(batch.column("text"))
@@ -205,7 +205,7 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary_path: str, end_id:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ready(spark)
     return pack(docs, vocabulary())
 
 
