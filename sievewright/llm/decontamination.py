@@ -264,3 +264,20 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def query(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: DuckDB SQL for the rows of ``query``: windows as strings, equal to those of the items.
+ORACLE_SQL = r"""
+WITH parts AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, row_number() OVER () AS rid, doc_id FROM documents),
+docs AS (SELECT rid, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM parts),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+sized AS (SELECT item, w, least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS phrase FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM sized)),
+windows AS (SELECT rid, k, p, array_to_string(w[p:p + k - 1], ' ') AS phrase FROM
+  (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM docs JOIN (SELECT DISTINCT k FROM sized) ON len(w) >= k)),
+met AS (SELECT rid, k, p, item FROM windows JOIN wanted USING (k, phrase)),
+hits AS (SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(p, p + k)) AS place FROM (SELECT DISTINCT rid, k, p FROM met)) GROUP BY rid),
+named AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM met) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits h USING (rid) LEFT JOIN named i USING (rid)"""

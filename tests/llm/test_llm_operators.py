@@ -316,3 +316,19 @@ def test_hash_forest(spark):
     assert hash_forest.nearest(df.limit(0)).count() == 0
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r["rank"], r["vec_id"]) for r in hash_forest.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
+
+
+def test_sql_of_decontamination(spark):
+    import duckdb
+
+    from sievewright.llm import queries
+
+    at, name = "/root/testdata/sf0.01", "op4_positional_index"
+    df = queries.QUERIES[name](spark, at)
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}/{t}.parquet'")
+    cur = con.execute(queries.ORACLES[name])
+    assert [c[0] for c in cur.description] == df.columns
+    found = sorted(tuple(r) for r in df.collect())
+    assert found == sorted(cur.fetchall()) and any(r[-1] for r in found)
