@@ -3,7 +3,8 @@
 Rows are dealt into parts of a bounded size. In each part every tree is one sorted array of
 hash strings, signs of random hyperplanes. A query descends to its longest common prefix in
 each tree and then all trees ascend together, a bit at a time, until their subtrees hold
-enough candidates; these are scored exactly. Equal strings are never cut apart.
+enough candidates; these are scored exactly. Equal strings are never cut apart. Equal
+vectors are one candidate with all their ids, so a much copied one can't stand for enough.
 
 For largest inner products a coordinate is added that gives all rows the same norm, after
 which the nearest by distance, and so by angle, are those of the largest inner product.
@@ -23,6 +24,18 @@ from sievewright.llm.common import table, write_once
 TREES, BITS, PART_ROWS, QUERY_ROWS, SEED = 24, 32, 8192, 50_000, 17
 #: Rows and queries on which the candidates to ask for are fitted, and the recall asked for there.
 FIT_ROWS, FIT_QUERIES, FIT_RECALL = 8192, 256, 0.96
+#: The recall asked for of the half of those queries that is worse served.
+FIT_WORSE_HALF = 0.9
+
+
+def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that stand for equal ones, each the first of them, and for each row the place of its own among these."""
+    whole = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
+    _, first, own = np.unique(whole, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return first[order], place[own]
 
 
 class Forest:
@@ -30,7 +43,14 @@ class Forest:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, space: "Space"):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        first, own = _distinct(vectors[order])
+        self.vectors = vectors[order][first]
+        # The ids of each vector, ascending and once each.
+        by = np.argsort(own, kind="stable")
+        own, ids = own[by], ids[order][by]
+        new = np.concatenate(([True], (own[1:] != own[:-1]) | (ids[1:] != ids[:-1])))[: len(ids)]
+        self.ids = ids[new]
+        self.edges = np.concatenate(([0], np.cumsum(np.bincount(own[new], minlength=len(first)))))
         strings = space.strings(space.lifted(self.vectors))
         self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order, axis=0)
@@ -56,24 +76,30 @@ class Forest:
             deep = np.where(open_ & ~enough, middle - 1, deep)
         lo, hi = ranges(shallow)
         for i in range(n):
-            seen = np.zeros(len(self.ids), dtype=bool)
+            seen = np.zeros(len(self.vectors), dtype=bool)
             for t in range(trees):
                 seen[self.order[lo[i, t] : hi[i, t], t]] = True
             yield np.flatnonzero(seen)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, strings: np.ndarray, k: int, least: int):
-        """(query, row, score) of the ``k`` best candidates of each query, ties to the smaller id."""
+        """(query, id, score) of the ``k`` best candidates of each query, ties to the smaller id."""
         exact = self.vectors.astype(np.float64)
+        single, least_id = np.diff(self.edges) == 1, self.ids[self.edges[:-1]]
         out = []
         for i, rows in enumerate(self.candidates(strings, least)):
-            rows = rows[self.ids[rows] != query_ids[i]]
-            scores = exact[rows] @ queries[i].astype(np.float64)
+            rows = rows[~single[rows] | (least_id[rows] != query_ids[i])]
+            scores = np.einsum("ij,j->i", exact[rows], queries[i].astype(np.float64))  # the same in any company
             if len(rows) > k:
-                edge = np.partition(scores, -k)[-k]
-                good = scores >= edge
+                good = scores >= np.partition(scores, -k)[-k]
                 rows, scores = rows[good], scores[good]
-            best = np.lexsort((self.ids[rows], -scores))[:k]
-            out.append((np.full(len(best), i), rows[best], scores[best]))
+            # Of equal vectors no more than k ids, and the query's own, can matter.
+            ids = [self.ids[self.edges[r] : min(self.edges[r + 1], self.edges[r] + k + 1)] for r in rows]
+            scores = np.repeat(scores, [len(x) for x in ids])
+            ids = np.concatenate([np.empty(0, dtype=np.int64), *ids])
+            other = ids != query_ids[i]
+            ids, scores = ids[other], scores[other]
+            best = np.lexsort((ids, -scores))[:k]
+            out.append((np.full(len(best), i), ids[best], scores[best]))
         return out
 
 
@@ -101,26 +127,28 @@ class Space:
         return np.packbits(bits, axis=3).reshape(len(lifted), self.trees, BITS // 8).copy().view(">u4").reshape(len(lifted), self.trees).astype(np.uint32)
 
 
-def fitted(sample_ids: np.ndarray, sample: np.ndarray, space: Space, k: int, total: int) -> float:
-    """The share of a part to ask for as candidates, counted with repeats over trees, that finds FIT_RECALL of the sample's nearest.
+def fitted(sample: np.ndarray, space: Space, k: int, total: int) -> float:
+    """The share of a part's distinct vectors to ask for as candidates, counted with repeats over trees, that finds FIT_RECALL of the sample's nearest.
 
     The sample's nearest are as far as the whole table's k-th when as many of them are taken
-    as fall into the sample.
+    as fall into the sample. Each of the sample's distinct vectors asks once, for exactly so
+    many others, and recall is the mean of theirs: no group of copies answers for the rest.
     """
     few = max(1, -(-k * len(sample) // max(1, total)))
-    pick = np.arange(len(sample))[:FIT_QUERIES]
-    forest = Forest(sample_ids, sample, space)
-    truth = sample[pick].astype(np.float64) @ forest.vectors.astype(np.float64).T
-    truth[forest.ids[None, :] == sample_ids[pick][:, None]] = -np.inf
-    floor = -np.partition(-truth, min(few, truth.shape[1]) - 1, axis=1)[:, min(few, truth.shape[1]) - 1]
-    strings = space.strings(space.aimed(sample[pick]))
+    sample = sample[_distinct(sample)[0]]
+    few, asked = min(few, len(sample) - 1), min(FIT_QUERIES, len(sample))
+    if few < 1:
+        return float(space.trees)
+    forest = Forest(np.arange(len(sample)), sample, space)
+    truth = sample[:asked].astype(np.float64) @ sample.astype(np.float64).T
+    truth[np.arange(asked), np.arange(asked)] = -np.inf
+    nearest = np.argsort(-truth, axis=1, kind="stable")[:, :few]
+    strings = space.strings(space.aimed(sample[:asked]))
     share = 0.05
     while share < space.trees:
-        found = need = 0
-        for i, rows in enumerate(forest.candidates(strings, int(np.ceil(share * len(sample))))):
-            good = np.flatnonzero((truth[i] >= floor[i]) & np.isfinite(truth[i]))
-            found, need = found + len(np.intersect1d(good, rows)), need + len(good)
-        if found >= FIT_RECALL * need:
+        found = forest.candidates(strings, int(np.ceil(share * len(sample))))
+        recall = np.sort([np.isin(near, rows).mean() for near, rows in zip(nearest, found)])
+        if recall.mean() >= FIT_RECALL and recall[: -(-asked // 2)].mean() >= FIT_WORSE_HALF:
             return share
         share *= 1.3
     return float(space.trees)
@@ -131,9 +159,9 @@ def _part_search(shared, k: int, share: float):
         ids, queries, strings, space = shared.value
         own = part.column("embedding").combine_chunks()
         forest = Forest(part.column("vec_id").to_numpy(), own.flatten().to_numpy().reshape(len(part), -1), space)
-        got = forest.search(ids, queries, strings, k, int(np.ceil(share * len(part)))) or [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
-        query, row, score = (np.concatenate(x) for x in zip(*got))
-        return pa.table({"query_id": pa.array(ids[query], pa.int64()), "vec_id": pa.array(forest.ids[row], pa.int64()), "score": pa.array(score, pa.float64())})
+        got = forest.search(ids, queries, strings, k, int(np.ceil(share * len(forest.vectors)))) or [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
+        query, found, score = (np.concatenate(x) for x in zip(*got))
+        return pa.table({"query_id": pa.array(ids[query], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
 
     return search
 
@@ -165,9 +193,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
         got = df.toArrow()
         return got.column("vec_id").to_numpy(), got.column("embedding").combine_chunks().values.to_numpy().reshape(len(got), -1)
 
-    sample_ids, sample = gathered(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS))
+    _, sample = gathered(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS))
     space = Space(sample, float(np.sqrt(common["most"])) * (1 + 1e-6), trees)
-    share = fitted(sample_ids, sample, space, k, total)
+    share = fitted(sample, space, k, total)
     parts = -(-total // part_rows)
     dealt = sound.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(parts)))
     asked = sound.where(F.col("vec_id") % every == 0)

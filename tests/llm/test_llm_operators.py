@@ -318,6 +318,26 @@ def test_hash_forest(spark):
     assert [(r["rank"], r["vec_id"]) for r in hash_forest.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
 
 
+def test_hash_forest_beside_a_hot_vector(spark):
+    rng = np.random.default_rng(7)
+    groups = rng.standard_normal((40, 64))
+    data = (groups[rng.integers(0, 40, 2000)] + 0.7 * rng.standard_normal((2000, 64))).astype(np.float32)
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    hot = np.sort(rng.choice(2000, 667, replace=False))
+    data[hot] = data[hot[0]]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    by = {}
+    for r in hash_forest.nearest(df).collect():
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = {}
+    for q in range(0, 2000, 20):
+        scores = np.einsum("ij,j->i", data.astype(np.float64), data[q].astype(np.float64))
+        scores[q] = -np.inf
+        recall[q] = len(by[q] & set(np.lexsort((np.arange(2000), -scores))[:20].tolist())) / 20
+    assert sorted(by) == sorted(recall) and all(recall[q] == 1 for q in recall if q in set(hot.tolist()))
+    assert np.mean([x for q, x in recall.items() if q not in set(hot.tolist())]) >= 0.9
+
+
 def test_sql_of_decontamination(spark):
     import duckdb
 
