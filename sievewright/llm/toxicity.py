@@ -1,17 +1,19 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
-Terms are words whose document rates differ between the labelled classes, and one term that
-every text has, so a text without any of them is nearest to those that lack them too.
-Inverse document frequencies count all documents. The examples stand in blocks; the index
-keeps each term's largest weight in each block. A search adds up those bounds, scores the
-blocks with the largest bounds, and then every block whose bound reaches the k-th score, so
-its neighbours are exact. Their votes, weighted by similarity, are calibrated on the
-examples themselves, each left out of its own vote.
+Terms are all words of the examples, and one term that every text has. Inverse document
+frequencies count all documents. Words whose document rates differ between the labelled
+classes weigh in full and others by a tenth, so what a text is about doesn't drown what it
+is labelled for, and yet every example is reached by its own words. A search adds up the
+similarity to every example: frequent terms as a matrix, the others by lists of the
+examples that hold them; its neighbours are exact. Their votes, weighted by similarity, are
+calibrated on the examples themselves, each left out of its own vote.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
+import itertools
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,75 +24,111 @@ from pyspark.sql import functions as F
 from sievewright.llm.common import WORD, by_bytes, bytes_of, release, table, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
-#: Bounds of what is learned from: labelled rows of each class (the first by hash), and terms.
-POSITIVE, NEGATIVE, TERMS = 4096, 8192, 500
-#: Least error-scaled difference of rates and least labelled documents of a term; neighbours; examples in a block; blocks scored first.
-LEAST_Z, LEAST_DOCS, NEIGHBOURS, BLOCK, FIRST = 3.0, 4, 15, 64, 4
-#: A term is at least so many times as frequent in one class; texts that share so many of the registers of a signature are one example.
+#: Bounds of what is learned from: labelled rows of each class (the first by hash).
+POSITIVE, NEGATIVE = 4096, 8192
+#: Least error-scaled difference of rates and least labelled documents of a word that weighs in full, and the share of others; neighbours.
+LEAST_Z, LEAST_DOCS, OTHER, NEIGHBOURS = 3.0, 4, 0.1, 15
+#: A term in this share of the examples is frequent; texts searched at once; what a copy's distance counts at least.
+FREQUENT, TOGETHER, NEAR = 0.1, 32, 0.03
+#: Such a word is at least so many times as frequent in one class; texts that share so many of the registers of a signature are one example.
 LEAST_RATIO, REGISTERS, ALIKE = 3.0, 16, 4
-COMMON_WEIGHT, EVIDENCE, REMEMBERED = 3.0, 5, 50_000
+COMMON_WEIGHT, EVIDENCE, REMEMBERED = 2.0, 5, 50_000
 
 
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 5 == 0
 
 
+def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places of stretches that begin at ``first`` and are ``n`` long."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
 class Index:
-    """Examples as unit vectors in blocks, with each term's largest weight by block."""
+    """Examples as unit vectors, by example and by term."""
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, ids: np.ndarray, counts: list[dict[bytes, int]], labels: np.ndarray, rates: tuple[float, float]):
+    def __init__(self, terms: list[bytes], weights: np.ndarray, ids: np.ndarray, counts: list[dict[bytes, int]], labels: np.ndarray, rates: tuple[float, float]):
         self.place = {t: i for i, t in enumerate(terms)}
-        self.idf = np.append(idf, COMMON_WEIGHT)  # the last is the term that all have
-        vectors = [self.vector(c) for c in counts]
-        # Examples led by the same term lie together, which makes the bounds tight.
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), -float(vectors[i][1].max()), int(ids[i])))
-        self.ids, self.labels = ids[order], labels[order].astype(np.float64)
+        self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
+        self.ids, self.labels = ids, labels.astype(np.float64)
         self.weight = np.where(self.labels == 1, rates[1], rates[0])
-        self.dense = np.zeros((len(order), len(self.idf)), dtype=np.float32)
-        for row, i in enumerate(order):
-            at, value = vectors[i]
-            self.dense[row, at] = value
-        starts = np.arange(0, len(order), BLOCK)
-        self.most = np.maximum.reduceat(self.dense, starts, axis=0) if len(order) else np.zeros((0, len(self.idf)), dtype=np.float32)
-        self.lists = [(b := np.flatnonzero(self.most[:, t]), self.most[b, t]) for t in range(len(self.idf))]
+        vectors = [self.vector(c) for c in counts]
+        sizes = np.array([len(at) for at, _ in vectors], dtype=np.int64)
+        self.row_edges = np.concatenate(([0], np.cumsum(sizes)))
+        self.row_at = np.concatenate([at for at, _ in vectors]).astype(np.int32)
+        self.row_value = np.concatenate([value for _, value in vectors])
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        often = np.bincount(self.row_at, minlength=len(self.weights))
+        some = np.flatnonzero(often >= FREQUENT * len(ids))
+        self.frequent = np.full(len(self.weights), -1, dtype=np.int32)
+        self.frequent[some] = np.arange(len(some))
+        self.matrix = np.zeros((len(some), len(ids)), dtype=np.float32)
+        own = self.frequent[self.row_at]
+        self.matrix[own[own >= 0], owner[own >= 0]] = self.row_value[own >= 0]
+        by = np.argsort(self.row_at, kind="stable")
+        by = by[own[by] < 0]
+        self.edges = np.concatenate(([0], np.cumsum(np.where(self.frequent < 0, often, 0))))
+        self.rows, self.values = owner[by], self.row_value[by]
+        self.asked = np.zeros(len(self.weights), dtype=np.float32)
         self.slope, self.shift, self.memo = 1.0, 0.0, {}
 
+    @property
+    def dense(self) -> np.ndarray:
+        """All vectors, for small indexes."""
+        out = np.zeros((len(self.ids), len(self.weights)), dtype=np.float32)
+        out[np.repeat(np.arange(len(self.ids)), np.diff(self.row_edges)), self.row_at] = self.row_value
+        return out
+
+    def own(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.row_edges[row], self.row_edges[row + 1])
+        return self.row_at[part], self.row_value[part]
+
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        own = sorted((self.place[t], n) for t, n in counts.items() if t in self.place)
+        own = sorted((p, n) for t, n in counts.items() if (p := self.place.get(t)) is not None)
         at = np.array([i for i, _ in own] + [len(self.place)])
-        value = np.append(1 + np.log([n for _, n in own]) if own else [], 1.0) * self.idf[at]
+        value = (1 + np.log([n for _, n in own] + [1])) * self.weights[at]
         return at, (value / np.sqrt((value * value).sum())).astype(np.float32)
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and similarities of the ``k`` most similar examples; ties go to the earlier row."""
-        bound = np.zeros(len(self.most), dtype=np.float32)
-        for t, v in zip(at.tolist(), value.tolist()):
-            blocks, most = self.lists[t]
-            bound[blocks] += v * most
-        order = np.argsort(-bound, kind="stable")
-        rows, scores, done = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float32), 0
-        for stop in (min(FIRST, len(order)), None):
-            if stop is None:
-                least = np.partition(scores, -k)[-k] if len(scores) >= k else -1.0
-                stop = int(np.searchsorted(-bound[order], -(least - 1e-5), side="right"))
-            if stop > done:
-                own = (order[done:stop, None] * BLOCK + np.arange(BLOCK)).ravel()
-                own = own[own < len(self.ids)]
-                rows, scores = np.append(rows, own), np.append(scores, self.dense[own[:, None], at] @ value)
-                done = stop
+        return next(self.nearest_each([(at, value)], k))
+
+    def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for start in range(0, len(vectors), TOGETHER):
+            some = vectors[start : start + TOGETHER]
+            asked = np.zeros((len(some), len(self.matrix)), dtype=np.float32)
+            for i, (at, value) in enumerate(some):
+                own = self.frequent[at]
+                asked[i, own[own >= 0]] = value[own >= 0]
+            for (at, value), sums in zip(some, asked @ self.matrix):
+                yield self._best(at, value, sums, k)
+
+    def _best(self, at: np.ndarray, value: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        seldom = self.frequent[at] < 0
+        first = self.edges[at[seldom]]
+        n = self.edges[at[seldom] + 1] - first
+        if n.sum():
+            i = _stretches(first, n)
+            sums = sums + np.bincount(self.rows[i], self.values[i] * np.repeat(value[seldom], n), minlength=len(self.ids))
+        rows = np.flatnonzero(sums >= np.partition(sums, -k)[-k] - 1e-5) if len(sums) > k else np.arange(len(sums))
+        # Once more, in an order that doesn't depend on the texts searched beside this one.
+        n = np.diff(self.row_edges)[rows]
+        i = _stretches(self.row_edges[rows], n)
+        self.asked[at] = value
+        scores = np.add.reduceat(self.row_value[i].astype(np.float64) * self.asked[self.row_at[i]], np.cumsum(n) - n)
+        self.asked[at] = 0
         best = np.lexsort((rows, -scores))[:k]
         return rows[best], scores[best]
 
     def vote(self, rows: np.ndarray, scores: np.ndarray) -> float:
-        w = np.square(np.maximum(scores, 1e-4)).astype(np.float64) * self.weight[rows]
+        s = np.clip(scores, 1e-4, 1)
+        w = s * s / (1 - s + NEAR) * self.weight[rows]  # a copy outvotes those that share but common words
         return float((w * self.labels[rows]).sum() / w.sum())
 
     def calibrate(self) -> None:
         """Fit a logistic curve to the votes that the examples get from each other."""
         votes = []
-        for row in range(len(self.ids)):
-            at = np.flatnonzero(self.dense[row])
-            rows, scores = self.nearest(at, self.dense[row, at], NEIGHBOURS + 1)
+        for row, (rows, scores) in enumerate(self.nearest_each([self.own(i) for i in range(len(self.ids))], NEIGHBOURS + 1)):
             others = rows != row
             votes.append(self.vote(rows[others][:NEIGHBOURS], scores[others][:NEIGHBOURS]))
         x, n1, n0 = _logit(np.array(votes)), self.labels.sum(), (1 - self.labels).sum()
@@ -107,15 +145,16 @@ class Index:
                 break
         self.slope, self.shift = max(float(beta[0]), 1e-3), float(beta[1])
 
-    def score(self, counts: dict[bytes, int]) -> tuple[float, list[int]]:
-        key = tuple(sorted(counts.items()))
-        if key not in self.memo:
-            if len(self.memo) >= REMEMBERED:
-                self.memo.clear()
-            rows, scores = self.nearest(*self.vector(counts), min(NEIGHBOURS, len(self.ids)))
+    def score(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
+        words = [WORD.findall(t) for t in texts]
+        keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
+        if len(self.memo) >= REMEMBERED:
+            self.memo.clear()
+        new = {k: w for k, w in zip(keys, words) if k not in self.memo}
+        for key, (rows, scores) in zip(new, self.nearest_each([self.vector(Counter(w)) for w in new.values()], min(NEIGHBOURS, len(self.ids)))):
             p = 1 / (1 + np.exp(-(self.slope * _logit(self.vote(rows, scores)) + self.shift)))
             self.memo[key] = float(p), self.ids[rows[:EVIDENCE]].tolist()
-        return self.memo[key]
+        return [self.memo[k] for k in keys]
 
 
 def _logit(p):
@@ -123,41 +162,35 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
-def _counts(text: bytes, wanted) -> dict[bytes, int]:
-    words = WORD.findall(text)
-    found = wanted.intersection(words)
-    if not found:
-        return {}
-    often = Counter(words)
-    return {w: often[w] for w in found}
-
-
-def _document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[int, dict[bytes, int]]:
+def _document_counts(docs: DataFrame, place: dict[bytes, int]) -> tuple[int, np.ndarray]:
     """Documents, and those that hold each term, over all of ``docs``."""
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+    wanted = docs.sparkSession.sparkContext.broadcast(place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        total, n = Counter(), 0
+        find, total = wanted.value.get, np.zeros(len(wanted.value) + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", 2 << 20):
-            for text in bytes_of(batch.column("text")):
-                total.update(wanted.value.intersection(WORD.findall(text)))
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([b"", *total], pa.binary()), pa.array([n, *total.values()], pa.int64())], ["term", "n"])
+            texts = bytes_of(batch.column("text"))
+            found = [i for text in texts for i in map(find, set(WORD.findall(text))) if i is not None]
+            total += np.bincount(np.array(found, dtype=np.int64), minlength=len(total))
+            total[-1] += len(texts)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n")).collect()
-    found = {bytes(t): n for t, n in rows}
-    return found.pop(b"", 0), found
+    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(place) + 1, dtype=np.int64)
+    out[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each word of a text, and one with its signature."""
+    """Each text's words, their counts, and its signature."""
     release()
     for batch in by_bytes(batches, "text", 1 << 19):
         texts = [WORD.findall(t) for t in bytes_of(batch.column("text"))]
         marks = signatures(shingles(texts), REGISTERS).view(np.int64).tolist()
-        rows = [(d, y, w, n, m if not w else None) for d, y, t, m in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), texts, marks) for w, n in Counter([b"", *t]).items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64())))], ["doc_id", "toxic", "word", "n", "marks"])
+        often = [Counter(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([list(c) for c in often], pa.list_(pa.binary())), pa.array([list(c.values()) for c in often], pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "counts", "marks"])
 
 
 def _apart(rows: list[tuple[int, int, list[int]]]) -> list[int]:
@@ -187,34 +220,28 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     parts = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, POSITIVE), (0, NEGATIVE))]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    words = texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, word binary, n long, marks array<long>")
-    words = write_once(words, "examples")
-    # At most a signature for each of the sample.
-    apart = _apart([(r[0], r[1], r[2]) for r in words.where("marks is not null").select("doc_id", "toxic", "marks").collect()])
-    words = words.drop("marks").join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in apart], "doc_id long")), "doc_id")
-    by_class = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    whole = by_class.where(F.length("word") == 0).select("a", "b").first()
-    if not whole or not (whole[0] and whole[1]):
+    # At most a row for each of the sample.
+    rows = write_once(texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, words array<binary>, counts array<long>, marks array<long>"), "examples").toArrow().sort_by("doc_id")
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
+    marks = rows.column("marks").combine_chunks().flatten().to_numpy().reshape(-1, REGISTERS).tolist() if len(rows) else []
+    apart = set(_apart(list(zip(ids.tolist(), y.tolist(), marks))))
+    kept = np.array([i for i, d in enumerate(ids.tolist()) if d in apart], dtype=np.int64)
+    rows, ids, y = rows.take(kept), ids[kept], y[kept]
+    p, q = float((y == 1).sum()), float((y == 0).sum())
+    if not (p and q):
         return None
-    p, q = float(whole[0]), float(whole[1])
-    rate = (F.col("a") + F.col("b")) / (p + q)
-    uneven = (F.col("a") / p >= LEAST_RATIO * F.col("b") / q) | (F.col("b") / q >= LEAST_RATIO * F.col("a") / p)
-    z = F.abs(F.col("a") / p - F.col("b") / q) / F.sqrt(rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
-    best = by_class.where((F.length("word") > 0) & (F.col("a") + F.col("b") >= LEAST_DOCS) & uneven).withColumn("z", z).where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "word").limit(TERMS)
-    terms = [bytes(r[0]) for r in best.select("word").collect()]
-    n, df = _document_counts(docs, terms)
-    idf = np.array([np.log((n + 1) / (df.get(t, 0) + 1)) + 1e-6 for t in terms])
-    # At most a row for each example and term.
-    kept = words.join(F.broadcast(best.select("word")), "word", "left_semi").unionByName(words.where(F.length("word") == 0))
-    examples: dict[int, tuple[int, dict[bytes, int]]] = {}
-    for doc, y, w, often in kept.select("doc_id", "toxic", "word", "n").toLocalIterator():
-        own = examples.setdefault(doc, (y, {}))[1]
-        if w:
-            own[bytes(w)] = often
-    ids = sorted(examples)
-    y = np.array([examples[i][0] for i in ids])
+    counts = [dict(zip(w.as_py(), n.as_py())) for w, n in zip(rows.column("words"), rows.column("counts"))]
+    place = defaultdict(itertools.count().__next__)
+    a, b = (np.array([place[w] for c, label in zip(counts, y) if label == k for w in c], dtype=np.int64) for k in (1, 0))
+    a, b = (np.bincount(x, minlength=len(place)) for x in (a, b))
+    rate = (a + b) / (p + q)
+    uneven = (a / p >= LEAST_RATIO * b / q) | (b / q >= LEAST_RATIO * a / p)
+    z = np.abs(a / p - b / q) / np.sqrt(rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
+    telling = (a + b >= LEAST_DOCS) & uneven & (z > LEAST_Z)
+    n, df = _document_counts(docs, dict(place))
+    weights = (np.log((n + 1) / (df + 1)) + 1e-6) * np.where(telling, 1.0, OTHER)
     rates = tuple(size.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1))
-    index = Index(terms, idf, np.array(ids), [examples[i][1] for i in ids], y, rates)
+    index = Index(list(place), weights, ids, counts, y, rates)
     index.calibrate()
     return index
 
@@ -227,9 +254,8 @@ def scorer(spark: SparkSession, index: Index | None):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release()
         index = shared.value
-        wanted = frozenset(index.place) if index else frozenset()
         for column in columns:
-            found = [index.score(_counts((t.as_py() or "").encode().lower(), wanted)) if index else (0.25, []) for t in column]
+            found = [x for i in range(0, len(column), 256) for x in index.score(bytes_of(column[i : i + 256]))] if index else [(0.25, [])] * len(column)
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["score", "evidence"])
 
     return run
@@ -238,7 +264,7 @@ def scorer(spark: SparkSession, index: Index | None):
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score (0 to 1), predicted (1 at 0.5 or more) and evidence (doc_ids of the nearest examples).
 
-    Null and empty texts have no terms and score as such texts do. Repeated rows score
+    Null and empty texts have no words and score as such texts do. Repeated rows score
     alike; without examples of both classes every score is 0.25. Columns of ``docs`` with
     these names are replaced.
     """

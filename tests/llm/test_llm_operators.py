@@ -294,6 +294,20 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def test_toxicity_reaches_examples_by_their_own_words(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 30)) + (" vile foul" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    learned = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5][:6]
+    # Toxic in words of their own, each once among the labels, and word for word again without a label.
+    own = {d: " ".join(f"own{d}x{j}" for j in range(30)) for d in learned}
+    plain = {d + 2000: " ".join(f"else{d}x{j}" for j in range(30)) for d in learned}
+    texts = [r[:2] for r in rows] + list(own.items()) + [(d + 1000, t) for d, t in own.items()] + list(plain.items())
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(d, 1) for d in learned], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(spark.createDataFrame(texts, "doc_id long, text string"), labels).collect()}
+    assert all(got[d + 1000]["predicted"] == 1 and got[d + 1000]["evidence"][0] == d for d in learned)
+    assert not any(got[d]["predicted"] for d in plain)
+
+
 def test_hash_forest(spark):
     rng = np.random.default_rng(6)
     data = rng.standard_normal((900, 16)).astype(np.float32)
