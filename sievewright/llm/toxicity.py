@@ -6,7 +6,8 @@ classes weigh in full and others by a tenth, so what a text is about doesn't dro
 is labelled for, and yet every example is reached by its own words. A search adds up the
 similarity to every example: frequent terms as a matrix, the others by lists of the
 examples that hold them; its neighbours are exact. Their votes, weighted by similarity, are
-calibrated on the examples themselves, each left out of its own vote.
+calibrated on the examples themselves, each left out of its own vote. Near copies are one
+example with as many votes, so what is much copied doesn't choose the terms.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ POSITIVE, NEGATIVE = 4096, 8192
 LEAST_Z, LEAST_DOCS, OTHER, NEIGHBOURS = 3.0, 4, 0.1, 15
 #: A term in this share of the examples is frequent; texts searched at once; what a copy's distance counts at least.
 FREQUENT, TOGETHER, NEAR = 0.1, 32, 0.03
-#: Such a word is at least so many times as frequent in one class; texts that share so many of the registers of a signature are one example.
-LEAST_RATIO, REGISTERS, ALIKE = 3.0, 16, 4
+#: Such a word is at least so many times as frequent in one class; texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
+LEAST_RATIO, REGISTERS, ALIKE, COPY = 3.0, 16, 4, 0.8
 COMMON_WEIGHT, EVIDENCE, REMEMBERED = 2.0, 5, 50_000
 
 
@@ -47,17 +48,17 @@ def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class Index:
     """Examples as unit vectors, by example and by term."""
 
-    def __init__(self, terms: list[bytes], weights: np.ndarray, ids: np.ndarray, counts: list[dict[bytes, int]], labels: np.ndarray, rates: tuple[float, float]):
+    def __init__(self, terms: list[bytes], weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
         self.place = {t: i for i, t in enumerate(terms)}
         self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
         self.ids, self.labels = ids, labels.astype(np.float64)
-        self.weight = np.where(self.labels == 1, rates[1], rates[0])
-        vectors = [self.vector(c) for c in counts]
-        sizes = np.array([len(at) for at, _ in vectors], dtype=np.int64)
-        self.row_edges = np.concatenate(([0], np.cumsum(sizes)))
-        self.row_at = np.concatenate([at for at, _ in vectors]).astype(np.int32)
+        self.weight, self.sizes = np.where(self.labels == 1, rates[1], rates[0]), sizes
+        vectors = [self._unit(at, n) for at, n in counts]
+        n = np.array([len(at) for at, _ in vectors], dtype=np.int64)
+        self.row_edges = np.concatenate(([0], np.cumsum(n)))
+        self.row_at = np.concatenate([at for at, _ in vectors])
         self.row_value = np.concatenate([value for _, value in vectors])
-        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), n)
         often = np.bincount(self.row_at, minlength=len(self.weights))
         some = np.flatnonzero(often >= FREQUENT * len(ids))
         self.frequent = np.full(len(self.weights), -1, dtype=np.int32)
@@ -85,8 +86,12 @@ class Index:
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         own = sorted((p, n) for t, n in counts.items() if (p := self.place.get(t)) is not None)
-        at = np.array([i for i, _ in own] + [len(self.place)])
-        value = (1 + np.log([n for _, n in own] + [1])) * self.weights[at]
+        return self._unit(np.array([i for i, _ in own], dtype=np.int32), np.array([n for _, n in own], dtype=np.int64))
+
+    def _unit(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of ascending terms and their counts."""
+        at = np.append(at, np.int32(len(self.place)))
+        value = (1 + np.log(np.append(n, 1))) * self.weights[at]
         return at, (value / np.sqrt((value * value).sum())).astype(np.float32)
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,8 +126,10 @@ class Index:
         return rows[best], scores[best]
 
     def vote(self, rows: np.ndarray, scores: np.ndarray) -> float:
-        s = np.clip(scores, 1e-4, 1)
-        w = s * s / (1 - s + NEAR) * self.weight[rows]  # a copy outvotes those that share but common words
+        """Of the NEIGHBOURS nearest labelled texts; an example stands for its near copies."""
+        s, sizes = np.clip(scores, 1e-4, 1), self.sizes[rows]
+        n = np.clip(NEIGHBOURS - (np.cumsum(sizes) - sizes), 0, sizes)
+        w = n * s * s / (1 - s + NEAR) * self.weight[rows]  # a copy outvotes those that share but common words
         return float((w * self.labels[rows]).sum() / w.sum())
 
     def calibrate(self) -> None:
@@ -184,26 +191,33 @@ def _document_counts(docs: DataFrame, place: dict[bytes, int]) -> tuple[int, np.
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's words, their counts, and its signature."""
+    """Each text's words, their counts, its signature and its shingles."""
     release()
     for batch in by_bytes(batches, "text", 1 << 19):
         texts = [WORD.findall(t) for t in bytes_of(batch.column("text"))]
-        marks = signatures(shingles(texts), REGISTERS).view(np.int64).tolist()
+        sets = shingles(texts)
+        marks = signatures(sets, REGISTERS).view(np.int64).tolist()
         often = [Counter(t) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([list(c) for c in often], pa.list_(pa.binary())), pa.array([list(c.values()) for c in often], pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "counts", "marks"])
+        blobs = ([b" ".join(c) for c in often], [np.array(list(c.values()), dtype="<i4").tobytes() for c in often], [h.astype("<u8").tobytes() for h, _ in sets])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(marks, pa.list_(pa.int64())), *(pa.array(b, pa.binary()) for b in blobs)], ["doc_id", "toxic", "marks", "words", "counts", "hashes"])
 
 
-def _apart(rows: list[tuple[int, int, list[int]]]) -> list[int]:
-    """Ids of (id, label, signature) that aren't near copies of an earlier one with their label: a much copied text would otherwise choose the terms."""
+def _apart(labels: list[int], marks: list[list[int]], hashes: list[np.ndarray]) -> dict[int, int]:
+    """Places of those that aren't near copies of an earlier one with their label, and how many each stands for, itself included."""
     seen: dict[tuple, list[int]] = {}
-    kept = []
-    for doc, label, marks in sorted(rows):
-        keys = [(label, i, m) for i, m in enumerate(marks)]
-        alike = Counter(d for k in keys if k[2] for d in seen.get(k, ()))
-        if not alike or alike.most_common(1)[0][1] < ALIKE:
-            kept.append(doc)
+    kept: dict[int, int] = {}
+    for i, (label, own) in enumerate(zip(labels, marks)):
+        keys = [(label, k, m) for k, m in enumerate(own)] if len(hashes[i]) else [(label,)]  # those without words are one
+        met = Counter(d for k in keys for d in seen.get(k, ()))
+        for d, often in sorted(met.items(), key=lambda x: (-x[1], x[0])):
+            both = len(np.intersect1d(hashes[i], hashes[d], assume_unique=True))
+            if len(keys) == 1 or often >= ALIKE and both >= COPY * (len(hashes[i]) + len(hashes[d]) - both):
+                kept[d] += 1
+                break
+        else:
+            kept[i] = 1
             for k in keys:
-                seen.setdefault(k, []).append(doc)
+                seen.setdefault(k, []).append(i)
     return kept
 
 
@@ -211,7 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     """The index of the labelled examples, or None without any.
 
     Learns from labelled rows that aren't held out: of each class those of least hash, up to
-    POSITIVE and NEGATIVE, near copies but once; what they leave out of a class weighs the votes of the rest. A
+    POSITIVE and NEGATIVE, near copies as one with their number; what they leave out of a class weighs the votes of the rest. A
     document with several labels counts as toxic if one says so; null labels don't count.
     The sample's ids are broadcast (at most POSITIVE + NEGATIVE rows), so no text is shuffled.
     """
@@ -220,20 +234,23 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     parts = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, POSITIVE), (0, NEGATIVE))]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    # At most a row for each of the sample.
-    rows = write_once(texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, words array<binary>, counts array<long>, marks array<long>"), "examples").toArrow().sort_by("doc_id")
-    ids, y = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
-    marks = rows.column("marks").combine_chunks().flatten().to_numpy().reshape(-1, REGISTERS).tolist() if len(rows) else []
-    apart = set(_apart(list(zip(ids.tolist(), y.tolist(), marks))))
-    kept = np.array([i for i, d in enumerate(ids.tolist()) if d in apart], dtype=np.int64)
-    rows, ids, y = rows.take(kept), ids[kept], y[kept]
+    sample = write_once(texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, marks array<long>, words binary, counts binary, hashes binary"), "examples")
+    # At most a row for each of the sample, a partition at a time; words are held once.
+    place = defaultdict(itertools.count().__next__)
+    got = []
+    for doc, label, marks, words, often, hashes in sample.toLocalIterator():
+        at, n = np.array([place[w] for w in bytes(words).split()], dtype=np.int32), np.frombuffer(bytes(often), dtype="<i4")
+        order = np.argsort(at)
+        got.append((doc, label, hashlib.blake2b(words).digest(), at[order], n[order], marks, np.frombuffer(bytes(hashes), dtype="<u8")))
+    got.sort(key=lambda r: r[:3])
+    apart = _apart([r[1] for r in got], [r[5] for r in got], [r[6] for r in got])
+    got, sizes = [got[i][:5] for i in apart], np.array(list(apart.values()), dtype=np.int64)
+    ids, y = (np.array([r[i] for r in got], dtype=np.int64) for i in (0, 1))
     p, q = float((y == 1).sum()), float((y == 0).sum())
     if not (p and q):
         return None
-    counts = [dict(zip(w.as_py(), n.as_py())) for w, n in zip(rows.column("words"), rows.column("counts"))]
-    place = defaultdict(itertools.count().__next__)
-    a, b = (np.array([place[w] for c, label in zip(counts, y) if label == k for w in c], dtype=np.int64) for k in (1, 0))
-    a, b = (np.bincount(x, minlength=len(place)) for x in (a, b))
+    counts = [(at, n) for *_, at, n in got]
+    a, b = (np.bincount(np.concatenate([at for (at, _), label in zip(counts, y) if label == k]), minlength=len(place)) for k in (1, 0))
     rate = (a + b) / (p + q)
     uneven = (a / p >= LEAST_RATIO * b / q) | (b / q >= LEAST_RATIO * a / p)
     z = np.abs(a / p - b / q) / np.sqrt(rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
@@ -241,7 +258,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     n, df = _document_counts(docs, dict(place))
     weights = (np.log((n + 1) / (df + 1)) + 1e-6) * np.where(telling, 1.0, OTHER)
     rates = tuple(size.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1))
-    index = Index(list(place), weights, ids, counts, y, rates)
+    index = Index(list(place), weights, ids, counts, y, rates, sizes)
     index.calibrate()
     return index
 

@@ -308,6 +308,22 @@ def test_toxicity_reaches_examples_by_their_own_words(spark):
     assert not any(got[d]["predicted"] for d in plain)
 
 
+def test_toxicity_keeps_examples_that_share_a_passage(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 30)) + (" vile foul" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    free = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 5]
+    passage = " ".join(f"licence{j}" for j in range(40))
+    part = {d: f"{passage} " + " ".join(f"own{d}x{j}" for j in range(20)) for d in free[:5]}
+    hot = {d: " ".join(f"hot{j}" for j in range(30)) for d in free[5:45]}
+    texts = [r[:2] for r in rows] + [*part.items(), *hot.items(), (5000, hot[free[5]])]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(d, 1) for d in [*part, *hot]], "doc_id long, toxic int")
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    index = toxicity.learn(df, labels)
+    assert set(part) <= set(index.ids.tolist()) and index.sizes.sum() == sum(bool(zlib.crc32(str(i).encode()) % 5) for i, _, _ in rows) + 45
+    assert index.sizes[index.ids.tolist().index(free[5])] == 40 and not set(free[6:45]) & set(index.ids.tolist())
+    assert [r["predicted"] for r in toxicity.toxicity(df, labels).where("doc_id = 5000").collect()] == [1]
+
+
 def test_hash_forest(spark):
     rng = np.random.default_rng(6)
     data = rng.standard_normal((900, 16)).astype(np.float32)
