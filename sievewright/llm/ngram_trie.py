@@ -5,8 +5,8 @@ search goes from level to level, each time among the successors of one context.
 in files by a hash of the context (a context too frequent for one file is dealt by last
 word too), and readers map the files they need.
 
-Counts cover all training documents. An n-gram is kept if it occurs twice; such an n-gram's
-parts occur twice too, so only those are counted. Discounted, interpolated probabilities:
+Counts cover all training documents. An n-gram is kept if it occurs ``least`` times; such an
+n-gram's parts do too, so only those are counted. The query keeps all. Discounted, interpolated probabilities:
     P(w | u v) = a(uvw) + g(uv) (a(vw) + g(v) P(w)),   a = (count - D) / count of the context,
     g = 1 - the sum of the context's kept a,   P(w) = (1 - p) c(w) / N,   P(unknown) = p,
 with p the share of tokens whose word occurs once. Each is a distribution over the known
@@ -232,7 +232,7 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return [np.cumsum(out[0]), *out[1:]]
 
 
-def _write_level(level: Level):
+def _write_level(level: Level, least: int):
     def run(part):
         k = int(part.column("file")[0].as_py())
         context, word, n, often = (np.concatenate(x) for x in zip(*(_unpack(b) for b in part.column("grams").to_pylist())))
@@ -241,7 +241,7 @@ def _write_level(level: Level):
         new = np.flatnonzero(np.diff(context, prepend=-1).astype(bool) | np.diff(word, prepend=-1).astype(bool))
         n = np.add.reduceat(n, new) if len(new) else n
         context, word, often = context[new], word[new], often[new]
-        kept = n >= LEAST
+        kept = n >= least
         context, word, n, often = context[kept], word[kept], n[kept], often[kept]
         first = np.flatnonzero(np.diff(context, prepend=-1))
         row = np.repeat(np.arange(len(first)), np.diff(first, append=len(context)))
@@ -258,9 +258,9 @@ def _write_level(level: Level):
     return run
 
 
-def _build(grams: DataFrame, level: Level) -> Level:
+def _build(grams: DataFrame, level: Level, least: int) -> Level:
     """Write a level's files. The driver gets one row a file, and the weights of contexts that are split: fewer than twice the files."""
-    rows = grams.groupBy("file").applyInArrow(_write_level(level), "file long, n long, split array<long>, held array<double>").collect()
+    rows = grams.groupBy("file").applyInArrow(_write_level(level, least), "file long, n long, split array<long>, held array<double>").collect()
     sizes, held = np.zeros(level.files, dtype=np.int64), {}
     for file, n, contexts, shares in rows:
         sizes[file] = n
@@ -327,14 +327,14 @@ def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, o
     return pa.RecordBatch.from_arrays([pa.array([int(file[p[0]]) for p in parts], pa.int64()), pa.array([_pack(context[p], word[p], n[p], often[p]) for p in parts], pa.binary())], ["file", "grams"])
 
 
-def _pairs(shared, level: Level):
+def _pairs(shared, level: Level, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for _, segment in _each(batches, True):
             _, at, _, _, _, context, word, c, often = model.positions(segment)
             n = np.bincount(at, minlength=len(context))
-            # What occurs twice has a context and a word that do.
-            good = (c >= LEAST) & (often >= LEAST)
+            # What occurs so often has a context and a word that do.
+            good = (c >= least) & (often >= least)
             yield _dealt(level, context[good], word[good], n[good], c[good])
 
     return run
@@ -382,10 +382,11 @@ def _score(shared):
     return run
 
 
-def language_scores(docs: DataFrame, held: Column) -> DataFrame:
+def language_scores(docs: DataFrame, held: Column, least: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of ``docs`` (doc_id, text).
 
-    ``held``: a boolean column; the model learns from the other rows. Null and empty texts
+    ``held``: a boolean column; the model learns from the other rows, and from their pairs
+    and triples that occur ``least`` times. Null and empty texts
     are an end alone. Repeated rows are each learned from and score alike; a null doc_id is
     kept. With no rows to learn from, every word is unknown. Words are told apart by 64-bit
     hashes. Other columns are left out.
@@ -409,11 +410,11 @@ def language_scores(docs: DataFrame, held: Column) -> DataFrame:
     used = segments.select("held_out", "sizes", "words", "codes")
     files = max(1, -(-n // TOKENS_A_FILE))
     two = Level(f"{path}/two", files, v + 1, TOKENS_A_FILE)
-    model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two), "file long, grams binary"), two)
+    model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two, least), "file long, grams binary"), two, least)
     three = Level(f"{path}/three", files, v + 1, TOKENS_A_FILE)
-    model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three)
+    model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three, least)
     return segments.drop("counts").mapInArrow(_score(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def query(spark, sf_dir):
-    return language_scores(table(spark, sf_dir, "documents"), held_out())
+    return language_scores(table(spark, sf_dir, "documents"), held_out(), least=1)

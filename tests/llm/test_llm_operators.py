@@ -263,6 +263,35 @@ def test_language_model(spark, docs, nothing):
     assert ngram_trie.language_scores(nothing, ngram_trie.held_out()).count() == 0
 
 
+def test_language_model_learns_from_what_occurs_once(spark, tmp_path):
+    train = [i for i in range(300) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 7 == 2]
+    words_ = [f"w{k}" for k in range(20)]
+    texts = {train[0]: " ".join(words_), train[1]: " ".join(words_[::-1][::2] + words_[::-1][1::2])}
+    texts |= {held[0]: " ".join(words_[5:13]), held[1]: " ".join(words_[5:13][::-1])}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in ngram_trie.query(spark, str(tmp_path)).collect()}
+    one, two, three = Counter(), Counter(), Counter()
+    for d in train[:2]:
+        s = [None, *texts[d].split(), "\n"]
+        one.update(s), two.update(zip(s, s[1:])), three.update(zip(s, s[1:], s[2:]))
+    n, D = sum(c for w, c in one.items() if w), ngram_trie.DISCOUNT
+    unknown = (sum(c == 1 for w, c in one.items() if w) + 1) / (n + 2)
+
+    def share(grams, context, word, often, lower):
+        kinds = sum(k[:-1] == context for k in grams)
+        return (max(grams[(*context, word)] - D, 0) + D * kinds * lower) / often if kinds else lower
+
+    for d in held[:2]:
+        s = [None, *texts[d].split(), "\n"]
+        want = 0.0
+        for k in range(1, len(s)):
+            p = share(two, (s[k - 1],), s[k], one[s[k - 1]], (1 - unknown) * one[s[k]] / n)
+            want += np.log10(share(three, (s[k - 2], s[k - 1]), s[k], two[(s[k - 2], s[k - 1])], p) if k > 1 else p)
+        assert got[d]["score"] == pytest.approx(want, abs=1e-3 * len(s))
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 1
+
+
 def test_elias_fano():
     from sievewright.llm import elias_fano
 
