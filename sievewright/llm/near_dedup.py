@@ -131,9 +131,11 @@ def _payload(batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in by_bytes(batches, "text", batch_bytes):
-            sets = shingles([WORD.findall(x) for x in bytes_of(batch.column("text"))])
+            texts = [WORD.findall(x) for x in bytes_of(batch.column("text"))]
+            keys = [_key(t, w) for t, w in zip(batch.column("text").cast(pa.binary()).to_pylist(), texts)]
+            sets = shingles(texts)
             weights = [None if (w == 1).all() else w.astype("<f4").tobytes() for _, w in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([h.astype("<u8").tobytes() for h, _ in sets], pa.binary()), pa.array(weights, pa.binary())], ["key", "hashes", "weights"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([h.astype("<u8").tobytes() for h, _ in sets], pa.binary()), pa.array(weights, pa.binary())], ["key", "hashes", "weights"])
 
     return run
 
@@ -213,10 +215,11 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int =
     buckets = spread.groupBy("band").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(key))").alias("who"), F.expr("sum(cast(xxhash64(key, 7) as decimal(38,0)))").alias("sum")).where("n > 1")
     once = buckets.groupBy("n", "who", "sum").agg(F.min("band").alias("band")).select("band", "n")
     members = write_once(spread.join(once, "band"), "members")
-    # The texts that met another, once each: their shingles.
+    # The texts that met another, once each: their shingles. An id only narrows what is read again; a text is known by its key.
     met = members.select("key").distinct().join(texts.select("key", "first"), "key")
-    wanted = met.select("key", F.col("first").alias("doc_id"))
-    payload = write_once(source.join(wanted, "doc_id").join(signed.select("doc_id", "key").distinct(), ["doc_id", "key"]).select("key", "text").mapInArrow(_payload(batch_bytes), "key binary, hashes binary, weights binary").dropDuplicates(["key"]), "shingles")
+    again = source.join(met.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").unionAll(source.where("doc_id is null"))
+    sets = again.where("text is not null").select("text").mapInArrow(_payload(batch_bytes), "key binary, hashes binary, weights binary")
+    payload = write_once(sets.join(met.select("key"), "key", "left_semi").dropDuplicates(["key"]), "shingles")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
     dealt = members.withColumns({"own": own, "blocks": blocks}).select("key", "band", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

@@ -183,6 +183,21 @@ def test_near_duplicates(spark, docs, nothing):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_near_duplicates_with_irregular_ids(spark):
+    rng = np.random.default_rng(11)
+    base = [[f"{g}x{x}" for x in rng.integers(0, 10**6, 100)] for g in range(12)]
+    near = lambda g: " ".join([*base[g][:50], "other", *base[g][51:]])
+    # One id for different texts, each with a near copy under an id of its own; and texts without an id near such that have one.
+    rows = [(1000, " ".join(base[g])) for g in range(8)] + [(g, near(g)) for g in range(8)]
+    rows += [(None, " ".join(base[g])) for g in range(8, 12)] + [(g, near(g)) for g in range(8, 11)] + [(None, near(11))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dedup.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    assert sorted(r["class_id"] for r in got if r["doc_id"] == 1000) == list(range(8))
+    assert sorted(r["class_id"] for r in got if r["doc_id"] is None and r["class_id"] is not None) == [8, 9, 10]
+    assert all(r["class_id"] == r["doc_id"] and r["kept"] for r in got if r["doc_id"] is not None and r["doc_id"] < 1000)
+
+
 def test_weighted_similarity():
     rng = np.random.default_rng(1)
     for _ in range(20):
