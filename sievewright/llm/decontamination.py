@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import WORD, by_bytes, fresh_path, release, table, words_of
@@ -257,9 +257,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without those that hold a window of an item of ``benchmark``. A doc_id that repeats goes if any of its rows does."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without those that hold a window of an item of ``benchmark``, one without an id too.
+
+    A doc_id that repeats goes if any of its rows does; rows without doc_id go by their text.
+    """
+    items = table(spark, sf_dir, "benchmark").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+
+    def clean(rows: DataFrame, key: Column) -> DataFrame:
+        found = decontaminate(rows.select(key.alias("doc_id"), "text"), items).where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
+        return rows.join(found, key == F.col("__key"), "left_anti").select(docs.columns)
+
+    out, nameless = clean(docs.where("doc_id is not null"), F.col("doc_id")), docs.where("doc_id is null")
+    return out if nameless.isEmpty() else out.unionByName(clean(nameless, F.xxhash64("text")))
 
 
 def query(spark, sf_dir):

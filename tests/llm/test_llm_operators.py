@@ -148,6 +148,14 @@ def test_decontamination(spark, docs, nothing):
     assert near == {(0, 0, 2), (1, 0, 2)}
 
 
+def test_decontamination_without_ids(spark, tmp_path):
+    passage, other = (" ".join(f"{c}{i}" for i in range(12)) for c in "pq")
+    spark.createDataFrame([("1", passage), (None, other)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"some {passage}"), (None, "clean"), (None, None), (1, passage), (2, f"{other} end"), (3, "clean")]
+    kept = decontamination.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, "clean"), (None, None), (3, "clean")]))
+
+
 def near_classes(texts):
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := words(t)) else {("raw", t)} for i, t in texts.items() if t is not None}
     root = {i: i for i in texts}
