@@ -1,54 +1,39 @@
-"""Sharding by jump consistent hashing (Lamping and Veach, 2014)."""
+"""Sharding by jump consistent hashing (Lamping and Veach, 2014), in DataFrame functions alone.
 
-from __future__ import annotations
+A key jumps from shard to shard: from shard b to the floor of (b + 1) / u, with u drawn anew
+for each jump, and stays where the next jump would leave the shards there are. Draws are
+hashes of the key and the number of the jump, so the jumps don't depend on how many shards
+there are, and one more shard takes only the keys that jump right onto it.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import ranks, table, write_once
+from sievewright.llm.common import table, write_once
 
 #: Stands for a null key.
 NULL_KEY = -(2**63)
+#: Values of a draw's integer.
+DRAWS = 1 << 52
 
 
-def mixed(keys: np.ndarray) -> np.ndarray:
-    """The 64-bit finaliser of SplitMix64: spreads sequential keys."""
-    x = keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def drawn(key: Column, jump: Column) -> Column:
+    """Above 0 and at most 1."""
+    return (F.shiftrightunsigned(F.xxhash64(key, jump), 12) + 1) / F.lit(float(DRAWS))
 
 
-def jump(hashes: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each 64-bit hash. Steps only move forward, about ln(shards) times, so no ring is kept."""
-    state, at = hashes.astype(np.uint64), np.full(len(hashes), -1, dtype=np.int64)
-    ahead, live = np.zeros(len(hashes), dtype=np.int64), np.arange(len(hashes))
-    while len(live):
-        at[live] = ahead[live]
-        state[live] = state[live] * np.uint64(2862933555777941757) + np.uint64(1)
-        draw = (state[live] >> np.uint64(33)).astype(np.float64) + 1
-        ahead[live] = ((at[live] + 1) * (float(1 << 31) / draw)).astype(np.int64)
-        live = live[ahead[live] < shards]
-    return at.astype(np.int32)
+def jumped(key: Column, shards: int) -> Column:
+    """A struct: ``at``, the shard of ``key``, and ``ahead``, where its next jump would lead. Most keys jump about ln(shards) times; none more than ``shards`` times."""
+    far = F.lit(shards).cast("long")
 
+    def step(state: Column, i: Column) -> Column:
+        # A jump far beyond the shards leads to the same place as one just beyond them.
+        ahead = F.least(F.floor((state["ahead"] + 1) / drawn(key, i)), far + 1)
+        return F.when(state["ahead"] < far, F.struct(state["ahead"].alias("at"), ahead.alias("ahead"))).otherwise(state)
 
-def _place(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = TaskContext.get().partitionId(), np.zeros(shards, dtype=np.int64)
-        for batch in batches:
-            keys = mixed(batch.column("doc_id").fill_null(NULL_KEY).to_numpy(zero_copy_only=False))
-            shard = jump(keys, shards)
-            rank = held[shard] + ranks(shard)
-            held += np.bincount(shard, minlength=shards)
-            columns = [*batch.columns, pa.array(shard), pa.array(jump(keys, shards + 1)), pa.array(np.full(len(shard), part, dtype=np.int32)), pa.array(rank)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "shard", "grown_shard", "part", "rank"])
-
-    return run
+    return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), F.struct(F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("ahead")), step)
 
 
 def jump_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
@@ -56,21 +41,28 @@ def jump_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
 
     ``shard`` depends on doc_id and ``shards`` alone; ``grown_shard`` is the shard among one
     more, which differs from ``shard`` only where it is the new one. ``size``: UTF-8 bytes
-    and 16; a null text has no bytes and checksum 0, as the empty one. Repeated doc_ids
-    share a shard and have slots of their own; a null doc_id is a key like any other.
-
-    Slots are numbered without gaps and without bringing a shard's rows together: each task
-    numbers its own rows by shard, and the counts (tasks times shards) give each its start.
-    The rows are written once, since the two passes must see the same tasks.
+    and 16; a null text has no bytes and checksum 0, as the empty one; long texts are read
+    where they lie and never moved. Repeated doc_ids share a shard and have slots of their
+    own; a null doc_id is a key like any other. Equal rows are told apart by their place, so
+    no tie is left open. No rows come of an empty table. Other columns are left out,
+    whatever their names.
+
+    Slots are numbered without gaps and without bringing a shard's rows together: rows are
+    ranked by shard within the tasks that placed them, and the counts (tasks times shards)
+    give each task its start. The rows, some 40 bytes each, are written once, since the
+    passes must see the same tasks.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
-    placed = write_once(rows.mapInArrow(_place(shards), "doc_id long, size long, text_crc32 long, shard int, grown_shard int, part int, rank long"), "shards")
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), jumped(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)), shards).alias("to"))
+    placed = write_once(rows.select(
+        "doc_id", "size", "text_crc32", F.col("to.at").cast("int").alias("shard"), F.when(F.col("to.ahead") == shards, shards).otherwise(F.col("to.at")).cast("int").alias("grown_shard"),
+        F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")), "shards")
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("held"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
-    return placed.join(starts, ["shard", "part"]).select(
+    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("shard", "part").orderBy("place")) - 1)
+    return ranked.join(starts, ["shard", "part"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("rank")).alias("slot"), "grown_shard")
 
 

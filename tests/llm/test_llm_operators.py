@@ -108,16 +108,21 @@ def test_jump_shards(spark, docs, nothing):
         slots.setdefault(r["shard"], []).append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
-    def one(key, n):  # the published loop, one key at a time
+    def one(draws, n):  # the published loop, one key at a time
         b, j = -1, 0
         while j < n:
             b = j
-            key = (key * 2862933555777941757 + 1) % 2**64
-            j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+            j = int((b + 1) / next(draws))
         return b
 
-    keys = jump_shards.mixed(np.arange(200))
-    assert jump_shards.jump(keys, 40).tolist() == [one(int(k), 40) for k in keys]
+    grown = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in got}
+    draws = {r[0]: r[1] for r in spark.range(200).selectExpr("id", "transform(sequence(1, 41), i -> (shiftrightunsigned(xxhash64(id, i), 12) + 1) / 4503599627370496D)").collect()}
+    assert all(grown[k] == (one(iter(d), 40), one(iter(d), 41)) for k, d in draws.items())
+    held = Counter(r["shard"] for r in got)
+    assert len(held) == 40 and max(held.values()) < 2 * 3000 / 40
+    hot = jump_shards.jump_shards(spark.range(900).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "'same' as text"), 5).collect()
+    own = [r for r in hot if r["doc_id"] == 7]
+    assert len({r["shard"] for r in own}) == 1 and len({(r["shard"], r["slot"]) for r in hot}) == 900
     edge = {(r["doc_id"], r["size"], r["text_crc32"]) for r in jump_shards.jump_shards(docs, 3).collect()}
     assert edge >= {(2, 16, 0), (3, 16, 0), (None, 28, zlib.crc32(b"no id at all"))}
     assert jump_shards.jump_shards(nothing).count() == 0
