@@ -1,13 +1,18 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
 Terms are all words of the examples, and one term that every text has. Inverse document
-frequencies count all documents. Words whose document rates differ between the labelled
-classes weigh in full and others by a tenth, so what a text is about doesn't drown what it
-is labelled for, and yet every example is reached by its own words. A search adds up the
-similarity to every example: frequent terms as a matrix, the others by lists of the
-examples that hold them; its neighbours are exact. Their votes, weighted by similarity, are
-calibrated on the examples themselves, each left out of its own vote. Near copies are one
-example with as many votes, so what is much copied doesn't choose the terms.
+frequencies count all documents. A word's weight grows smoothly with how surely its rate
+differs between the labelled classes, so what a text is about doesn't drown what it is
+labelled for; no word weighs nothing, so every example is reached by its own words.
+
+The index is an inverted one with block maxima. Examples lie in blocks of alike ones. A
+seldom term lists its examples; a common term's list is an array over the blocks, with its
+largest value in each. A search adds up the seldom terms and the most frequent ones, knows
+from the best of these sums how similar the last neighbour is at least, and reads the common
+terms only of blocks whose best sum and maxima together can reach that.
+Neighbours are exact. Their votes, weighted by similarity, are calibrated on the examples
+themselves, each left out of its own vote. Near copies are one example with as many votes,
+so what is much copied doesn't choose the terms.
 """
 
 from __future__ import annotations
@@ -27,13 +32,15 @@ from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash).
 POSITIVE, NEGATIVE = 4096, 8192
-#: Least error-scaled difference of rates and least labelled documents of a word that weighs in full, and the share of others; neighbours.
-LEAST_Z, LEAST_DOCS, OTHER, NEIGHBOURS = 3.0, 4, 0.1, 15
-#: A term in this share of the examples is frequent; texts searched at once; what a copy's distance counts at least.
-FREQUENT, TOGETHER, NEAR = 0.1, 32, 0.03
-#: Such a word is at least so many times as frequent in one class; texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
-LEAST_RATIO, REGISTERS, ALIKE, COPY = 3.0, 16, 4, 0.8
+#: Half of a word's weight comes at this square of its error-scaled difference of rates; the least share of a weight; neighbours.
+HALF_Z2, LEAST_SHARE, NEIGHBOURS = 25.0, 0.01, 15
+#: A term in these shares of the examples is common, or so frequent that it is added up for all; examples in a block; texts searched at once; what a copy's distance counts at least.
+COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 32, 32, 0.03
+#: Texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
+REGISTERS, ALIKE, COPY = 16, 4, 0.8
 COMMON_WEIGHT, EVIDENCE, REMEMBERED = 2.0, 5, 50_000
+#: What rounding may do to a sum of similarities.
+SLACK = 1e-5
 
 
 def held_out() -> Column:
@@ -51,27 +58,40 @@ class Index:
     def __init__(self, terms: list[bytes], weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
         self.place = {t: i for i, t in enumerate(terms)}
         self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
-        self.ids, self.labels = ids, labels.astype(np.float64)
-        self.weight, self.sizes = np.where(self.labels == 1, rates[1], rates[0]), sizes
         vectors = [self._unit(at, n) for at, n in counts]
+        often = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=len(self.weights)) / len(ids)
+        # Places of terms among the frequent and among the common ones; -1 for others.
+        self.frequent, self.common = (np.where(kind, np.cumsum(kind) - 1, -1) for kind in (often >= FREQUENT, (often >= COMMON) & (often < FREQUENT)))
+        # Alike ones beside each other: by label, by the frequent word that says most (as languages differ), and by length.
+        chief = []
+        for at, value in vectors:
+            often_here = np.flatnonzero(self.frequent[at[:-1]] >= 0)
+            chief.append(int(at[often_here[np.argmax(value[often_here])]]) if len(often_here) else -1)
+        order = np.lexsort((np.arange(len(ids)), [value[-1] for _, value in vectors], chief, labels))
+        self.ids, self.labels, self.sizes = ids[order], labels[order].astype(np.float64), sizes[order]
+        self.weight = np.where(self.labels == 1, rates[1], rates[0])
+        vectors = [vectors[i] for i in order]
         n = np.array([len(at) for at, _ in vectors], dtype=np.int64)
         self.row_edges = np.concatenate(([0], np.cumsum(n)))
         self.row_at = np.concatenate([at for at, _ in vectors])
         self.row_value = np.concatenate([value for _, value in vectors])
         owner = np.repeat(np.arange(len(ids), dtype=np.int32), n)
-        often = np.bincount(self.row_at, minlength=len(self.weights))
-        some = np.flatnonzero(often >= FREQUENT * len(ids))
-        self.frequent = np.full(len(self.weights), -1, dtype=np.int32)
-        self.frequent[some] = np.arange(len(some))
-        self.matrix = np.zeros((len(some), len(ids)), dtype=np.float32)
-        own = self.frequent[self.row_at]
-        self.matrix[own[own >= 0], owner[own >= 0]] = self.row_value[own >= 0]
+        self.blocks = -(-len(ids) // BLOCK)
+
+        def whole(place: np.ndarray) -> np.ndarray:
+            out, own = np.zeros((int(place.max()) + 1, self.blocks * BLOCK), dtype=np.float32), place[self.row_at]
+            out[own[own >= 0], owner[own >= 0]] = self.row_value[own >= 0]
+            return out
+
+        self.matrix = whole(self.frequent)
+        self.lists = whole(self.common).reshape(-1, self.blocks, BLOCK)
+        self.most = self.lists.max(axis=2)
         by = np.argsort(self.row_at, kind="stable")
-        by = by[own[by] < 0]
-        self.edges = np.concatenate(([0], np.cumsum(np.where(self.frequent < 0, often, 0))))
+        by = by[(self.frequent[self.row_at[by]] < 0) & (self.common[self.row_at[by]] < 0)]
         self.rows, self.values = owner[by], self.row_value[by]
+        self.edges = np.concatenate(([0], np.cumsum(np.bincount(self.row_at[by], minlength=len(self.weights)))))
         self.asked = np.zeros(len(self.weights), dtype=np.float32)
-        self.slope, self.shift, self.memo = 1.0, 0.0, {}
+        self.slope, self.shift, self.memo, self.read = 1.0, 0.0, {}, [0, 0]
 
     @property
     def dense(self) -> np.ndarray:
@@ -84,9 +104,14 @@ class Index:
         part = slice(self.row_edges[row], self.row_edges[row + 1])
         return self.row_at[part], self.row_value[part]
 
-    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        own = sorted((p, n) for t, n in counts.items() if (p := self.place.get(t)) is not None)
-        return self._unit(np.array([i for i, _ in own], dtype=np.int32), np.array([n for _, n in own], dtype=np.int64))
+    def vectors(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Unit vectors of texts' words."""
+        sizes, width = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), len(self.weights)
+        term = np.fromiter(map(self.place.get, itertools.chain.from_iterable(texts), itertools.repeat(-1)), dtype=np.int64, count=int(sizes.sum()))
+        key = (np.repeat(np.arange(len(texts)) * width, sizes) + term)[term >= 0]
+        key, often = np.unique(key, return_counts=True)
+        edges = np.searchsorted(key, np.arange(len(texts) + 1) * width)
+        return [self._unit((key[a:b] - i * width).astype(np.int32), often[a:b]) for i, (a, b) in enumerate(itertools.pairwise(edges.tolist()))]
 
     def _unit(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of ascending terms and their counts."""
@@ -95,34 +120,54 @@ class Index:
         return at, (value / np.sqrt((value * value).sum())).astype(np.float32)
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and similarities of the ``k`` most similar examples; ties go to the earlier row."""
+        """Rows and similarities of the ``k`` most similar examples; ties go to the smaller id."""
         return next(self.nearest_each([(at, value)], k))
 
     def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        k = min(k, len(self.ids))
         for start in range(0, len(vectors), TOGETHER):
-            some = vectors[start : start + TOGETHER]
-            asked = np.zeros((len(some), len(self.matrix)), dtype=np.float32)
-            for i, (at, value) in enumerate(some):
-                own = self.frequent[at]
-                asked[i, own[own >= 0]] = value[own >= 0]
-            for (at, value), sums in zip(some, asked @ self.matrix):
-                yield self._best(at, value, sums, k)
-
-    def _best(self, at: np.ndarray, value: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        seldom = self.frequent[at] < 0
+            yield from self._search(vectors[start : start + TOGETHER], k)
+
+    def _search(self, some: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, width = len(some), self.blocks * BLOCK
+        edge = np.concatenate(([0], np.cumsum([len(x) for x, _ in some])))
+        who = np.repeat(np.arange(n), np.diff(edge))
+        at, value = (np.concatenate(x) for x in zip(*some))
+
+        def table(place: np.ndarray, height: int) -> np.ndarray:
+            out, own = np.zeros((n, height), dtype=np.float32), place[at]
+            out[who[own >= 0], own[own >= 0]] = value[own >= 0]
+            return out
+
+        seldom = np.flatnonzero((self.frequent[at] < 0) & (self.common[at] < 0))
         first = self.edges[at[seldom]]
-        n = self.edges[at[seldom] + 1] - first
-        if n.sum():
-            i = _stretches(first, n)
-            sums = sums + np.bincount(self.rows[i], self.values[i] * np.repeat(value[seldom], n), minlength=len(self.ids))
-        rows = np.flatnonzero(sums >= np.partition(sums, -k)[-k] - 1e-5) if len(sums) > k else np.arange(len(sums))
-        # Once more, in an order that doesn't depend on the texts searched beside this one.
+        many = self.edges[at[seldom] + 1] - first
+        i = _stretches(first, many)
+        sums = np.bincount(np.repeat(who[seldom] * width, many) + self.rows[i], self.values[i] * np.repeat(value[seldom], many), minlength=n * width).reshape(n, width)
+        sums += table(self.frequent, len(self.matrix)) @ self.matrix
+        sums[:, len(self.ids) :] = -1  # the last block's empty places
+        asked = table(self.common, len(self.lists))
+        bound = sums.reshape(n, self.blocks, BLOCK).max(axis=2) + asked @ self.most
+        for t in range(n):
+            own = np.flatnonzero(asked[t])
+            # What the best so far reach in the end, the last neighbour reaches too.
+            best = np.argpartition(sums[t], width - k)[width - k :]
+            least = (sums[t, best] + asked[t, own] @ self.lists[own[:, None], best // BLOCK, best % BLOCK]).min()
+            near = np.flatnonzero(bound[t] >= least - SLACK)
+            self.read[0] += len(near)
+            self.read[1] += self.blocks
+            full = (sums[t].reshape(-1, BLOCK)[near] + np.tensordot(asked[t, own], self.lists[own[:, None], near], 1)).ravel()
+            good = np.flatnonzero(full >= np.partition(full, -k)[-k] - SLACK)
+            yield self._exact(at[edge[t] : edge[t + 1]], value[edge[t] : edge[t + 1]], near[good // BLOCK] * BLOCK + good % BLOCK, k)
+
+    def _exact(self, at: np.ndarray, value: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best of ``rows``, added up in an order that doesn't depend on the texts searched beside this one."""
         n = np.diff(self.row_edges)[rows]
         i = _stretches(self.row_edges[rows], n)
         self.asked[at] = value
         scores = np.add.reduceat(self.row_value[i].astype(np.float64) * self.asked[self.row_at[i]], np.cumsum(n) - n)
         self.asked[at] = 0
-        best = np.lexsort((rows, -scores))[:k]
+        best = np.lexsort((rows, self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
 
     def vote(self, rows: np.ndarray, scores: np.ndarray) -> float:
@@ -158,7 +203,7 @@ class Index:
         if len(self.memo) >= REMEMBERED:
             self.memo.clear()
         new = {k: w for k, w in zip(keys, words) if k not in self.memo}
-        for key, (rows, scores) in zip(new, self.nearest_each([self.vector(Counter(w)) for w in new.values()], min(NEIGHBOURS, len(self.ids)))):
+        for key, (rows, scores) in zip(new, self.nearest_each(self.vectors([*new.values()]), NEIGHBOURS)):
             p = 1 / (1 + np.exp(-(self.slope * _logit(self.vote(rows, scores)) + self.shift)))
             self.memo[key] = float(p), self.ids[rows[:EVIDENCE]].tolist()
         return [self.memo[k] for k in keys]
@@ -252,11 +297,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     counts = [(at, n) for *_, at, n in got]
     a, b = (np.bincount(np.concatenate([at for (at, _), label in zip(counts, y) if label == k]), minlength=len(place)) for k in (1, 0))
     rate = (a + b) / (p + q)
-    uneven = (a / p >= LEAST_RATIO * b / q) | (b / q >= LEAST_RATIO * a / p)
-    z = np.abs(a / p - b / q) / np.sqrt(rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
-    telling = (a + b >= LEAST_DOCS) & uneven & (z > LEAST_Z)
+    z2 = (a / p - b / q) ** 2 / (rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
     n, df = _document_counts(docs, dict(place))
-    weights = (np.log((n + 1) / (df + 1)) + 1e-6) * np.where(telling, 1.0, OTHER)
+    weights = (np.log((n + 1) / (df + 1)) + 1e-6) * (z2 + LEAST_SHARE * HALF_Z2) / (z2 + HALF_Z2)
     rates = tuple(size.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1))
     index = Index(list(place), weights, ids, counts, y, rates, sizes)
     index.calibrate()
