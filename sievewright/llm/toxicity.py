@@ -84,7 +84,7 @@ class Index:
             return out
 
         self.matrix = whole(self.frequent)
-        self.lists = whole(self.common).reshape(-1, self.blocks, BLOCK)
+        self.lists = (lists := whole(self.common)).reshape(len(lists), self.blocks, BLOCK)
         self.most = self.lists.max(axis=2)
         by = np.argsort(self.row_at, kind="stable")
         by = by[(self.frequent[self.row_at[by]] < 0) & (self.common[self.row_at[by]] < 0)]
@@ -143,8 +143,8 @@ class Index:
         first = self.edges[at[seldom]]
         many = self.edges[at[seldom] + 1] - first
         i = _stretches(first, many)
-        sums = np.bincount(np.repeat(who[seldom] * width, many) + self.rows[i], self.values[i] * np.repeat(value[seldom], many), minlength=n * width).reshape(n, width)
-        sums += table(self.frequent, len(self.matrix)) @ self.matrix
+        rest = np.bincount(np.repeat(who[seldom] * width, many) + self.rows[i], self.values[i] * np.repeat(value[seldom], many), minlength=n * width).reshape(n, width)
+        sums = table(self.frequent, len(self.matrix)) @ self.matrix + rest
         sums[:, len(self.ids) :] = -1  # the last block's empty places
         asked = table(self.common, len(self.lists))
         bound = sums.reshape(n, self.blocks, BLOCK).max(axis=2) + asked @ self.most
