@@ -2,9 +2,10 @@
 
 Rows are dealt into parts of a bounded size. In each part every tree is one sorted array of
 hash strings, signs of random hyperplanes. A query descends to its longest common prefix in
-each tree and then all trees ascend together, a bit at a time, until their subtrees hold
-enough candidates; these are scored exactly. Equal strings are never cut apart. Equal
-vectors are one candidate with all their ids, so a much copied one can't stand for enough.
+each tree and then the trees ascend together, a bit at a time and within a bit tree by tree,
+until their subtrees hold enough candidates; these are scored exactly. Equal strings are
+never cut apart. Equal vectors are one candidate with all their ids, so a much copied one
+can't stand for enough.
 
 For largest inner products a coordinate is added that gives all rows the same norm, after
 which the nearest by distance, and so by angle, are those of the largest inner product.
@@ -13,6 +14,7 @@ which the nearest by distance, and so by angle, are those of the largest inner p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,9 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import table, write_once
 
-TREES, BITS, PART_ROWS, QUERY_ROWS, SEED = 24, 32, 8192, 50_000, 17
+TREES, BITS, PART_ROWS, QUERY_ROWS, SEED = 128, 32, 8192, 8192, 17
 #: Rows and queries on which the candidates to ask for are fitted, and the recall asked for there.
-FIT_ROWS, FIT_QUERIES, FIT_RECALL = 8192, 256, 0.96
+FIT_ROWS, FIT_QUERIES, FIT_RECALL, FIT_STEP = 8192, 512, 0.95, 1.1
 #: The recall asked for of the half of those queries that is worse served.
 FIT_WORSE_HALF = 0.9
 
@@ -56,7 +58,7 @@ class Forest:
         self.sorted = np.take_along_axis(strings, self.order, axis=0)
 
     def candidates(self, strings: np.ndarray, least: int) -> Iterator[np.ndarray]:
-        """For each query's strings (one per tree), rows of the deepest level at which all trees hold ``least`` together."""
+        """For each query's strings (one per tree), the rows that the trees hold when they have ascended just so far that they hold ``least`` together."""
         n, trees = strings.shape
 
         def ranges(level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,11 +76,17 @@ class Forest:
             enough = (hi - lo).sum(axis=1) >= least
             shallow = np.where(open_ & enough, middle, shallow)
             deep = np.where(open_ & ~enough, middle - 1, deep)
-        lo, hi = ranges(shallow)
+        (lo, hi), (low, high) = ranges(shallow), ranges(np.minimum(shallow + 1, BITS))
+        # One level deeper they hold too little: only the first trees take the last step.
+        wide, narrow = hi - lo, high - low
+        held = np.cumsum(wide, axis=1) + narrow.sum(axis=1, keepdims=True) - np.cumsum(narrow, axis=1)
+        stay = np.concatenate([np.zeros((n, 1), dtype=bool), held[:, :-1] >= least], axis=1)
+        lo, hi = np.where(stay, low, lo), np.where(stay, high, hi)
+        flat, base = self.order.ravel(order="F"), np.arange(trees) * len(self.order)
         for i in range(n):
+            size = hi[i] - lo[i]
             seen = np.zeros(len(self.vectors), dtype=bool)
-            for t in range(trees):
-                seen[self.order[lo[i, t] : hi[i, t], t]] = True
+            seen[flat[np.arange(size.sum()) + np.repeat(lo[i] + base - (np.cumsum(size) - size), size)]] = True
             yield np.flatnonzero(seen)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, strings: np.ndarray, k: int, least: int):
@@ -99,16 +107,20 @@ class Forest:
             other = ids != query_ids[i]
             ids, scores = ids[other], scores[other]
             best = np.lexsort((ids, -scores))[:k]
-            out.append((np.full(len(best), i), ids[best], scores[best]))
+            out.append((np.full(len(best), i, dtype=np.int64), ids[best], scores[best]))
         return out
 
 
+@lru_cache(maxsize=2)
+def hyperplanes(size: int, trees: int) -> np.ndarray:
+    return np.random.default_rng(SEED).standard_normal((size, trees * BITS)).astype(np.float32)
+
+
 class Space:
     """The hyperplanes, through the mean of the lifted rows."""
 
     def __init__(self, sample: np.ndarray, norm: float, trees: int):
         self.norm, self.trees = norm, trees
-        self.planes = np.random.default_rng(SEED).standard_normal((sample.shape[1] + 1, trees * BITS)).astype(np.float32)
         self.middle = self.lifted(sample).mean(axis=0)
 
     def lifted(self, rows: np.ndarray) -> np.ndarray:
@@ -123,7 +135,7 @@ class Space:
         return np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
 
     def strings(self, lifted: np.ndarray) -> np.ndarray:
-        bits = ((lifted - self.middle) @ self.planes > 0).reshape(len(lifted), self.trees, BITS // 8, 8)
+        bits = ((lifted - self.middle) @ hyperplanes(lifted.shape[1], self.trees) > 0).reshape(len(lifted), self.trees, BITS // 8, 8)
         return np.packbits(bits, axis=3).reshape(len(lifted), self.trees, BITS // 8).copy().view(">u4").reshape(len(lifted), self.trees).astype(np.uint32)
 
 
@@ -150,18 +162,26 @@ def fitted(sample: np.ndarray, space: Space, k: int, total: int) -> float:
         recall = np.sort([np.isin(near, rows).mean() for near, rows in zip(nearest, found)])
         if recall.mean() >= FIT_RECALL and recall[: -(-asked // 2)].mean() >= FIT_WORSE_HALF:
             return share
-        share *= 1.3
+        share *= FIT_STEP
     return float(space.trees)
 
 
-def _part_search(shared, k: int, share: float):
-    def search(part):
-        ids, queries, strings, space = shared.value
-        own = part.column("embedding").combine_chunks()
-        forest = Forest(part.column("vec_id").to_numpy(), own.flatten().to_numpy().reshape(len(part), -1), space)
-        got = forest.search(ids, queries, strings, k, int(np.ceil(share * len(forest.vectors)))) or [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
-        query, found, score = (np.concatenate(x) for x in zip(*got))
-        return pa.table({"query_id": pa.array(ids[query], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
+def _matrix(rows: pa.Table) -> np.ndarray:
+    return rows.column("embedding").combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+
+
+def _part_search(space: Space, k: int, share: float):
+    def search(part: pa.Table, asked: pa.Table) -> pa.Table:
+        found = [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
+        if len(part) and len(asked):
+            forest = Forest(part.column("vec_id").to_numpy(), _matrix(part), space)
+            ids, queries = asked.column("vec_id").to_numpy(), _matrix(asked)
+            least = int(np.ceil(share * len(forest.vectors)))
+            for at in range(0, len(ids), 1024):
+                some = slice(at, at + 1024)
+                found += [(ids[some][q], v, s) for q, v, s in forest.search(ids[some], queries[some], space.strings(space.aimed(queries[some])), k, least)]
+        query, near, score = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.float64())})
 
     return search
 
@@ -174,7 +194,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
     of an empty table. Fewer candidates than ``k`` are all returned. A row is no neighbour
     of a query with its vec_id, so repeated rows neither find nor push out each other.
 
-    Queries go to the executors in blocks of QUERY_ROWS; each block searches every part.
+    Other columns are left out, whatever their names. Vectors are of any length; very long
+    ones want a smaller ``part_rows``.
+
+    Each part meets each block of QUERY_ROWS queries in a group of its own, so a task holds
+    a part and a block, and the driver only the rows on which the share is fitted.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where("vec_id is not null")
@@ -182,35 +206,25 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     rows = rows.where(F.col("embedding").isNotNull() & ~bad).withColumn("norm2", norm2).where("norm2 > 0")
     sound = write_once(rows.withColumn("size", F.size("embedding")), "vectors")
-    schema = "query_id long, vec_id long, score double"
-    common = sound.groupBy("size").agg(F.count("*").alias("n"), F.max("norm2").alias("most")).orderBy(F.desc("n"), "size").first()
+    common = sound.groupBy("size").agg(F.count("*").alias("n"), F.max("norm2").alias("most"), F.count_if(F.col("vec_id") % every == 0).alias("asked")).orderBy(F.desc("n"), "size").first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sound = sound.where(F.col("size") == common["size"]).select("vec_id", "embedding")
-    total = common["n"]
+    sample = _matrix(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow())
+    space = Space(sample, float(np.sqrt(common["most"])) * (1 + 1e-6), trees)
+    share = fitted(sample, space, k, common["n"])
+    parts, blocks = -(-common["n"] // part_rows), max(1, -(-common["asked"] // QUERY_ROWS))
 
-    def gathered(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        got = df.toArrow()
-        return got.column("vec_id").to_numpy(), got.column("embedding").combine_chunks().values.to_numpy().reshape(len(got), -1)
+    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        # Equal rows go one by one, so that no id fills a part.
+        place = F.pmod(F.xxhash64("vec_id", F.lit(SEED), F.monotonically_increasing_id()), F.lit(n)).cast("int")
+        return df.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
 
-    _, sample = gathered(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS))
-    space = Space(sample, float(np.sqrt(common["most"])) * (1 + 1e-6), trees)
-    share = fitted(sample, space, k, total)
-    parts = -(-total // part_rows)
-    dealt = sound.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(parts)))
-    asked = sound.where(F.col("vec_id") % every == 0)
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    found = []
-    for block in range(blocks):
-        ids, queries = gathered(asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block))
-        shared = spark.sparkContext.broadcast((ids, queries, space.strings(space.aimed(queries)) if len(ids) else np.zeros((0, trees), dtype=np.uint32), space))
-
-        found.append(dealt.groupBy("part").applyInArrow(_part_search(shared, k, share), schema))
-    every_part = found[0]
-    for f in found[1:]:
-        every_part = every_part.unionAll(f)
+    rows = dealt(sound, "part", parts, "block", blocks).groupBy("part", "block")
+    asked = dealt(sound.where(F.col("vec_id") % every == 0).dropDuplicates(), "block", blocks, "part", parts).groupBy("part", "block")
+    found = rows.cogroup(asked).applyInArrow(_part_search(space, k, share), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return every_part.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark, sf_dir):
