@@ -109,6 +109,12 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
             yield batch.slice(start)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending; by a sort, which is many times faster here than a table of hashes."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))[: len(values)]]
+
+
 def ranks(keys: np.ndarray) -> np.ndarray:
     """For each element, how many equal ones come before it."""
     order = np.argsort(keys, kind="stable")
@@ -124,5 +130,14 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [(x or b"").lower() for x in column.cast(pa.binary()).to_pylist()]
 
 
+#: A word's bytes stay, A-Z in lower case; others become spaces.
+SPACED = bytes(c if WORD.match(bytes([c])) else 32 for c in bytes(range(256)).lower())
+
+
+def spaced(column: pa.Array) -> list[bytes]:
+    """Texts in UTF-8 whose words, those of WORD, stand between spaces; null as empty."""
+    return [(x or b"").translate(SPACED) for x in column.cast(pa.binary()).to_pylist()]
+
+
 def words_of(column: pa.Array) -> list[list[bytes]]:
-    return [WORD.findall(x) for x in bytes_of(column)]
+    return [x.split() for x in spaced(column)]

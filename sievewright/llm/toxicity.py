@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, release, table, write_once
+from sievewright.llm.common import WORD, by_bytes, bytes_of, distinct, release, spaced, table, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash).
@@ -35,7 +36,7 @@ POSITIVE, NEGATIVE = 4096, 8192
 #: Half of a word's weight comes at this square of its error-scaled difference of rates; the least share of a weight; neighbours.
 HALF_Z2, LEAST_SHARE, NEIGHBOURS = 25.0, 0.01, 15
 #: A term in these shares of the examples is common, or so frequent that it is added up for all; examples in a block; texts searched at once; what a copy's distance counts at least.
-COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 32, 32, 0.03
+COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 64, 32, 0.03
 #: Texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
 REGISTERS, ALIKE, COPY = 16, 4, 0.8
 COMMON_WEIGHT, EVIDENCE, REMEMBERED = 2.0, 5, 50_000
@@ -52,10 +53,19 @@ def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
+def found(texts: list[bytes], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``spaced`` texts that ``place`` knows, in order: whose text's and which."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    coded = lists.values.dictionary_encode()  # each word is looked up once
+    term = np.fromiter(map(place.get, coded.dictionary.to_numpy(zero_copy_only=False), itertools.repeat(-1)), dtype=np.int64, count=len(coded.dictionary))[coded.indices.to_numpy()]
+    text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    return text[term >= 0], term[term >= 0]
+
+
 class Index:
     """Examples as unit vectors, by example and by term."""
 
-    def __init__(self, terms: list[bytes], weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
+    def __init__(self, terms: list[str], weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
         self.place = {t: i for i, t in enumerate(terms)}
         self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
         vectors = [self._unit(at, n) for at, n in counts]
@@ -88,7 +98,8 @@ class Index:
         self.most = self.lists.max(axis=2)
         by = np.argsort(self.row_at, kind="stable")
         by = by[(self.frequent[self.row_at[by]] < 0) & (self.common[self.row_at[by]] < 0)]
-        self.rows, self.values = owner[by], self.row_value[by]
+        # A row and its value side by side: one look for both.
+        self.postings = np.stack([owner[by], self.row_value[by].view(np.int32)], axis=1).view(np.int64).ravel()
         self.edges = np.concatenate(([0], np.cumsum(np.bincount(self.row_at[by], minlength=len(self.weights)))))
         self.asked = np.zeros(len(self.weights), dtype=np.float32)
         self.slope, self.shift, self.memo, self.read = 1.0, 0.0, {}, [0, 0]
@@ -104,12 +115,11 @@ class Index:
         part = slice(self.row_edges[row], self.row_edges[row + 1])
         return self.row_at[part], self.row_value[part]
 
-    def vectors(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Unit vectors of texts' words."""
-        sizes, width = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), len(self.weights)
-        term = np.fromiter(map(self.place.get, itertools.chain.from_iterable(texts), itertools.repeat(-1)), dtype=np.int64, count=int(sizes.sum()))
-        key = (np.repeat(np.arange(len(texts)) * width, sizes) + term)[term >= 0]
-        key, often = np.unique(key, return_counts=True)
+    def vectors(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Unit vectors of ``spaced`` texts."""
+        width = len(self.weights)
+        text, term = found(texts, self.place)
+        key, often = np.unique(text * width + term, return_counts=True)
         edges = np.searchsorted(key, np.arange(len(texts) + 1) * width)
         return [self._unit((key[a:b] - i * width).astype(np.int32), often[a:b]) for i, (a, b) in enumerate(itertools.pairwise(edges.tolist()))]
 
@@ -142,9 +152,10 @@ class Index:
         seldom = np.flatnonzero((self.frequent[at] < 0) & (self.common[at] < 0))
         first = self.edges[at[seldom]]
         many = self.edges[at[seldom] + 1] - first
-        i = _stretches(first, many)
-        rest = np.bincount(np.repeat(who[seldom] * width, many) + self.rows[i], self.values[i] * np.repeat(value[seldom], many), minlength=n * width).reshape(n, width)
-        sums = table(self.frequent, len(self.matrix)) @ self.matrix + rest
+        read = self.postings[_stretches(first, many)].view(np.int32).reshape(-1, 2)
+        rest = np.bincount(read[:, 0] + np.repeat(who[seldom] * width, many), read[:, 1].view(np.float32) * np.repeat(value[seldom], many), minlength=n * width)
+        sums = table(self.frequent, len(self.matrix)) @ self.matrix
+        sums += rest.reshape(n, width).astype(np.float32)
         sums[:, len(self.ids) :] = -1  # the last block's empty places
         asked = table(self.common, len(self.lists))
         bound = sums.reshape(n, self.blocks, BLOCK).max(axis=2) + asked @ self.most
@@ -198,11 +209,11 @@ class Index:
         self.slope, self.shift = max(float(beta[0]), 1e-3), float(beta[1])
 
     def score(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
-        words = [WORD.findall(t) for t in texts]
-        keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
+        """Of ``spaced`` texts."""
+        keys = [hashlib.blake2b(t, digest_size=16).digest() for t in texts]
         if len(self.memo) >= REMEMBERED:
             self.memo.clear()
-        new = {k: w for k, w in zip(keys, words) if k not in self.memo}
+        new = {k: t for k, t in zip(keys, texts) if k not in self.memo}
         for key, (rows, scores) in zip(new, self.nearest_each(self.vectors([*new.values()]), NEIGHBOURS)):
             p = 1 / (1 + np.exp(-(self.slope * _logit(self.vote(rows, scores)) + self.shift)))
             self.memo[key] = float(p), self.ids[rows[:EVIDENCE]].tolist()
@@ -214,18 +225,18 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
-def _document_counts(docs: DataFrame, place: dict[bytes, int]) -> tuple[int, np.ndarray]:
+def _document_counts(docs: DataFrame, place: dict[str, int]) -> tuple[int, np.ndarray]:
     """Documents, and those that hold each term, over all of ``docs``."""
     wanted = docs.sparkSession.sparkContext.broadcast(place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        find, total = wanted.value.get, np.zeros(len(wanted.value) + 1, dtype=np.int64)
+        place = wanted.value
+        total = np.zeros(len(place) + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", 2 << 20):
-            texts = bytes_of(batch.column("text"))
-            found = [i for text in texts for i in map(find, set(WORD.findall(text))) if i is not None]
-            total += np.bincount(np.array(found, dtype=np.int64), minlength=len(total))
-            total[-1] += len(texts)
+            text, term = found(spaced(batch.column("text")), place)
+            total += np.bincount(distinct(text * len(place) + term) % max(1, len(place)), minlength=len(total))
+            total[-1] += len(batch)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "n"])
 
@@ -284,7 +295,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     place = defaultdict(itertools.count().__next__)
     got = []
     for doc, label, marks, words, often, hashes in sample.toLocalIterator():
-        at, n = np.array([place[w] for w in bytes(words).split()], dtype=np.int32), np.frombuffer(bytes(often), dtype="<i4")
+        at, n = np.array([place[w] for w in bytes(words).decode().split(" ") if w], dtype=np.int32), np.frombuffer(bytes(often), dtype="<i4")
         order = np.argsort(at)
         got.append((doc, label, hashlib.blake2b(words).digest(), at[order], n[order], marks, np.frombuffer(bytes(hashes), dtype="<u8")))
     got.sort(key=lambda r: r[:3])
@@ -315,7 +326,7 @@ def scorer(spark: SparkSession, index: Index | None):
         release()
         index = shared.value
         for column in columns:
-            found = [x for i in range(0, len(column), 256) for x in index.score(bytes_of(column[i : i + 256]))] if index else [(0.25, [])] * len(column)
+            found = [x for i in range(0, len(column), 1024) for x in index.score(spaced(column[i : i + 1024]))] if index else [(0.25, [])] * len(column)
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["score", "evidence"])
 
     return run
