@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, distinct, release, spaced, table, write_once
+from sievewright.llm.common import WORD, by_bytes, bytes_of, distinct, release, spaced, table, trim, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash).
@@ -82,7 +82,7 @@ class Index:
         self.weight = np.where(self.labels == 1, rates[1], rates[0])
         vectors = [vectors[i] for i in order]
         n = np.array([len(at) for at, _ in vectors], dtype=np.int64)
-        self.row_edges = np.concatenate(([0], np.cumsum(n)))
+        self.row_sizes, self.row_edges = n, np.concatenate(([0], np.cumsum(n)))
         self.row_at = np.concatenate([at for at, _ in vectors])
         self.row_value = np.concatenate([value for _, value in vectors])
         owner = np.repeat(np.arange(len(ids), dtype=np.int32), n)
@@ -173,10 +173,10 @@ class Index:
 
     def _exact(self, at: np.ndarray, value: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The best of ``rows``, added up in an order that doesn't depend on the texts searched beside this one."""
-        n = np.diff(self.row_edges)[rows]
+        n = self.row_sizes[rows]
         i = _stretches(self.row_edges[rows], n)
         self.asked[at] = value
-        scores = np.add.reduceat(self.row_value[i].astype(np.float64) * self.asked[self.row_at[i]], np.cumsum(n) - n)
+        scores = np.add.reduceat(self.row_value[i] * self.asked[self.row_at[i]], np.cumsum(n) - n, dtype=np.float64)
         self.asked[at] = 0
         best = np.lexsort((rows, self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
@@ -301,6 +301,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     got.sort(key=lambda r: r[:3])
     apart = _apart([r[1] for r in got], [r[5] for r in got], [r[6] for r in got])
     got, sizes = [got[i][:5] for i in apart], np.array(list(apart.values()), dtype=np.int64)
+    trim()
     ids, y = (np.array([r[i] for r in got], dtype=np.int64) for i in (0, 1))
     p, q = float((y == 1).sum()), float((y == 0).sum())
     if not (p and q):
@@ -314,6 +315,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     rates = tuple(size.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1))
     index = Index(list(place), weights, ids, counts, y, rates, sizes)
     index.calibrate()
+    trim()
     return index
 
 
