@@ -5,32 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievewright.functions import names
+from sievewright.sources import lines
 
-def keyword_of(items: DataFrame, key: str, label: Column, keywords: list[tuple[str, str]]) -> DataFrame:
+
+def keyword_of(items: DataFrame, key: str, label: Column, keywords: list[tuple[str, str]], codes: list[str] = []) -> DataFrame:
     """``slug`` of the keyword that comes first in the label; of several there the longest, then the first listed.
 
-    ``keywords`` (keyword, slug) is a dimension of a few hundred rows at most, held in the
-    expression, so each row is matched where it lies.
+    Labels are folded (case and accents) and freed of references (``codes``) first, and so are
+    keywords, so ``WC-00660 sala`` is no ``wc``. ``keywords`` (keyword, slug) is a dimension of
+    a few hundred rows at most, held in the expression, so each row is matched where it lies.
+    """
+    bare = F.when(label.isNotNull(), names.strip_codes(label, codes))
+    known = [(lines.plain_fold(k), s) for k, s in keywords]
+    places = F.transform(F.array(bare), lambda own: F.array_min(F.filter(F.array(*(
+        F.struct(F.instr(own, k).alias("at"), F.lit(-len(k)).alias("short"), F.lit(i).alias("listed"), F.lit(s).alias("slug")) for i, (k, s) in enumerate(known))), lambda p: p["at"] > 0)))
+    return items.withColumn("slug", places[0]["slug"])
+
+
+def resolved(asked: DataFrame, name: str, keys: list[Column], index: DataFrame, index_key: str, value: str) -> DataFrame:
+    """``value`` by the first of ``keys`` that the index knows, and its ``rank``; of equal index keys the least value holds.
+
+    One join for each key, of the rows that none has found so far; nothing is listed anew.
     """
-    places = F.array(*(F.struct(F.instr(label, k).alias("at"), F.lit(-len(k)).alias("short"), F.lit(i).alias("listed"), F.lit(s).alias("slug")) for i, (k, s) in enumerate(keywords)))
-    best = F.array_min(F.filter(places, lambda p: p["at"] > 0))
-    return items.withColumn("slug", best["slug"])
+    known = index.groupBy(F.col(index_key).alias("__key")).agg(F.min(value).alias("__value"))
+    out = asked.select(name, *(k.alias(f"__k{i}") for i, k in enumerate(keys))).withColumns({value: F.lit(None).cast(index.schema[value].dataType), "rank": F.lit(None).cast("int")})
+    for i in range(len(keys)):
+        hit = out.join(known, (F.col("rank").isNull()) & (F.col(f"__k{i}") == F.col("__key")), "left")
+        out = hit.withColumns({value: F.coalesce(value, "__value"), "rank": F.coalesce("rank", F.when(F.col("__key").isNotNull(), i))}).drop("__key", "__value")
+    return out.groupBy(name).agg(F.min_by(value, "rank").alias(value), F.min("rank").alias("rank"))
+
+
+def all_or_nothing(found: DataFrame, name: str, value: str) -> DataFrame:
+    """``found`` if every row has its ``value``; else it fails with how many have none, before anything is written."""
+    missing = found.where(F.col(value).isNull()).count()
+    if missing:
+        raise ValueError(f"{missing} of {name} can't be resolved")
+    return found
 
 
 def inventory(expected: DataFrame, arrived: DataFrame, key: str) -> DataFrame:
-    """``status`` of each key: arrived, missing or extra."""
+    """``status`` of each key: arrived, missing or extra. For file names see ``files.inventory``."""
     a, b = expected.select(key).distinct().withColumn("__e", F.lit(True)), arrived.select(key).distinct().withColumn("__a", F.lit(True))
     return a.join(b, key, "full_outer").select(key, F.when(F.col("__e").isNull(), "extra").when(F.col("__a").isNull(), "missing").otherwise("arrived").alias("status"))
 
 
-def resolved(asked: DataFrame, name: str, keys: list[Column], index: DataFrame, index_key: str, value: str) -> DataFrame:
-    """``value`` by the first of ``keys`` that the index knows; of equal index keys the least value holds."""
-    tries = asked.select(name, F.posexplode(F.array(*keys)).alias("rank", "__key"))
-    known = index.groupBy(F.col(index_key).alias("__key")).agg(F.min(value).alias(value))
-    found = tries.join(known, "__key").groupBy(name).agg(F.min_by(value, "rank").alias(value), F.min("rank").alias("rank"))
-    return asked.select(name).distinct().join(found, name, "left")
-
-
 def weighted(items: DataFrame, group: str, value: str, weight: str) -> DataFrame:
     """Weighted mean and standard deviation, from moments, in one pass."""
     w, x = F.col(weight), F.col(value)

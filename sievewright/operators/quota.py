@@ -36,27 +36,33 @@ def fill(leaders: DataFrame, slots: DataFrame, order: list) -> DataFrame:
     return ranked.join(slots.select("room", "slots"), "room").where("pick_rank <= slots")
 
 
-def batches(items: DataFrame, order: list, size: int) -> DataFrame:
-    """``batch`` for each item: dealt round robin into as few batches as ``size`` allows, so each gets strong and weak ones.
+def batches(items: DataFrame, order: list, size: int, room: str | None = None) -> DataFrame:
+    """``batch`` for each item of a room: dealt round robin into as few batches as ``size`` allows, so each gets strong and weak ones.
 
-    Ranks are global: for the contenders of a contest, not for items of a corpus.
+    Ranks are within a room: for the contenders of a contest, not for items of a corpus.
     """
-    n = items.agg(F.ceil(F.count("*") / size).cast("int").alias("n_batches"))
-    return items.withColumn("place", F.row_number().over(Window.orderBy(*order)) - 1).join(F.broadcast(n)).withColumn("batch", (F.col("place") % F.col("n_batches")).cast("int"))
+    within = Window.partitionBy(room) if room else Window.partitionBy()
+    placed = items.withColumns({"place": F.row_number().over(within.orderBy(*order)) - 1, "n_batches": F.ceil(F.count("*").over(within) / size).cast("int")})
+    return placed.withColumn("batch", (F.col("place") % F.col("n_batches")).cast("int"))
 
 
-def tournament(items: DataFrame, slots: int, size: int, score: str, key: str) -> DataFrame:
-    """Heats of at most ``size`` keep ``slots`` each until one heat is left; its first ``slots`` win.
+def tournament(items: DataFrame, room: str, slots: int, size: int, seed: list, order: list) -> DataFrame:
+    """Each room's first ``slots`` items, ranked by ``order`` in the last heat alone.
 
-    ``score``: a column name; ties go to the smaller ``key``. Only the last heat's picks count.
+    While a room has more than ``size`` left, they are dealt into heats by ``seed`` and each
+    heat keeps its first ``slots`` by ``order``; rooms with fewer wait for the final. It ends
+    where nothing is thrown out any more; the final then takes the first ``size`` by ``seed``.
+    Both orders need a unique last key. The driver knows how many are left, never which.
     """
-    left = items
-    n = left.count()
-    while n > size:
-        dealt = batches(left, [F.desc(score), key], size)
-        left = dealt.withColumn("heat", F.row_number().over(Window.partitionBy("batch").orderBy(F.desc(score), key))).where(F.col("heat") <= slots).select(items.columns)
-        now = left.count()
-        if now >= n:
+    left, before = items, None
+    while True:
+        n = F.count("*").over(Window.partitionBy(room))
+        total, most = left.withColumn("__n", n).agg(F.count("*"), F.max("__n")).first()
+        if not total or most <= size or total == before:
             break
-        n = now
-    return left.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), key))).where(F.col("rank") <= slots)
+        before = total
+        dealt = batches(left.withColumn("__n", n), seed, size, room)
+        heat = F.row_number().over(Window.partitionBy(room, "batch").orderBy(*order))
+        left = dealt.withColumn("__heat", heat).where((F.col("__n") <= size) | (F.col("__heat") <= slots)).select(items.columns)
+    final = left.withColumn("__seed", F.row_number().over(Window.partitionBy(room).orderBy(*seed))).where(F.col("__seed") <= size)
+    return final.withColumn("rank", F.row_number().over(Window.partitionBy(room).orderBy(*order))).where(F.col("rank") <= slots).drop("__seed")

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.functions import scalars
-from sievewright.operators import matching, quota, ranking, sequences, similarity
+from sievewright.functions import quality, scalars
+from sievewright.operators import gates, matching, quota, ranking, sequences, similarity
 from sievewright.sources import lines
 from sievewright.streaming import ledger
 
@@ -183,14 +183,17 @@ def having_distinguish(spark, d):
     return own.where("labels > 1")
 
 
-@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, epoch(ts) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-runs AS (SELECT user_id, i, event_id, tm, [event_type] AS seen, 1 AS run FROM e WHERE i = 1 UNION ALL
-SELECT e.user_id, e.i, e.event_id, e.tm, CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.event_type) AND len(r.seen) < 9 THEN list_append(r.seen, e.event_type) ELSE [e.event_type] END,
-r.run + CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.event_type) AND len(r.seen) < 9 THEN 0 ELSE 1 END
-FROM runs r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, event_id, run FROM runs""")
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, length(event_type) / 2.0 AS ev, epoch(ts) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+runs AS (SELECT user_id, i, event_id, tm, ev, [ev] AS seen, 1 AS run FROM e WHERE i = 1 UNION ALL
+SELECT e.user_id, e.i, e.event_id, e.tm, e.ev, CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.ev) AND len(r.seen) < 9 THEN list_append(r.seen, e.ev) ELSE [e.ev] END,
+r.run + CASE WHEN e.tm - r.tm <= 43200 AND NOT list_contains(r.seen, e.ev) AND len(r.seen) < 9 THEN 0 ELSE 1 END
+FROM runs r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1),
+held AS (SELECT *, count(*) OVER w > 1 AND max(ev) OVER w - min(ev) OVER w >= 1.5 AS committed FROM runs WINDOW w AS (PARTITION BY user_id, run))
+SELECT user_id, event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY run, CASE WHEN NOT committed THEN i END) AS run, committed FROM held""")
 def bracket_runs(spark, d):
     at = scalars.micros(F.col("ts")) / 1e6
-    return sequences.bracket_runs(_t(spark, d, "events").withColumn("at", at), "user_id", "at", "event_type", "event_id", 43200.0)
+    frames = _t(spark, d, "events").withColumns({"at": at, "ev": F.length("event_type") / 2.0})
+    return sequences.bracket_runs(frames, "user_id", "at", "ev", "event_id", 43200.0, spread=1.5)
 
 
 GAPS = """WITH once AS (SELECT DISTINCT {g} AS grp, {n} AS num FROM {t} WHERE {n} IS NOT NULL), hole AS (SELECT grp, num, coalesce(lead(num) OVER (PARTITION BY grp ORDER BY num) - num - 1, 0) AS hole FROM once)
@@ -312,14 +315,15 @@ def weighted_stats(spark, d):
 CHANNEL = "CASE WHEN ({c}) / 255.0 <= 0.04045 THEN ({c}) / 255.0 / 12.92 ELSE pow((({c}) / 255.0 + 0.055) / 1.055, 2.4) END"
 
 
-@query("WITH y AS (SELECT p_partkey, 0.2126 * " + CHANNEL.format(c="p_size * 5") + " + 0.7152 * " + CHANNEL.format(c="p_partkey % 256") + " + 0.0722 * " + CHANNEL.format(c="(p_partkey * 7) % 256") + """ AS y FROM part),
-c AS (SELECT p_partkey, y, (y + 0.05) / 0.05 AS dark, 1.05 / (y + 0.05) AS light FROM y)
-SELECT p_partkey, round(y, 5) AS luminance, round(greatest(dark, light), 4) AS contrast, CASE WHEN dark >= light THEN 'dark' ELSE 'light' END AS ink, greatest(dark, light) < 4.6 AS glow FROM c""")
+@query("WITH y AS (SELECT p_partkey, p_size / 200.0 AS spread, CASE p_partkey % 7 WHEN 0 THEN 'light' WHEN 1 THEN 'dark' END AS variant, CASE p_partkey % 5 WHEN 0 THEN true WHEN 1 THEN false END AS told, 0.2126 * " + CHANNEL.format(c="p_size * 5") + " + 0.7152 * " + CHANNEL.format(c="p_partkey % 256") + " + 0.0722 * " + CHANNEL.format(c="(p_partkey * 7) % 256") + """ AS y FROM part),
+c AS (SELECT *, (y + 0.05) / 0.05 AS dark, 1.05 / (y + 0.05) AS light FROM y), i AS (SELECT *, coalesce(variant, CASE WHEN dark >= light THEN 'dark' ELSE 'light' END) AS ink FROM c), b AS (SELECT *, CASE WHEN ink = 'dark' THEN dark ELSE light END AS best FROM i)
+SELECT p_partkey, round(y, 5) AS luminance, round(best, 4) AS contrast, ink, CASE WHEN variant IS NULL THEN 'contrast' ELSE 'forced' END AS why, coalesce(told, best < 4.0 OR spread > 0.18) AS glow, CASE WHEN best < 4.0 THEN 'weak contrast' WHEN spread > 0.18 THEN 'busy ground' ELSE '' END AS reason FROM b""")
 def luminance_contrast(spark, d):
-    y = scalars.luminance(F.col("p_size") * 5, F.col("p_partkey") % 256, F.col("p_partkey") * 7 % 256)
-    own = _t(spark, d, "part").select("p_partkey", y.alias("y")).select("p_partkey", "y", scalars.contrast(F.col("y"), F.lit(0.0)).alias("dark"), scalars.contrast(F.col("y"), F.lit(1.0)).alias("light"))
-    best = F.greatest("dark", "light")
-    return own.select("p_partkey", F.round("y", 5).alias("luminance"), F.round(best, 4).alias("contrast"), F.when(F.col("dark") >= F.col("light"), "dark").otherwise("light").alias("ink"), (best < 4.6).alias("glow"))
+    key = F.col("p_partkey")
+    y = scalars.luminance(F.col("p_size") * 5, key % 256, key * 7 % 256)
+    variant, told = F.when(key % 7 == 0, "light").when(key % 7 == 1, "dark"), F.when(key % 5 == 0, True).when(key % 5 == 1, False)
+    own = _t(spark, d, "part").select("p_partkey", y.alias("y"), quality.ink(y, F.col("p_size") / 200.0, F.lit(0.0), F.lit(1.0), variant, told).alias("i"))
+    return own.select("p_partkey", F.round("y", 5).alias("luminance"), F.round("i.contrast", 4).alias("contrast"), "i.ink", "i.why", "i.glow", "i.reason")
 
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75, round(quantile_cont(value, 0.9), 4) AS p90, round(quantile_cont(value, 0.95), 4) AS p95 FROM events GROUP BY event_type")
@@ -332,9 +336,20 @@ def seed_batches(spark, d):
     return quota.batches(_t(spark, d, "supplier"), [F.desc("s_acctbal"), "s_suppkey"], 12).select("s_suppkey", "batch")
 
 
-@query("SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS rank FROM supplier QUALIFY row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) <= 4")
+def _heats(rounds: int) -> str:
+    """SQL of so many rounds over a table ``r0`` (room, key, seed, score); a room of 12 or fewer waits."""
+    heats = []
+    for i in range(rounds):
+        heats.append(f"""d{i} AS (SELECT *, count(*) OVER (PARTITION BY room) AS n, (row_number() OVER (PARTITION BY room ORDER BY seed, key) - 1) % ceil(count(*) OVER (PARTITION BY room) / 12.0)::BIGINT AS batch FROM r{i}),
+r{i + 1} AS (SELECT room, key, seed, score FROM d{i} QUALIFY n <= 12 OR row_number() OVER (PARTITION BY room, batch ORDER BY score DESC, key) <= 4)""")
+    return ", ".join(heats)
+
+
+@query("WITH r0 AS (SELECT s_nationkey % 3 AS room, s_suppkey AS key, s_suppkey * 7919 % 1000 AS seed, s_acctbal AS score FROM supplier), " + _heats(6) + """
+SELECT room, key AS s_suppkey, score AS s_acctbal, row_number() OVER (PARTITION BY room ORDER BY score DESC, key) AS rank FROM r6 QUALIFY row_number() OVER (PARTITION BY room ORDER BY score DESC, key) <= 4""")
 def tournament(spark, d):
-    return quota.tournament(_t(spark, d, "supplier").select("s_suppkey", "s_acctbal"), 4, 12, "s_acctbal", "s_suppkey")
+    own = _t(spark, d, "supplier").select((F.col("s_nationkey") % 3).alias("room"), "s_suppkey", "s_acctbal", (F.col("s_suppkey") * 7919 % 1000).alias("seed"))
+    return quota.tournament(own, "room", 4, 12, ["seed", "s_suppkey"], [F.desc("s_acctbal"), "s_suppkey"]).drop("seed")
 
 
 @query("""WITH l AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN '+' ELSE '' END || 'P_' || conv_id || ' # glow=yes ' || role || ' variant=' || role AS value FROM conversations)
@@ -354,10 +369,10 @@ def ledger_windows(spark, d):
     return ledger.event_counts(_t(spark, d, "events"), "ts", "event_type").select(scalars.micros(F.col("start")).alias("start_us"), "event_type", "n")
 
 
-@query("""SELECT event_id FROM (SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, event_type FROM events) WHERE before = event_type""")
+@query("""SELECT event_id FROM events e WHERE event_id % 2 = 1 AND event_type = 'error' AND EXISTS (SELECT 1 FROM events r WHERE r.event_id % 2 = 0 AND r.event_type = 'error' AND r.user_id = e.user_id)""")
 def repeats(spark, d):
-    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return _t(spark, d, "events").withColumn("before", before).where("before = event_type").select("event_id")
+    events = _t(spark, d, "events").withColumn("back", F.col("event_type") == "error")
+    return gates.repeats(events.where("event_id % 2 = 1"), events.where("event_id % 2 = 0"), ["user_id"]).select("event_id")
 
 
 @query("""WITH u AS (SELECT DISTINCT conv_id, text, 0 AS rank FROM conversations WHERE role = 'user'), a AS (SELECT DISTINCT conv_id, text, 1 AS rank FROM conversations WHERE role <> 'user')
@@ -369,12 +384,19 @@ def merge_asks(spark, d):
     return both.select("conv_id", F.md5("text").alias("digest"), "rank")
 
 
-@query(r"""WITH w AS (SELECT conv_id, role, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS noun FROM conversations), k AS (SELECT conv_id, noun, bool_or(role = 'user') AS asked, bool_or(role = 'assistant') AS kept FROM w WHERE length(noun) > 3 GROUP BY ALL)
-SELECT conv_id, count(*) AS nouns, min(noun) AS first FROM k WHERE asked AND kept GROUP BY conv_id""")
+#: Words of the test texts stand for the verbs, between characters that are no letters.
+AND_, OR_ = r"(^|[^\p{L}])(and|und|et)([^\p{L}]|$)", r"(^|[^\p{L}])(in|la|der)([^\p{L}]|$)"
+SINGULAR = "CASE WHEN w LIKE '%ies' AND length(w) > 4 THEN left(w, length(w) - 3) || 'y' WHEN regexp_matches(w, '(s|x|z|ch|sh)es$') THEN left(w, length(w) - 2) WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, length(w) - 1) ELSE w END"
+
+
+@query(r"""WITH parts AS (SELECT conv_id * 100 + turn AS id, string_split(regexp_replace(text, '([.!])[ \t\n\f\r]+', '\1' || chr(1), 'g'), chr(1)) AS s FROM conversations),
+one AS (SELECT id, trim(s[i]) AS sentence, i, regexp_matches(s[i], '""" + AND_ + "') AS goes, regexp_matches(s[i], '" + OR_ + r"""') AS stays FROM (SELECT id, s, unnest(range(1, len(s) + 1)) AS i FROM parts)),
+word AS (SELECT DISTINCT id, i, sentence, goes, """ + SINGULAR + r""" AS word FROM (SELECT id, i, sentence, goes, unnest(regexp_extract_all(lower(sentence), '[a-z]{4,}')) AS w FROM one WHERE goes <> stays)),
+side AS (SELECT id, word, arg_min(sentence, i) FILTER (goes) AS removed, arg_min(sentence, i) FILTER (NOT goes) AS kept FROM word GROUP BY id, word)
+SELECT id, word, md5(removed) AS removed, md5(kept) AS kept FROM side WHERE removed IS NOT NULL AND kept IS NOT NULL""")
 def noun_conflict(spark, d):
-    words = _t(spark, d, "conversations").select("conv_id", "role", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("noun")).where(F.length("noun") > 3)
-    sides = words.groupBy("conv_id", "noun").agg(F.bool_or(F.col("role") == "user").alias("asked"), F.bool_or(F.col("role") == "assistant").alias("kept"))
-    return sides.where("asked and kept").groupBy("conv_id").agg(F.count("*").alias("nouns"), F.min("noun").alias("first"))
+    texts = _t(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "text")
+    return gates.contradictions(texts, "id", "text", goes=AND_, stays=OR_).select("id", "word", F.md5("removed").alias("removed"), F.md5("kept").alias("kept"))
 
 
 @query("""SELECT o_orderkey, count(*) FILTER (l_shipdate > o_orderdate) AS later, coalesce(max(l_shipdate) > max(o_orderdate), false) AS stale FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
@@ -383,7 +405,8 @@ def staleness(spark, d):
     return ships.groupBy("o_orderkey").agg(F.count_if(F.col("l_shipdate") > F.col("o_orderdate")).alias("later"), F.coalesce(F.max("l_shipdate") > F.max("o_orderdate"), F.lit(False)).alias("stale"))
 
 
-@query("""SELECT user_id, count(*) AS n, count(DISTINCT event_type) = 1 AND count(*) >= 2 AS one_cause FROM events WHERE event_type IN ('error', 'view') GROUP BY user_id""")
+@query("""SELECT key, count(*) AS errors, CASE WHEN count(*) >= 2 AND count(DISTINCT event_type) = 1 THEN min(event_type) END AS cause FROM (SELECT user_id * 1000 + epoch(ts)::BIGINT // 86400 % 30 AS key, event_type FROM events) GROUP BY key""")
 def retry_summary(spark, d):
-    own = _t(spark, d, "events").where(F.col("event_type").isin("error", "view")).groupBy("user_id")
-    return own.agg(F.count("*").alias("n"), ((F.count_distinct("event_type") == 1) & (F.count("*") >= 2)).alias("one_cause"))
+    day = F.floor(scalars.micros(F.col("ts")) / 86_400_000_000)
+    errors = _t(spark, d, "events").select((F.col("user_id") * 1000 + day % 30).alias("key"), F.concat("event_type", F.lit(": "), F.col("event_id").cast("string")).alias("text"))
+    return gates.one_cause(errors, "key", "text")

@@ -46,14 +46,22 @@ def test_quota_reaches_the_lower_bound(spark):
 
 
 def test_runs(spark):
-    frames = [("k", 0.0, "a", "1"), ("k", 2.0, "b", "2"), ("k", 4.1, "c", "3"), ("k", 4.2, "d", "3"), ("k", 4.3, "e", None), ("k", 4.4, "f", None), ("k", None, "g", "1"), ("k", None, "h", "1")]
-    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value string"), "k", "at", "value", "name", 2.0).collect()
-    assert {r["name"]: r["run"] for r in got} == {"a": 1, "b": 1, "c": 2, "d": 3, "e": 3, "f": 3, "g": 4, "h": 5}
+    frames = [("k", 0.0, "a", 1.0), ("k", 2.0, "b", 2.0), ("k", 4.1, "c", 3.0), ("k", 4.2, "d", 3.0), ("k", 4.3, "e", None), ("k", 4.4, "f", None), ("k", None, "g", 1.0), ("k", None, "h", 1.0)]
+    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
+    assert {r["name"]: r["run"] for r in got} == {"a": 1, "b": 1, "c": 2, "d": 3, "e": 4, "f": 5, "g": 6, "h": 7}
+    assert {r["name"] for r in got if r["committed"]} == {"a", "b"}
+
+
+@pytest.mark.parametrize("values, committed", [((0.0, 0.49), False), ((0.0, 0.5), True), ((None, None), False), ((-1.0, 1.0), True)])
+def test_runs_commit_or_dissolve(spark, values, committed):
+    frames = [("k", float(i), f"n{i}", v) for i, v in enumerate(values)]
+    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
+    assert sorted((r["name"], r["run"], r["committed"]) for r in got) == [("n0", 1, committed), ("n1", 1 if committed else 2, committed)]
 
 
 def test_run_length_limit(spark):
-    frames = [("k", float(i) / 10, f"n{i:02d}", str(i)) for i in range(10)]
-    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value string"), "k", "at", "value", "name", 2.0).collect()
+    frames = [("k", float(i) / 10, f"n{i:02d}", float(i)) for i in range(10)]
+    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
     assert Counter(r["run"] for r in got) == {1: 9, 2: 1}
 
 
@@ -95,10 +103,29 @@ def test_keywords(spark):
     assert {r["id"]: r["slug"] for r in matching.keyword_of(df, "id", F.col("label"), words).collect()} == {1: "JANTAR", 2: "SUITE", 3: None, 4: None}
 
 
-def test_tournament_has_no_repeats(spark):
-    items = spark.createDataFrame([(i, float(i * 7 % 50)) for i in range(50)], "id int, score double")
-    got = quota.tournament(items, 3, 12, "score", "id").orderBy("rank").collect()
-    assert [r["score"] for r in got] == [49.0, 48.0, 47.0]
+def by_heats(items, slots, size):
+    """A contest as a loop: items (key, seed, score)."""
+    left = sorted(items, key=lambda x: (x[1], x[0]))
+    best = lambda heat: sorted(heat, key=lambda x: (-x[2], x[0]))[:slots]
+    while len(left) > size:
+        n = -(-len(left) // size)
+        kept = [x for i in range(n) for x in best(left[i::n])]
+        if len(kept) >= len(left):
+            break
+        left = sorted(kept, key=lambda x: (x[1], x[0]))
+    return [x[0] for x in best(left[:size])]
+
+
+@pytest.mark.parametrize("slots", [1, 3, 12])
+def test_tournament_is_the_loop(spark, slots):
+    import random
+
+    rng = random.Random(slots)
+    rooms = {r: [(i, rng.randrange(9), float(rng.randrange(20))) for i in range(n)] for r, n in (("a", 50), ("b", 12), ("c", 3), ("d", 160))}
+    df = spark.createDataFrame([(r, *x) for r, own in rooms.items() for x in own], "room string, id int, seed int, score double")
+    got = quota.tournament(df, "room", slots, 12, ["seed", "id"], [F.desc("score"), "id"]).orderBy("room", "rank").collect()
+    for r, own in rooms.items():
+        assert [x["id"] for x in got if x["room"] == r] == by_heats(own, slots, 12)
 
 
 def test_names(spark):
@@ -108,13 +135,13 @@ def test_names(spark):
 
 
 def test_lines(spark):
-    df = spark.createDataFrame([("+A_1 # good variant=warm  glow=off one",), ("B_2 # redo",), ("C_3",)], "value string")
+    df = spark.createDataFrame([("+A_1 # good variant=warm  glow=off one",), ("B_2 # redo",), ("C_3",), ("D # sumiu, Variant=Warm. refazer glow=on-soft",), ("# only",), ("",)], "value string")
     got = [tuple(r) for r in df.select(*(c.alias(n) for n, c in lines.decisions(F.col("value")).items())).collect()]
-    assert got == [("A_1", False, "good one", "warm", "off"), ("B_2", True, "redo", None, None), ("C_3", True, "", None, None)]
+    assert got == [("A_1", False, "good one", "warm", "off"), ("B_2", True, "redo", None, None), ("C_3", True, "", None, None), ("D", True, "sumiu, refazer", "warm", "on-soft"), (None, None, "only", None, None), (None, None, "", None, None)]
     rows = spark.createDataFrame([("| a | b |",), ("|---|---|",), ("| c |",), ("x",)], "value string")
     assert [r["cells"] for r in lines.table_rows(rows, 2).collect()] == [["a", "b"]]
-    kinds = spark.createDataFrame([("x/a.JPG",), ("x/b.cr2",), ("__MACOSX/._b.zip",), ("n",)], "path string").select(lines.file_kind(F.col("path")), lines.is_junk(F.col("path")))
-    assert [tuple(r) for r in kinds.collect()] == [("image", False), ("raw", False), ("archive", True), ("other", False)]
+    kinds = spark.createDataFrame([("x/a.JPG",), ("x/b.cr2",), ("__MACOSX/._b.zip",), ("n",), ("x.nrw",), ("a.xmp",), ("b.HEIF",)], "path string").select(lines.file_kind(F.col("path")), lines.is_junk(F.col("path")))
+    assert [tuple(r) for r in kinds.collect()] == [("image", False), ("raw", False), ("archive", True), ("other", False), ("raw", False), ("other", True), ("image", False)]
     pick = lines.picks(spark.createDataFrame([("a+b # note",), ("# only",), ("c",)], "value string")).collect()
     assert [(r["frames"], r["note"]) for r in pick] == [(["a", "b"], "note"), (["c"], None)]
 
