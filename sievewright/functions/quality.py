@@ -42,7 +42,7 @@ def _texts(*rules: tuple[Column, Column]) -> Column:
 def flags(x: Limits, roll: Column, convergence: Column, focal_35: Column) -> Column:
     """Texts of the rules that are broken; a null measure breaks none."""
     return _texts(
-        (F.abs(roll) >= x.roll_flag, F.format_string("leaning %+.1f°", roll)),
+        (F.abs(roll) >= x.roll_flag, F.format_string("leaning %+.1f°", F.bround(roll, 1))),
         (convergence >= x.convergence_flag, F.format_string("verticals splay %s° (three-point perspective)", _whole(convergence))),
         (focal_35 < x.focal_flag, F.format_string("%smm equivalent — edge stretching", _whole(focal_35))))
 
@@ -51,7 +51,7 @@ def warnings(x: Limits, roll: Column, convergence: Column, lines: Column, focal_
     """Texts of what to look at: between the warning and the flag, unmeasured, or clipped."""
     blown = F.concat(F.format_string("%s%% blown out", _whole(highlights)), F.when(bracket, " — a bracket should fix this").otherwise(""))
     return _texts(
-        ((F.abs(roll) >= x.roll_warn) & (F.abs(roll) < x.roll_flag), F.format_string("slight lean %+.1f°", roll)),
+        ((F.abs(roll) >= x.roll_warn) & (F.abs(roll) < x.roll_flag), F.format_string("slight lean %+.1f°", F.bround(roll, 1))),
         ((convergence >= x.convergence_warn) & (convergence < x.convergence_flag), F.format_string("verticals splay %s°", _whole(convergence))),
         (convergence.isNull() & (lines < x.least_lines), F.format_string("geometry unmeasurable (%d verticals found)", lines)),
         ((focal_35 >= x.focal_flag) & (focal_35 < x.focal_warn), F.format_string("%smm equivalent, wide", _whole(focal_35))),

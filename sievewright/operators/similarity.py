@@ -2,36 +2,57 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions.scalars import hamming
 
-BANDS = 13
+BANDS, CHUNKS, NEAR = 13, 4, 3
 
 
 def dedupe(files: DataFrame, size: str, digest, order: list, name: str) -> DataFrame:
-    """``kept_as`` for each file: the first in ``order`` of those with its size and digest. Only sizes that recur are worth a digest."""
-    recurs = F.count("*").over(Window.partitionBy(size)) > 1
-    hashed = files.withColumn("__digest", F.when(recurs, digest))
-    group = Window.partitionBy(size, F.coalesce("__digest", F.col(name).cast("string"))).orderBy(*order)
-    return hashed.withColumn("kept_as", F.first(name).over(group)).drop("__digest")
+    """``kept_as`` for each file: the first in ``order`` of those with its size and digest.
+
+    Digests are made where the rows lie and only they travel, never what they are made of;
+    rows are spread by size and digest together, so equal sizes don't meet in one task.
+    """
+    needed = [c for c in files.columns if c == name or c == size or any(c == str(o) for o in order)]
+    hashed = files.withColumn("__digest", digest)
+    sorted_by = {f"__o{i}": F.expr(o) if isinstance(o, str) else o for i, o in enumerate(order)}
+    slim = hashed.withColumns(sorted_by).select(*dict.fromkeys([*needed, name, size]), "__digest", *sorted_by)
+    group = Window.partitionBy(size, "__digest").orderBy(*sorted_by)
+    return slim.withColumn("kept_as", F.first(name).over(group)).drop("__digest", *sorted_by)
 
 
 def hamming_links(items: DataFrame, bucket: str, name: str, high: str, low: str, most: int) -> DataFrame:
     """Pairs (a, b, distance) within a bucket whose 64 bits, in two halves, differ in at most ``most`` places.
 
-    Up to 12 differing bits leave one of 13 bands equal, so bands are joined; above that
-    the pigeonhole doesn't hold and a bucket's items are compared with each other.
+    Up to 12 differing bits leave one of 13 bands equal, so bands are joined. Up to 15, one of
+    four chunks of 16 bits differs in at most three places (multi-index search): each item
+    asks for the 697 values that near in each chunk. Beyond that a good part of all chunks is
+    near, and a bucket's items are compared with each other.
     """
     own = items.where(F.col(high).isNotNull() & F.col(low).isNotNull()).select(bucket, name, high, low)
+    keys, left, right = [bucket], own, own
     if most < BANDS:
         bits = F.concat(F.lpad(F.bin(high), 32, "0"), F.lpad(F.bin(low), 32, "0"))
-        own = own.withColumn("band", F.explode(F.array(*(F.concat(F.lit(f"{i}:"), F.substring(bits, 5 * i + 1, 5 if i < BANDS - 1 else 4)) for i in range(BANDS)))))
+        left = right = own.withColumn("band", F.explode(F.array(*(F.concat(F.lit(f"{i}:"), F.substring(bits, 5 * i + 1, 5 if i < BANDS - 1 else 4)) for i in range(BANDS)))))
+        keys = [bucket, "band"]
+    elif most // CHUNKS <= NEAR:
+        chunk = [F.shiftright(F.col(c), s).bitwiseAND(F.lit(0xFFFF)) for c in (high, low) for s in (16, 0)]
+        flips = [sum(1 << i for i in some) for n in range(most // CHUNKS + 1) for some in itertools.combinations(range(16), n)]
+        place = lambda i, c: F.lit(i << 16).cast("long") + c.cast("long")
+        right = own.withColumn("band", F.explode(F.array(*(place(i, c) for i, c in enumerate(chunk)))))
+
+        def around(i: int, c):
+            return F.transform(F.array(*map(F.lit, flips)), lambda f: place(i, c.bitwiseXOR(f.cast("long"))))
+
+        near = F.flatten(F.array(*(around(i, c) for i, c in enumerate(chunk))))
+        left = own.withColumn("band", F.explode(near))
         keys = [bucket, "band"]
-    else:
-        keys = [bucket]
-    a, b = own.alias("a"), own.alias("b")
+    a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     distance = hamming(F.col(f"a.{high}"), F.col(f"b.{high}")) + hamming(F.col(f"a.{low}"), F.col(f"b.{low}"))
     pairs = a.join(b, [*same, F.col(f"a.{name}") < F.col(f"b.{name}")]).where(distance <= most)
@@ -39,26 +60,30 @@ def hamming_links(items: DataFrame, bucket: str, name: str, high: str, low: str,
 
 
 def classes(items: DataFrame, name: str, links: DataFrame) -> DataFrame:
-    """(name, class): the least name that links lead to; items without links are their own. Labels halve their way to the root in each pass."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels = items.select(F.col(name).alias("node")).distinct().withColumn("class", F.col("node"))
+    """(name, class): the least name that links lead to; items without links are their own.
+
+    Only linked items are passed over again and again, and a pass is written once. Labels
+    halve their way to the root in each pass.
+    """
+    both = _kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("class"))
     while True:
-        labels = _kept(labels)
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("class").alias("near"))
-        hooked = labels.join(near, "node", "left").withColumn("mid", F.least("class", F.coalesce("near", "class")))
+        hooked = labels.join(near, "node").select("node", F.col("class").alias("old"), F.least("class", "near").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("class").alias("far"))
-        passed = _kept(hooked.join(jump, "mid").select("node", F.col("class").alias("old"), F.least("mid", "far").alias("class")))
-        if passed.where("class != old").isEmpty():
-            return passed.select(F.col("node").alias(name), "class")
+        passed = _kept(hooked.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("class")))
         labels = passed.select("node", "class")
+        if passed.where("class != old").isEmpty():
+            break
+    return items.select(F.col(name).alias("node")).distinct().join(labels, "node", "left").select(F.col("node").alias(name), F.coalesce("class", "node").alias("class"))
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder."""
+    """Cut the lineage in the shared folder that the session names; without one nothing could be shared, so it fails."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        import tempfile
-
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="sievewright-"))
+        if not at:
+            raise ValueError("spark.checkpoint.dir is not set: stages need a folder that driver and executors share")
+        context.setCheckpointDir(at)
     return df.checkpoint()

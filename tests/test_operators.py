@@ -72,7 +72,7 @@ def test_gaps(spark):
     assert (row["present"], row["missing"], row["longest"], row["holes"], row["alarm"]) == (28, 404, 403, 2, True)
 
 
-@pytest.mark.parametrize("most", [3, 12, 20])
+@pytest.mark.parametrize("most", [3, 12, 14, 20])
 def test_hamming(spark, most):
     import random
 
