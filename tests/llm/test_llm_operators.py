@@ -241,18 +241,70 @@ def test_pseudonyms(spark, docs, nothing):
     assert int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1 and got[6] != texts[6]
     assert got[7].endswith("@mail5.example.com.") and got[7] != texts[7]
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[8]) and got[8] != texts[8]
+    phones = ["+442071234567", "+44 20 7123 4567", "+16635556869", "+1 663 555 6869", "(663) 555-6869", "663-555-6869"]
+    mails = ["иван@mail.ru", "é@x.com", "日本@x.jp", "Ａ@x.com", "a@b.co", "z@b.co", "𝒳y@z.com", "\u0561b@q.org"]
+    out = pii.pseudonymise(spark.createDataFrame(list(enumerate(phones + mails)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    new = [r["text"] for r in out]
+    bare = [re.sub("[^0-9]", "", x) for x in new[:6]]
+    assert new[0].startswith("+44") and bare[0] == bare[1] and bare[2] == bare[3] and bare[2][1:] == bare[4] == bare[5] and bare[2][0] == "1"
+    assert all(r["n_private"] == 1 for r in out) and all(a != b and a.partition("@")[2] == b.partition("@")[2] and not set(a.partition("@")[0]) & set(b.partition("@")[0]) for a, b in zip(mails, new[6:]))
+    long = "x " * 200_000 + "write to somebody@mail.example.org, " + "y" * 100_000 + "@z.org"
+    whole = pii.pseudonymise(spark.createDataFrame([(1, long)], "doc_id long, text string"), "k").first()
+    assert whole["n_private"] == 2 and len(whole["text"]) == len(long) and "somebody@" not in whole["text"]
     edge = pii.pseudonymise(docs, "k")
     assert edge.columns == [*docs.columns, "n_private"] and edge.where("text is null").count() == 1 and edge.where("n_private > 0").count() == 0
     assert pii.pseudonymise(nothing, "k").count() == 0
 
 
+def by_hand(text, secret, kind):
+    """The network over a string of digits and ASCII letters, one character at a time."""
+    kinds = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+
+    def move(c, by):
+        return next((k[(k.index(c) + by) % len(k)] for k in kinds if c in k), c)
+
+    halves = [text[: len(text) // 2], text[len(text) // 2 :]]
+
+    def turn(step, sign):
+        key = hashlib.sha256(f"{secret}|{kind}|{step}|{halves[1 - step % 2]}".encode()).hexdigest()
+        halves[step % 2] = "".join(move(c, sign * int(hashlib.sha256(f"{key}|{i}".encode()).hexdigest()[:15], 16)) for i, c in enumerate(halves[step % 2], 1))
+
+    for step in range(pii.ROUNDS):
+        turn(step, 1)
+    halves = ["".join(move(c, 1) for c in h) for h in halves]
+    for step in reversed(range(pii.ROUNDS)):
+        turn(step, -1)
+    return "".join(halves)
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
-    out = spark.range(90).select(pii._numbers("k", "x", F.col("id") % 9, F.floor(F.col("id") / 9), 9, 10).alias("p")).select("p.l", "p.r")
-    assert out.distinct().count() == 90 and out.where("l between 0 and 8 and r between 0 and 9").count() == 90
-    text = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("t")).select(pii._text("k", "x", F.col("t")).alias("p"))
-    assert text.distinct().count() == 1000 and text.where("p rlike '^[0-9]{3}$'").count() == 1000
+    out = spark.range(90).select((F.col("id") % 9).alias("a"), F.floor(F.col("id") / 9).alias("b"), pii._numbers("k", "x", F.col("id") % 9, F.floor(F.col("id") / 9), 9, 10).alias("p")).select("a", "b", "p.l", "p.r")
+    assert out.select("l", "r").distinct().count() == 90 and out.where("l between 0 and 8 and r between 0 and 9").count() == 90 and out.where("a = l and b = r").count() == 0
+    text = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("t")).select("t", pii._text("k", "x", F.col("t")).alias("p"))
+    assert text.select("p").distinct().count() == 1000 and text.where("p rlike '^[0-9]{3}$' and p != t").count() == 1000
+    odd = ["", "a", "Z9", "some.one_7", "x" * 40, "+-._%", "0000000000"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string").select("i", pii._text("k", "mail", F.col("t")).alias("p")).orderBy("i").collect()
+    assert [r["p"] for r in got] == [by_hand(t, "k", "mail") for t in odd]
+    letters = [chr(c) for c in (*range(0xC0, 0x250), *range(0x370, 0x3FF), *range(0x400, 0x460), *range(0xFF21, 0xFF40))]
+    moved = spark.createDataFrame([(c,) for c in letters + ["\ufeff", "."]], "c string").select("c", pii._moved(F.col("c"), F.lit(1)).alias("n"), pii._moved(pii._moved(F.col("c"), F.lit(1)), F.lit(-1)).alias("b")).collect()
+    assert all(r["b"] == r["c"] for r in moved) and all(r["n"] != r["c"] or not r["c"].isalpha() for r in moved) and len({r["n"] for r in moved}) == len(moved), [tuple(r) for r in moved if r["b"] != r["c"] or r["n"] == r["c"]]
+
+
+def test_pseudonyms_of_the_query(spark):
+    """Values that the query replaced in whole documents, against the network by hand."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    old = {r["doc_id"]: r["text"] for r in rows}
+    got = pii.query(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(rows)
+    mail, seen = re.compile(r"(?<![\w.%+-])([A-Za-z0-9._%+-]+)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})(?![A-Za-z0-9])"), 0
+    for r in got:
+        before, after = (mail.findall(t or "") for t in (old[r["doc_id"]], r["text"]))
+        assert [(by_hand(a, pii.SECRET, "mail"), d) for a, d in before] == after
+        assert (r["n_private"] > 0) == (old[r["doc_id"]] != r["text"])
+        seen += len(before)
+    assert seen > 10
 
 
 def test_language_model(spark, docs, nothing):
