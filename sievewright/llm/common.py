@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -59,9 +60,17 @@ def trim() -> None:
 
 
 def ready(spark: SparkSession) -> None:
-    """Executors have this package, and no batch for Python is larger than BATCH_BYTES (or one row)."""
+    """Executors have this package, and no batch for Python is larger than BATCH_BYTES (or one row).
+
+    The session keeps that setting, as results are lazy and run after this; it never makes a
+    batch larger than the caller had it. Python workers that run these operators also tell
+    the C library to give freed memory back (``release``).
+    """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
+    if not held or int(held[1]) <= 0 or int(held[1]) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,9 +79,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may go without; it gets one of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: stages need a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="sievewright-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -83,6 +94,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Executions in here remove their shuffle files when they end: their results are written or on the driver. The session's setting comes back."""
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
+    try:
+        before = spark.conf.get(name)
+        spark.conf.set(name, "true")
+        yield
+    finally:
+        if before is not None:
+            spark.conf.set(name, before)
+
+
 def write_once(df: DataFrame, label: str) -> DataFrame:
     """Write a stage to the shared folder and read it again.
 
@@ -91,7 +115,8 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
     ready(spark)
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,22 +15,21 @@ words and one unknown. a and g are stored as steps of -log10.
 
 from __future__ import annotations
 
-import itertools
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import elias_fano, shared_files
-from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table
+from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table, tidy
 from sievewright.llm.near_dedup import _mixed
 
 DISCOUNT, STEPS, LEAST = 0.6, 4096.0, 2
 #: Training tokens for each file of the higher levels.
-TOKENS_A_FILE = 4_000_000
+TOKENS_A_FILE = 3_000_000
 #: Text of a segment.
 SEGMENT_BYTES = 6 << 20
 SEGMENT_SCHEMA = "doc_id array<long>, held_out array<boolean>, sizes array<int>, words array<long>, counts array<int>, codes binary"
@@ -45,14 +44,17 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words' hashes, each word's place among them with an end behind each text's, and where texts begin (one more than texts)."""
     from xxhash import xxh64_intdigest
 
-    each = [t.split() for t in texts]  # white space of bytes is that of ASCII
-    sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) + 1
-    edges = np.concatenate(([0], np.cumsum(sizes)))
-    place = defaultdict(itertools.count().__next__)
-    place[END_WORD]  # 0
-    own = np.fromiter(map(place.__getitem__, itertools.chain.from_iterable(each)), dtype=np.int32, count=int(edges[-1]) - len(each))
-    codes = np.insert(own, edges[1:] - np.arange(1, len(each) + 1), 0)
-    return np.fromiter(map(xxh64_intdigest, place), dtype=np.uint64, count=len(place)), codes, edges
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    coded = lists.values.dictionary_encode()
+    words, own, owner = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    if "" in words:  # beside white space at a text's ends
+        real = own != words.index("")
+        own, owner = own[real], owner[real]
+    edges = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts)) + 1)))
+    codes = np.zeros(edges[-1], dtype=np.int32)  # 0: the end
+    codes[np.arange(len(own)) + owner] = own + 1
+    hashes = np.fromiter(map(xxh64_intdigest, [END_WORD.decode(), *words]), dtype=np.uint64, count=len(words) + 1)
+    return hashes, codes, edges
 
 
 def _merged(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,28 +217,43 @@ class Level:
         return out
 
 
+def _planes(a: np.ndarray) -> tuple[int, bytes]:
+    """Bytes of whole numbers, all lowest ones first: the higher ones are much alike."""
+    a = a.astype(np.uint32) if not len(a) or a.max() < 1 << 32 else a.astype(np.uint64)
+    return a.itemsize, a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+
+
 def _pack(context: np.ndarray, word: np.ndarray, n: np.ndarray, often: np.ndarray) -> bytes:
-    arrays = [np.diff(context, prepend=0), word, n, often]
-    arrays = [a.astype(np.uint32) if len(a) and a.max() < 1 << 32 else a.astype(np.uint64) for a in arrays]
-    raw = b"".join(a.tobytes() for a in arrays)
-    return bytes([a.itemsize for a in arrays]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    """N-grams whose contexts ascend: contexts once each, with how many words follow and how often they occur."""
+    new = np.flatnonzero(np.diff(context, prepend=-1))
+    parts = [_planes(a) for a in (np.diff(context[new], prepend=0), np.diff(new, append=len(context)), often[new], word, n)]
+    raw = b"".join(p for _, p in parts)
+    return bytes(w for w, _ in parts) + len(new).to_bytes(8, "little") + len(word).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
-    widths, size = blob[:4], int.from_bytes(blob[4:12], "little")
-    raw = pa.decompress(blob[12:], decompressed_size=size, codec="zstd", asbytes=True)
-    n, at, out = size // sum(widths), 0, []
-    for w in widths:
-        out.append(np.frombuffer(raw, dtype=f"<u{w}", count=n, offset=at).astype(np.int64))
-        at += w * n
-    return [np.cumsum(out[0]), *out[1:]]
+    widths, few, many = blob[:5], int.from_bytes(blob[5:13], "little"), int.from_bytes(blob[13:21], "little")
+    counts = (few, few, few, many, many)
+    raw, at, out = pa.decompress(blob[21:], decompressed_size=sum(w * c for w, c in zip(widths, counts)), codec="zstd", asbytes=True), 0, []
+    for w, c in zip(widths, counts):
+        out.append(np.frombuffer(raw, dtype=np.uint8, count=w * c, offset=at).reshape(w, c).T.copy().view(f"<u{w}").ravel().astype(np.int64))
+        at += w * c
+    context, sizes, often, word, n = out
+    return [np.repeat(np.cumsum(context), sizes), word, n, np.repeat(often, sizes)]
+
+
+def _order(context: np.ndarray, word: np.ndarray, universe: int) -> np.ndarray:
+    """By context and word; one sort of whole numbers where both fit into one."""
+    if not len(context) or int(context.max()) < (1 << 62) // universe:
+        return np.argsort(context * universe + word)
+    return np.lexsort((word, context))
 
 
 def _write_level(level: Level, least: int):
     def run(part):
         k = int(part.column("file")[0].as_py())
         context, word, n, often = (np.concatenate(x) for x in zip(*(_unpack(b) for b in part.column("grams").to_pylist())))
-        order = np.lexsort((word, context))
+        order = _order(context, word, level.universe)
         context, word, n, often = context[order], word[order], n[order], often[order]
         new = np.flatnonzero(np.diff(context, prepend=-1).astype(bool) | np.diff(word, prepend=-1).astype(bool))
         n = np.add.reduceat(n, new) if len(new) else n
@@ -355,7 +372,7 @@ def _triples(shared, level: Level):
             context = np.concatenate(([-1], entry[:-1]))
             good = ~begin & (context >= 0) & (entry >= 0)
             own, word = context[good], ids[good]
-            order = np.lexsort((word, own))
+            order = _order(own, word, level.universe)
             own, word = own[order], word[order]
             new = np.flatnonzero(np.diff(own, prepend=-1).astype(bool) | np.diff(word, prepend=-1).astype(bool))
             if len(new):
@@ -372,7 +389,7 @@ def _score(shared):
             p = a + g * np.where(c > 0, (1 - model.unknown) * c / max(1, model.n), model.unknown)
             context = np.where(begin, -1, np.concatenate(([-1], entry[:-1])))
             longer = np.flatnonzero(context >= 0)
-            longer = longer[np.argsort(context[longer], kind="stable")]
+            longer = longer[np.argsort(context[longer])]
             _, a3, g3 = model.three.find(context[longer], ids[longer], model.two.counts(context[longer]))
             p[longer] = a3 + g3 * p[longer]
             base, at = np.log10((c + 1) / (model.n + model.v + 1)), segment.starts
@@ -382,20 +399,12 @@ def _score(shared):
     return run
 
 
-def language_scores(docs: DataFrame, held: Column, least: int = LEAST) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of ``docs`` (doc_id, text).
-
-    ``held``: a boolean column; the model learns from the other rows, and from their pairs
-    and triples that occur ``least`` times. Null and empty texts
-    are an end alone. Repeated rows are each learned from and score alike; a null doc_id is
-    kept. With no rows to learn from, every word is unknown. Words are told apart by 64-bit
-    hashes. Other columns are left out.
-    """
-    spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
+def _learned(source: DataFrame, least: int) -> tuple[DataFrame, _Model]:
+    """The segments of ``source``, written, and the model in its files."""
+    spark = source.sparkSession
     path = fresh_path(spark, "trie")
     # About four input partitions' words go to a file.
-    bits = max(0, (docs.rdd.getNumPartitions() // 4).bit_length())
+    bits = max(0, (source.rdd.getNumPartitions() // 4).bit_length())
     segments_path = fresh_path(spark, "segments")
     source.mapInArrow(_segments, SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(segments_path)
     segments = spark.read.schema(SEGMENT_SCHEMA).parquet(segments_path)
@@ -413,6 +422,22 @@ def language_scores(docs: DataFrame, held: Column, least: int = LEAST) -> DataFr
     model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two, least), "file long, grams binary"), two, least)
     three = Level(f"{path}/three", files, v + 1, TOKENS_A_FILE)
     model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three, least)
+    return segments, model
+
+
+def language_scores(docs: DataFrame, held: Column, least: int = LEAST) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of ``docs`` (doc_id, text).
+
+    ``held``: a boolean column; the model learns from the other rows, and from their pairs
+    and triples that occur ``least`` times. Null and empty texts
+    are an end alone. Repeated rows are each learned from and score alike; a null doc_id is
+    kept. With no rows to learn from, every word is unknown. Words are told apart by 64-bit
+    hashes. Other columns are left out.
+    """
+    spark = docs.sparkSession
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
+    with tidy(spark):
+        segments, model = _learned(source, least)
     return segments.drop("counts").mapInArrow(_score(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
