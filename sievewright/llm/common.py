@@ -107,13 +107,26 @@ def tidy(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove what this package wrote under the shared folder and nothing will read again."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_once(df: DataFrame, label: str) -> DataFrame:
     """Write a stage to the shared folder and read it again.
 
     Cuts the lineage, and fixes what depends on how rows fell into partitions: later passes
     see the same rows, and a lost executor costs tasks of one stage only.
     """
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    return write_at(df, fresh_path(df.sparkSession, label))
+
+
+def write_at(df: DataFrame, path: str) -> DataFrame:
+    """``write_once`` at a place that the caller may ``discard``."""
+    spark = df.sparkSession
     ready(spark)
     with tidy(spark):
         df.write.parquet(path)

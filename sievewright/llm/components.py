@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import write_once
+from sievewright.llm.common import discard, fresh_path, write_at, write_once
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,17 +13,22 @@ def components(links: DataFrame) -> DataFrame:
 
     Each pass takes the least label among a node's neighbours and then the label of that
     label, so the passes grow with the logarithm of a path's length. Every pass is written to
-    the shared folder. Sums over a hub's links are partial before they are shuffled.
+    the shared folder, and takes the place of the one before. Sums over a hub's links are
+    partial before they are shuffled.
     """
     # Once: another evaluation may choose other links of a class, and each is needed in both directions.
     links = write_once(links.select("a", "b"), "links")
     both = write_once(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "links")
-    labels = write_once(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), "labels")
+    spark, before = links.sparkSession, fresh_path(links.sparkSession, "labels")
+    labels = write_at(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), before)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         hooked = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("root").alias("far"))
-        passed = write_once(hooked.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("root")), "labels")
+        path = fresh_path(spark, "labels")
+        passed = write_at(hooked.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("root")), path)
         labels = passed.select("node", "root")
+        discard(spark, before)
+        before = path
         if passed.where("root != old").isEmpty():
             return labels

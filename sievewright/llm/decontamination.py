@@ -228,7 +228,9 @@ def phrase_matches(index: DataFrame, items: DataFrame, size: int = 10, block_byt
     is one window. ``items`` (item_id, text) go to the executors in blocks of at most about
     ``block_bytes`` of text, each a search of its own, so any number of items is handled.
     Null and empty texts have no words; an item with a null id takes no part; repeated items
-    count once; documents repeat as often as their rows.
+    count once; documents repeat as often as their rows. An empty table gives no rows, and
+    without items nothing is hit. Very long texts are indexed whole, in a segment of their own
+    if need be. Of equally rare terms a window's first is looked up, which changes no result.
     """
     context = index.sparkSession.sparkContext
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
@@ -250,7 +252,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, size: int = 10, block_byt
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Other columns of ``docs`` and ``items`` are left out, whatever their names; for odd rows see ``phrase_matches``."""
     index = build_index(docs, fresh_path(docs.sparkSession, "postings"))
     found = phrase_matches(index, items, size)
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
@@ -260,6 +262,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` without those that hold a window of an item of ``benchmark``, one without an id too.
 
     A doc_id that repeats goes if any of its rows does; rows without doc_id go by their text.
+    Null and empty texts stay, and so do all columns; an empty table stays empty.
     """
     items = table(spark, sf_dir, "benchmark").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, ready, release, table, write_once
+from sievewright.llm.common import by_bytes, ready, release, table, words_of, write_once
 from sievewright.llm.components import components
 
 WORDS, BANDS, ROWS, SIMILARITY, BLOCK = 5, 24, 4, 0.8, 512
@@ -117,8 +117,7 @@ def _sign(bands: int, rows: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in by_bytes(batches, "text", batch_bytes):
-            raw = batch.column("text").cast(pa.binary()).to_pylist()
-            texts = [WORD.findall(x) for x in bytes_of(batch.column("text"))]
+            raw, texts = batch.column("text").cast(pa.binary()).to_pylist(), words_of(batch.column("text"))
             keys = band_keys(signatures(shingles(texts), bands * rows), bands, rows)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([_key(t, w) for t, w in zip(raw, texts)], pa.binary()),
@@ -131,7 +130,7 @@ def _payload(batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in by_bytes(batches, "text", batch_bytes):
-            texts = [WORD.findall(x) for x in bytes_of(batch.column("text"))]
+            texts = words_of(batch.column("text"))
             keys = [_key(t, w) for t, w in zip(batch.column("text").cast(pa.binary()).to_pylist(), texts)]
             sets = shingles(texts)
             weights = [None if (w == 1).all() else w.astype("<f4").tobytes() for _, w in sets]
@@ -197,18 +196,13 @@ def _compare(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, batch_bytes: int = 4 << 20) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and kept (whether the document stands for it), for each row of ``docs`` (doc_id, text).
+def _keys(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in columns:
+        yield pa.array([_key(t, w) for t, w in zip(column.cast(pa.binary()).to_pylist(), words_of(column))], pa.binary())
 
-    Words are runs of ASCII letters (case aside), digits and characters beyond ASCII. Texts
-    with equal words are copies; so are texts without words that are equal, the empty one
-    too. A null text is a class of its own, with its doc_id. Other texts are linked at a
-    probability Jaccard of ``threshold`` or more (1 + ln(count) as a shingle's weight), and
-    classes are what links join. With 24 bands of 4, a pair at 0.8 misses every band with a
-    probability of 3e-6. Repeated rows are copies; a null doc_id has a class but can't
-    name it.
-    """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+def _classes(source: DataFrame, threshold: float, bands: int, rows: int, block: int, batch_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key) for each row of ``source`` (doc_id, text), and for each text its key, least doc_id (``first``) and the key of its class's ``root``."""
     signed = write_once(source.mapInArrow(_sign(bands, rows, batch_bytes), "doc_id long, key binary, bands array<long>"), "signed")
     texts = write_once(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.min("bands").alias("bands")), "texts")
     spread = texts.where("bands is not null").select("key", F.explode("bands").alias("band"))
@@ -227,17 +221,45 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int =
     links = dealt.join(payload, "key").repartition("block").sortWithinPartitions("block").mapInArrow(_compare(threshold), "a binary, b binary")
     roots = components(links)
     classes = texts.select("key", "first").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
+    return signed.select("doc_id", "key"), classes
+
+
+def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, batch_bytes: int = 4 << 20) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class) and kept (whether the document stands for it), for each row of ``docs`` (doc_id, text).
+
+    Words are runs of ASCII letters (case aside), digits and characters beyond ASCII. Texts
+    with equal words are copies; so are texts without words that are equal, the empty one
+    too. A null text is a class of its own, with its doc_id. Other texts are linked at a
+    probability Jaccard of ``threshold`` or more (1 + ln(count) as a shingle's weight), and
+    classes are what links join. With 24 bands of 4, a pair at 0.8 misses every band with a
+    probability of 3e-6. Repeated rows are copies, and of these all with the least doc_id are
+    kept; a null doc_id has a class but can't name it. A doc_id of several texts stands for
+    each of them. Very long texts are shingled whole; no rows come of an empty table; other
+    columns of ``docs`` are left out, whatever their names.
+    """
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed, classes = _classes(source, threshold, bands, rows, block, batch_bytes)
     named = classes.join(classes.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("key", "class_id")
-    out = signed.select("doc_id", "key").join(named, "key", "left")
+    out = signed.join(named, "key", "left")
     return out.select("doc_id", F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, the one with the least doc_id; of equal rows one. Rows without doc_id stay."""
+    """One row of each class: of its texts the one with the least doc_id (then the least key), of that text's rows the one with the least doc_id, then the least text.
+
+    Rows are known by their text, not by doc_id, so a doc_id that repeats neither saves nor
+    drops another text. A null doc_id comes after all others. Every row with a null text
+    stays. An empty table stays empty, and so do all columns of ``docs``.
+    """
     ready(spark)
-    ids = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    once = docs.join(ids, "doc_id").dropDuplicates(["doc_id", "text"]).select(docs.columns)
-    return once.unionByName(docs.where("doc_id is null"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    _, classes = _classes(source, SIMILARITY, BANDS, ROWS, BLOCK, 4 << 20)
+    late = F.struct(F.col("first").isNull().alias("none"), "first", "key")
+    chiefs = write_once(classes.groupBy("root").agg(F.min_by(F.struct("key", "first"), late).alias("c")).select(F.col("c.key").alias("__key"), F.col("c.first").alias("__first")), "chiefs")
+    keyed = docs.withColumn("__key", F.arrow_udf(_keys, "binary")("text"))
+    rows = keyed.where("text is not null").join(chiefs, "__key").where(F.col("doc_id").cast("long").eqNullSafe(F.col("__first")))
+    once = rows.groupBy("__key").agg(F.min_by(F.struct(*docs.columns), "text").alias("__row")).select("__row.*")
+    return once.unionByName(docs.where("text is null"))
 
 
 def query(spark, sf_dir):

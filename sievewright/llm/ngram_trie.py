@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import elias_fano, shared_files
-from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table, tidy
+from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table, tidy, trim
 from sievewright.llm.near_dedup import _mixed
 
 DISCOUNT, STEPS, LEAST = 0.6, 4096.0, 2
 #: Training tokens for each file of the higher levels.
-TOKENS_A_FILE = 3_000_000
+TOKENS_A_FILE = 2_500_000
 #: Text of a segment.
 SEGMENT_BYTES = 6 << 20
 SEGMENT_SCHEMA = "doc_id array<long>, held_out array<boolean>, sizes array<int>, words array<long>, counts array<int>, codes binary"
@@ -114,25 +114,28 @@ class Words:
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Of ascending hashes; -1 for unknown ones."""
-        top = np.zeros(len(hashes), dtype=np.int64) if not self.bits else (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         out = np.full(len(hashes), -1, dtype=np.int64)
-        for k in np.unique(top).tolist():
-            own = np.flatnonzero(top == k)
+        low = np.uint64((1 << (64 - self.bits)) - 1)
+        tops = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits) if self.bits else np.zeros(1, dtype=np.uint64)
+        for k, a, b in _stretches(np.append(np.searchsorted(hashes, tops), len(hashes))):
             if self.first[k + 1] > self.first[k]:
-                at = elias_fano.Sequence(self._file(k)).find(hashes[own] & np.uint64((1 << (64 - self.bits)) - 1))
-                out[own] = np.where(at >= 0, at + self.first[k], -1)
+                at = elias_fano.Sequence(self._file(k)).find(hashes[a:b] & low)
+                out[a:b] = np.where(at >= 0, at + self.first[k], -1)
         return out
 
     def counts(self, numbers: np.ndarray) -> np.ndarray:
         """Of ascending numbers; 0 for -1."""
         out = np.zeros(len(numbers), dtype=np.int64)
-        file = np.searchsorted(self.first, numbers, side="right") - 1
-        for k in np.unique(file[numbers >= 0]).tolist():
-            own = np.flatnonzero((file == k) & (numbers >= 0))
-            out[own] = self._file(k)["counts"][numbers[own] - self.first[k]]
+        for k, a, b in _stretches(np.searchsorted(numbers, self.first)):
+            out[a:b] = self._file(k)["counts"][numbers[a:b] - self.first[k]]
         return out
 
 
+def _stretches(edges: np.ndarray) -> list[tuple[int, int, int]]:
+    """(which, first, stop) of the stretches between edges that aren't empty."""
+    return [(k, int(edges[k]), int(edges[k + 1])) for k in np.flatnonzero(np.diff(edges)).tolist()]
+
+
 def _write_words(path: str, bits: int):
     def run(part):
         k, words, counts = int(part.column("file")[0].as_py()), [], []
@@ -208,12 +211,10 @@ class Level:
         return entry, a, g
 
     def counts(self, entries: np.ndarray) -> np.ndarray:
-        """Occurrences of entries; 0 for -1."""
+        """Occurrences of ascending entries; 0 for -1."""
         out = np.zeros(len(entries), dtype=np.int64)
-        file = np.searchsorted(self.first, entries, side="right") - 1
-        for k in np.unique(file[entries >= 0]).tolist():
-            own = np.flatnonzero((file == k) & (entries >= 0))
-            out[own] = shared_files.read(f"{self.path}-{k}")["counts"][entries[own] - self.first[k]]
+        for k, a, b in _stretches(np.searchsorted(entries, self.first)):
+            out[a:b] = shared_files.read(f"{self.path}-{k}")["counts"][entries[a:b] - self.first[k]]
         return out
 
 
@@ -249,8 +250,9 @@ def _order(context: np.ndarray, word: np.ndarray, universe: int) -> np.ndarray:
     return np.lexsort((word, context))
 
 
-def _write_level(level: Level, least: int):
+def _write_level(level: Level, least: int, counted: bool):
     def run(part):
+        trim()
         k = int(part.column("file")[0].as_py())
         context, word, n, often = (np.concatenate(x) for x in zip(*(_unpack(b) for b in part.column("grams").to_pylist())))
         order = _order(context, word, level.universe)
@@ -267,7 +269,9 @@ def _write_level(level: Level, least: int):
         arrays = {f"context.{x}": y for x, y in elias_fano.encode(context[first], int(context[-1]) + 1 if len(context) else 1).items()}
         arrays |= {f"key.{x}": y for x, y in elias_fano.encode(row.astype(np.uint64) * np.uint64(level.universe) + word.astype(np.uint64), max(1, len(first)) * level.universe).items()}
         arrays |= {f"pointer.{x}": y for x, y in elias_fano.encode(np.append(first, len(context)), len(context) + 1).items()}
-        arrays |= {"a": _steps(a), "rest": _steps(1 - held), "counts": n.astype(np.uint32) if not len(n) or n.max() < 1 << 32 else n}
+        arrays |= {"a": _steps(a), "rest": _steps(1 - held)}
+        if counted:  # the last level's counts are never asked for
+            arrays["counts"] = n.astype(next((t for t in (np.uint16, np.uint32) if not len(n) or n.max() <= np.iinfo(t).max), np.uint64))
         shared_files.write(f"{level.path}-{k}", arrays)
         split = often[first] > level.target
         return pa.table({"file": pa.array([k], pa.int64()), "n": pa.array([len(context)], pa.int64()), "split": pa.array([context[first][split].tolist()], pa.list_(pa.int64())), "held": pa.array([held[split].tolist()], pa.list_(pa.float64()))})
@@ -275,9 +279,9 @@ def _write_level(level: Level, least: int):
     return run
 
 
-def _build(grams: DataFrame, level: Level, least: int) -> Level:
+def _build(grams: DataFrame, level: Level, least: int, counted: bool) -> Level:
     """Write a level's files. The driver gets one row a file, and the weights of contexts that are split: fewer than twice the files."""
-    rows = grams.groupBy("file").applyInArrow(_write_level(level, least), "file long, n long, split array<long>, held array<double>").collect()
+    rows = grams.groupBy("file").applyInArrow(_write_level(level, least, counted), "file long, n long, split array<long>, held array<double>").collect()
     sizes, held = np.zeros(level.files, dtype=np.int64), {}
     for file, n, contexts, shares in rows:
         sizes[file] = n
@@ -333,6 +337,7 @@ def _each(batches: Iterator[pa.RecordBatch], training: bool) -> Iterator[tuple[d
             segment = Segment(flat | {"codes": row["codes"].as_buffer()}, training)
             if len(segment.sizes):
                 yield row, segment
+                trim()
 
 
 def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
@@ -419,9 +424,9 @@ def _learned(source: DataFrame, least: int) -> tuple[DataFrame, _Model]:
     used = segments.select("held_out", "sizes", "words", "codes")
     files = max(1, -(-n // TOKENS_A_FILE))
     two = Level(f"{path}/two", files, v + 1, TOKENS_A_FILE)
-    model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two, least), "file long, grams binary"), two, least)
+    model.two = _build(used.mapInArrow(_pairs(spark.sparkContext.broadcast(model), two, least), "file long, grams binary"), two, least, counted=True)
     three = Level(f"{path}/three", files, v + 1, TOKENS_A_FILE)
-    model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three, least)
+    model.three = _build(used.mapInArrow(_triples(spark.sparkContext.broadcast(model), three), "file long, grams binary"), three, least, counted=False)
     return segments, model
 
 
@@ -432,7 +437,9 @@ def language_scores(docs: DataFrame, held: Column, least: int = LEAST) -> DataFr
     and triples that occur ``least`` times. Null and empty texts
     are an end alone. Repeated rows are each learned from and score alike; a null doc_id is
     kept. With no rows to learn from, every word is unknown. Words are told apart by 64-bit
-    hashes. Other columns are left out.
+    hashes. Very long texts are read whole, in a segment of their own; an empty table gives no
+    rows; equal counts need no order, so there are no ties. Other columns are left out,
+    whatever their names.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")

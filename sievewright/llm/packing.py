@@ -173,7 +173,8 @@ def pack(docs: DataFrame, vocabulary_path: str, capacity: int = 1024, end_id: in
     A document is its ids and ``end_id``; a longer one than ``capacity`` is cut into full
     pieces behind a first piece that holds the rest. A null or empty text is ``end_id``
     alone. Repeated rows are packed each; a null doc_id stays null; an empty table gives no
-    rows. Ties of length fall as the tasks come. Other columns are left out.
+    rows; a very long text is encoded whole, in a batch of its own. Ties of length fall as the
+    tasks come. Other columns are left out, whatever their names.
 
     Pieces are written once. Each task ranks its own pieces by length, the counts by task
     and length give each task its start, so no length's pieces ever meet in one task.
@@ -205,6 +206,7 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary_path: str, end_id:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``docs``; odd rows as in ``pack``."""
     ready(spark)
     return pack(docs, vocabulary())
 

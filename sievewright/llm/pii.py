@@ -281,7 +281,7 @@ SECRET = "sievewright"
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with pseudonyms; n_chars follows where an address changes its length."""
+    """``docs`` with pseudonyms; n_chars follows where an address changes its length. Null and empty texts, repeated rows and an empty table as in ``pseudonymise``; all columns stay."""
     out = pseudonymise(docs, SECRET)
     return out.withColumn("n_chars", F.when(F.col("n_private") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 

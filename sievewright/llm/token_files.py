@@ -41,7 +41,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
 
     Null and empty texts hold ``end_id`` alone. A null doc_id comes first. Rows with equal
     doc_id are all kept, ordered by a hash of the text. ``files``: ranges, by default as many as shuffle
-    partitions. Other columns of ``docs`` are left out.
+    partitions. An empty table gives files without rows; very long texts are encoded whole, in
+    a batch of their own. Other columns of ``docs`` are left out, whatever their names.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # Only the keys of the ranges are sampled to the driver, never texts.

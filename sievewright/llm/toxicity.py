@@ -338,8 +338,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score (0 to 1), predicted (1 at 0.5 or more) and evidence (doc_ids of the nearest examples).
 
     Null and empty texts have no words and score as such texts do. Repeated rows score
-    alike; without examples of both classes every score is 0.25. Columns of ``docs`` with
-    these names are replaced.
+    alike; without examples of both classes every score is 0.25. Very long texts are scored by
+    all their words; an empty table gives no rows; equally near examples count by their
+    doc_id. Columns of ``docs`` with these names are replaced.
     """
     score = scorer(docs.sparkSession, learn(docs, labels))
     out = docs.withColumn("__toxicity", score("text"))
@@ -347,7 +348,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without those predicted toxic."""
+    """``docs`` without those predicted toxic. All columns stay; null and empty texts, repeated rows and an empty table as in ``toxicity``."""
     return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(docs.columns)
 
 

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievewright.llm import decontamination, hash_forest, jump_shards, near_dedup, ngram_trie, packing, pii, token_counts, token_files, toxicity
 from sievewright.llm.tokens import library, vocabulary
@@ -196,6 +197,26 @@ def test_near_duplicates(spark, docs, nothing):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_near_duplicates_of_the_query(spark):
+    """Classes of the whole table, against all pairs."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.query(spark, "/root/testdata/sf0.01").collect()}
+    assert got == near_classes({r["doc_id"]: r["text"] for r in rows})
+
+
+def test_near_dedup_stage_keeps_by_row(spark):
+    rng = np.random.default_rng(12)
+    base = [f"b{x}" for x in rng.integers(0, 10**6, 100)]
+    a, near = " ".join(base), " ".join([*base[:50], "other", *base[51:]])
+    other, far = " ".join(base[::-1]), " ".join(f"f{i}" for i in range(30))
+    rows = [(1, a, "x"), (5, other, "x"), (5, near, "x"), (None, near, "n"), (None, far, "n"), (None, far, "n"), (7, None, "x"), (7, None, "x"), (8, "", "x"), (9, "", "x"), (1, a.upper(), "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    kept = near_dedup.stage(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(1, a.upper(), "y"), (5, other, "x"), (None, far, "n"), (7, None, "x"), (7, None, "x"), (8, "", "x")]))
+    assert near_dedup.stage(spark, df.limit(0), "").count() == 0
+
+
 def test_near_duplicates_with_irregular_ids(spark):
     rng = np.random.default_rng(11)
     base = [[f"{g}x{x}" for x in rng.integers(0, 10**6, 100)] for g in range(12)]
@@ -278,7 +299,6 @@ def by_hand(text, secret, kind):
 
 
 def test_feistel_is_a_permutation(spark):
-    from pyspark.sql import functions as F
 
     out = spark.range(90).select((F.col("id") % 9).alias("a"), F.floor(F.col("id") / 9).alias("b"), pii._numbers("k", "x", F.col("id") % 9, F.floor(F.col("id") / 9), 9, 10).alias("p")).select("a", "b", "p.l", "p.r")
     assert out.select("l", "r").distinct().count() == 90 and out.where("l between 0 and 8 and r between 0 and 9").count() == 90 and out.where("a = l and b = r").count() == 0
@@ -403,6 +423,49 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def test_toxicity_by_hand(spark):
+    """Neighbours, votes and scores against the formulas over all examples."""
+    rng = np.random.default_rng(14)
+    rows = [(i, " ".join([f"w{x}" for x in rng.zipf(1.3, 40) if x < 3000] + (["vile", "foul"][: rng.integers(0, 3)] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(500)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(df, labels).collect()}
+    index = toxicity.learn(df, labels)
+    texts = {i: Counter(t.split()) for i, t, _ in rows}
+    df_ = Counter(w for c in texts.values() for w in c)
+    learned = [i for i in index.ids.tolist()]
+    y = {i: lab for i, _, lab in rows}
+    p, q = (sum(y[i] == k for i in learned) for k in (1, 0))
+    weight = {}
+    for w in {w for i in learned for w in texts[i]}:
+        a, b = (sum(w in texts[i] for i in learned if y[i] == k) for k in (1, 0))
+        rate = (a + b) / (p + q)
+        z2 = (a / p - b / q) ** 2 / (rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
+        weight[w] = (np.log(501 / (df_[w] + 1)) + 1e-6) * (z2 + 0.25) / (z2 + 25)
+
+    def unit(counts):
+        v = {w: (1 + np.log(n)) * weight[w] for w, n in counts.items() if w in weight} | {None: 2.0}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    vectors = {i: unit(texts[i]) for i in learned}
+    for d, _, _ in rows[::9]:
+        own = unit(texts[d])
+        scores = sorted(((sum(x * v.get(w, 0) for w, x in own.items()), i) for i, v in vectors.items()), key=lambda x: (-round(x[0], 6), x[1]))[:15]
+        votes = [(max(s, 1e-4) ** 2 / (1 - min(s, 1) + 0.03) * index.weight[learned.index(i)], y[i]) for s, i in scores]
+        share = np.clip(sum(w for w, k in votes if k) / sum(w for w, _ in votes), 0.01, 0.99)
+        assert (index.sizes == 1).all() and got[d]["score"] == pytest.approx(1 / (1 + np.exp(-(index.slope * np.log(share / (1 - share)) + index.shift))), abs=2e-3)
+        assert got[d]["evidence"][0] == scores[0][1]
+
+
+def test_toxicity_on_held_out_rows_of_the_query(spark):
+    got = {r["doc_id"]: r for r in toxicity.query(spark, "/root/testdata/sf0.1").where("held_out").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    toxic = [got[d]["predicted"] for d, y in labels.items() if y == 1 and d in got]
+    clean = [got[d]["predicted"] for d, y in labels.items() if y == 0 and d in got]
+    assert len(toxic) > 50 and np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.01
+
+
 def test_toxicity_reaches_examples_by_their_own_words(spark):
     rng = np.random.default_rng(8)
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 30)) + (" vile foul" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
@@ -453,6 +516,10 @@ def test_hash_forest(spark):
         found += len({v for v, _ in near} & set(want.tolist()))
     assert found >= 0.9 * 20 * len(by)
     assert hash_forest.nearest(df.limit(0)).count() == 0
+    clash = df.withColumns({"part": F.lit("x"), "block": F.lit(1), "size": F.lit(2), "rank": F.lit(3)})
+    twice = clash.unionByName(clash.where("vec_id < 40"))
+    same = {(r["query_id"], r["rank"], r["vec_id"]) for r in hash_forest.nearest(twice, part_rows=300).where("query_id < 40").collect()}
+    assert len(same) == 40 and len({(q, v) for q, _, v in same}) == 40
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r["rank"], r["vec_id"]) for r in hash_forest.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
 
