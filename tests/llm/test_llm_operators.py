@@ -444,7 +444,7 @@ def test_toxicity_by_hand(spark):
         weight[w] = (np.log(501 / (df_[w] + 1)) + 1e-6) * (z2 + 0.25) / (z2 + 25)
 
     def unit(counts):
-        v = {w: (1 + np.log(n)) * weight[w] for w, n in counts.items() if w in weight} | {None: 2.0}
+        v = {w: (1 + np.log(n)) * weight[w] for w, n in counts.items() if w in weight} | {None: toxicity.COMMON_WEIGHT}
         size = np.sqrt(sum(x * x for x in v.values()))
         return {w: x / size for w, x in v.items()}
 
