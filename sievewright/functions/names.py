@@ -89,10 +89,6 @@ def has_code(label: Column, codes: list[str]) -> Column:
     return fold(F.coalesce(label, F.lit(""))).rlike("|".join(codes)) if codes else F.lit(False)
 
 
-def _some(text: Column) -> Column:
-    return F.when(text != "", text)
-
-
 def labels(path: Column, codes: list[str] = []) -> Column:
     """Of a path below the source: a struct of room, room_order, shot, area, area_order.
 

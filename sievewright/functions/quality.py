@@ -166,3 +166,19 @@ def sharpness(pixels: Column, width: Column) -> Column:
     values = F.transform(inner, lambda i: at(i - 1) + at(i + 1) + at(i - width) + at(i + width) - 4 * at(i))
     sums = F.aggregate(values, F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("xx")), lambda s, v: F.struct((s["x"] + v).alias("x"), (s["xx"] + v * v).alias("xx")))
     return F.when(F.size(inner) > 0, sums["xx"] / F.size(inner) - (sums["x"] / F.size(inner)) * (sums["x"] / F.size(inner)))
+
+
+#: Tags of times, parts of a second and equivalent lengths, the first that holds.
+TIMES, PARTS = ("EXIF DateTimeOriginal", "EXIF DateTimeDigitized", "Image DateTime"), ("EXIF SubSecTimeOriginal", "EXIF SubSecTime")
+EQUIVALENTS = ("EXIF FocalLengthIn35mmFilm", "EXIF FocalLengthIn35mmFormat")
+
+
+def header(tags: Column) -> Column:
+    """What a map of header tags says, as a struct; a tag that is missing or no number leaves its field null, never a default."""
+    number = lambda name: ratio(tags[name])
+    camera = F.nullif(F.trim(tags["Image Model"]), F.lit(""))
+    length = focal_35(F.coalesce(*(ratio(tags[n]) for n in EQUIVALENTS)), number("EXIF FocalLength"), camera)
+    at = F.coalesce(*(F.try_to_timestamp(tags[n], F.lit("yyyy:MM:dd HH:mm:ss")) for n in TIMES))
+    return F.struct(
+        at.cast("timestamp_ntz").alias("shot_at"), subsecond(*(tags[n] for n in PARTS)).alias("subsec"), number("EXIF ExposureBiasValue").alias("exposure_bias"), number("EXIF ExposureTime").alias("exposure_time"),
+        F.nullif(number("EXIF ISOSpeedRatings").cast("int"), F.lit(0)).alias("iso"), camera.alias("camera"), number("EXIF FocalLength").alias("focal_mm"), length["mm"].alias("focal_35mm"), length["source"].alias("focal_35mm_source"))

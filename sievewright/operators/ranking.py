@@ -42,7 +42,20 @@ def composed_name(kind: Column, room: Column, number: Column) -> Column:
 
 
 def parsed_name(name: Column) -> list[Column]:
-    pattern = "^([A-Z][A-Z_]*)_([0-9]{2})_([0-9]{4})$"
+    """Kind, room and number of a name, without a result's ending; nulls for other names."""
+    pattern = "^([A-Z][A-Z_]*)_([0-9]{2})_([0-9]{4})(?:(?:_edit|_final|_enhanced)(?:_[0-9]+)?)?$"
     good = name.rlike(pattern)
     part = lambda i: F.when(good, F.regexp_extract(name, pattern, i))
     return [part(1), part(2).cast("int"), part(3).cast("int")]
+
+
+def section(name: Column) -> Column:
+    """The kind and the room (KIND_RR) under which a name is shown; names that can't be read have a section of their own."""
+    kind, room, _ = parsed_name(name)
+    return F.struct(F.coalesce(kind, F.lit("SEM_AMBIENTE")).alias("kind"), F.when(kind.isNotNull(), F.format_string("%s_%02d", kind, room)).otherwise("—").alias("room"))
+
+
+def sort_key(name: Column) -> Column:
+    """Sorts names by kind, room and number; those that can't be read come after, by themselves."""
+    kind, room, number = parsed_name(name)
+    return F.struct(kind.isNull().alias("odd"), F.coalesce(kind, name).alias("kind"), F.coalesce(room, F.lit(0)).alias("room"), F.coalesce(number, F.lit(0)).alias("number"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievewright.functions import names, quality, scalars
-from sievewright.operators import answers, files, gates, rooms
+from sievewright.operators import answers, files, gates, geometry, ranking, rooms
 from sievewright.plans.catalog import _t, query
 from sievewright.streaming import ledger
 
@@ -358,3 +358,27 @@ def rooms_split(spark, d):
     own = _t(spark, d, "supplier").select((F.col("s_nationkey") % 20).alias("room"), F.col("s_name").alias("file"), F.col("s_suppkey").alias("k"))
     claims = own.where("k % 17 > 0").select("room", "file", (F.col("k") % 3).alias("part"))
     return answers.split(claims, own.select("room", "file"), "room", "file")
+
+
+LINES = "s AS (SELECT l_orderkey % 400 AS photo, l_partkey % 1000 AS x1, 50 AS y1, l_partkey % 1000 + (l_suppkey * 7 % 90 - 45) + l_partkey % 1000 // 40 AS x2, (200 + l_linenumber * 30)::INT AS y2 FROM lineitem)"
+
+
+@query("WITH " + LINES + """, m AS (SELECT *, (x1 + x2) / 2.0 AS x, degrees(atan2((x2 - x1)::DOUBLE, (y2 - y1)::DOUBLE)) AS y, sqrt((x2 - x1)::DOUBLE * (x2 - x1) + (y2 - y1)::DOUBLE * (y2 - y1)) AS len FROM s), g AS (SELECT * FROM m WHERE abs(y) <= 15 AND len >= 700 * 0.14),
+u AS (SELECT photo, x, y, row_number() OVER (PARTITION BY photo ORDER BY x1, x2, y2) - 1 AS i, count(*) OVER (PARTITION BY photo) AS n, max(x) OVER (PARTITION BY photo) - min(x) OVER (PARTITION BY photo) AS span FROM g), f AS (SELECT * FROM u WHERE n >= 6 AND span >= 350),
+e AS (SELECT * FROM f WHERE n <= 40 OR i IN (SELECT unnest(list_transform(range(0, 40), lambda k: (k * (n - 1)) // 39)))),
+l AS (SELECT a.photo, median((b.y - a.y) / (b.x - a.x)) AS slope FROM e a JOIN e b ON a.photo = b.photo AND a.i < b.i WHERE abs(b.x - a.x) > 50 GROUP BY a.photo HAVING count(*) >= 3),
+r AS (SELECT f.photo, round_even(abs(any_value(slope) * 1000), 2) AS convergence_deg, round_even(median(y - slope * (x - 500.0)), 2) AS roll_deg FROM f JOIN l ON l.photo = f.photo GROUP BY f.photo)
+SELECT c.photo, convergence_deg, roll_deg, lines FROM (SELECT photo, count(*) FILTER (abs(y) <= 15 AND len >= 700 * 0.14) AS lines FROM m GROUP BY photo) c LEFT JOIN r ON r.photo = c.photo""")
+def vertical_geometry(spark, d):
+    x = F.col("l_partkey") % 1000
+    own = _t(spark, d, "lineitem").select((F.col("l_orderkey") % 400).alias("photo"), x.alias("x1"), F.lit(50).alias("y1"), (x + (F.col("l_suppkey") * 7 % 90 - 45) + F.floor(x / 40)).alias("x2"), (F.lit(200) + F.col("l_linenumber") * 30).alias("y2"), F.lit(1000).alias("w"), F.lit(700).alias("h"))
+    return geometry.vertical_geometry(own, "photo", ["x1", "x2", "y2"])
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment ELSE 'SEM_AMBIENTE' END AS kind, CASE WHEN c_custkey % 4 > 0 THEN printf('%s_%02d', c_mktsegment, c_nationkey) ELSE '—' END AS room,
+c_custkey % 4 = 0 AS odd, CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment ELSE lower(c_mktsegment) || c_custkey END AS first, CASE WHEN c_custkey % 4 > 0 THEN c_nationkey ELSE 0 END AS second, (CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 10000 ELSE 0 END)::INT AS third FROM customer""")
+def name_sections(spark, d):
+    k = F.col("c_custkey")
+    name = F.when(k % 4 > 0, F.format_string("%s_%02d_%04d_edit", "c_mktsegment", "c_nationkey", k % 10000)).otherwise(F.concat(F.lower("c_mktsegment"), k.cast("string")))
+    own = _t(spark, d, "customer").select("c_custkey", ranking.sort_key(name).alias("k"), ranking.section(name).alias("s"))
+    return own.select("c_custkey", "s.kind", "s.room", "k.odd", F.col("k.kind").alias("first"), F.col("k.room").alias("second"), F.col("k.number").alias("third"))

@@ -62,6 +62,27 @@ def test_measures(spark):
     assert row(quality.request(F.lit("gpt-image-2"), F.lit(3000), F.lit(2000)), quality.request(F.lit("other"), F.lit(3000), F.lit(2000))) == ("2048x1360", "3:2")
 
 
+def test_header(spark):
+    tags = {"EXIF DateTimeOriginal": "broken", "Image DateTime": "2024:05:06 07:08:09", "EXIF SubSecTime": "7", "EXIF ExposureBiasValue": "-2/3", "EXIF ISOSpeedRatings": "100", "Image Model": " NIKON D5600 ", "EXIF FocalLength": "16"}
+    df = spark.createDataFrame([(1, tags), (2, {})], "i int, t map<string, string>").select("i", quality.header(F.col("t")).alias("h")).orderBy("i")
+    full, none = [r["h"] for r in df.collect()]
+    assert str(full["shot_at"]) == "2024-05-06 07:08:09" and (full["subsec"], full["iso"], full["camera"], full["focal_35mm"], full["focal_35mm_source"]) == (700, 100, "NIKON D5600", 24.0, "derived") and full["exposure_bias"] == pytest.approx(-2 / 3)
+    assert none["shot_at"] is None and none["exposure_bias"] is None and none["focal_35mm"] is None
+
+
+def test_vertical_geometry(spark):
+    from sievewright.operators import geometry
+
+    level = [(1, i, 100 * i, 0, 100 * i, 300, 1000, 700) for i in range(8)]
+    rolled = [(2, i, 100 * i, 300, 100 * i - 30, 0, 1000, 700) for i in range(8)]  # drawn upwards: the same lean
+    few, narrow = [(3, i, 100 * i, 0, 100 * i, 300, 1000, 700) for i in range(5)], [(4, i, 10 * i, 0, 10 * i, 300, 1000, 700) for i in range(9)]
+    flat = [(5, i, 0, 5, 900, 5, 1000, 700) for i in range(9)]
+    splay = [(6, i, 100 * i, 0, 100 * i + 5 * i, 300, 1000, 700) for i in range(9)]
+    df = spark.createDataFrame(level + rolled + few + narrow + flat + splay, "photo int, i int, x1 int, y1 int, x2 int, y2 int, w int, h int")
+    got = {r["photo"]: (r["convergence_deg"], r["roll_deg"], r["lines"]) for r in geometry.vertical_geometry(df, "photo", ["i"]).collect()}
+    assert got[1] == (0.0, 0.0, 8) and got[2][0] == 0.0 and got[2][1] == pytest.approx(5.71, abs=0.01) and got[3] == (None, None, 5) and got[4] == (None, None, 9) and got[5] == (None, None, 0) and got[6][0] > 8
+
+
 def test_inventory_and_gaps_of_a_recorded_delivery(spark):
     arrived = spark.createDataFrame([("s/IMG_2918.HEIC",), ("s/Área 1.jpg",), ("s/new.jpg",)], "path string")
     wanted = spark.createDataFrame([("IMG_2918 (1).HEIC",), ("IMG_2918.HEIC",), ("Área 1.JPG",), ("gone.jpg",)], "path string")
