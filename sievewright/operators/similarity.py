@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import tempfile
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,11 +80,11 @@ def classes(items: DataFrame, name: str, links: DataFrame) -> DataFrame:
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder that the session names; without one nothing could be shared, so it fails."""
+    """Cut the lineage in the shared folder that the session names. Only a local session may go without; it gets one of its own."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not at:
+        if not at and not context.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir is not set: stages need a folder that driver and executors share")
-        context.setCheckpointDir(at)
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="sievewright-"))
     return df.checkpoint()
