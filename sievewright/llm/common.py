@@ -59,6 +59,15 @@ def trim() -> None:
         libc.malloc_trim(0)
 
 
+def give_back() -> None:
+    """``trim`` for workers that use arrays of the same sizes again: the C library keeps its own thresholds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def ready(spark: SparkSession) -> None:
     """Executors have this package, and no batch for Python is larger than BATCH_BYTES (or one row).
 

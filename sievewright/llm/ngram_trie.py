@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import elias_fano, shared_files
-from sievewright.llm.common import by_bytes, bytes_of, fresh_path, table, tidy, trim
+from sievewright.llm.common import by_bytes, bytes_of, fresh_path, give_back, table, tidy
 from sievewright.llm.near_dedup import _mixed
 
 DISCOUNT, STEPS, LEAST = 0.6, 4096.0, 2
@@ -252,7 +252,7 @@ def _order(context: np.ndarray, word: np.ndarray, universe: int) -> np.ndarray:
 
 def _write_level(level: Level, least: int, counted: bool):
     def run(part):
-        trim()
+        give_back()
         k = int(part.column("file")[0].as_py())
         context, word, n, often = (np.concatenate(x) for x in zip(*(_unpack(b) for b in part.column("grams").to_pylist())))
         order = _order(context, word, level.universe)
@@ -337,7 +337,7 @@ def _each(batches: Iterator[pa.RecordBatch], training: bool) -> Iterator[tuple[d
             segment = Segment(flat | {"codes": row["codes"].as_buffer()}, training)
             if len(segment.sizes):
                 yield row, segment
-                trim()
+                give_back()
 
 
 def _dealt(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
