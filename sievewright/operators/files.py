@@ -31,10 +31,8 @@ def frame_gaps(files: DataFrame, path: str, least: int = 5, alarm: int = 12) ->
 
 def missing_runs(numbers: DataFrame, group: str, number: str) -> DataFrame:
     """The runs of numbers that are missing between a group's first and last: first, last, size."""
-    once = numbers.select(group, number).where(F.col(number).isNotNull()).distinct()
-    ahead = once.withColumn("__next", F.lead(number).over(Window.partitionBy(group).orderBy(number)))
-    runs = ahead.where(F.col("__next") > F.col(number) + 1)
-    return runs.select(group, (F.col(number) + 1).alias("first"), (F.col("__next") - 1).alias("last"), (F.col("__next") - F.col(number) - 1).alias("size"))
+    runs = sequences.followed(numbers, group, number).where(F.col("next") > F.col(number) + 1)
+    return runs.select(group, (F.col(number) + 1).alias("first"), (F.col("next") - 1).alias("last"), (F.col("next") - F.col(number) - 1).alias("size"))
 
 
 def part_report(archives: DataFrame, path: str, size: str) -> DataFrame:

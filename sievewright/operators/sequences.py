@@ -41,11 +41,27 @@ def bracket_runs(frames: DataFrame, key: str, at: str, value: str, name: str, ga
     return flat.unionByName(alone).withColumn("run", F.dense_rank().over(last)).select(key, name, "run", "committed")
 
 
+#: Numbers of a group that are sorted together; the stretches are then joined at their ends.
+STRETCH = 1 << 20
+
+
+def followed(numbers: DataFrame, group: str, number: str, stretch: int = STRETCH) -> DataFrame:
+    """Distinct numbers of each group with ``next``, the one that follows, null for the last.
+
+    Numbers are sorted within stretches of a fixed width, so a group of any size is dealt over
+    many tasks; only the first number of each stretch meets those of others.
+    """
+    once = numbers.select(group, number).where(F.col(number).isNotNull()).distinct().withColumn("__at", F.floor(F.col(number) / stretch))
+    own = once.withColumn("__lead", F.lead(number).over(Window.partitionBy(group, "__at").orderBy(number)))
+    firsts = once.groupBy(group, "__at").agg(F.min(number).alias("__first"))
+    edges = firsts.select(group, "__at", F.lead("__first").over(Window.partitionBy(group).orderBy("__at")).alias("__beyond"))
+    return own.join(edges, [group, "__at"]).select(group, number, F.coalesce("__lead", "__beyond").alias("next"))
+
+
 def sequence_gaps(numbers: DataFrame, group: str, number: str, least: int = 5, alarm: int = 12) -> DataFrame:
     """For each group of ``least`` distinct numbers or more: first, last, present, missing, longest missing run, alarm. The range itself is never listed."""
-    once = numbers.select(group, number).where(F.col(number).isNotNull()).distinct()
-    ahead = F.lead(number).over(Window.partitionBy(group).orderBy(number)) - F.col(number) - 1
-    found = once.withColumn("hole", F.coalesce(ahead, F.lit(0))).groupBy(group).agg(
+    hole = F.coalesce(F.col("next") - F.col(number) - 1, F.lit(0))
+    found = followed(numbers.where(F.col(group).isNotNull()), group, number).withColumn("hole", hole).groupBy(group).agg(
         F.min(number).alias("first"), F.max(number).alias("last"), F.count("*").alias("present"), F.sum("hole").alias("missing"), F.max("hole").alias("longest"), F.count_if(F.col("hole") > 0).alias("holes"))
     return found.where(F.col("present") >= least).withColumn("alarm", F.col("longest") >= alarm)
 

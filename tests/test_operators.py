@@ -72,6 +72,16 @@ def test_gaps(spark):
     assert (row["present"], row["missing"], row["longest"], row["holes"], row["alarm"]) == (28, 404, 403, 2, True)
 
 
+def test_stretches_join(spark):
+    import random
+
+    rng = random.Random(5)
+    own = {g: sorted(rng.sample(range(-50, 400), n)) for g, n in (("a", 60), ("b", 1), ("c", 300))}
+    df = spark.createDataFrame([(g, n) for g, ns in own.items() for n in ns * 2] + [("a", None)], "g string, n int")
+    got = {(r["g"], r["n"]): r["next"] for r in sequences.followed(df, "g", "n", stretch=16).collect()}
+    assert got == {(g, n): after for g, ns in own.items() for n, after in itertools.zip_longest(ns, ns[1:])}
+
+
 @pytest.mark.parametrize("most", [3, 12, 14, 20])
 def test_hamming(spark, most):
     import random
