@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, by_bytes, bytes_of, distinct, release, spaced, table, trim, write_once
+from sievewright.llm.common import by_bytes, distinct, release, spaced, table, trim, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash).
@@ -53,20 +53,33 @@ def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
-def found(texts: list[bytes], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The words of ``spaced`` texts that ``place`` knows, in order: whose text's and which."""
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``spaced`` texts, in order: whose text's, and their 64-bit hashes, by which words are known."""
+    from xxhash import xxh64_intdigest
+
     lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
-    coded = lists.values.dictionary_encode()  # each word is looked up once
-    term = np.fromiter(map(place.get, coded.dictionary.to_numpy(zero_copy_only=False), itertools.repeat(-1)), dtype=np.int64, count=len(coded.dictionary))[coded.indices.to_numpy()]
+    own = lists.values.dictionary_encode()  # each word is hashed once
+    hashes = np.fromiter(map(xxh64_intdigest, own.dictionary.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(own.dictionary))[own.indices.to_numpy()]
     text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    return text[term >= 0], term[term >= 0]
+    real = hashes != np.uint64(xxh64_intdigest(""))  # beside white space at a text's ends
+    return text[real], hashes[real]
+
+
+def found(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``spaced`` texts that are among the ascending ``terms``, in order: whose text's, and which."""
+    text, hashes = coded(texts)
+    if not len(terms):
+        return text[:0], np.empty(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+    known = terms[at] == hashes
+    return text[known], at[known]
 
 
 class Index:
     """Examples as unit vectors, by example and by term."""
 
-    def __init__(self, terms: list[str], weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
-        self.place = {t: i for i, t in enumerate(terms)}
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
+        self.terms = terms  # hashes, ascending
         self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
         vectors = [self._unit(at, n) for at, n in counts]
         often = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=len(self.weights)) / len(ids)
@@ -118,14 +131,14 @@ class Index:
     def vectors(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Unit vectors of ``spaced`` texts."""
         width = len(self.weights)
-        text, term = found(texts, self.place)
+        text, term = found(texts, self.terms)
         key, often = np.unique(text * width + term, return_counts=True)
         edges = np.searchsorted(key, np.arange(len(texts) + 1) * width)
         return [self._unit((key[a:b] - i * width).astype(np.int32), often[a:b]) for i, (a, b) in enumerate(itertools.pairwise(edges.tolist()))]
 
     def _unit(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of ascending terms and their counts."""
-        at = np.append(at, np.int32(len(self.place)))
+        at = np.append(at, np.int32(len(self.terms)))
         value = (1 + np.log(np.append(n, 1))) * self.weights[at]
         return at, (value / np.sqrt((value * value).sum())).astype(np.float32)
 
@@ -225,36 +238,38 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
-def _document_counts(docs: DataFrame, place: dict[str, int]) -> tuple[int, np.ndarray]:
+def _document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
     """Documents, and those that hold each term, over all of ``docs``."""
-    wanted = docs.sparkSession.sparkContext.broadcast(place)
+    wanted = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        place = wanted.value
-        total = np.zeros(len(place) + 1, dtype=np.int64)
+        terms = wanted.value
+        total = np.zeros(len(terms) + 1, dtype=np.int64)
         for batch in by_bytes(batches, "text", 2 << 20):
-            text, term = found(spaced(batch.column("text")), place)
-            total += np.bincount(distinct(text * len(place) + term) % max(1, len(place)), minlength=len(total))
+            text, term = found(spaced(batch.column("text")), terms)
+            total += np.bincount(distinct(text * len(terms) + term) % max(1, len(terms)), minlength=len(total))
             total[-1] += len(batch)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "n"])
 
     rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(place) + 1, dtype=np.int64)
+    wanted.unpersist()
+    out = np.zeros(len(terms) + 1, dtype=np.int64)
     out[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
     return int(out[-1]), out[:-1]
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's words, their counts, its signature and its shingles."""
+    """Each text's words as ascending hashes, their counts, its signature and its shingles."""
     release()
     for batch in by_bytes(batches, "text", 1 << 19):
-        texts = [WORD.findall(t) for t in bytes_of(batch.column("text"))]
-        sets = shingles(texts)
+        texts = spaced(batch.column("text"))
+        sets = shingles([t.split() for t in texts])
         marks = signatures(sets, REGISTERS).view(np.int64).tolist()
-        often = [Counter(t) for t in texts]
-        blobs = ([b" ".join(c) for c in often], [np.array(list(c.values()), dtype="<i4").tobytes() for c in often], [h.astype("<u8").tobytes() for h, _ in sets])
+        text, hashes = coded(texts)
+        often = [np.unique(own, return_counts=True) for own in np.split(hashes, np.searchsorted(text, np.arange(1, len(texts))))]
+        blobs = ([w.astype("<u8").tobytes() for w, _ in often], [n.astype("<i4").tobytes() for _, n in often], [h.astype("<u8").tobytes() for h, _ in sets])
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(marks, pa.list_(pa.int64())), *(pa.array(b, pa.binary()) for b in blobs)], ["doc_id", "toxic", "marks", "words", "counts", "hashes"])
 
 
@@ -291,13 +306,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
     sample = write_once(texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, marks array<long>, words binary, counts binary, hashes binary"), "examples")
-    # At most a row for each of the sample, a partition at a time; words are held once.
-    place = defaultdict(itertools.count().__next__)
-    got = []
-    for doc, label, marks, words, often, hashes in sample.toLocalIterator():
-        at, n = np.array([place[w] for w in bytes(words).decode().split(" ") if w], dtype=np.int32), np.frombuffer(bytes(often), dtype="<i4")
-        order = np.argsort(at)
-        got.append((doc, label, hashlib.blake2b(words).digest(), at[order], n[order], marks, np.frombuffer(bytes(hashes), dtype="<u8")))
+    # At most a row for each of the sample, a partition at a time.
+    got = [(doc, label, hashlib.blake2b(words + often).digest(), np.frombuffer(words, dtype="<u8"), np.frombuffer(often, dtype="<i4"), marks, np.frombuffer(hashes, dtype="<u8"))
+           for doc, label, marks, words, often, hashes in ((*r[:3], *map(bytes, r[3:])) for r in sample.toLocalIterator())]
     got.sort(key=lambda r: r[:3])
     apart = _apart([r[1] for r in got], [r[5] for r in got], [r[6] for r in got])
     got, sizes = [got[i][:5] for i in apart], np.array(list(apart.values()), dtype=np.int64)
@@ -306,14 +317,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
     p, q = float((y == 1).sum()), float((y == 0).sum())
     if not (p and q):
         return None
-    counts = [(at, n) for *_, at, n in got]
-    a, b = (np.bincount(np.concatenate([at for (at, _), label in zip(counts, y) if label == k]), minlength=len(place)) for k in (1, 0))
+    terms = distinct(np.concatenate([words for *_, words, _ in got]))
+    counts = [(np.searchsorted(terms, words).astype(np.int32), n) for *_, words, n in got]
+    del got
+    a, b = (np.bincount(np.concatenate([at for (at, _), label in zip(counts, y) if label == k]), minlength=len(terms)) for k in (1, 0))
     rate = (a + b) / (p + q)
     z2 = (a / p - b / q) ** 2 / (rate * (1 - rate) * (1 / p + 1 / q) + 1e-12)
-    n, df = _document_counts(docs, dict(place))
+    n, df = _document_counts(docs, terms)
     weights = (np.log((n + 1) / (df + 1)) + 1e-6) * (z2 + LEAST_SHARE * HALF_Z2) / (z2 + HALF_Z2)
     rates = tuple(size.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1))
-    index = Index(list(place), weights, ids, counts, y, rates, sizes)
+    index = Index(terms, weights, ids, counts, y, rates, sizes)
     index.calibrate()
     trim()
     return index
