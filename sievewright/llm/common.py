@@ -45,10 +45,11 @@ def _libc():
     return found
 
 
-def release() -> None:
-    """Give back what other operators left in this Python worker, which serves many stages."""
+def release(keep=None) -> None:
+    """Give back what other operators left in this Python worker, which serves many stages; what ``keep`` would clear stays."""
     for clear in CACHES:
-        clear()
+        if clear != keep:
+            clear()
     trim()
 
 

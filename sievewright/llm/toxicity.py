@@ -21,6 +21,7 @@ import hashlib
 import itertools
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import by_bytes, distinct, release, spaced, table, trim, write_once
+from sievewright.llm import shared_files
+from sievewright.llm.common import CACHES, by_bytes, distinct, fresh_path, release, spaced, table, trim, write_once
 from sievewright.llm.near_dedup import shingles, signatures
 
 #: Bounds of what is learned from: labelled rows of each class (the first by hash).
@@ -117,6 +119,26 @@ class Index:
         self.asked = np.zeros(len(self.weights), dtype=np.float32)
         self.slope, self.shift, self.memo, self.read = 1.0, 0.0, {}, [0, 0]
 
+    #: What a search needs; arrays of two or three dimensions with their shapes' rest.
+    PARTS = ("terms", "weights", "ids", "labels", "sizes", "weight", "row_sizes", "row_edges", "row_at", "row_value", "postings", "edges", "frequent", "common", "matrix", "lists", "most")
+
+    def save(self, path: str) -> None:
+        """Write the index to the shared folder, where all workers map it: none holds a copy."""
+        shared_files.write(path, {name: np.ascontiguousarray(getattr(self, name)).ravel() for name in self.PARTS} | {"fit": np.array([self.slope, self.shift])})
+
+    @classmethod
+    def load(cls, path: str) -> "Index":
+        self = cls.__new__(cls)
+        found = shared_files.read(path)
+        for name in cls.PARTS:
+            setattr(self, name, found[name])
+        self.blocks = -(-len(self.ids) // BLOCK)
+        self.matrix = self.matrix.reshape(-1, self.blocks * BLOCK)
+        self.lists, self.most = self.lists.reshape(-1, self.blocks, BLOCK), self.most.reshape(-1, self.blocks)
+        self.slope, self.shift = found["fit"].tolist()
+        self.asked, self.memo, self.read = np.zeros(len(self.weights), dtype=np.float32), {}, [0, 0]
+        return self
+
     @property
     def dense(self) -> np.ndarray:
         """All vectors, for small indexes."""
@@ -233,6 +255,15 @@ class Index:
         return [self.memo[k] for k in keys]
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> Index:
+    """One for each Python worker, with what it remembers."""
+    return Index.load(path)
+
+
+CACHES.append(_loaded.cache_clear)
+
+
 def _logit(p):
     p = np.clip(p, 0.01, 0.99)
     return np.log(p / (1 - p))
@@ -334,12 +365,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Index | None:
 
 def scorer(spark: SparkSession, index: Index | None):
     """A function of a text column: a struct of score and evidence."""
-    shared = spark.sparkContext.broadcast(index)
+    path = fresh_path(spark, "index") if index else None
+    if index:
+        index.save(path)
 
     @F.arrow_udf("struct<score: double, evidence: array<bigint>>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        release()
-        index = shared.value
+        release(_loaded.cache_clear)
+        index = _loaded(path) if path else None
         for column in columns:
             found = [x for i in range(0, len(column), 1024) for x in index.score(spaced(column[i : i + 1024]))] if index else [(0.25, [])] * len(column)
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["score", "evidence"])
