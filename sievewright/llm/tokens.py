@@ -166,4 +166,4 @@ def encoder(path: str, end_id: int, kept: int = KEPT) -> Encoder:
     return Encoder(path, end_id, kept)
 
 
-CACHES.append(encoder.cache_clear)
+CACHES.extend([encoder.cache_clear, library.cache_clear, widths.cache_clear])

@@ -38,10 +38,10 @@ POSITIVE, NEGATIVE = 4096, 8192
 #: Half of a word's weight comes at this square of its error-scaled difference of rates; the least share of a weight; neighbours.
 HALF_Z2, LEAST_SHARE, NEIGHBOURS = 25.0, 0.01, 15
 #: A term in these shares of the examples is common, or so frequent that it is added up for all; examples in a block; texts searched at once; what a copy's distance counts at least.
-COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 64, 64, 0.03
+COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 64, 32, 0.03
 #: Texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
 REGISTERS, ALIKE, COPY = 16, 4, 0.8
-COMMON_WEIGHT, EVIDENCE, REMEMBERED = 1.0, 5, 50_000
+COMMON_WEIGHT, EVIDENCE, REMEMBERED = 1.0, 5, 20_000
 #: What rounding may do to a sum of similarities.
 SLACK = 1e-5
 
