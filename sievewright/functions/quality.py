@@ -1,4 +1,4 @@
-"""Flags, warnings, verdicts, sizes and ink, as column functions."""
+"""Flags, warnings, verdicts, sizes and ink, as column functions. What flags, warnings and verdicts say are fixed values."""
 
 from __future__ import annotations
 
