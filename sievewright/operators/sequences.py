@@ -1,4 +1,4 @@
-"""Runs, gaps and number sequences."""
+"""Gaps and number sequences."""
 
 from __future__ import annotations
 
@@ -6,41 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bracket_runs(frames: DataFrame, key: str, at: str, value: str, name: str, gap: float, most: int = 9, spread: float = 0.5) -> DataFrame:
-    """``run`` for each frame, its place among the key's runs, and ``committed``, whether that run holds together.
-
-    In order of (``at`` in seconds, ``name``) a run goes on while the next frame comes within
-    ``gap`` and its ``value`` isn't in the run yet and the run is shorter than ``most``. A null
-    value repeats nothing. A run commits only with two frames or more, all with a value, and
-    values at least ``spread`` apart; another dissolves into runs of one frame each. Frames
-    without ``at`` are runs of one, at the end. Stretches without a longer gap are split off
-    first, so the fold sees one burst at a time, and a burst is held in one task.
-    """
-    order = Window.partitionBy(key).orderBy(at, name)
-    dated = frames.where(F.col(at).isNotNull())
-    far = F.coalesce((F.col(at) - F.lag(at).over(order) > gap).cast("int"), F.lit(1))
-    bursts = dated.withColumn("burst", F.sum(far).over(order))
-    item = F.struct(F.col(at).alias("at"), F.col(name).alias("name"), F.col(value).cast("double").alias("value"))
-    folded = bursts.groupBy(key, "burst").agg(F.array_sort(F.collect_list(item)).alias("frames"))
-    none = F.array().cast("array<double>")
-    start = F.struct(none.alias("seen"), F.lit(0).alias("size"), F.lit(0).alias("run"), F.array().cast("array<int>").alias("runs"))
-
-    def step(s, x):
-        more = (s["size"] > 0) & (s["size"] < most) & ~F.coalesce(F.array_contains(s["seen"], x["value"]), F.lit(False))
-        run = F.when(more, s["run"]).otherwise(s["run"] + 1)
-        mine = F.when(x["value"].isNull(), none).otherwise(F.array(x["value"]))
-        return F.struct(F.when(more, F.concat(s["seen"], mine)).otherwise(mine).alias("seen"), F.when(more, s["size"] + 1).otherwise(1).alias("size"), run.alias("run"), F.concat(s["runs"], F.array(run)).alias("runs"))
-
-    placed = folded.withColumn("runs", F.aggregate("frames", start, step, lambda s: s["runs"]))
-    flat = placed.select(key, "burst", F.explode(F.arrays_zip("frames", "runs")).alias("x")).select(key, "burst", F.col("x.frames.name").alias(name), F.col("x.frames.at").alias("at"), F.col("x.frames.value").alias("value"), F.col("x.runs").alias("part"))
-    own = Window.partitionBy(key, "burst", "part")
-    holds = (F.count("*").over(own) > 1) & (F.count("value").over(own) == F.count("*").over(own)) & (F.max("value").over(own) - F.min("value").over(own) >= spread)
-    flat = flat.select(key, "burst", "part", name, "at", F.coalesce(holds, F.lit(False)).alias("committed"))
-    alone = frames.where(F.col(at).isNull()).select(key, F.lit(None).cast("long").alias("burst"), F.lit(None).cast("int").alias("part"), name, F.lit(None).cast("double").alias("at"), F.lit(False).alias("committed"))
-    last = Window.partitionBy(key).orderBy(F.col("burst").asc_nulls_last(), "part", F.when(~F.col("committed"), F.col("at")), F.when(~F.col("committed"), F.col(name)))
-    return flat.unionByName(alone).withColumn("run", F.dense_rank().over(last)).select(key, name, "run", "committed")
-
-
 #: Numbers of a group that are sorted together; the stretches are then joined at their ends.
 STRETCH = 1 << 20
 
