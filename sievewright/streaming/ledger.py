@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievewright.operators.quantiles import quantiles
+from sievewright.stages import joined
+
 #: Fixed values.
 EVENTS = ("entered", "run", "gate", "left", "stopped")
 
@@ -46,4 +49,5 @@ def funnel(events: DataFrame, key: str, at: str, kind: str, steps: list[str]) ->
         took = F.timestamp_diff("SECOND", F.col(f"__{i - 1}"), F.col(f"__{i}")) if i else F.lit(None).cast("long")
         rows.append(F.struct(F.lit(i + 1).alias("place"), F.lit(s).alias("step"), F.coalesce(reached, F.lit(False)).alias("reached"), took.alias("seconds")))
     each = firsts.select(F.inline(F.array(*rows))).where("reached")
-    return each.groupBy("place", "step").agg(F.count("*").alias("keys"), F.median("seconds").alias("seconds"))
+    middle = quantiles(each, ["place"], "seconds", {"seconds": 0.5})
+    return joined(each.groupBy("place", "step").agg(F.count("*").alias("keys")), middle, ["place"], "left")
