@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions import names
+from sievewright.stages import joined
 
 #: Fixed value: characters of a prefix that a match needs.
 PREFIX = 8
@@ -58,22 +59,31 @@ def moves(entered: DataFrame, job: str, stage: str) -> DataFrame:
 
 
 def matched(claims: DataFrame, offered: DataFrame, group: str, claim: str, name: str) -> DataFrame:
-    """Claims with ``match``, the offered name of their group that is meant: equal, by base name, by a stem or a prefix that only one has. Null where that is open."""
-    asked = claims.select(group, claim).distinct().withColumns({
-        "__whole": names.fold_name(F.col(claim)), "__base": names.fold_name(names.basename(F.col(claim))), "__stem": names.fold_name(names.stem(F.col(claim)))})
-    asked = asked.withColumn("__prefix", F.substr("__base", F.lit(1), F.greatest(F.lit(PREFIX), F.length("__base") - 4)))
-    own = offered.select(group, name).distinct().withColumns({"__name": names.fold_name(F.col(name)), "__own": names.fold_name(names.stem(F.col(name)))})
+    """Claims with ``match``, the offered name of their group that is meant: equal, by base name, by a stem or a prefix that only one has. Null where that is open.
+
+    Names that fold alike are one, the least. A name is listed under its own prefixes of just the lengths that its group's claims ask
+    for, and what is listed under one key is one row (how many, and the least), so names that
+    begin alike don't meet. The lengths of a group are at most those of its longest name.
+    """
+    asked = claims.select(F.col(group).alias("__group"), F.col(claim).alias("__claim"), names.fold_name(F.col(claim)).alias("__whole"), names.fold_name(names.basename(F.col(claim))).alias("__base"), names.fold_name(names.stem(F.col(claim))).alias("__stem"))
+    own = offered.select(F.col(group).alias("__group"), F.col(name).alias("__named"), names.fold_name(F.col(name)).alias("__name"), names.fold_name(names.stem(F.col(name))).alias("__own"))
+    # Grouped by columns that come of the functions, not under them: what is folded stays out of the grouping.
+    asked = _once(asked).withColumn("__prefix", F.substr("__base", F.lit(1), F.greatest(F.lit(PREFIX), F.length("__base") - 4)))
     pair = lambda rank, key: F.struct(F.lit(rank).alias("rank"), key.alias("key"))
-    tries = F.array(pair(1, F.col("__whole")), pair(2, F.col("__base")), pair(3, F.col("__stem")), pair(4, F.substr("__prefix", F.lit(1), F.lit(PREFIX))))
-    # A name is found under the first characters of its own, as many as a short prefix may have.
-    starts = F.transform(F.sequence(F.lit(1), F.lit(PREFIX)), lambda i: pair(4, F.substr("__name", F.lit(1), i)))
-    places = F.array_distinct(F.concat(F.array(pair(1, F.col("__name")), pair(2, F.col("__name")), pair(3, F.col("__own"))), starts))
-    tries = asked.select(group, claim, "__prefix", F.inline(tries))
-    listed = own.select(group, name, "__name", F.inline(places))
-    hits = tries.join(listed, [group, "rank", "key"]).where((F.col("rank") < 4) | F.col("__name").startswith(F.col("__prefix")))
-    each = hits.groupBy(group, claim, "rank").agg(F.count_distinct(name).alias("__n"), F.min(name).alias("__match")).where("__n = 1 or rank < 3")
-    best = each.groupBy(group, claim).agg(F.min_by("__match", "rank").alias("match"))
-    return claims.join(best, [group, claim], "left")
+    tries = asked.select("__group", "__claim", F.inline(F.array(pair(1, F.col("__whole")), pair(2, F.col("__base")), pair(3, F.col("__stem")), pair(4, F.col("__prefix")))))
+    lengths = asked.groupBy("__group").agg(F.collect_set(F.length("__prefix")).alias("__lengths"))
+    starts = F.transform(F.filter("__lengths", lambda n: n <= F.length("__name")), lambda n: pair(4, F.substr("__name", F.lit(1), n)))
+    one = _once(own).groupBy("__group", "__name", "__own").agg(F.min("__named").alias("__named"))
+    listed = joined(one, lengths, ["__group"]).select("__group", "__named", F.inline(F.concat(F.array(pair(1, F.col("__name")), pair(2, F.col("__name")), pair(3, F.col("__own"))), starts)))
+    known = listed.groupBy("__group", "rank", "key").agg(F.count("*").alias("__n"), F.min("__named").alias("__match"))
+    hits = tries.join(known, ["__group", "rank", "key"]).where("__n = 1 or rank < 3")
+    best = hits.groupBy("__group", "__claim").agg(F.min_by("__match", "rank").alias("match"))
+    return claims.join(best, [F.col(group) == F.col("__group"), F.col(claim) == F.col("__claim")], "left").drop("__group", "__claim")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """Distinct rows; the columns are made before, as a function over Arrow batches can't be part of the grouping."""
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("__copies")).drop("__copies")
 
 
 def singular(word: Column) -> Column:

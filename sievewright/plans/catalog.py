@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sievewright import stages
 from sievewright.functions import quality, scalars
-from sievewright.operators import gates, matching, quota, ranking, sequences, similarity
+from sievewright.operators import gates, matching, quantiles, quota, ranking, runs, sequences, similarity
 from sievewright.sources import lines
 from sievewright.streaming import ledger
 
@@ -125,7 +126,7 @@ walk AS (SELECT vec_id, vec_id AS seen FROM embeddings UNION SELECT w.vec_id, b
 SELECT vec_id, min(seen) AS class FROM walk GROUP BY vec_id""")
 def near_dup_clusters(spark, d):
     signs = _signs(spark, d)
-    return similarity.classes(signs, "vec_id", similarity.hamming_links(signs, "label", "vec_id", "high", "low", 20))
+    return similarity.classes(signs, "vec_id", similarity.hamming_links(signs, "label", "vec_id", "high", "low", 20, spanning=True))
 
 
 #: Keywords of part types, in the order that decides ties.
@@ -161,7 +162,9 @@ STATS = """stats AS (SELECT source, count(*) AS files, avg((n_chars >= 2000)::IN
 
 def _stats(spark, d):
     share = lambda c: F.avg(c.cast("int"))
-    return _t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), share(F.col("n_chars") >= 2000).alias("long_share"), share(F.col("lang") == "en").alias("english"), F.count_distinct("lang").alias("langs"), F.median("n_chars").alias("mid"))
+    docs = _t(spark, d, "documents").select("source", "n_chars", "lang")
+    counts = docs.groupBy("source").agg(F.count("*").alias("files"), share(F.col("n_chars") >= 2000).alias("long_share"), share(F.col("lang") == "en").alias("english"), F.count_distinct("lang").alias("langs"))
+    return stages.joined(counts, quantiles.quantiles(docs, ["source"], "n_chars", {"mid": 0.5}), ["source"], "left")
 
 
 @query("WITH " + STATS + " SELECT source, files, round(long_share, 6) AS long_share, round(english, 6) AS english, langs, mid FROM stats")
@@ -193,7 +196,7 @@ SELECT user_id, event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY run,
 def bracket_runs(spark, d):
     at = scalars.micros(F.col("ts")) / 1e6
     frames = _t(spark, d, "events").withColumns({"at": at, "ev": F.length("event_type") / 2.0})
-    return sequences.bracket_runs(frames, "user_id", "at", "ev", "event_id", 43200.0, spread=1.5)
+    return runs.bracket_runs(frames, "user_id", "at", "ev", "event_id", 43200.0, spread=1.5)
 
 
 GAPS = """WITH once AS (SELECT DISTINCT {g} AS grp, {n} AS num FROM {t} WHERE {n} IS NOT NULL), hole AS (SELECT grp, num, coalesce(lead(num) OVER (PARTITION BY grp ORDER BY num) - num - 1, 0) AS hole FROM once)
@@ -328,7 +331,8 @@ def luminance_contrast(spark, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75, round(quantile_cont(value, 0.9), 4) AS p90, round(quantile_cont(value, 0.95), 4) AS p95 FROM events GROUP BY event_type")
 def percentiles(spark, d):
-    return _t(spark, d, "events").groupBy("event_type").agg(*(F.round(F.percentile("value", q / 100), 4).alias(f"p{q}") for q in (50, 75, 90, 95)))
+    told = quantiles.quantiles(_t(spark, d, "events"), ["event_type"], "value", {f"p{q}": q / 100 for q in (50, 75, 90, 95)})
+    return told.select("event_type", *(F.round(f"p{q}", 4).alias(f"p{q}") for q in (50, 75, 90, 95)))
 
 
 @query("SELECT s_suppkey, ((row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) - 1) % (SELECT ceil(count(*) / 12)::BIGINT FROM supplier))::INT AS batch FROM supplier")
