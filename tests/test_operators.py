@@ -8,9 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sievewright.functions import scalars
-from sievewright.operators import matching, quota, ranking, sequences, similarity
+from sievewright.operators import matching, quantiles, quota, ranking, runs, sequences, similarity
 from sievewright.sources import lines
 from sievewright.streaming import ledger
+from sievewright.streaming import runs as stream_runs
 
 
 def by_hand(rooms, base, lo, hi):
@@ -47,7 +48,7 @@ def test_quota_reaches_the_lower_bound(spark):
 
 def test_runs(spark):
     frames = [("k", 0.0, "a", 1.0), ("k", 2.0, "b", 2.0), ("k", 4.1, "c", 3.0), ("k", 4.2, "d", 3.0), ("k", 4.3, "e", None), ("k", 4.4, "f", None), ("k", None, "g", 1.0), ("k", None, "h", 1.0)]
-    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
+    got = runs.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
     assert {r["name"]: r["run"] for r in got} == {"a": 1, "b": 1, "c": 2, "d": 3, "e": 4, "f": 5, "g": 6, "h": 7}
     assert {r["name"] for r in got if r["committed"]} == {"a", "b"}
 
@@ -55,13 +56,13 @@ def test_runs(spark):
 @pytest.mark.parametrize("values, committed", [((0.0, 0.49), False), ((0.0, 0.5), True), ((None, None), False), ((-1.0, 1.0), True)])
 def test_runs_commit_or_dissolve(spark, values, committed):
     frames = [("k", float(i), f"n{i}", v) for i, v in enumerate(values)]
-    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
+    got = runs.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
     assert sorted((r["name"], r["run"], r["committed"]) for r in got) == [("n0", 1, committed), ("n1", 1 if committed else 2, committed)]
 
 
 def test_run_length_limit(spark):
     frames = [("k", float(i) / 10, f"n{i:02d}", float(i)) for i in range(10)]
-    got = sequences.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
+    got = runs.bracket_runs(spark.createDataFrame(frames, "k string, at double, name string, value double"), "k", "at", "value", "name", 2.0).collect()
     assert Counter(r["run"] for r in got) == {1: 9, 2: 1}
 
 
