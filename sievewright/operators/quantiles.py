@@ -75,9 +75,9 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
         return found.select(*(F.col(f"t.{k}").alias(k) for k in ks), "finer", "n", "share", "up", "part", (F.col("rank") - F.col("before")).alias("rank"), *(["least"] if "least" in by.columns else []))
 
     def candidates() -> DataFrame:
-        return joined(v.withColumn("prefix", prefix(done)), targets.select(*ks, "prefix").distinct(), [*ks, "prefix"])
+        return joined(v.withColumn("prefix", prefix(done)), targets.select(*ks, "prefix").distinct(), [*ks, "prefix"], known=held_by[1])
 
-    while done < 64 and (targets.agg(F.max("n")).first()[0] or 0) > SMALL:
+    while (held_by := targets.agg(F.max("n"), F.count("*")).first())[1] and done < 64 and held_by[0] > SMALL:
         finer = candidates().groupBy(*ks, "prefix", prefix(done + WIDTH).alias("finer")).agg(F.count("*").alias("n"))
         targets = stages.write("targets", picked(finer).withColumnRenamed("finer", "prefix"))
         done += WIDTH

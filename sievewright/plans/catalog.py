@@ -164,7 +164,7 @@ def _stats(spark, d):
     share = lambda c: F.avg(c.cast("int"))
     docs = _t(spark, d, "documents").select("source", "n_chars", "lang")
     counts = docs.groupBy("source").agg(F.count("*").alias("files"), share(F.col("n_chars") >= 2000).alias("long_share"), share(F.col("lang") == "en").alias("english"), F.count_distinct("lang").alias("langs"))
-    return stages.joined(counts, quantiles.quantiles(docs, ["source"], "n_chars", {"mid": 0.5}), ["source"], "left")
+    return stages.paired(counts, quantiles.quantiles(docs, ["source"], "n_chars", {"mid": 0.5}), ["source"])
 
 
 @query("WITH " + STATS + " SELECT source, files, round(long_share, 6) AS long_share, round(english, 6) AS english, langs, mid FROM stats")

@@ -101,7 +101,7 @@ def _source(pieces: list[tuple[str, int]]):
 FAULTS = (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError, EOFError, zlib.error, ValueError)
 
 
-def members(archive: str, source, within: range | None = None, prefix: str = "", depth: int = 0) -> Iterator[tuple]:
+def members(archive: str, source, within: range | None = None) -> Iterator[tuple]:
     """(row of LISTING, a function that opens the member or None) of an archive and, up to DEPTH, of the archives in it.
 
     With ``within`` only members whose entry begins there. The directory at the end is read,
@@ -111,26 +111,34 @@ def members(archive: str, source, within: range | None = None, prefix: str = "",
         zipped = zipfile.ZipFile(source)
     except FAULTS as e:
         if within is None or 0 in within:
-            yield (archive, prefix.rstrip("!") or None, depth, None, None, None, None, None, f"{type(e).__name__}: {e}"), None
+            yield (archive, None, 0, None, None, None, None, None, f"{type(e).__name__}: {e}"), None
         return
     with zipped:
-        for m in zipped.infolist():
-            if m.is_dir() or within is not None and m.header_offset not in within:
+        yield from _members(archive, zipped, within, "", 0)
+
+
+def _members(archive: str, zipped: zipfile.ZipFile, within: range | None, prefix: str, depth: int) -> Iterator[tuple]:
+    for m in zipped.infolist():
+        if m.is_dir() or within is not None and m.header_offset not in within:
+            continue
+        nested, junk, error = m.filename.lower().endswith(".zip") and depth < DEPTH, is_junk(m.filename), "encrypted" if m.flag_bits & 1 else None
+        row = (archive, prefix + m.filename, depth, m.file_size, m.compress_size, m.CRC, nested, junk)
+        if not nested or junk or error:
+            yield (*row, error), None if error else lambda m=m: zipped.open(m)
+            continue
+        with tempfile.SpooledTemporaryFile(HELD) as held:
+            try:
+                with zipped.open(m) as inner:
+                    while block := inner.read(1 << 20):
+                        held.write(block)
+                held.seek(0)
+                own = zipfile.ZipFile(held)
+            except FAULTS as e:
+                yield (*row, f"{type(e).__name__}: {e}"), None
                 continue
-            nested = m.filename.lower().endswith(".zip") and depth < DEPTH
-            error = "encrypted" if m.flag_bits & 1 else None
-            row = (archive, prefix + m.filename, depth, m.file_size, m.compress_size, m.CRC, nested, is_junk(m.filename), error)
-            yield row, None if error else lambda m=m: zipped.open(m)
-            if nested and not error and not row[7]:
-                try:
-                    with tempfile.SpooledTemporaryFile(HELD) as held:
-                        with zipped.open(m) as inner:
-                            while block := inner.read(1 << 20):
-                                held.write(block)
-                        held.seek(0)
-                        yield from members(archive, held, None, f"{prefix}{m.filename}!", depth + 1)
-                except FAULTS as e:
-                    yield (archive, prefix + m.filename, depth + 1, None, None, None, None, None, f"{type(e).__name__}: {e}"), None
+            yield (*row, None), None
+            with own:
+                yield from _members(archive, own, None, f"{prefix}{m.filename}!", depth + 1)
 
 
 class Slice(InputPartition):
@@ -178,7 +186,7 @@ class ArchiveReader(DataSourceReader):
             return row
         data = None
         # Junk is listed, so that it can be counted, and not read.
-        if open_ and not row[7] and not row[6]:
+        if open_ and not row[7]:
             try:
                 with open_() as member:
                     data = member.read()

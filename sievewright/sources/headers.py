@@ -168,8 +168,8 @@ class Headers(DataSource):
     """``spark.read.format("photo_headers").load(folder)``: a row for each file below it, as SCHEMA says.
 
     Options: pathGlobFilter, maxHeaderBytes (a file that needs more has an error) and
-    taskBytes (of headers that one task reads). With spark.sql.python.filterPushdown.enabled,
-    filters on path and size keep files from being opened. The list of files is made on the
+    taskBytes (of headers that one task reads). Filters on path and size keep files from being
+    opened: ``register`` allows Python sources that. The list of files is made on the
     driver, as for Spark's own file sources; headers are read by the tasks.
     """
 
@@ -186,4 +186,5 @@ class Headers(DataSource):
 
 def register(spark: SparkSession) -> None:
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Headers)

@@ -51,16 +51,22 @@ class Stages:
 BROADCAST_ROWS, SALTS = 50_000, 64
 
 
-def joined(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def paired(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Two tables that have each of ``keys`` once, side by side; null keys are equal."""
+    named = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    return left.join(named, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], how).drop(*(f"__{k}" for k in keys))
+
+
+def joined(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", known: int | None = None) -> DataFrame:
     """``rows`` joined with ``few``, which has each of ``keys`` once and no other column of ``rows``; null keys are equal.
 
-    ``few`` is counted: it is broadcast if it has at most BROADCAST_ROWS rows. Otherwise it is
-    repeated for every salt, and rows of one key are dealt over the salts.
+    ``few`` is counted, if its rows aren't ``known``: it is broadcast if it has at most
+    BROADCAST_ROWS of them. Otherwise it is repeated for every salt, and rows of one key are dealt over the salts.
     """
     named = few.withColumnsRenamed({k: f"__{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     drop = [f"__{k}" for k in keys]
-    if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if (few.limit(BROADCAST_ROWS + 1).count() if known is None else known) <= BROADCAST_ROWS:
         found = rows.join(F.broadcast(named), same, how)
     else:
         salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators.quantiles import quantiles
-from sievewright.stages import joined
+from sievewright.stages import paired
 
 #: Fixed values.
 EVENTS = ("entered", "run", "gate", "left", "stopped")
@@ -50,4 +50,4 @@ def funnel(events: DataFrame, key: str, at: str, kind: str, steps: list[str]) ->
         rows.append(F.struct(F.lit(i + 1).alias("place"), F.lit(s).alias("step"), F.coalesce(reached, F.lit(False)).alias("reached"), took.alias("seconds")))
     each = firsts.select(F.inline(F.array(*rows))).where("reached")
     middle = quantiles(each, ["place"], "seconds", {"seconds": 0.5})
-    return joined(each.groupBy("place", "step").agg(F.count("*").alias("keys")), middle, ["place"], "left")
+    return paired(each.groupBy("place", "step").agg(F.count("*").alias("keys")), middle, ["place"])
