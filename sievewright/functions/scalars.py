@@ -61,6 +61,15 @@ def human_bytes(n: Column) -> Column:
     return out
 
 
+def when_short(stamp: Column) -> Column:
+    """Day, month and time of an ISO stamp, as it is written there; empty for other texts."""
+    pattern = r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2}):(\d{2})(?::\d{2}(?:[.,]\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
+    part = lambda i: F.regexp_extract(stamp, pattern, i)
+    hours, minutes = F.when(part(4) == "", "00").otherwise(part(4)), F.when(part(5) == "", "00").otherwise(part(5))
+    sound = stamp.rlike(pattern) & F.try_to_date(F.substring(stamp, 1, 10)).isNotNull() & (hours.cast("string") < "24") & (minutes < "60")
+    return F.when(sound, F.concat(part(3), F.lit("/"), part(2), F.lit(" "), hours, F.lit(":"), minutes)).otherwise("")
+
+
 def table_cell(text: Column) -> Column:
     """Safe within a table of bars: the bar becomes a look-alike, white space one space."""
     return F.trim(F.regexp_replace(F.translate(text, "|", "∣"), r"\s+", " "))

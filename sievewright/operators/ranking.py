@@ -24,6 +24,12 @@ def strays(items: DataFrame, voter: str, choice: str, winner: DataFrame) -> Data
     return n.withColumn("believed", F.col("strays") * 2 <= F.col("asked"))
 
 
+def cluster_order(items: DataFrame, room: str, cluster: str, name: str) -> DataFrame:
+    """``place`` of each cluster (room, cluster) in its room, by the least name in it. Clusters are ranked, never their items."""
+    firsts = items.groupBy(room, cluster).agg(F.min(name).alias("first"))
+    return ranked(firsts, [room], ["first", cluster])
+
+
 def precedence(*answers: tuple[Column, Column]) -> Column:
     """The first answer whose condition holds and that isn't null."""
     return F.coalesce(*(F.when(c, a) for c, a in answers))

@@ -43,6 +43,15 @@ def selection(picks: DataFrame, passed_over: DataFrame, room: str, comment: str,
     return picks.select(room, "rank", F.lit("pick").alias("part"), F.col("name").alias("text")).unionByName(some.select(room, "rank", F.lit("passed over").alias("part"), F.col(comment).alias("text")))
 
 
+def flagged(items: DataFrame, room: str, name: str, flags: str, order: list, most: int = 40) -> DataFrame:
+    """The first ``most`` items with flags (an array of texts) in ``order``, and a last row for how many more there are: rank, room, text."""
+    own = items.where(F.size(flags) > 0)
+    first = own.orderBy(*order).limit(most).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    listed = first.select("rank", F.col(room).alias("room"), F.concat(F.col(name), F.lit(" — "), F.array_join(flags, "; ")).alias("text"))
+    more = own.agg((F.count("*") - most).alias("n")).where("n > 0")
+    return listed.unionByName(more.select(F.lit(most + 1).alias("rank"), F.lit(None).cast("string").alias("room"), F.format_string("%d more", "n").alias("text")))
+
+
 def append_round(marks: DataFrame, recorded: DataFrame | None, path: str) -> None:
     """Append a gate round (job, stage, photo, back, comment); its number is one more than the job's last at that stage."""
     last = recorded.groupBy("job", "stage").agg(F.max("n").alias("__last")) if recorded is not None else None

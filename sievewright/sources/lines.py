@@ -110,6 +110,35 @@ def between(text: str, start: str, end: str, least: int = 200) -> str:
     return body
 
 
+def blocks(text: str, markers: dict[str, str], end: str, least: int = 200) -> dict[str, str]:
+    """What stands behind each marker line, up to the next; ``markers`` in the order in which they must stand, ``end`` behind them all.
+
+    Only a line that begins with a marker is one: prose may name it. A marker that is missing,
+    out of order, or has fewer than ``least`` characters behind it fails.
+    """
+    starts = {m: re.search(rf"(?m)^{re.escape(m)}.*(?:\n|\Z)", text) for m in [*markers.values(), end]}
+    missing = [m for m, at in starts.items() if at is None]
+    if missing:
+        raise ValueError(f"no line begins with {', '.join(missing)}")
+    places = [at.start() for at in starts.values()]
+    if places != sorted(places):
+        raise ValueError(f"marker lines must stand in this order: {', '.join(starts)}")
+    found = {key: text[starts[m].end() : until].strip() for (key, m), until in zip(markers.items(), places[1:])}
+    short = [key for key, body in found.items() if len(body) < least]
+    if short:
+        raise ValueError(f"fewer than {least} characters in: {', '.join(short)}")
+    return found
+
+
+#: Fixed value: the line of a log that names the address of a picture's source.
+SOURCE_LINE = r"(?m)^\|\s*Uploaded source\s*\|\s*(\S+)\s*\|"
+
+
+def recorded_source(log: Column) -> Column:
+    """The address that a log records first, which is the original's; empty without one."""
+    return F.coalesce(F.regexp_extract(log, SOURCE_LINE, 1), F.lit(""))
+
+
 def rules(spark: SparkSession, path: str) -> dict:
     """A rules file, checked: settings, ``target`` (lo, hi), ``keywords`` (keyword, category, longest first), ``priorities``, ``typology`` bands and a fingerprint. A dimension: read on the driver."""
     text = _whole(spark, path)

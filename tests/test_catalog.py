@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from sievewright.plans import catalog, deliveries  # noqa: F401
+from sievewright.plans import catalog, deliveries, verdicts  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 
