@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from sievewright.operators import answers, gates, quota
 from sievewright.sources.lines import json_object
-from sievewright.stages import Stages, shared_dir
+from sievewright.stages import Stages
 
 #: Fixed value: items that are shown at once.
 TOGETHER = answers.TOGETHER
-#: Heats that one task asks about.
-HEATS = 8
+#: Heats that one task asks about, and the number of the last round.
+HEATS, LAST = 8, 10**6
+#: What an answer lists, by kind.
+KINDS = {"pick": "parsed.picks", "rejected": "down.rejected", "not room": "down.nao_pertence"}
 #: Asks a scorer about (room, slots, items), the items as shown: dicts of file and what else the contenders have. Returns its answer, or raises.
 Ask = Callable[[str, int, list[dict]], str]
 DISMISSED = "rejected array<struct<file: string, why: string>>, nao_pertence array<struct<file: string, why: string>>"
@@ -93,65 +95,65 @@ def contest(items: DataFrame, slots: DataFrame, seed: list, ask: Ask, size: int
     order = [F.expr(o) if isinstance(o, str) else o for o in seed]
     entered = items.dropDuplicates(["room", "file"]).join(slots.where("slots > 0").select("room", F.col("slots").cast("int").alias("slots")), "room")
     left = stages.write("left", entered.withColumns({"place": F.row_number().over(Window.partitionBy("room").orderBy(*order)).cast("long"), "done": F.lit(False)}))
-    #: All rounds' answers, one folder for each; they stay, as the verdicts read them.
-    rounds: list[DataFrame] = []
-    within = Window.partitionBy("room")
-
-    def asked(heats: DataFrame, final: bool) -> DataFrame:
-        rows = heats.groupBy("room", "slots", "batch").agg(F.array_sort(F.collect_list(F.struct(F.col("at"), F.struct(*shown).alias("item")))).alias("items"))
-        rows = rows.withColumns({"items": F.transform("items", lambda x: x["item"]), "round": F.lit(10**6 if final else len(rounds))}).withColumn("heat", F.to_json(F.struct("room", "round", "batch")))
-        n = max(1, -(-rows.count() // HEATS))
-        schema = rows.select("room", "round", "batch", "slots", "items", "heat").schema.add("answer", "string").add("error", "string").add("tries", "integer")
-        told = rows.select("room", "round", "batch", "slots", "items", "heat").repartition(n, "room", "batch").mapInArrow(_asking(ask, usable), schema)
-        path = f"{shared_dir(spark)}/contest-answers-{len(rounds)}-{stages.name}"
-        told.write.parquet(path)
-        rounds.append(spark.read.schema(schema).parquet(path))
-        return rounds[-1]
-
-    def matched(told: DataFrame, claims: DataFrame) -> DataFrame:
-        offered = told.select("heat", F.explode("items.file").alias("file"))
-        return gates.matched(claims, offered, "heat", "claim", "file")
-
-    def picked(told: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The answers' picks (room, round, batch, file, at, reason, purpose, staging), once each and as many as slots, and the claims that match nothing."""
-        parsed = told.where("error is null").select("room", "round", "batch", "heat", "slots", F.posexplode(answers.ranking(F.col("answer"))["picks"]).alias("at", "pick"))
-        found = matched(told, parsed.select("room", "round", "batch", "heat", "slots", "at", F.col("pick.file").alias("claim"), "pick.reason", "pick.purpose", "pick.staging"))
-        first = found.where("match is not null").groupBy("room", "round", "batch", "slots", F.col("match").alias("file")).agg(F.min_by(F.struct("at", "reason", "purpose", "staging"), "at").alias("p"))
-        ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("room", "round", "batch").orderBy("p.at"))).where("rank <= slots")
-        return ranked.select("room", "round", "batch", "file", "rank", "p.reason", "p.purpose", "p.staging"), found.where("match is null").select("room", F.substring("claim", 1, 60).alias("claim"))
+    #: All rounds' answers and what they name, a folder for each; they stay, as the verdicts read them.
+    answered: list[DataFrame] = []
+    named: list[DataFrame] = []
+
+    def asked(items: DataFrame, heats: int, last: bool) -> tuple[DataFrame, DataFrame]:
+        """The answers of a round, and what they name: kind, room, round, batch, at, slots, claim, match, and what is said of it."""
+        rows = items.groupBy("room", "slots", "batch").agg(F.array_sort(F.collect_list(F.struct(F.col("at"), F.struct(*shown).alias("item")))).alias("items"))
+        rows = rows.withColumns({"items": F.transform("items", lambda x: x["item"]), "round": F.lit(LAST if last else len(answered))}).withColumn("heat", F.to_json(F.struct("room", "round", "batch")))
+        rows = rows.select("room", "round", "batch", "slots", "items", "heat")
+        schema = rows.schema.add("answer", "string").add("error", "string").add("tries", "integer")
+        told = stages.write(f"answers{len(answered)}", rows.repartition(max(1, -(-heats // HEATS)), "room", "batch").mapInArrow(_asking(ask, usable), schema))
+        answered.append(told)
+        told = told.where("error is null").withColumn("parsed", answers.ranking(F.col("answer"))).withColumn("down", json_object(F.col("answer"), DISMISSED))
+        key, claims = ["room", "round", "batch", "heat", "slots"], None
+        for kind, field in KINDS.items():
+            said = told.select(*key, F.posexplode(field).alias("at", "x"))
+            pick = kind == "pick"
+            said = said.select(F.lit(kind).alias("kind"), *key, "at", F.coalesce("x.file", F.lit("")).alias("claim"), F.col("x.reason" if pick else "x.why").alias("why"), *(
+                (F.col(f"x.{c}") if pick else F.lit(None)).cast("int").alias(c) for c in ("purpose", "staging")))
+            claims = said if claims is None else claims.unionByName(said)
+        offered = answered[-1].select("heat", F.explode("items.file").alias("file"))
+        named.append(stages.write(f"named{len(named)}", gates.matched(claims.withColumn("why", F.trim(F.coalesce("why", F.lit("")))), offered, "heat", "claim", "file")))
+        return answered[-1], named[-1]
+
+    def picked(named: DataFrame) -> DataFrame:
+        """The picks of a round (room, batch, file, rank, why, purpose, staging), once each and as many as slots."""
+        first = named.where("kind = 'pick' and match is not null").groupBy("room", "batch", "slots", F.col("match").alias("file")).agg(F.min_by(F.struct("at", "why", "purpose", "staging"), "at").alias("p"))
+        ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("room", "batch").orderBy("p.at"))).where("rank <= slots")
+        return ranked.select("room", "batch", "file", "rank", "p.why", "p.purpose", "p.staging")
 
     while True:
-        sized = left.withColumn("n", F.count("*").over(within))
-        more = sized.where((F.col("n") > size) & ~F.col("done"))
-        if more.isEmpty():
+        counts = left.groupBy("room").agg(F.count("*").alias("n"), F.max("done").alias("stays"))
+        large = counts.where((F.col("n") > size) & ~F.col("stays"))
+        heats = large.agg(F.sum(F.ceil(F.col("n") / size))).first()[0]
+        if not heats:
             break
-        heats = quota.batches(more, order, size, "room").withColumn("at", F.row_number().over(Window.partitionBy("room", "batch").orderBy(*order)))
-        told = asked(heats, False)
+        more = left.join(large.select("room", "n"), "room")
+        dealt = quota.batches(more, order, size, "room").withColumn("at", F.row_number().over(Window.partitionBy("room", "batch").orderBy(*order)))
+        told, claims = asked(dealt, heats, False)
         failed = told.where("error is not null").select("room").distinct()
-        picks, _ = picked(told)
-        survivors = picks.withColumn("next", F.row_number().over(Window.partitionBy("room").orderBy("batch", "rank")).cast("long"))
-        counts = survivors.groupBy("room").agg(F.count("*").alias("survived"))
+        survivors = picked(claims).withColumn("next", F.row_number().over(Window.partitionBy("room").orderBy("batch", "rank")).cast("long"))
+        survived = survivors.groupBy("room").agg(F.count("*").alias("survived"))
         # Without progress a room stays as it is, and is done; with a failure it is out.
-        state = more.groupBy("room").agg(F.max("n").alias("n")).join(counts, "room", "left").select("room", (F.coalesce("survived", F.lit(0)) > 0) & (F.coalesce("survived", F.lit(0)) < F.col("n")))
-        state = state.toDF("room", "goes_on")
-        moved = more.drop("n").join(survivors.select("room", "file", "next"), ["room", "file"], "left").join(state, "room").join(failed, "room", "left_anti")
-        moved = moved.where("not goes_on or next is not null").withColumns({"place": F.when(F.col("goes_on"), F.col("next")).otherwise(F.col("place")), "done": ~F.col("goes_on")}).select(left.columns)
-        left = stages.write("left", sized.where((F.col("n") <= size) | F.col("done")).select(left.columns).unionByName(moved))
-
-    first = left.withColumn("at", F.row_number().over(within.orderBy("place"))).where(F.col("at") <= size).withColumn("batch", F.lit(0))
-    last = asked(first, True)
-    picks, _ = picked(last)
-    told = rounds[0]
-    for more in rounds[1:]:
-        told = told.unionByName(more)
-    unmatched = picked(told)[1].distinct()
-    picks = picks.select("room", "file", "rank", "reason", "purpose", "staging")
-
-    def dismissed(field: str) -> DataFrame:
-        said = told.where("error is null").select("room", "round", "batch", "heat", F.posexplode(json_object(F.col("answer"), DISMISSED)[field]).alias("at", "x"))
-        claims = said.select("room", "round", "batch", "heat", "at", F.coalesce("x.file", F.lit("")).alias("claim"), F.trim(F.coalesce("x.why", F.lit(""))).alias("why"))
-        found = matched(told, claims).where("match is not null")
+        state = large.join(survived, "room", "left").join(failed, "room", "left_anti").select("room", (F.coalesce("survived", F.lit(0)).between(1, F.col("n") - 1)).alias("goes_on"))
+        moved = more.join(state, "room").join(survivors.select("room", "file", "next"), ["room", "file"], "left").where("not goes_on or next is not null")
+        moved = moved.withColumns({"place": F.when(F.col("goes_on"), F.col("next")).otherwise(F.col("place")), "done": ~F.col("goes_on")}).select(left.columns)
+        left = stages.write("left", left.join(large.select("room"), "room", "left_anti").select(left.columns).unionByName(moved))
+
+    first = left.withColumn("at", F.row_number().over(Window.partitionBy("room").orderBy("place"))).where(F.col("at") <= size).withColumn("batch", F.lit(0))
+    _, claims = asked(first, left.select("room").distinct().count(), True)
+    picks = stages.write("picks", picked(claims).select("room", "file", "rank", F.col("why").alias("reason"), "purpose", "staging"))
+    told, claims = answered[0], named[0]
+    for a, n in zip(answered[1:], named[1:]):
+        told, claims = told.unionByName(a), claims.unionByName(n)
+
+    def dismissed(kind: str) -> DataFrame:
+        found = claims.where((F.col("kind") == kind) & F.col("match").isNotNull())
         return found.groupBy("room", F.col("match").alias("file")).agg(F.min_by("why", F.struct("round", "batch", "at")).alias("why"))
 
     rooms = told.groupBy("room").agg(F.count("*").alias("calls"), F.min_by("error", F.struct("round", "batch")).alias("error"))
-    return Verdicts(picks, dismissed("rejected").join(picks.select("room", "file"), ["room", "file"], "left_anti"), dismissed("nao_pertence"), unmatched, rooms)
+    unmatched = claims.where("kind = 'pick' and match is null").select("room", F.substring("claim", 1, 60).alias("claim")).distinct()
+    return Verdicts(picks, dismissed("rejected").join(picks.select("room", "file"), ["room", "file"], "left_anti"), dismissed("not room"), unmatched, rooms)
