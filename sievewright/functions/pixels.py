@@ -9,10 +9,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievewright.shipping import ship
+
 #: Greys that are crushed and blown, the side to which a picture is brought, and the side of what is kept of its transform.
 LOW, HIGH, SIDE, KEPT = 2, 253, 32, 8
 #: Coefficients that differ by less are equal: a flat picture has no noise for a hash.
@@ -84,6 +86,7 @@ def _measured(pixels: pd.Series, width: pd.Series) -> pd.DataFrame:
 
 def measured(pixels: Column, width: Column) -> Column:
     """A struct: shadow_clip and highlight_clip in percent, sharpness, the two halves of the hash, height. Null fields where pixels are null, empty or no whole rows; sharpness also without inner pixels."""
+    ship(SparkSession.active())
     return _measured(pixels, width.cast("int"))
 
 
@@ -157,4 +160,5 @@ def _lines(pixels: pd.Series, width: pd.Series) -> pd.Series:
 
 def segments(pixels: Column, width: Column) -> Column:
     """The line segments of a picture that lean at most LEAN degrees from upright, for ``operators.geometry``; null where there is no picture, empty where it has none."""
+    ship(SparkSession.active())
     return _lines(pixels, width.cast("int"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions import names
-from sievewright.operators import sequences
+from sievewright.operators import rooms, sequences
 
 
 def inventory(expected: DataFrame, arrived: DataFrame, path: str) -> DataFrame:
@@ -87,6 +87,5 @@ def versions(shelved: DataFrame, stem: str, name: str) -> DataFrame:
     """By stem the ``newest`` of the versions put aside (``_rN`` at the end of a name), and the next free N: the least that no name has."""
     number = F.regexp_extract(names.stem(F.col(name)), "_r([0-9]+)$", 1).try_cast("int")
     own = shelved.select(stem, name, number.alias("n")).where("n is not null")
-    placed = own.select(stem, "n").distinct().withColumn("__n", F.row_number().over(Window.partitionBy(stem).orderBy("n")))
-    free = placed.groupBy(stem).agg(F.coalesce(F.min(F.when(F.col("n") > F.col("__n"), F.col("__n"))), F.max("__n") + 1).alias("next"))
+    free = rooms.next_free(own, stem, "n").withColumnRenamed("free", "next")
     return own.groupBy(stem).agg(F.max_by(name, F.struct("n", name)).alias("newest")).join(free, stem)

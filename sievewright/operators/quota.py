@@ -31,8 +31,9 @@ def allocate(rooms: DataFrame, base: int, lo: int, hi: int) -> DataFrame:
 
 
 def fill(leaders: DataFrame, slots: DataFrame, order: list) -> DataFrame:
-    """Unflagged cluster leaders (room, flags, ...) in ``order`` within a room, up to its slots, with ``pick_rank``."""
-    ranked = leaders.where("flags = 0").withColumn("pick_rank", F.row_number().over(Window.partitionBy("room").orderBy(*order)))
+    """Unflagged cluster leaders (room, flags, ...) in ``order`` within a room, up to its slots, with ``pick_rank``. Cut by the most slots of any room first, so that each task keeps only its best."""
+    most = slots.agg(F.coalesce(F.max("slots"), F.lit(0))).first()[0]
+    ranked = leaders.where("flags = 0").withColumn("pick_rank", F.row_number().over(Window.partitionBy("room").orderBy(*order))).where(F.col("pick_rank") <= most)
     return ranked.join(slots.select("room", "slots"), "room").where("pick_rank <= slots")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievewright.operators import sequences
+
 UNKNOWN = "NAO_IDENTIFICADO"
 #: Fixed value: where rooms and areas without a number stand.
 LAST = 99
@@ -88,11 +90,12 @@ def split_order(groups: DataFrame, kind: str, size: str, name: str) -> DataFrame
 
 
 def next_free(used: DataFrame, kind: str, number: str) -> DataFrame:
-    """The least number from 1 that each kind doesn't use: the first place where the numbers leave the count."""
-    own = used.where(F.col(number) >= 1).select(kind, number).distinct()
-    placed = own.withColumn("__n", F.row_number().over(Window.partitionBy(kind).orderBy(number)))
-    gaps = placed.groupBy(kind).agg(F.min(F.when(F.col(number) > F.col("__n"), F.col("__n"))).alias("gap"), F.max("__n").alias("n"))
-    return used.select(kind).distinct().join(gaps, kind, "left").select(kind, F.coalesce("gap", F.col("n") + 1, F.lit(1)).cast("int").alias("free"))
+    """The least number from 1 that each kind doesn't use. Numbers are sorted in stretches, so that a kind of any size is dealt over many tasks."""
+    kinds = used.select(kind).distinct()
+    # With 0 before them all, the first number that isn't followed by the next one is the one before the gap.
+    own = used.where(F.col(number) >= 1).select(kind, F.col(number).cast("long").alias("__n")).unionByName(kinds.select(kind, F.lit(0).cast("long").alias("__n")))
+    gaps = sequences.followed(own, kind, "__n").where("next is null or next > __n + 1").groupBy(kind).agg((F.min("__n") + 1).alias("__free"))
+    return kinds.join(gaps, kind, "left").select(kind, F.coalesce("__free", F.lit(1)).cast("int").alias("free"))
 
 
 def next_number(rows: DataFrame, key: str, number: str) -> DataFrame:

@@ -6,10 +6,12 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sievewright.functions.scalars import hamming
+from sievewright.shipping import ship
 from sievewright.stages import Stages, joined
 
 BANDS, CHUNKS, NEAR = 13, 4, 3
@@ -20,15 +22,16 @@ BLOCK = 2048
 def dedupe(files: DataFrame, size: str, digest, order: list, name: str) -> DataFrame:
     """``kept_as`` for each file: the first in ``order`` of those with its size and digest.
 
-    Digests are made where the rows lie and only they travel, never what they are made of;
-    rows are spread by size and digest together, so equal sizes don't meet in one task.
+    Digests are made where the rows lie and only they travel, never what they are made of. The
+    first of a group is found by partial minima and joined back, so a group of any number of
+    copies is neither sorted nor held in one task. Null sizes and digests are equal.
     """
     needed = [c for c in files.columns if c == name or c == size or any(c == str(o) for o in order)]
-    hashed = files.withColumn("__digest", digest)
     sorted_by = {f"__o{i}": F.expr(o) if isinstance(o, str) else o for i, o in enumerate(order)}
-    slim = hashed.withColumns(sorted_by).select(*dict.fromkeys([*needed, name, size]), "__digest", *sorted_by)
-    group = Window.partitionBy(size, "__digest").orderBy(*sorted_by)
-    return slim.withColumn("kept_as", F.first(name).over(group)).drop("__digest", *sorted_by)
+    slim = files.withColumn("__digest", digest).withColumns(sorted_by).select(*dict.fromkeys([*needed, name, size]), "__digest", *sorted_by)
+    firsts = slim.groupBy(F.col(size).alias("__size"), F.col("__digest").alias("__own")).agg(F.min_by(name, F.struct(*sorted_by)).alias("kept_as"))
+    same = F.col(size).eqNullSafe(F.col("__size")) & F.col("__digest").eqNullSafe(F.col("__own"))
+    return slim.join(firsts, same).drop("__digest", "__size", "__own", *sorted_by)
 
 
 def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -99,13 +102,12 @@ def _band(band: int) -> Column:
 
 def _blocks(nodes: DataFrame, keys: list[str], most: int, spanning: bool, block: int) -> DataFrame:
     """Links within groups of ``keys``: a group's nodes are dealt into blocks, and each pair of blocks is a task's group."""
+    ship(nodes.sparkSession)
     large = nodes.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > block).select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     sized = joined(nodes, large, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = sized.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     kind = nodes.schema["node"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
     return paired.groupBy(*keys, "i", "j").applyInArrow(_near(to_arrow_type(kind), most, int("band" in keys), spanning), f"a {kind.simpleString()}, b {kind.simpleString()}, distance int")
 
 

@@ -325,7 +325,7 @@ def luminance_contrast(spark, d):
     key = F.col("p_partkey")
     y = scalars.luminance(F.col("p_size") * 5, key % 256, key * 7 % 256)
     variant, told = F.when(key % 7 == 0, "light").when(key % 7 == 1, "dark"), F.when(key % 5 == 0, True).when(key % 5 == 1, False)
-    own = _t(spark, d, "part").select("p_partkey", y.alias("y"), quality.ink(y, F.col("p_size") / 200.0, F.lit(0.0), F.lit(1.0), variant, told).alias("i"))
+    own = _t(spark, d, "part").select("p_partkey", "p_size", y.alias("y")).select("p_partkey", "y", quality.ink(F.col("y"), F.col("p_size") / 200.0, F.lit(0.0), F.lit(1.0), variant, told).alias("i"))
     return own.select("p_partkey", F.round("y", 5).alias("luminance"), F.round("i.contrast", 4).alias("contrast"), "i.ink", "i.why", "i.glow", "i.reason")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from sievewright.functions import pixels
 from sievewright.operators import contest, profiles, ranking
 from sievewright.plans.catalog import _t, query
-from sievewright.shipping import ship
 
 #: Slots of a room in the contest.
 SLOTS = 4
@@ -77,7 +76,6 @@ GREY = "greatest(0, least(255, floor((x::DOUBLE + 0.5) * 255)::INT))"
 l AS (SELECT vec_id, p, list_transform(list_filter(range(1, 65), lambda i: i > 8 AND i <= 56 AND (i - 1) % 8 BETWEEN 1 AND 6), lambda i: p[i - 1] + p[i + 1] + p[i - 8] + p[i + 8] - 4 * p[i]) AS v FROM g)
 SELECT vec_id, round(list_var_pop(v), 4) AS sharpness, round(100.0 * len(list_filter(p, lambda x: x <= 2)) / 64, 6) AS shadow_clip, round(100.0 * len(list_filter(p, lambda x: x >= 253)) / 64, 6) AS highlight_clip FROM l""")
 def grey_measures(spark, d):
-    ship(spark)
     grey = F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 0.5) * 255).cast("int"))))
     told = _t(spark, d, "embeddings").select("vec_id", pixels.measured(grey, F.lit(8)).alias("m"))
     return told.select("vec_id", F.round("m.sharpness", 4).alias("sharpness"), F.round("m.shadow_clip", 6).alias("shadow_clip"), F.round("m.highlight_clip", 6).alias("highlight_clip"))
