@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import discard, fresh_path, write_at, write_once
+from sievewright.llm.common import discard, fresh_path, write_at
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,9 +17,11 @@ def components(links: DataFrame) -> DataFrame:
     partial before they are shuffled.
     """
     # Once: another evaluation may choose other links of a class, and each is needed in both directions.
-    links = write_once(links.select("a", "b"), "links")
-    both = write_once(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "links")
-    spark, before = links.sparkSession, fresh_path(links.sparkSession, "labels")
+    spark = links.sparkSession
+    single, double, before = (fresh_path(spark, x) for x in ("links", "links", "labels"))
+    links = write_at(links.select("a", "b"), single)
+    both = write_at(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), double)
+    discard(spark, single)
     labels = write_at(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), before)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
@@ -31,4 +33,5 @@ def components(links: DataFrame) -> DataFrame:
         discard(spark, before)
         before = path
         if passed.where("root != old").isEmpty():
+            discard(spark, double)
             return labels

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import by_bytes, ready, release, table, words_of, write_once
+from sievewright.llm.common import by_bytes, discard, fresh_path, ready, release, table, words_of, write_at, write_once
 from sievewright.llm.components import components
 
 WORDS, BANDS, ROWS, SIMILARITY, BLOCK = 5, 24, 4, 0.8, 512
@@ -208,18 +208,23 @@ def _classes(source: DataFrame, threshold: float, bands: int, rows: int, block:
     spread = texts.where("bands is not null").select("key", F.explode("bands").alias("band"))
     buckets = spread.groupBy("band").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(key))").alias("who"), F.expr("sum(cast(xxhash64(key, 7) as decimal(38,0)))").alias("sum")).where("n > 1")
     once = buckets.groupBy("n", "who", "sum").agg(F.min("band").alias("band")).select("band", "n")
-    members = write_once(spread.join(once, "band"), "members")
+    spark = source.sparkSession
+    dead = [fresh_path(spark, x) for x in ("members", "shingles")]
+    members = write_at(spread.join(once, "band"), dead[0])
     # The texts that met another, once each: their shingles. An id only narrows what is read again; a text is known by its key.
     met = members.select("key").distinct().join(texts.select("key", "first"), "key")
     again = source.join(met.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").unionAll(source.where("doc_id is null"))
     sets = again.where("text is not null").select("text").mapInArrow(_payload(batch_bytes), "key binary, hashes binary, weights binary")
-    payload = write_once(sets.join(met.select("key"), "key", "left_semi").dropDuplicates(["key"]), "shingles")
+    payload = write_at(sets.join(met.select("key"), "key", "left_semi").dropDuplicates(["key"]), dead[1])
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
     dealt = members.withColumns({"own": own, "blocks": blocks}).select("key", "band", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("block"))
     links = dealt.join(payload, "key").repartition("block").sortWithinPartitions("block").mapInArrow(_compare(threshold), "a binary, b binary")
     roots = components(links)
+    # Nothing reads them once the links are classes.
+    for path in dead:
+        discard(spark, path)
     classes = texts.select("key", "first").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     return signed.select("doc_id", "key"), classes
 
