@@ -201,7 +201,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
     a part and a block, and the driver only the rows on which the share is fitted.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where("vec_id is not null")
+    # Floats stay floats; other numbers become doubles, so scores are those of the vectors as they are.
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding")).where("vec_id is not null")
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     rows = rows.where(F.col("embedding").isNotNull() & ~bad).withColumn("norm2", norm2).where("norm2 > 0")

@@ -281,9 +281,11 @@ SECRET = "sievewright"
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with pseudonyms; n_chars follows where an address changes its length. Null and empty texts, repeated rows and an empty table as in ``pseudonymise``; all columns stay."""
-    out = pseudonymise(docs, SECRET)
-    return out.withColumn("n_chars", F.when(F.col("n_private") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    """``docs`` with pseudonyms; ``n_chars``, where there is one, follows if an address changes its length. Null and empty texts, repeated rows and an empty table as in ``pseudonymise``; all other columns stay as they are, also one called ``n_private``."""
+    out = pseudonymise(docs.withColumnRenamed("n_private", "__n_private"), SECRET)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_private") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.drop("n_private").withColumnRenamed("__n_private", "n_private").select(docs.columns)
 
 
 def query(spark, sf_dir):

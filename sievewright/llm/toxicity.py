@@ -394,8 +394,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without those predicted toxic. All columns stay; null and empty texts, repeated rows and an empty table as in ``toxicity``."""
-    return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(docs.columns)
+    """``docs`` without those predicted toxic. All columns stay as they are, whatever their names; null and empty texts, repeated rows and an empty table as in ``toxicity``."""
+    score = scorer(spark, learn(docs, table(spark, sf_dir, "labels")))
+    return docs.withColumn("__toxicity", score("text")).where("__toxicity.score < 0.5").drop("__toxicity")
 
 
 def query(spark, sf_dir):
