@@ -125,6 +125,66 @@ def header(source, path: str, size: int, most: int = MOST) -> tuple:
     return path, size, kind, width, height, tags, window.read, error
 
 
+#: Where a picture within a file lies and how long it is, its packing (JPEG), the strips of one, and further directories.
+INNER_AT, INNER_SIZE, PACKING, PACKED, STRIPS, STRIP_SIZES, FURTHER = 0x0201, 0x0202, 0x0103, (6, 7), 0x0111, 0x0117, 0x014A
+#: Directories of a file that are looked through.
+DIRECTORIES = 32
+
+
+def inner(window: ranged.Window, base: int) -> list[tuple[int, int]]:
+    """(place, size) of the JPEG pictures that the directories starting at ``base`` hold, the largest first."""
+    head = window.at(base, 8)
+    order = {b"II": "<", b"MM": ">"}.get(head[:2])
+    if order is None or len(head) < 8:
+        raise Damaged("no directories")
+    todo, seen, found = [struct.unpack(order + "I", head[4:8])[0]], set(), []
+    while todo and len(seen) < DIRECTORIES:
+        at = todo.pop(0)
+        if not at or at in seen:
+            continue
+        seen.add(at)
+        count = window.at(base + at, 2)
+        n = struct.unpack(order + "H", count)[0] if len(count) == 2 else 0
+        entries = window.at(base + at + 2, 12 * n + 4) if 0 < n <= ENTRIES else b""
+        if len(entries) < 12 * n + 4 or not n:
+            continue
+        one: dict[int, tuple[int, int]] = {}
+        for i in range(n):
+            tag, kind, many = struct.unpack_from(order + "HHI", entries, 12 * i)
+            if kind in (3, 4):
+                one[tag] = many, struct.unpack_from(order + NUMBERS[kind], entries, 12 * i + 8)[0]
+        todo.append(struct.unpack_from(order + "I", entries, 12 * n)[0])
+        if FURTHER in one:
+            many, place = one[FURTHER]
+            listed = window.at(base + place, 4 * min(many, DIRECTORIES)) if many > 1 else struct.pack(order + "I", place)
+            todo += struct.unpack(order + f"{len(listed) // 4}I", listed[: len(listed) // 4 * 4])
+        pair = (INNER_AT, INNER_SIZE) if INNER_AT in one and INNER_SIZE in one else (STRIPS, STRIP_SIZES)
+        if pair[0] in one and pair[1] in one and (pair[0] == INNER_AT or one.get(PACKING, (0, 0))[1] in PACKED and one[STRIPS][0] == 1):
+            found.append((base + one[pair[0]][1], one[pair[1]][1]))
+    return sorted(((at, size) for at, size in found if size > 3 and window.at(at, 3) == b"\xff\xd8\xff"), key=lambda x: -x[1])
+
+
+def preview(source, path: str, size: int, most: int = MOST) -> tuple:
+    """(path, source, content, error): the largest picture that a raw file carries (``embedded``), or a JPEG file as it is (``file``); nothing is decoded."""
+    window = ranged.Window(source, size, most)
+    try:
+        start = window.at(0, 4)
+        if start[:2] == b"\xff\xd8":
+            place, kind = (0, size), "file"
+        elif start in (b"II*\0", b"MM\0*"):
+            held = inner(window, 0)
+            if not held:
+                return path, None, None, "no picture is embedded"
+            place, kind = held[0], "embedded"
+        else:
+            return path, None, None, "neither JPEG nor TIFF"
+    except (Damaged, ranged.TooLarge) as e:
+        return path, None, None, str(e)
+    source.seek(place[0])
+    content = source.read(place[1])
+    return (path, kind, content, None) if len(content) == place[1] else (path, None, None, "the picture goes beyond the end")
+
+
 class Files(InputPartition):
     def __init__(self, files: list[tuple[str, int]]):
         super().__init__(None)
@@ -138,7 +198,10 @@ DECIDED = {
 
 
 class HeaderReader(DataSourceReader):
-    def __init__(self, options: dict):
+    """Reads one row of each file: its header, or what ``row`` makes of it."""
+
+    def __init__(self, options: dict, row=header, empty: tuple = (None, None, None, None, None, 0)):
+        self.row, self.empty = row, empty
         self.path, self.glob, self.most, self.task = options["path"], options.get("pathGlobFilter", "*"), int(options.get("maxHeaderBytes", MOST)), int(options.get("taskBytes", TASK))
         self.kept: list[Filter] = []
 
@@ -152,16 +215,16 @@ class HeaderReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         place = {"path": 0, "size": 1}
         wanted = [f for f in ranged.listed(self.path, self.glob) if all(DECIDED[type(x)](f[place[x.attribute[0]]], x.value) for x in self.kept)]
-        # A header costs a few blocks, however large its file is.
-        return [Files(some) for some in ranged.splits(wanted, lambda f: min(f[1], 1 << 16), self.task)] or [Files([])]
+        # A header costs a few blocks, however large its file is; a picture may be most of it.
+        return [Files(some) for some in ranged.splits(wanted, lambda f: min(f[1], 1 << 16) if self.row is header else f[1], self.task)] or [Files([])]
 
     def read(self, partition: Files) -> Iterator[tuple]:
         for path, size in partition.files:
             try:
                 with ranged.opened(path) as source:
-                    yield header(source, path, size, self.most)
+                    yield self.row(source, path, size, self.most)
             except OSError as e:
-                yield path, size, None, None, None, None, 0, f"{type(e).__name__}: {e}"
+                yield (path, *self.empty, f"{type(e).__name__}: {e}")
 
 
 class Headers(DataSource):
@@ -184,7 +247,30 @@ class Headers(DataSource):
         return HeaderReader(self.options)
 
 
+class Previews(DataSource):
+    """``photo_previews``: path, source, content, error: the picture by which each file below a folder can be judged, without decoding a raw one. Options as of ``photo_headers``, but filters stay with Spark."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "photo_previews"
+
+    def schema(self) -> str:
+        return "path string, source string, content binary, error string"
+
+    def reader(self, schema) -> HeaderReader:
+        return PreviewReader(self.options)
+
+
+class PreviewReader(HeaderReader):
+    def __init__(self, options: dict):
+        super().__init__(options, preview, (None, None))
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        return filters
+
+
 def register(spark: SparkSession) -> None:
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Headers)
+    spark.dataSource.register(Previews)

@@ -120,6 +120,34 @@ def test_cut_headers_never_raise(cut):
         assert row[7] is not None or row[2] is not None
 
 
+def raw_with(pictures, order="<"):
+    """A raw file: a directory with a small picture, one behind it, and a further one named by a tag."""
+    small, middle, large = pictures
+    at = {"a": 8, "b": 200, "c": 400, "small": 600, "middle": 600 + len(small), "large": 600 + len(small) + len(middle)}
+    entry = lambda tag, kind, value: struct.pack(order + "HHI", tag, kind, 1) + struct.pack(order + {3: "HH", 4: "I"}[kind], *((value, 0) if kind == 3 else (value,)))
+    first = [entry(0x014A, 4, at["c"]), entry(0x0201, 4, at["small"]), entry(0x0202, 4, len(small))]
+    second = [entry(0x0201, 4, at["middle"]), entry(0x0202, 4, len(middle))]
+    third = [entry(0x0103, 3, 7), entry(0x0111, 4, at["large"]), entry(0x0117, 4, len(large))]
+    out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, at["a"])).ljust(600, b"\0")
+    for place, entries, after in ((at["a"], first, at["b"]), (at["b"], second, at["a"]), (at["c"], third, 0)):
+        block = struct.pack(order + "H", len(entries)) + b"".join(entries) + struct.pack(order + "I", after)
+        out[place : place + len(block)] = block
+    return bytes(out) + small + middle + large
+
+
+def test_previews(spark, tmp_path):
+    pictures = [b"\xff\xd8\xff" + bytes([i]) * n for i, n in enumerate((50, 300, 9000))]
+    files = {"a.nef": raw_with(pictures), "b.cr2": raw_with(pictures, ">"), "c.jpg": jpeg(picture=50), "none.tif": tiff("<"), "cut.nef": raw_with(pictures)[:-10], "x.txt": b"text", "odd.nef": raw_with([pictures[0], b"no picture", b"none either"])}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    headers.register(spark)
+    df = spark.read.format("photo_previews").option("taskBytes", 10_000).load(str(tmp_path))
+    got = {r["path"].rpartition("/")[2]: r for r in df.collect()}
+    assert bytes(got["a.nef"]["content"]) == bytes(got["b.cr2"]["content"]) == pictures[2] and got["a.nef"]["source"] == "embedded"
+    assert bytes(got["c.jpg"]["content"]) == files["c.jpg"] and got["c.jpg"]["source"] == "file" and bytes(got["odd.nef"]["content"]) == pictures[0]
+    assert {n for n, r in got.items() if r["error"]} == {"none.tif", "cut.nef", "x.txt"} and df.where("source = 'file'").count() == 1
+
+
 # -------------------------------------------------------------------- archives
 
 
