@@ -95,6 +95,13 @@ def confirmed(votes: DataFrame, room: str, order: str) -> DataFrame:
     return out.select(room, "mapped", F.coalesce("answer", "mapped").alias("ambiente"), F.coalesce(F.col("answer") != F.col("mapped"), F.lit(False)).alias("corrected"), F.coalesce("split", F.lit(False)).alias("split"))
 
 
+def dispatched(photos: DataFrame, label: str, order: list[str], room: str = "room", size: int = TOGETHER) -> tuple[DataFrame, DataFrame]:
+    """What is asked about: photos of rooms with a label in batches of ``size`` (room, batch), to confirm it, and the others each by itself; a folder is no evidence of what they show."""
+    known, unknown = photos.where(F.col(label).isNotNull()), photos.where(F.col(label).isNull())
+    place = F.row_number().over(Window.partitionBy(room).orderBy(*order)) - 1
+    return known.withColumn("batch", F.floor(place / size).cast("int")), unknown
+
+
 def named(photos: DataFrame, guess: str) -> DataFrame:
     """Photos without a label, each by its own answer; one that has none is unknown and never takes its neighbours' name."""
     return photos.withColumn("ambiente", F.coalesce(F.col(guess), F.lit(UNKNOWN))).withColumn("failed", F.col(guess).isNull())

@@ -37,13 +37,14 @@ def missing_runs(numbers: DataFrame, group: str, number: str) -> DataFrame:
 
 def part_report(archives: DataFrame, path: str, size: str) -> DataFrame:
     """Sets of numbered archives of two parts or more: parts, highest, holes by number, whether the last is as large as the rest, and whether either alarms."""
-    stem = names.stem(F.col(path))
-    own = archives.where(stem.rlike(names.PART)).select(names.archive_set(F.col(path)).alias("set"), F.regexp_extract(stem, names.PART, 2).cast("int").alias("number"), F.col(size).alias("size"))
-    counted = own.withColumns({"__last": F.max("number").over(Window.partitionBy("set")), "__parts": F.count("*").over(Window.partitionBy("set"))}).where("__parts > 1")
-    rest = F.avg(F.when(F.col("number") < F.col("__last"), F.col("size")))
-    sums = counted.groupBy("set").agg(
-        F.count("*").alias("parts"), F.max("number").alias("highest"), F.min("number").alias("__first"), F.collect_set("number").alias("__have"),
-        F.coalesce(F.max(F.when(F.col("number") == F.col("__last"), F.col("size"))) >= 0.95 * rest, F.lit(False)).alias("last_is_full"))
+    named = archives.select(F.col(path).alias("path"), F.col(size).alias("size"), names.stem(F.col(path)).alias("stem")).where(F.col("stem").rlike(names.PART))
+    folder = F.regexp_extract("path", "^(.*/)?", 0)
+    own = named.select(F.concat(folder, F.regexp_extract("stem", names.PART, 1), F.lit("|"), F.lower(names.suffix(F.col("path")))).alias("set"), F.regexp_extract("stem", names.PART, 2).cast("int").alias("number"), "size")
+    each = own.groupBy("set", "number").agg(F.count("*").alias("parts"), F.sum("size").alias("s"), F.count("size").alias("n"), F.max("size").alias("most"))
+    sums = each.groupBy("set").agg(
+        F.sum("parts").alias("parts"), F.max("number").alias("highest"), F.min("number").alias("__first"), F.collect_set("number").alias("__have"), F.max_by(F.struct("s", "n", "most"), "number").alias("l"), F.sum("s").alias("s"), F.sum("n").alias("n")).where("parts > 1")
+    rest = (F.col("s") - F.coalesce("l.s", F.lit(0))) / F.nullif(F.col("n") - F.col("l.n"), F.lit(0))
+    sums = sums.withColumn("last_is_full", F.coalesce(F.col("l.most") >= 0.95 * rest, F.lit(False)))
     # A number has three digits, so a set has a thousand at most.
     holes = F.array_sort(F.array_except(F.sequence("__first", "highest"), "__have"))
     return sums.select("set", "parts", "highest", holes.alias("holes"), "last_is_full", ((F.size(holes) > 0) | F.col("last_is_full")).alias("alarm"))

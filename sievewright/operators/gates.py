@@ -58,6 +58,20 @@ def moves(entered: DataFrame, job: str, stage: str) -> DataFrame:
     return entered.groupBy(job, stage).agg(F.count("*").alias("n")).withColumn("refused", F.col("n") > 1)
 
 
+def admitted(writes: DataFrame, current: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Writes (key, generation) with ``refused``: ``unknown`` where ``current`` (key, generation) has no such page, ``stale`` where the page has moved on since it was read, else null.
+
+    Of several writes to one generation the first in ``order`` is taken, which moves the page
+    on: the others are stale. The first is found by partial minima, so a page that all write to is spread.
+    """
+    known = writes.join(current.select(F.col(key).alias("__key"), F.col("generation").alias("__now")), F.col(key) == F.col("__key"), "left")
+    fresh = known.where("generation = __now")
+    first = fresh.groupBy(F.col(key).alias("__won")).agg(F.min(F.struct(*order)).alias("__first"))
+    out = known.join(first, F.col(key) == F.col("__won"), "left")
+    late = ~F.coalesce((F.col("generation") == F.col("__now")) & (F.struct(*order) == F.col("__first")), F.lit(False))
+    return out.withColumn("refused", F.when(F.col("__key").isNull(), "unknown").when(late, "stale")).select(*writes.columns, "refused")
+
+
 def matched(claims: DataFrame, offered: DataFrame, group: str, claim: str, name: str) -> DataFrame:
     """Claims with ``match``, the offered name of their group that is meant: equal, by base name, by a stem or a prefix that only one has. Null where that is open.
 

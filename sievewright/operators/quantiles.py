@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievewright import stages as stage
 from sievewright.stages import Stages, joined
 
 #: Bits that a pass narrows by, and rows of a bucket that are sorted at last.
@@ -64,7 +65,16 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
     at = lambda a: a["q"] * (F.col("total") - 1)
     ranks = F.transform(asked, lambda a: F.struct(a["share"].alias("share"), a["up"].alias("up"), (at(a) - F.floor(at(a))).alias("part"), F.when(a["up"], F.ceil(at(a))).otherwise(F.floor(at(a))).alias("rank")))
     held = F.filter(ranks, lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("n")))
-    targets = stages.write("targets", counted.withColumn("r", F.explode(held)).select(*ks, "prefix", "n", "r.share", "r.up", "r.part", (F.col("r.rank") - F.col("before")).alias("rank")))
+
+    def kept(df: DataFrame) -> tuple[DataFrame, int, int]:
+        """The targets, how many there are, and the most rows of a bucket; written if they are more than may be broadcast."""
+        some = df.limit(stage.BROADCAST_ROWS + 1).collect()
+        if len(some) <= stage.BROADCAST_ROWS:
+            return rows.sparkSession.createDataFrame(some, df.schema), len(some), max((r["n"] for r in some), default=0)
+        df = stages.write("targets", df)
+        return df, *df.agg(F.count("*"), F.max("n")).first()
+
+    targets, asking, most = kept(counted.withColumn("r", F.explode(held)).select(*ks, "prefix", "n", "r.share", "r.up", "r.part", (F.col("r.rank") - F.col("before")).alias("rank")))
 
     def picked(by: DataFrame) -> DataFrame:
         """Targets with the part (``finer``, ``n``) of their bucket that holds their rank."""
@@ -75,11 +85,11 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
         return found.select(*(F.col(f"t.{k}").alias(k) for k in ks), "finer", "n", "share", "up", "part", (F.col("rank") - F.col("before")).alias("rank"), *(["least"] if "least" in by.columns else []))
 
     def candidates() -> DataFrame:
-        return joined(v.withColumn("prefix", prefix(done)), targets.select(*ks, "prefix").distinct(), [*ks, "prefix"], known=held_by[1])
+        return joined(v.withColumn("prefix", prefix(done)), targets.select(*ks, "prefix").distinct(), [*ks, "prefix"], known=asking)
 
-    while (held_by := targets.agg(F.max("n"), F.count("*")).first())[1] and done < 64 and held_by[0] > SMALL:
+    while done < 64 and most > SMALL:
         finer = candidates().groupBy(*ks, "prefix", prefix(done + WIDTH).alias("finer")).agg(F.count("*").alias("n"))
-        targets = stages.write("targets", picked(finer).withColumnRenamed("finer", "prefix"))
+        targets, asking, most = kept(picked(finer).withColumnRenamed("finer", "prefix"))
         done += WIDTH
     last = picked(candidates().groupBy(*ks, "prefix", F.col("bits").alias("finer")).agg(F.count("*").alias("n"), F.min("value").alias("least")))
     number = F.unix_micros("least") / 1e6 if isinstance(kind, T.TimestampType) else F.col("least").cast("double")

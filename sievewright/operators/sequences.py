@@ -32,8 +32,9 @@ def sequence_gaps(numbers: DataFrame, group: str, number: str, least: int = 5, a
 
 
 def part_holes(parts: DataFrame, group: str, number: str, size: str) -> DataFrame:
-    """Missing part numbers, and whether the last part is as large as the mean of the others (0.95): then more may follow."""
-    last = F.max(number).over(Window.partitionBy(group))
-    marked = parts.withColumn("last", last)
-    return marked.groupBy(group, "last").agg(
-        (F.col("last") - F.min(number) + 1 - F.count_distinct(number)).alias("missing"), F.coalesce(F.max(F.when(F.col(number) == F.col("last"), F.col(size))) >= 0.95 * F.avg(F.when(F.col(number) < F.col("last"), F.col(size))), F.lit(False)).alias("may_go_on"))
+    """Missing part numbers, and whether the last part is as large as the mean of the others (0.95): then more may follow. Sizes are summed by number first, so a group's parts never meet in one task. Null groups are one; null numbers belong to no part."""
+    each = parts.groupBy(group, number).agg(F.sum(size).alias("s"), F.count(size).alias("n"), F.max(size).alias("most"))
+    last = F.max_by(F.struct("s", "n", "most"), number)
+    own = each.groupBy(group).agg(F.max(number).alias("last"), (F.max(number) - F.min(number) + 1 - F.count(number)).alias("missing"), last.alias("l"), *(F.sum(F.when(F.col(number).isNotNull(), F.col(c))).alias(c) for c in ("s", "n")))
+    others = (F.col("s") - F.coalesce("l.s", F.lit(0))) / F.nullif(F.col("n") - F.col("l.n"), F.lit(0))
+    return own.select(group, "last", "missing", F.coalesce(F.col("l.most") >= 0.95 * others, F.lit(False)).alias("may_go_on"))

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from sievewright.functions import pixels
-from sievewright.operators import contest, profiles, ranking
+from sievewright.operators import contest, gates, profiles, ranking
 from sievewright.plans.catalog import _t, query
 
 #: Slots of a room in the contest.
@@ -79,3 +79,12 @@ def grey_measures(spark, d):
     grey = F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 0.5) * 255).cast("int"))))
     told = _t(spark, d, "embeddings").select("vec_id", pixels.measured(grey, F.lit(8)).alias("m"))
     return told.select("vec_id", F.round("m.sharpness", 4).alias("sharpness"), F.round("m.shadow_clip", 6).alias("shadow_clip"), F.round("m.highlight_clip", 6).alias("highlight_clip"))
+
+
+@query("""WITH w AS (SELECT event_id, user_id, event_id % 3 AS generation FROM events), c AS (SELECT user_id, max(event_id) % 3 AS now FROM events WHERE user_id % 10 <> 0 GROUP BY user_id),
+f AS (SELECT w.user_id, min(event_id) AS first FROM w JOIN c ON c.user_id = w.user_id AND now = generation GROUP BY w.user_id)
+SELECT event_id, w.user_id, generation, CASE WHEN c.user_id IS NULL THEN 'unknown' WHEN generation = now AND event_id = first THEN NULL ELSE 'stale' END AS refused FROM w LEFT JOIN c ON c.user_id = w.user_id LEFT JOIN f ON f.user_id = w.user_id""")
+def stale_writes(spark, d):
+    own = _t(spark, d, "events").select("event_id", "user_id", (F.col("event_id") % 3).alias("generation"))
+    current = _t(spark, d, "events").where("user_id % 10 <> 0").groupBy("user_id").agg((F.max("event_id") % 3).alias("generation"))
+    return gates.admitted(own, current, "user_id", ["event_id"])

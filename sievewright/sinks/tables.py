@@ -30,6 +30,40 @@ def delivery_report(files: DataFrame, inventory: DataFrame, gaps: DataFrame, rem
     return out
 
 
+#: Names that a report lists by status.
+LISTED = {"missing": 60, "deduped": 20, "extra": 20}
+
+
+def delivery_lists(inventory: DataFrame, runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """What a report names, as (part, rank, text): the first files by status and how many more there are, runs of missing frames (prefix, first, last, size), and alarming part sets (set, holes, last_is_full, alarm)."""
+    named = inventory.where(F.col("status").isin(*LISTED))
+    place = F.row_number().over(Window.partitionBy("status").orderBy(F.coalesce("path", "key")))
+    most = F.coalesce(*(F.when(F.col("status") == s, n) for s, n in LISTED.items()))
+    first = named.select(F.col("status").alias("part"), place.alias("rank"), F.coalesce("path", "key").alias("text"), most.alias("__most")).where(F.col("rank") <= F.col("__most")).drop("__most")
+    more = named.groupBy("status").agg((F.count("*") - F.first(most)).alias("n")).where("n > 0").select(F.col("status").alias("part"), F.lit(1 + max(LISTED.values())).alias("rank"), F.format_string("%d more", "n").alias("text"))
+    gap = F.when(F.col("size") == 1, F.format_string("%s%04d", "prefix", "first")).otherwise(F.format_string("%s%04d to %04d, %d frames", "prefix", "first", "last", "size"))
+    gaps = runs.select(F.lit("gap").alias("part"), F.row_number().over(Window.partitionBy("prefix").orderBy("first")).alias("rank"), gap.alias("text"))
+    what = F.concat_ws("; ", F.when(F.size("holes") > 0, F.concat(F.lit("part "), F.array_join(F.transform("holes", lambda h: h.cast("string")), ", "), F.lit(" is missing"))), F.when(F.col("last_is_full"), "the last is as large as the others: more may follow"))
+    sets = parts.where("alarm").select(F.lit("set").alias("part"), F.lit(1).alias("rank"), F.concat(F.col("set"), F.lit(": "), what).alias("text"))
+    return first.unionByName(more).unionByName(gaps).unionByName(sets)
+
+
+def arrived(files: DataFrame, inventory: DataFrame | None = None, expected: int | None = None) -> DataFrame:
+    """One row: whether all arrived, by the strongest evidence there is: names, else a count, else nothing (``unverified``); with what was expected, came and is missing."""
+    if inventory is not None:
+        counts = inventory.agg(F.count_if(F.col("status") != "extra").alias("expected"), F.count_if(F.col("status") == "arrived").alias("came"), F.count_if(F.col("status") == "missing").alias("missing"))
+        return counts.select(F.when(F.col("missing") == 0, "confirmed by name").otherwise("files are missing").alias("verdict"), "expected", "came", "missing")
+    counts = files.agg(F.count("*").alias("came")).select(F.lit(expected).cast("long").alias("expected"), "came")
+    missing = F.greatest(F.lit(0), F.col("expected") - F.col("came"))
+    verdict = F.when(F.col("expected").isNull(), "unverified").when(F.col("came") == F.col("expected"), "confirmed by count").when(F.col("came") < F.col("expected"), "files are missing").otherwise("more than expected")
+    return counts.select(verdict.alias("verdict"), "expected", "came", missing.alias("missing"))
+
+
+def append_run(lines: DataFrame, path: str) -> None:
+    """Append what a run says (job, at, place, text), a row for each line, safe within a table of bars."""
+    lines.select("job", "at", "place", table_cell(F.col("text")).alias("text")).write.mode("append").parquet(path)
+
+
 def write_catalog(frames: DataFrame, path: str, delivery: str) -> None:
     """Catalogue rows, one for each frame, in a folder for each delivery; only deliveries that are written are replaced."""
     frames.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(delivery).parquet(path)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievewright.functions import names, scalars
-from sievewright.operators import profiles, ranking, rooms
+from sievewright.operators import answers, gates, profiles, ranking, rooms
 from sievewright.sinks import tables
 from sievewright.sources import lines
 from sievewright.streaming import incremental
@@ -145,3 +145,39 @@ def test_photographs_are_counted_by_their_names(spark):
     df = spark.createDataFrame([("j", "SALA_01_0001_edit.jpg"), ("j", "SALA_01_0001_final.jpg"), ("j", "SALA_01_0002_edit.jpg"), ("k", "QUARTO_01_0001_edit.jpg"), ("k", None)], "job string, name string")
     got = rooms.identities(df, "job", names.strip_result(names.stem(F.col("name"))))
     assert {r["job"]: r["photos"] for r in got.collect()} == {"j": 2, "k": 1}
+
+
+def test_labelled_rooms_are_asked_together_and_others_one_by_one(spark):
+    df = spark.createDataFrame([("a", f"f{i:02d}", "SALA") for i in range(26)] + [("b", "g", None), ("b", "h", None)], "room string, file string, mapped string")
+    confirm, each = answers.dispatched(df, "mapped", ["file"])
+    assert sorted((r["file"], r["batch"]) for r in confirm.collect()) == [(f"f{i:02d}", i // 12) for i in range(26)] and sorted(r["file"] for r in each.collect()) == ["g", "h"]
+
+
+def test_delivery_lists(spark):
+    inventory = spark.createDataFrame([(f"f{i:03d}", f"in/f{i:03d}.jpg", "missing") for i in range(70)] + [("x", None, "extra"), ("a", "a.jpg", "arrived"), ("c", "c (1).jpg", "deduped")], "key string, path string, status string")
+    runs = spark.createDataFrame([("IMG_", 7, 7, 1), ("IMG_", 20, 31, 12)], "prefix string, first long, last long, size long")
+    parts = spark.createDataFrame([("Casa", [2, 4], True, True), ("Mar", [], False, False)], "set string, holes array<int>, last_is_full boolean, alarm boolean")
+    got = {(r["part"], r["rank"]): r["text"] for r in tables.delivery_lists(inventory, runs, parts).collect()}
+    assert got["missing", 60] == "in/f059.jpg" and got["missing", 61] == "10 more" and got["extra", 1] == "x" and got["deduped", 1] == "c (1).jpg" and len([k for k in got if k[0] == "missing"]) == 61
+    assert got["gap", 1] == "IMG_0007" and got["gap", 2] == "IMG_0020 to 0031, 12 frames"
+    assert got["set", 1] == "Casa: part 2, 4 is missing; the last is as large as the others: more may follow" and not any(k[0] == "arrived" for k in got)
+
+
+def test_arrived(spark):
+    files = spark.range(10)
+    inventory = lambda *s: spark.createDataFrame([(x,) for x in s], "status string")
+    one = lambda *a: tuple(tables.arrived(files, *a).first())
+    assert one() == ("unverified", None, 10, None) and one(None, 10) == ("confirmed by count", 10, 10, 0) and one(None, 12) == ("files are missing", 12, 10, 2) and one(None, 9) == ("more than expected", 9, 10, 0)
+    assert one(inventory("arrived", "extra", "deduped")) == ("confirmed by name", 2, 1, 0) and one(inventory("arrived", "missing")) == ("files are missing", 2, 1, 1)
+
+
+def test_run_blocks(spark, tmp_path):
+    for at in ("1", "2"):
+        tables.append_run(spark.createDataFrame([("j", at, 0, "12 photos | done"), ("j", at, 1, "two\nlines")], "job string, at string, place int, text string"), str(tmp_path / "runs"))
+    assert sorted((r["at"], r["text"]) for r in spark.read.parquet(str(tmp_path / "runs")).collect()) == [("1", "12 photos ∣ done"), ("1", "two lines"), ("2", "12 photos ∣ done"), ("2", "two lines")]
+
+
+def test_stale_writes_are_refused(spark):
+    writes = spark.createDataFrame([("a", 3, 10), ("a", 3, 11), ("a", 2, 9), ("b", 1, 12), ("c", None, 13), ("d", 1, 14), (None, 1, 15)], "page string, generation int, at int")
+    current = spark.createDataFrame([("a", 3), ("b", 2), ("c", 1), ("d", 1)], "page string, generation int")
+    assert {r["at"]: r["refused"] for r in gates.admitted(writes, current, "page", ["at"]).collect()} == {10: None, 11: "stale", 9: "stale", 12: "stale", 13: "stale", 14: None, 15: "unknown"}
