@@ -186,7 +186,36 @@ def _part_search(space: Space, k: int, share: float):
     return search
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, part_rows: int = PART_ROWS) -> DataFrame:
+def _product_search(k: int):
+    """``_part_search`` without trees: every row of the part is a candidate, by tiles of one product; the best are scored again one by one, so that scores are the same in any company."""
+
+    def search(part: pa.Table, asked: pa.Table) -> pa.Table:
+        found = [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
+        if len(part) and len(asked):
+            ids, rows = part.column("vec_id").to_numpy(), _matrix(part).astype(np.float64)
+            queries, vectors = asked.column("vec_id").to_numpy(), _matrix(asked).astype(np.float64)
+            for at in range(0, len(queries), 256):
+                some = vectors[at : at + 256] @ rows.T
+                some[queries[at : at + 256, None] == ids] = -np.inf
+                # What rounding may do to a sum of products.
+                slack = 1e-12 * np.sqrt((vectors[at : at + 256] ** 2).sum(1).max() * (rows**2).sum(1).max())
+                least = np.partition(some, -k, axis=1)[:, -k] if some.shape[1] > k else np.full(len(some), -np.inf)
+                for i, (line, low) in enumerate(zip(some, least)):
+                    good = np.flatnonzero((line >= low - slack) & (line > -np.inf))
+                    score = np.einsum("ij,j->i", rows[good], vectors[at + i])
+                    order = np.lexsort((ids[good], -score))
+                    # Repeated rows are one.
+                    good, score = good[order], score[order]
+                    once = np.unique(ids[good], return_index=True)[1]
+                    best = np.sort(once)[:k] if len(once) < len(good) else np.arange(min(k, len(good)))
+                    found.append((np.full(len(best), queries[at + i]), ids[good[best]], score[best]))
+        query, near, score = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.float64())})
+
+    return search
+
+
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, part_rows: int = PART_ROWS, exact: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of the rows whose vec_id ``every`` divides.
 
     ``vectors`` (vec_id, embedding). Rows that are null, zero, or hold null or non-finite
@@ -195,7 +224,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
     of a query with its vec_id, so repeated rows neither find nor push out each other.
 
     Other columns are left out, whatever their names. Vectors are of any length; very long
-    ones want a smaller ``part_rows``.
+    ones want a smaller ``part_rows``. With ``exact`` there are no trees: all rows are
+    candidates, which on evenly spread vectors costs less than pruning them.
 
     Each part meets each block of QUERY_ROWS queries in a group of its own, so a task holds
     a part and a block, and the driver only the rows on which the share is fitted.
@@ -212,9 +242,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sound = sound.where(F.col("size") == common["size"]).select("vec_id", "embedding")
-    sample = _matrix(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow())
-    space = Space(sample, float(np.sqrt(common["most"])) * (1 + 1e-6), trees)
-    share = fitted(sample, space, k, common["n"])
+    if exact:
+        search = _product_search(k)
+    else:
+        sample = _matrix(sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow())
+        space = Space(sample, float(np.sqrt(common["most"])) * (1 + 1e-6), trees)
+        search = _part_search(space, k, fitted(sample, space, k, common["n"]))
     parts, blocks = -(-common["n"] // part_rows), max(1, -(-common["asked"] // QUERY_ROWS))
 
     def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
@@ -224,7 +257,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES
 
     rows = dealt(sound, "part", parts, "block", blocks).groupBy("part", "block")
     asked = dealt(sound.where(F.col("vec_id") % every == 0).dropDuplicates(), "block", blocks, "part", parts).groupBy("part", "block")
-    found = rows.cogroup(asked).applyInArrow(_part_search(space, k, share), "query_id long, vec_id long, score double")
+    found = rows.cogroup(asked).applyInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

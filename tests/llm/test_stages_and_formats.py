@@ -43,6 +43,20 @@ def test_scores_are_those_of_the_vectors(spark):
         assert len({i for _, i in best} & {r["vec_id"] for r in got if r["query_id"] == q}) >= 3
 
 
+@pytest.mark.parametrize("part_rows", [64, 8192])
+def test_exact_search(spark, part_rows):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(40)] + [(7, rows[7][1]), (400, None), (401, [0.0] * 8), (402, [float("nan")] + [1.0] * 7)]
+    got = hash_forest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=12, every=20, part_rows=part_rows, exact=True).collect()
+    sound = {i: np.array(v, dtype=np.float64) for i, v in rows[:341]}
+    want = {}
+    for q in (i for i in sound if i % 20 == 0):
+        best = sorted((-float(np.einsum("j,j->", sound[q], v)), i) for i, v in sound.items() if i != q)[:12]
+        want[q] = [(r, i) for r, (_, i) in enumerate(best, 1)]
+    assert {q: sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q) for q in want} == want and len(got) == 12 * len(want)
+
+
 def test_counts_of_recurring_stretches(spark):
     texts = ["a b  c\n\nd <|endoftext|> e", " ", "don't  stop", "x" * 5000, "word. " * 3000, "日本 語 é ñ", "tail \n", None, "", "<|endoftext|>", "a<|endoftext|>b c"] * 3
     got = token_counts.token_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"), vocabulary(), batch_bytes=700, part_chars=400).collect()
