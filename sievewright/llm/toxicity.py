@@ -42,6 +42,8 @@ COMMON, FREQUENT, BLOCK, TOGETHER, NEAR = 0.05, 0.1, 64, 64, 0.03
 #: Texts that share so many of the registers of a signature are compared, and are one example at this Jaccard similarity of shingles.
 REGISTERS, ALIKE, COPY = 16, 4, 0.8
 COMMON_WEIGHT, EVIDENCE, REMEMBERED = 1.0, 5, 50_000
+#: Terms of the texts that are searched at once, or one text.
+TERMS = 1 << 15
 #: What rounding may do to a sum of similarities.
 SLACK = 1e-5
 
@@ -169,9 +171,16 @@ class Index:
         return next(self.nearest_each([(at, value)], k))
 
     def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        k = min(k, len(self.ids))
-        for start in range(0, len(vectors), TOGETHER):
-            yield from self._search(vectors[start : start + TOGETHER], k)
+        k, some, held = min(k, len(self.ids)), [], 0
+        for vector in vectors:
+            # Few long texts have as many postings as many short ones.
+            if some and (len(some) == TOGETHER or held + len(vector[0]) > TERMS):
+                yield from self._search(some, k)
+                some, held = [], 0
+            some.append(vector)
+            held += len(vector[0])
+        if some:
+            yield from self._search(some, k)
 
     def _search(self, some: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n, width = len(some), self.blocks * BLOCK
