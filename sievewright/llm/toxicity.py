@@ -57,26 +57,34 @@ def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
-def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The words of ``spaced`` texts, in order: whose text's, and their 64-bit hashes, by which words are known."""
+def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of ``spaced`` texts, in order: whose text's, and which of the texts' distinct words; and the 64-bit hashes of these, by which words are known."""
     from xxhash import xxh64_intdigest
 
     lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
-    own = lists.values.dictionary_encode()  # each word is hashed once
-    hashes = np.fromiter(map(xxh64_intdigest, own.dictionary.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(own.dictionary))[own.indices.to_numpy()]
-    text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    real = hashes != np.uint64(xxh64_intdigest(""))  # beside white space at a text's ends
-    return text[real], hashes[real]
+    own = lists.values.dictionary_encode()  # each word is hashed, and looked for, once
+    hashes = np.fromiter(map(xxh64_intdigest, own.dictionary.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(own.dictionary))
+    text, words = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy())), own.indices.to_numpy()
+    real = (hashes != np.uint64(xxh64_intdigest("")))[words]  # beside white space at a text's ends
+    return text[real], words[real], hashes
+
+
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``spaced`` texts, in order: whose text's, and their hashes."""
+    text, words, hashes = _coded(texts)
+    return text, hashes[words]
 
 
 def found(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words of ``spaced`` texts that are among the ascending ``terms``, in order: whose text's, and which."""
-    text, hashes = coded(texts)
+    text, words, hashes = _coded(texts)
     if not len(terms):
         return text[:0], np.empty(0, dtype=np.int64)
     at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    known = terms[at] == hashes
-    return text[known], at[known]
+    at[terms[at] != hashes] = -1
+    which = at[words]
+    known = which >= 0
+    return text[known], which[known]
 
 
 class Index:
