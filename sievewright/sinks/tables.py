@@ -54,7 +54,7 @@ def arrived(files: DataFrame, inventory: DataFrame | None = None, expected: int
         counts = inventory.agg(F.count_if(F.col("status") != "extra").alias("expected"), F.count_if(F.col("status") == "arrived").alias("came"), F.count_if(F.col("status") == "missing").alias("missing"))
         return counts.select(F.when(F.col("missing") == 0, "confirmed by name").otherwise("files are missing").alias("verdict"), "expected", "came", "missing")
     counts = files.agg(F.count("*").alias("came")).select(F.lit(expected).cast("long").alias("expected"), "came")
-    missing = F.greatest(F.lit(0), F.col("expected") - F.col("came"))
+    missing = F.when(F.col("expected").isNotNull(), F.greatest(F.lit(0), F.col("expected") - F.col("came")))
     verdict = F.when(F.col("expected").isNull(), "unverified").when(F.col("came") == F.col("expected"), "confirmed by count").when(F.col("came") < F.col("expected"), "files are missing").otherwise("more than expected")
     return counts.select(verdict.alias("verdict"), "expected", "came", missing.alias("missing"))
 
