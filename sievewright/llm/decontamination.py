@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import WORD, by_bytes, fresh_path, release, table, words_of
 
+#: Bytes of a segment in the stage, where workers stand beside a heap that earlier stages have filled.
+STAGE_BYTES = 3 << 20
 INDEX_SCHEMA = "segment long, doc_id array<long>, n_words array<int>, terms array<binary>, ends array<int>, postings binary"
 
 
@@ -251,9 +253,9 @@ def phrase_matches(index: DataFrame, items: DataFrame, size: int = 10, block_byt
     return joined.select("doc_id", "n_words", F.array_sort(F.array_distinct("hits")).alias("hits"), F.array_sort(F.array_distinct("items")).alias("items"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Other columns of ``docs`` and ``items`` are left out, whatever their names; for odd rows see ``phrase_matches``."""
-    index = build_index(docs, fresh_path(docs.sparkSession, "postings"))
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, segment_bytes: int = 8 << 20) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. A worker holds ``segment_bytes`` of text and its words, or one text. Other columns of ``docs`` and ``items`` are left out, whatever their names; for odd rows see ``phrase_matches``."""
+    index = build_index(docs, fresh_path(docs.sparkSession, "postings"), segment_bytes)
     found = phrase_matches(index, items, size)
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
@@ -267,7 +269,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
 
     def clean(rows: DataFrame, key: Column) -> DataFrame:
-        found = decontaminate(rows.select(key.alias("doc_id"), "text"), items).where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
+        found = decontaminate(rows.select(key.alias("doc_id"), "text"), items, segment_bytes=STAGE_BYTES).where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
         return rows.join(found, key == F.col("__key"), "left_anti").select(docs.columns)
 
     out, nameless = clean(docs.where("doc_id is not null"), F.col("doc_id")), docs.where("doc_id is null")

@@ -27,6 +27,8 @@ from sievewright.llm.common import by_bytes, discard, fresh_path, ready, release
 from sievewright.llm.components import components
 
 WORDS, BANDS, ROWS, SIMILARITY, BLOCK = 5, 24, 4, 0.8, 512
+#: Bytes of text that a worker shingles at once in the stage, where it stands beside a heap that earlier stages have filled.
+STAGE_BYTES = 2 << 20
 #: Words of bits that are compared at once.
 SLICE = 1 << 17
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -258,7 +260,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ready(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    _, classes = _classes(source, SIMILARITY, BANDS, ROWS, BLOCK, 4 << 20)
+    _, classes = _classes(source, SIMILARITY, BANDS, ROWS, BLOCK, STAGE_BYTES)
     late = F.struct(F.col("first").isNull().alias("none"), "first", "key")
     chiefs = write_once(classes.groupBy("root").agg(F.min_by(F.struct("key", "first"), late).alias("c")).select(F.col("c.key").alias("__key"), F.col("c.first").alias("__first")), "chiefs")
     keyed = docs.withColumn("__key", F.arrow_udf(_keys, "binary")("text"))
