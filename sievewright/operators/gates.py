@@ -109,12 +109,12 @@ def singular(word: Column) -> Column:
 GOES, STAYS = r"(?i)\b(take[sn]? off|remove[sd]?|erase[sd]?|goes|go)\b", r"(?i)\b(stays?|keeps?|leave|left in place|remain[s]?)\b"
 
 
-def contradictions(texts: DataFrame, key: str, text: str, ignored: list[str] = [], goes: str = GOES, stays: str = STAYS) -> DataFrame:
-    """Words that one sentence of a text removes and another keeps, with the first sentence of either kind. A sentence that does both agrees with itself."""
+def contradictions(texts: DataFrame, key: str, text: str, ignored: list[str] = [], goes: str = GOES, stays: str = STAYS, least: int = 3) -> DataFrame:
+    """Words that one sentence of a text removes and another keeps, with the first sentence of either kind. A sentence that does both agrees with itself. Words whose singular has fewer than ``least`` letters are left out."""
     parts = texts.select(key, F.posexplode(F.split(text, r"(?<=[.!])\s+")).alias("__at", "__sentence")).where(F.trim("__sentence") != "")
     parts = parts.select(key, "__at", F.trim("__sentence").alias("sentence"), F.col("__sentence").rlike(goes).alias("__goes"), F.col("__sentence").rlike(stays).alias("__stays")).where("__goes != __stays")
     words = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("sentence"), F.lit("[a-z]{4,}"), F.lit(0)), lambda w: ~w.isin(*ignored) if ignored else F.lit(True)))
-    roots = F.array_distinct(F.filter(F.transform(words, singular), lambda w: (F.length(w) >= 3) & (~w.isin(*ignored) if ignored else F.lit(True))))
+    roots = F.array_distinct(F.filter(F.transform(words, singular), lambda w: (F.length(w) >= least) & (~w.isin(*ignored) if ignored else F.lit(True))))
     named = parts.select(key, "__at", "sentence", "__goes", F.explode(roots).alias("word"))
     sides = named.groupBy(key, "word").agg(
         F.min_by(F.when(F.col("__goes"), F.col("sentence")), F.when(F.col("__goes"), F.col("__at"))).alias("removed"), F.min_by(F.when(~F.col("__goes"), F.col("sentence")), F.when(~F.col("__goes"), F.col("__at"))).alias("kept"))
