@@ -72,27 +72,33 @@ def admitted(writes: DataFrame, current: DataFrame, key: str, order: list[str])
     return out.withColumn("refused", F.when(F.col("__key").isNull(), "unknown").when(late, "stale")).select(*writes.columns, "refused")
 
 
-def matched(claims: DataFrame, offered: DataFrame, group: str, claim: str, name: str) -> DataFrame:
+def matched(claims: DataFrame, offered: DataFrame, group: str, claim: str, name: str, bounded: bool = False) -> DataFrame:
     """Claims with ``match``, the offered name of their group that is meant: equal, by base name, by a stem or a prefix that only one has. Null where that is open.
 
-    Names that fold alike are one, the least. A name is listed under its own prefixes of just the lengths that its group's claims ask
+    Names that fold alike are one, the least. Claims that equal a name are decided by that; only for groups with others is more listed.
+    A name is listed under its own prefixes of just the lengths that those claims ask
     for, and what is listed under one key is one row (how many, and the least), so names that
     begin alike don't meet. The lengths of a group are at most those of its longest name.
+    Where all groups are small (``bounded``), however many, names and lengths meet by a plain join.
     """
     asked = claims.select(F.col(group).alias("__group"), F.col(claim).alias("__claim"), names.fold_name(F.col(claim)).alias("__whole"), names.fold_name(names.basename(F.col(claim))).alias("__base"), names.fold_name(names.stem(F.col(claim))).alias("__stem"))
     own = offered.select(F.col(group).alias("__group"), F.col(name).alias("__named"), names.fold_name(F.col(name)).alias("__name"), names.fold_name(names.stem(F.col(name))).alias("__own"))
     # Grouped by columns that come of the functions, not under them: what is folded stays out of the grouping.
-    asked = _once(asked).withColumn("__prefix", F.substr("__base", F.lit(1), F.greatest(F.lit(PREFIX), F.length("__base") - 4)))
+    one = _once(own).groupBy("__group", "__name", "__own").agg(F.min("__named").alias("__named"))
+    equal = one.groupBy(F.col("__group").alias("__of"), "__name").agg(F.min("__named").alias("__equal"))
+    asked = _once(asked).join(equal, (F.col("__group") == F.col("__of")) & (F.col("__whole") == F.col("__name")), "left").drop("__of", "__name")
+    rest = asked.where("__equal is null").withColumn("__prefix", F.substr("__base", F.lit(1), F.greatest(F.lit(PREFIX), F.length("__base") - 4)))
     pair = lambda rank, key: F.struct(F.lit(rank).alias("rank"), key.alias("key"))
-    tries = asked.select("__group", "__claim", F.inline(F.array(pair(1, F.col("__whole")), pair(2, F.col("__base")), pair(3, F.col("__stem")), pair(4, F.col("__prefix")))))
-    lengths = asked.groupBy("__group").agg(F.collect_set(F.length("__prefix")).alias("__lengths"))
+    tries = rest.select("__group", "__claim", F.inline(F.array(pair(2, F.col("__base")), pair(3, F.col("__stem")), pair(4, F.col("__prefix")))))
+    lengths = rest.groupBy("__group").agg(F.collect_set(F.length("__prefix")).alias("__lengths"))
     starts = F.transform(F.filter("__lengths", lambda n: n <= F.length("__name")), lambda n: pair(4, F.substr("__name", F.lit(1), n)))
-    one = _once(own).groupBy("__group", "__name", "__own").agg(F.min("__named").alias("__named"))
-    listed = joined(one, lengths, ["__group"]).select("__group", "__named", F.inline(F.concat(F.array(pair(1, F.col("__name")), pair(2, F.col("__name")), pair(3, F.col("__own"))), starts)))
+    met = one.join(lengths, "__group") if bounded else joined(one, lengths, ["__group"])
+    listed = met.select("__group", "__named", F.inline(F.concat(F.array(pair(2, F.col("__name")), pair(3, F.col("__own"))), starts)))
     known = listed.groupBy("__group", "rank", "key").agg(F.count("*").alias("__n"), F.min("__named").alias("__match"))
     hits = tries.join(known, ["__group", "rank", "key"]).where("__n = 1 or rank < 3")
-    best = hits.groupBy("__group", "__claim").agg(F.min_by("__match", "rank").alias("match"))
-    return claims.join(best, [F.col(group) == F.col("__group"), F.col(claim) == F.col("__claim")], "left").drop("__group", "__claim")
+    best = hits.groupBy(F.col("__group").alias("__of"), F.col("__claim").alias("__for")).agg(F.min_by("__match", "rank").alias("__best"))
+    told = asked.join(best, (F.col("__group") == F.col("__of")) & (F.col("__claim") == F.col("__for")), "left").select("__group", "__claim", F.coalesce("__equal", "__best").alias("match"))
+    return claims.join(told, [F.col(group) == F.col("__group"), F.col(claim) == F.col("__claim")], "left").drop("__group", "__claim")
 
 
 def _once(rows: DataFrame) -> DataFrame:
