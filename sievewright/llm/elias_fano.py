@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 
-_HALVES = [(np.uint64(s), np.uint64((1 << s) - 1)) for s in (32, 16, 8, 4, 2, 1)]
+_EACH, _TOPS, _BYTE, _EIGHT = (np.uint64(x) for x in (0x0101010101010101, 0x8080808080808080, 255, 8))
+_PAIRS, _FOURS, _NIBBLES = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
+#: The place of a byte's r-th one, at byte * 8 + r.
+_PLACES = np.array([(*(i for i in range(8) if b >> i & 1), *(7,) * 8)[:8] for b in range(256)], dtype=np.uint8).ravel()
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -29,6 +32,19 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     return {"head": np.array([n, width], dtype=np.uint64), "high": words, "zeros": zeros, "low": low}
 
 
+def _one(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The place of each word's ``rank``-th one: its byte by the bytes' running counts, then by a table."""
+    rank = rank.astype(np.uint64)
+    ones = words - ((words >> np.uint64(1)) & _PAIRS)
+    ones = (ones & _FOURS) + ((ones >> np.uint64(2)) & _FOURS)
+    ones = ((ones + (ones >> np.uint64(4))) & _NIBBLES) * _EACH
+    before = np.bitwise_count(((rank * _EACH | _TOPS) - ones) & _TOPS).astype(np.uint64)  # bytes whose running count is at most the rank
+    shift = np.minimum(before, np.uint64(7)) << np.uint64(3)
+    inner = (rank - (((ones << _EIGHT) >> shift) & _BYTE)) & np.uint64(7)
+    byte = (words >> shift) & _BYTE
+    return shift.astype(np.int64) + _PLACES[((byte << np.uint64(3)) | inner).astype(np.int64)]
+
+
 class Sequence:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.width = (int(x) for x in arrays["head"])
@@ -37,14 +53,7 @@ class Sequence:
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Places of the k-th zeros."""
         word = np.searchsorted(self.zeros, k, side="right") - 1
-        left, rest, at = ~self.high[word], (k - self.zeros[word]).astype(np.int64), np.zeros(len(k), dtype=np.int64)
-        for size, mask in _HALVES:
-            held = np.bitwise_count(left & mask).astype(np.int64)
-            up = rest >= held
-            rest = np.where(up, rest - held, rest)
-            at += np.where(up, int(size), 0)
-            left = np.where(up, left >> size, left)
-        return (word << 6) + at
+        return (word << 6) + _one(~self.high[word], k - self.zeros[word])
 
     def _next_zero(self, at: np.ndarray) -> np.ndarray:
         """Places of the first zeros behind ``at``."""
@@ -67,18 +76,29 @@ class Sequence:
         value[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
         return value & np.uint64((1 << self.width) - 1)
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        """The i-th values."""
+    def _ones(self, i: np.ndarray) -> np.ndarray:
+        """Places of the i-th ones."""
         ones = np.arange(len(self.zeros)) * 64 - self.zeros
         word = np.searchsorted(ones, i, side="right") - 1
-        left, rest, at = self.high[word], (i - ones[word]).astype(np.int64), np.zeros(len(i), dtype=np.int64)
-        for size, mask in _HALVES:
-            held = np.bitwise_count(left & mask).astype(np.int64)
-            up = rest >= held
-            rest = np.where(up, rest - held, rest)
-            at += np.where(up, int(size), 0)
-            left = np.where(up, left >> size, left)
-        return ((((word << 6) + at - i).astype(np.uint64) << np.uint64(self.width)) | self._lows(i)).astype(np.int64)
+        return (word << 6) + _one(self.high[word], i - ones[word])
+
+    def _valued(self, i: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (((at - i).astype(np.uint64) << np.uint64(self.width)) | self._lows(i)).astype(np.int64)
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        """The i-th values."""
+        return self._valued(i, self._ones(i))
+
+    def both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The i-th values and the next ones."""
+        at = self._ones(i)
+        word, bit = (at + 1) >> 6, ((at + 1) & 63).astype(np.uint64)
+        left = self.high[word] >> bit
+        follow = at + 1 + np.bitwise_count((left & (~left + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        far = np.flatnonzero(left == 0)  # the next one lies in a later word
+        if len(far):
+            follow[far] = self._ones(i[far] + 1)
+        return self._valued(i, at), self._valued(i + 1, follow)
 
     def find(self, x: np.ndarray, first: np.ndarray | int = 0, stop: np.ndarray | None = None) -> np.ndarray:
         """The place of each value within [first, stop), or -1: the successor among the values that share its high bits, if equal."""

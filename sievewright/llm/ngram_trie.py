@@ -159,8 +159,11 @@ def _steps(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log10(np.maximum(p, 1e-15)) * STEPS), 0, 65535).astype(np.uint16)
 
 
+_SHARES = 10.0 ** (np.arange(1 << 16) / -STEPS)
+
+
 def _share(steps: np.ndarray) -> np.ndarray:
-    return 10.0 ** (steps / -STEPS)
+    return _SHARES[steps]
 
 
 def _by_file(file: np.ndarray) -> np.ndarray:
@@ -194,12 +197,12 @@ class Level:
                 continue
             f = shared_files.read(f"{self.path}-{k}")
             part = lambda name: elias_fano.Sequence({x.partition(".")[2]: y for x, y in f.items() if x.startswith(name)})
-            new = np.diff(context[own], prepend=-1) != 0  # equal contexts come together
-            some, back = context[own][new], np.cumsum(new) - 1
+            mine = context[own]
+            new = np.diff(mine, prepend=-1) != 0  # equal contexts come together
+            some, back = mine[new], np.cumsum(new) - 1
             row = part("context.").find(some.astype(np.uint64))
             g[own] = np.where(row >= 0, _share(f["rest"][np.maximum(row, 0)]), 1.0)[back]
-            pointer = part("pointer.")
-            first, stop = pointer.get(np.maximum(row, 0))[back], pointer.get(np.maximum(row, 0) + 1)[back]
+            first, stop = (x[back] for x in part("pointer.").both(np.maximum(row, 0)))
             row = row[back]
             good = (row >= 0) & (word[own] >= 0)
             at = part("key.").find(row[good].astype(np.uint64) * np.uint64(self.universe) + word[own[good]].astype(np.uint64), first[good], stop[good])
