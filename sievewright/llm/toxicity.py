@@ -9,7 +9,8 @@ The index is an inverted one with block maxima. Examples lie in blocks of alike
 seldom term lists its examples; a common term's list is an array over the blocks, with its
 largest value in each. A search adds up the seldom terms and the most frequent ones, knows
 from the best of these sums how similar the last neighbour is at least, and reads the common
-terms only of blocks whose best sum and maxima together can reach that.
+terms only of blocks whose best sum and maxima together can reach that, each block once for
+all texts searched together that need it.
 Neighbours are exact. Their votes, weighted by similarity, are calibrated on the examples
 themselves, each left out of its own vote. Near copies are one example with as many votes,
 so what is much copied doesn't choose the terms.
@@ -80,8 +81,11 @@ def found(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray
     text, words, hashes = _coded(texts)
     if not len(terms):
         return text[:0], np.empty(0, dtype=np.int64)
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    at[terms[at] != hashes] = -1
+    order = np.argsort(hashes)  # ascending ones are found near each other
+    asked = hashes[order]
+    near = np.minimum(np.searchsorted(terms, asked), len(terms) - 1)
+    at = np.empty_like(near)
+    at[order] = np.where(terms[near] == asked, near, -1)
     which = at[words]
     known = which >= 0
     return text[known], which[known]
@@ -91,18 +95,25 @@ class Index:
     """Examples as unit vectors, by example and by term."""
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, ids: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rates: tuple[float, float], sizes: np.ndarray):
-        self.terms = terms  # hashes, ascending
-        self.weights = np.append(weights, COMMON_WEIGHT)  # the last is the term that all have
-        vectors = [self._unit(at, n) for at, n in counts]
-        often = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=len(self.weights)) / len(ids)
-        # Places of terms among the frequent and among the common ones; -1 for others.
-        self.frequent, self.common = (np.where(kind, np.cumsum(kind) - 1, -1) for kind in (often >= FREQUENT, (often >= COMMON) & (often < FREQUENT)))
+        # Terms are numbered by falling frequency, from the one that all have: most looks are at few numbers, which stay in the processor's cache.
+        seen = np.bincount(np.concatenate([at for at, _ in counts]), minlength=len(terms))
+        order = np.argsort(-seen, kind="stable")
+        self.terms, self.numbers = terms, np.empty(len(terms), dtype=np.int32)  # hashes, ascending
+        self.numbers[order] = np.arange(1, len(terms) + 1)
+        self.weights = np.concatenate(([COMMON_WEIGHT], weights[order]))
+        vectors = []
+        for at, n in counts:
+            by = np.argsort(self.numbers[at])
+            vectors.append(self._unit(self.numbers[at][by], n[by]))
+        often = np.concatenate(([1], seen[order] / len(ids)))
+        # Terms below the first of these numbers are frequent, others below the second common, the rest seldom.
+        self.frequent, self.common = (int((often >= share).sum()) for share in (FREQUENT, COMMON))
         # Alike ones beside each other: by label, by the frequent word that says most (as languages differ), and by length.
         chief = []
         for at, value in vectors:
-            often_here = np.flatnonzero(self.frequent[at[:-1]] >= 0)
-            chief.append(int(at[often_here[np.argmax(value[often_here])]]) if len(often_here) else -1)
-        order = np.lexsort((np.arange(len(ids)), [value[-1] for _, value in vectors], chief, labels))
+            end = np.searchsorted(at, self.frequent)
+            chief.append(int(at[1 + np.argmax(value[1:end])]) if end > 1 else -1)
+        order = np.lexsort((np.arange(len(ids)), [value[0] for _, value in vectors], chief, labels))
         self.ids, self.labels, self.sizes = ids[order], labels[order].astype(np.float64), sizes[order]
         self.weight = np.where(self.labels == 1, rates[1], rates[0])
         vectors = [vectors[i] for i in order]
@@ -113,16 +124,19 @@ class Index:
         owner = np.repeat(np.arange(len(ids), dtype=np.int32), n)
         self.blocks = -(-len(ids) // BLOCK)
 
-        def whole(place: np.ndarray) -> np.ndarray:
-            out, own = np.zeros((int(place.max()) + 1, self.blocks * BLOCK), dtype=np.float32), place[self.row_at]
-            out[own[own >= 0], owner[own >= 0]] = self.row_value[own >= 0]
-            return out
-
-        self.matrix = whole(self.frequent)
-        self.lists = (lists := whole(self.common)).reshape(len(lists), self.blocks, BLOCK)
-        self.most = self.lists.max(axis=2)
+        def part(begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            own = np.flatnonzero((self.row_at >= begin) & (self.row_at < end))
+            return self.row_at[own] - begin, owner[own], self.row_value[own]
+
+        at, row, value = part(0, self.frequent)
+        self.matrix = np.zeros((self.frequent, self.blocks * BLOCK), dtype=np.float32)
+        self.matrix[at, row] = value
+        at, row, value = part(self.frequent, self.common)
+        self.lists = np.zeros((self.blocks, self.common - self.frequent, BLOCK), dtype=np.float32)  # a block's lists beside each other
+        self.lists[row // BLOCK, at, row % BLOCK] = value
+        self.most = np.ascontiguousarray(self.lists.max(axis=2).T)
         by = np.argsort(self.row_at, kind="stable")
-        by = by[(self.frequent[self.row_at[by]] < 0) & (self.common[self.row_at[by]] < 0)]
+        by = by[self.row_at[by] >= self.common]
         # A row and its value side by side: one look for both.
         self.postings = np.stack([owner[by], self.row_value[by].view(np.int32)], axis=1).view(np.int64).ravel()
         self.edges = np.concatenate(([0], np.cumsum(np.bincount(self.row_at[by], minlength=len(self.weights)))))
@@ -130,7 +144,7 @@ class Index:
         self.slope, self.shift, self.memo, self.read = 1.0, 0.0, {}, [0, 0]
 
     #: What a search needs; arrays of two or three dimensions with their shapes' rest.
-    PARTS = ("terms", "weights", "ids", "labels", "sizes", "weight", "row_sizes", "row_edges", "row_at", "row_value", "postings", "edges", "frequent", "common", "matrix", "lists", "most")
+    PARTS = ("terms", "numbers", "weights", "ids", "labels", "sizes", "weight", "row_sizes", "row_edges", "row_at", "row_value", "postings", "edges", "matrix", "lists", "most")
 
     def save(self, path: str) -> None:
         """Write the index to the shared folder, where all workers map it: none holds a copy."""
@@ -144,7 +158,8 @@ class Index:
             setattr(self, name, found[name])
         self.blocks = -(-len(self.ids) // BLOCK)
         self.matrix = self.matrix.reshape(-1, self.blocks * BLOCK)
-        self.lists, self.most = self.lists.reshape(-1, self.blocks, BLOCK), self.most.reshape(-1, self.blocks)
+        self.lists, self.most = self.lists.reshape(self.blocks, -1, BLOCK), self.most.reshape(-1, self.blocks)
+        self.frequent, self.common = len(self.matrix), len(self.matrix) + len(self.most)
         self.slope, self.shift = found["fit"].tolist()
         self.asked, self.memo, self.read = np.zeros(len(self.weights), dtype=np.float32), {}, [0, 0]
         return self
@@ -164,14 +179,14 @@ class Index:
         """Unit vectors of ``spaced`` texts."""
         width = len(self.weights)
         text, term = found(texts, self.terms)
-        key, often = np.unique(text * width + term, return_counts=True)
+        key, often = np.unique(text * width + self.numbers[term], return_counts=True)
         edges = np.searchsorted(key, np.arange(len(texts) + 1) * width)
         return [self._unit((key[a:b] - i * width).astype(np.int32), often[a:b]) for i, (a, b) in enumerate(itertools.pairwise(edges.tolist()))]
 
     def _unit(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of ascending terms and their counts."""
-        at = np.append(at, np.int32(len(self.terms)))
-        value = (1 + np.log(np.append(n, 1))) * self.weights[at]
+        """Of words' ascending numbers and their counts."""
+        at = np.concatenate(([np.int32(0)], at))
+        value = (1 + np.log(np.concatenate(([1], n)))) * self.weights[at]
         return at, (value / np.sqrt((value * value).sum())).astype(np.float32)
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,58 +211,74 @@ class Index:
         who = np.repeat(np.arange(n), np.diff(edge))
         at, value = (np.concatenate(x) for x in zip(*some))
 
-        def table(place: np.ndarray, height: int) -> np.ndarray:
-            out, own = np.zeros((n, height), dtype=np.float32), place[at]
-            out[who[own >= 0], own[own >= 0]] = value[own >= 0]
+        def table(begin: int, end: int) -> np.ndarray:
+            out, own = np.zeros((n, end - begin), dtype=np.float32), (at >= begin) & (at < end)
+            out[who[own], at[own] - begin] = value[own]
             return out
 
-        seldom = np.flatnonzero((self.frequent[at] < 0) & (self.common[at] < 0))
+        seldom = np.flatnonzero(at >= self.common)
         first = self.edges[at[seldom]]
         many = self.edges[at[seldom] + 1] - first
-        sums = table(self.frequent, len(self.matrix)) @ self.matrix
+        sums = table(0, self.frequent) @ self.matrix
         # Text by text: what one reads stays in the processor's cache.
         for t, (a, b) in enumerate(itertools.pairwise(np.searchsorted(seldom, edge).tolist())):
             read = self.postings[_stretches(first[a:b], many[a:b])].view(np.int32).reshape(-1, 2)
             rest = np.bincount(read[:, 0], read[:, 1].view(np.float32) * np.repeat(value[seldom[a:b]], many[a:b]), minlength=width)
             sums[t] += rest.astype(np.float32)
         sums[:, len(self.ids) :] = -1  # the last block's empty places
-        asked = table(self.common, len(self.lists))
-        bound = sums.reshape(n, self.blocks, BLOCK).max(axis=2) + asked @ self.most
-        for t in range(n):
-            own = np.flatnonzero(asked[t])
-            # What the best so far reach in the end, the last neighbour reaches too.
-            best = np.argpartition(sums[t], width - k)[width - k :]
-            least = (sums[t, best] + asked[t, own] @ self.lists[own[:, None], best // BLOCK, best % BLOCK]).min()
-            near = np.flatnonzero(bound[t] >= least - SLACK)
-            self.read[0] += len(near)
-            self.read[1] += self.blocks
-            full = (sums[t].reshape(-1, BLOCK)[near] + np.tensordot(asked[t, own], self.lists[own[:, None], near], 1)).ravel()
-            good = np.flatnonzero(full >= np.partition(full, -k)[-k] - SLACK)
-            yield self._exact(at[edge[t] : edge[t + 1]], value[edge[t] : edge[t + 1]], near[good // BLOCK] * BLOCK + good % BLOCK, k)
+        asked, sums = table(self.frequent, self.common), sums.reshape(n, self.blocks, BLOCK)
+        top = sums.max(axis=2)
+        # What the best so far reach in the end, the last neighbour reaches too.
+        block, place, reached = self._best(sums, top, k)
+        own = np.flatnonzero((at >= self.frequent) & (at < self.common))
+        if len(own):
+            texts, begin = np.unique(who[own], return_index=True)
+            more = value[own, None] * self.lists[block[who[own]], at[own, None] - self.frequent, place[who[own]]]
+            reached[texts] += np.add.reduceat(more, begin, axis=0)
+        near = top + asked @ self.most >= reached.min(axis=1, keepdims=True) - SLACK
+        self.read[0] += int(near.sum())
+        self.read[1] += near.size
+        # A block's lists are read once, for all texts that need them.
+        for lists, whose, b in zip(self.lists, near.T, range(self.blocks)):
+            texts = np.flatnonzero(whose)
+            sums[texts, b] += asked[texts] @ lists
+        sums[~near] = -1
+        least = self._best(sums, sums.max(axis=2), k)[2].min(axis=1, keepdims=True) - SLACK
+        text, rows = np.nonzero(sums.reshape(n, width) >= least)
+        for t, own in enumerate(np.split(rows, np.searchsorted(text, np.arange(1, n)))):
+            yield self._exact(at[edge[t] : edge[t + 1]], value[edge[t] : edge[t + 1]], own, k)
+
+    def _best(self, sums: np.ndarray, top: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks, places and values of the ``k`` greatest sums of each text: they lie in the ``k`` blocks with the greatest tops."""
+        lead = np.argpartition(top, -min(k, self.blocks), axis=1)[:, -min(k, self.blocks) :]
+        some = np.take_along_axis(sums, lead[:, :, None], axis=1).reshape(len(sums), -1)
+        best = np.argpartition(some, -k, axis=1)[:, -k:]
+        return np.take_along_axis(lead, best // BLOCK, axis=1), best % BLOCK, np.take_along_axis(some, best, axis=1)
 
     def _exact(self, at: np.ndarray, value: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The best of ``rows``, added up in an order that doesn't depend on the texts searched beside this one."""
         n = self.row_sizes[rows]
-        i = _stretches(self.row_edges[rows], n)
+        parts = [slice(a, b) for a, b in zip(self.row_edges[rows].tolist(), self.row_edges[rows + 1].tolist())]
+        terms, values = (np.concatenate([x[part] for part in parts]) for x in (self.row_at, self.row_value))
         self.asked[at] = value
-        scores = np.add.reduceat(self.row_value[i] * self.asked[self.row_at[i]], np.cumsum(n) - n, dtype=np.float64)
+        scores = np.add.reduceat(values * self.asked[terms], np.cumsum(n) - n, dtype=np.float64)
         self.asked[at] = 0
         best = np.lexsort((rows, self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
 
-    def vote(self, rows: np.ndarray, scores: np.ndarray) -> float:
-        """Of the NEIGHBOURS nearest labelled texts; an example stands for its near copies."""
+    def vote(self, rows: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Of the NEIGHBOURS nearest labelled texts, in the last dimension; an example stands for its near copies."""
         s, sizes = np.clip(scores, 1e-4, 1), self.sizes[rows]
-        n = np.clip(NEIGHBOURS - (np.cumsum(sizes) - sizes), 0, sizes)
+        n = np.clip(NEIGHBOURS - (np.cumsum(sizes, axis=-1) - sizes), 0, sizes)
         w = n * s * s / (1 - s + NEAR) * self.weight[rows]  # a copy outvotes those that share but common words
-        return float((w * self.labels[rows]).sum() / w.sum())
+        return (w * self.labels[rows]).sum(axis=-1) / w.sum(axis=-1)
 
     def calibrate(self) -> None:
         """Fit a logistic curve to the votes that the examples get from each other."""
         votes = []
         for row, (rows, scores) in enumerate(self.nearest_each([self.own(i) for i in range(len(self.ids))], NEIGHBOURS + 1)):
             others = rows != row
-            votes.append(self.vote(rows[others][:NEIGHBOURS], scores[others][:NEIGHBOURS]))
+            votes.append(float(self.vote(rows[others][:NEIGHBOURS], scores[others][:NEIGHBOURS])))
         x, n1, n0 = _logit(np.array(votes)), self.labels.sum(), (1 - self.labels).sum()
         goal = np.where(self.labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))  # Platt's targets
         beta = np.array([1.0, 0.0])
@@ -268,9 +299,10 @@ class Index:
         if len(self.memo) >= REMEMBERED:
             self.memo.clear()
         new = {k: t for k, t in zip(keys, texts) if k not in self.memo}
-        for key, (rows, scores) in zip(new, self.nearest_each(self.vectors([*new.values()]), NEIGHBOURS)):
+        if new:
+            rows, scores = map(np.stack, zip(*self.nearest_each(self.vectors([*new.values()]), NEIGHBOURS)))
             p = 1 / (1 + np.exp(-(self.slope * _logit(self.vote(rows, scores)) + self.shift)))
-            self.memo[key] = float(p), self.ids[rows[:EVIDENCE]].tolist()
+            self.memo.update(zip(new, zip(p.tolist(), self.ids[rows[:, :EVIDENCE]].tolist())))
         return [self.memo[k] for k in keys]
 
 

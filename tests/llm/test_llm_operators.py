@@ -458,6 +458,33 @@ def test_toxicity_by_hand(spark):
         assert got[d]["evidence"][0] == scores[0][1]
 
 
+def test_toxicity_searches_over_many_blocks():
+    """Terms lie by frequency, blocks' lists by block; texts searched together get what each gets alone, and all examples would give."""
+    rng = np.random.default_rng(21)
+
+    def draw(often: int) -> tuple[np.ndarray, np.ndarray]:
+        at, n = np.unique(rng.zipf(1.2, often) % 4000, return_counts=True)
+        return at.astype(np.int32), n
+
+    examples = 1500
+    counts = [draw(rng.integers(1, 120)) for _ in range(examples)]
+    counts[7] = counts[800] = counts[1400]  # equally near
+    index = toxicity.Index(np.arange(4000, dtype=np.uint64) * 3, rng.random(4000) + 1e-6, rng.permutation(examples), counts, rng.integers(0, 2, examples), (1.0, 2.0), np.ones(examples, dtype=np.int64))
+    often = (index.dense > 0).sum(axis=0)
+    assert (np.diff(often) <= 0).all() and often[0] == examples
+    assert index.lists.shape == (index.blocks, index.common - index.frequent, toxicity.BLOCK) and index.blocks > 15 and index.common > index.frequent > 0
+    asked = [index.own(row) for row in range(0, examples, 9)] + [(np.zeros(1, dtype=np.int32), np.ones(1, dtype=np.float32))]
+    for (at, value), (rows, scores) in zip(asked, index.nearest_each(asked, 15)):
+        alone = index.nearest(at, value, 15)
+        assert rows.tolist() == alone[0].tolist() and scores.tolist() == alone[1].tolist()
+        every = (index.dense[:, at].astype(np.float64) * value).sum(axis=1)
+        want = np.lexsort((index.ids, -every.round(6)))[:15]
+        assert np.allclose(every[want], scores, atol=1e-6) and (np.diff(scores) <= 0).all()
+        ties = scores[1:] == scores[:-1]
+        assert (np.diff(index.ids[rows])[ties] > 0).all()
+    assert 0 < index.read[0] < index.read[1]
+
+
 def test_toxicity_on_held_out_rows_of_the_query(spark):
     got = {r["doc_id"]: r for r in toxicity.query(spark, "/root/testdata/sf0.1").where("held_out").collect()}
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
